@@ -72,7 +72,8 @@ def window_lateness(traced: DataFrame, ts: str, size_us: int, lateness_us: int =
     return staged.withColumn("status", status)
 
 
-def refire_counts(classified: DataFrame, key: str, arrival: list[str]) -> DataFrame:
+def refire_counts(classified: DataFrame, key: str, arrival: list[str],
+                  bucket: Column | None = None) -> DataFrame:
     """Firings of windows kept open by allowed lateness.
 
     Each (key, window) with on-time rows fires once (``first``) with their
@@ -83,8 +84,9 @@ def refire_counts(classified: DataFrame, key: str, arrival: list[str]) -> DataFr
     on_time = (classified.filter(F.col("status") == "on_time")
                .groupBy(*wk).agg(F.count(F.lit(1)).alias("n_on_time")))
     late = classified.filter(F.col("status") == "refire").select(*wk, *arrival)
+    bucket = bucket if bucket is not None else bucket_index(arrival[0], ARRIVAL_BUCKET_US)
     late = running(late, arrival, [Running("late_rank", "count", F.lit(1))],
-                   partition_by=wk, bucket=bucket_index(arrival[0], ARRIVAL_BUCKET_US))
+                   partition_by=wk, bucket=bucket)
     late = late.join(on_time, on=wk, how="left").fillna(0, subset=["n_on_time"])
     has_first = F.when(F.col("n_on_time") > 0, 1).otherwise(0)
     refires = late.select(

@@ -84,7 +84,7 @@ def parse_keyed_lines(lines: DataFrame, keep: list[str] = ()) -> tuple[DataFrame
     non-integer one goes to ``quarantine`` instead of failing the job.
     """
     parts = F.split(F.col("value"), " ")
-    secs = F.expr("try_cast(element_at(split(value, ' '), 2) AS BIGINT)")
+    secs = F.expr("try_cast(try_element_at(split(value, ' '), 2) AS BIGINT)")
     staged = lines.select(*keep, "value", parts.getItem(0).alias("key"), secs.alias("_secs"))
     ok = F.col("_secs").isNotNull()
     parsed = staged.filter(ok).select(*keep, "key", (F.col("_secs") * 1000).alias("ts_ms"))

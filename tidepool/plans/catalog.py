@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions.timecols import epoch_seconds, micros
-from tidepool.operators import eventtime, joins, partition, rows, running as run, topn, windows
+from tidepool.operators import changelog, eventtime, joins, partition, rows, running as run, topn, windows
 from tidepool.operators.running import Running, id_bucket
 from tidepool.session import scratch_path
 from tidepool.sources import behavior, owned
@@ -218,14 +218,8 @@ def throttled_avg(spark, sf):
 
 
 def changelog_count(spark, sf):
-    counts = running_count(spark, sf)
-    ops = F.when(
-        F.col("running_cnt") == 1,
-        F.array(F.struct(F.lit("+I").alias("op"), F.col("running_cnt").alias("cnt"), F.lit(0).alias("op_seq"))),
-    ).otherwise(F.array(
-        F.struct(F.lit("-U").alias("op"), (F.col("running_cnt") - 1).alias("cnt"), F.lit(0).alias("op_seq")),
-        F.struct(F.lit("+U").alias("op"), F.col("running_cnt").alias("cnt"), F.lit(1).alias("op_seq"))))
-    return counts.select("event_id", "user_id", F.inline(ops))
+    ev = _events(spark, sf)
+    return changelog.changelog(ev, "user_id", "event_id", id_bucket("event_id"))
 
 
 # --- event time ---------------------------------------------------------------------------
