@@ -1,4 +1,175 @@
-"""Streaming twins of catalogue queries (filled in below)."""
+"""Streaming twins: the same operators as Structured Streaming queries.
 
-STREAM_QUERIES = {}
-STREAM_ORACLES = {}
+Each twin reads a table as a file stream, runs to completion with
+``availableNow`` and returns what its sink wrote, so it is checked against the
+same oracle as its batch form.  Event-time twins union an end-of-input marker
+so every window closes (a bounded source ends with a maximal watermark).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidepool.functions.timecols import micros
+from tidepool.operators import rows, topn
+from tidepool.plans import catalog
+from tidepool.plans.oracles import ORACLES
+from tidepool.session import scratch_path, use_rocksdb_state
+from tidepool.sources import behavior
+from tidepool.streaming.processors import CHANGELOG_OUT, ChangelogCount
+from tidepool.streaming.runner import (event_time, run_to_table, table_stream,
+                                      with_end_marker)
+
+HOUR = micros(1, "h")
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return df
+
+
+def _events_with_marker(spark, sf):
+    ev = table_stream(spark, sf, "events")
+    return event_time(with_end_marker(spark, ev, "ts"))
+
+
+def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Running word count over a document stream; the full table is rewritten per trigger."""
+    docs = table_stream(spark, sf, "documents")
+    counts = rows.word_count(docs, "text")
+    return run_to_table(spark, counts, "word-count", output_mode="complete")
+
+
+def stream_tumbling_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Event-time tumbling count, append mode: each window is emitted once, when it closes."""
+    ev = _events_with_marker(spark, sf).withWatermark("ts", "0 seconds")
+    counts = (ev.groupBy(F.window("ts", "1 hour").alias("w"), "user_id")
+              .agg(F.count(F.lit(1)).alias("cnt"))
+              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      "user_id", "cnt"))
+    out = run_to_table(spark, counts, "tumbling-count")
+    return _ntz(out.filter(F.col("user_id").isNotNull()), "window_start", "window_end")
+
+
+def stream_topn_per_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Sliding-window counts in append mode, then top-N per window in each micro-batch.
+
+    A window's counts are all emitted in the micro-batch in which it closes,
+    so ranking inside that batch is exact and no state holds a window's items.
+    """
+    ev = _events_with_marker(spark, sf).withWatermark("ts", "0 seconds")
+    counts = (ev.groupBy(F.window("ts", "1 hour", "5 minutes").alias("w"), "event_type")
+              .agg(F.count(F.lit(1)).alias("cnt"))
+              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      "event_type", "cnt"))
+
+    def rank(batch: DataFrame) -> DataFrame:
+        real = batch.filter(F.col("event_type").isNotNull())
+        top = topn.top_n(real, ["window_start", "window_end"],
+                         [F.desc("cnt"), F.asc("event_type")], catalog.TOP_N)
+        return top.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                          F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                          F.col("event_type").alias("item"), "cnt",
+                          F.col("rank").cast("bigint").alias("rank"))
+
+    return run_to_table(spark, counts, "topn", per_batch=rank)
+
+
+def stream_uv_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact hourly distinct viewers: distinct (window, user) in append mode, counted per batch."""
+    ev = _events_with_marker(spark, sf).withWatermark("ts", "0 seconds")
+    views = ev.filter((F.col("event_type") == "view") | F.col("event_type").isNull())
+    pairs = (views.groupBy(F.window("ts", "1 hour").alias("w"), "user_id").agg(F.count(F.lit(1)).alias("_n"))
+             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id"))
+
+    def count(batch: DataFrame) -> DataFrame:
+        return (batch.filter(F.col("user_id").isNotNull())
+                .groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("uv"))
+                .select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "uv"))
+
+    return run_to_table(spark, pairs, "uv-hourly", per_batch=count)
+
+
+def stream_equi_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Order stream enriched from the customer table (stream-static join, no join state)."""
+    orders = table_stream(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    cust = catalog.read_table(spark, sf, "customer").select("c_custkey", "c_name")
+    joined = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner").select(
+        "o_orderkey", "o_custkey", "c_name", "o_totalprice")
+    return run_to_table(spark, joined, "equi-join")
+
+
+def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream-stream interval join; watermarks on both sides bound the join state."""
+    o = event_time(table_stream(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate")
+    li = event_time(table_stream(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"), "l_shipdate")
+    o = o.withWatermark("o_orderdate", "1 day")
+    li = li.withWatermark("l_shipdate", "1 day")
+    cond = ((o.o_orderkey == li.l_orderkey)
+            & (li.l_shipdate >= o.o_orderdate - F.expr("INTERVAL 10 DAYS"))
+            & (li.l_shipdate <= o.o_orderdate + F.expr("INTERVAL 5 DAYS")))
+    joined = o.join(li, cond, "inner").select(*catalog.INTERVAL_COLS)
+    return _ntz(run_to_table(spark, joined, "interval-join"), "o_orderdate", "l_shipdate")
+
+
+def stream_changelog_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Changelog of the per-user count, from a stateful processor holding one count per user."""
+    use_rocksdb_state(spark)
+    ev = table_stream(spark, sf, "events").select("event_id", "user_id")
+    out = ev.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=ChangelogCount(), outputStructType=CHANGELOG_OUT,
+        outputMode="Append", timeMode="None")
+    return run_to_table(spark, out, "changelog")
+
+
+def stream_table_project(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream to table with renamed columns, appended as it arrives."""
+    ev = table_stream(spark, sf, "events")
+    return run_to_table(spark, rows.rename(ev, {"user_id": "user_id", "event_type": "url", "ts": "c_time"}),
+                        "table-project")
+
+
+def stream_sql_group_count(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL over a streaming temp view; the updating result table is kept complete."""
+    table_stream(spark, sf, "events").createOrReplaceTempView("tp_click_stream")
+    q = spark.sql("SELECT user_id, COUNT(event_type) AS cnt FROM tp_click_stream GROUP BY user_id")
+    return run_to_table(spark, q, "sql-group-count", output_mode="complete")
+
+
+def stream_csv_behavior_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The behaviour log read as a CSV file stream."""
+    path = behavior.write_behavior_csv(catalog.read_table(spark, sf, "events"),
+                                       scratch_path(spark, "behavior-csv"))
+    return run_to_table(spark, behavior.stream_behavior_csv(spark, path), "behavior-csv")
+
+
+STREAM_QUERIES = {
+    "stream_word_count": stream_word_count,
+    "stream_tumbling_count": stream_tumbling_count,
+    "stream_topn_per_window": stream_topn_per_window,
+    "stream_uv_hourly": stream_uv_hourly,
+    "stream_equi_join_static": stream_equi_join,
+    "stream_interval_join": stream_interval_join,
+    "stream_changelog_count": stream_changelog_count,
+    "stream_table_project": stream_table_project,
+    "stream_sql_group_count": stream_sql_group_count,
+    "stream_csv_behavior_scan": stream_csv_behavior_scan,
+}
+
+# A twin computes exactly what its batch form computes.
+STREAM_ORACLES = {
+    "stream_word_count": ORACLES["word_count"],
+    "stream_tumbling_count": ORACLES["tumbling_count"],
+    "stream_topn_per_window": ORACLES["topn_per_window"],
+    "stream_uv_hourly": ORACLES["uv_hourly"],
+    "stream_equi_join_static": ORACLES["stream_equi_join"],
+    "stream_interval_join": ORACLES["interval_join"],
+    "stream_changelog_count": ORACLES["changelog_count"],
+    "stream_table_project": ORACLES["table_project"],
+    "stream_sql_group_count": ORACLES["sql_group_count"],
+    "stream_csv_behavior_scan": ORACLES["csv_behavior_scan"],
+}
