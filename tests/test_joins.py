@@ -56,7 +56,7 @@ def test_control_filter_latest_value_wins(spark):
                    "id long, ts long, user string, url string", ["ts"])
     control = ms_rows(spark, [(10, 200, "click"), (11, 300, "view")],
                       "id long, ts long, cv string", ["ts"])
-    out = joins.latest_control_filter(data, control, "ts", "id", "url", "cv", micros(1, "d"))
+    out = joins.latest_control_filter(data, control, "ts", "id", "url", "cv", num_buckets=3)
     # id 5 and 1 precede any control ("" matches nothing); at ts 300 the control applies first.
     assert sorted(r.id for r in out.collect()) == [3, 4]
 

@@ -53,3 +53,32 @@ def test_keyed_sum_keeps_first_fields(spark):
     out = running(df, ["seq"], [Running("s", "sum", "f1"), Running("f0_first", "first", "f0")],
                   partition_by=["f1"], bucket=F.lit(0))
     assert sorted((r.f0_first, r.s) for r in out.collect()) == [("1", 2), ("1", 3)]
+
+
+def test_range_buckets_split_a_hot_timestamp(spark):
+    from tidepool.functions.timecols import ntz_from_millis
+    from tidepool.operators.running import RANGE_BUCKET_COL, with_range_buckets
+
+    # A third of the rows share one timestamp; the id breaks the ties.
+    df = spark.range(3000).select(
+        F.col("id"), ntz_from_millis(F.when(F.col("id") % 3 == 0, F.lit(5_000)).otherwise(F.col("id"))).alias("ts"))
+    tagged = with_range_buckets(df, ["ts", "id"], 10)
+    sizes = [r["count"] for r in tagged.groupBy(RANGE_BUCKET_COL).count().collect()]
+    assert sum(sizes) == 3000 and len(sizes) >= 8 and max(sizes) <= 3 * 3000 / 10
+    # Buckets respect the order: bucket ranges do not overlap.
+    spans = tagged.groupBy(RANGE_BUCKET_COL).agg(F.min(F.struct("ts", "id")).alias("lo"),
+                                                 F.max(F.struct("ts", "id")).alias("hi"))
+    spans = sorted((r[RANGE_BUCKET_COL], tuple(r.lo), tuple(r.hi)) for r in spans.collect())
+    assert all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
+
+
+def test_running_over_range_buckets_matches_plain(data):
+    from tidepool.operators.running import range_bucket, with_range_buckets
+
+    tagged = with_range_buckets(data, ["k", "id"], 7)
+    got = running(tagged, ["k", "id"], [Running("m", "max", "v"), Running("l", "last", "s")],
+                  bucket=range_bucket(), include_current=False)
+    w = Window.orderBy("k", "id").rowsBetween(Window.unboundedPreceding, -1)
+    want = data.select("id", F.max("v").over(w).alias("m"), F.last("s", ignorenulls=True).over(w).alias("l"))
+    assert sorted(tuple(r) for r in got.select("id", "m", "l").collect()) == \
+        sorted(tuple(r) for r in want.collect())

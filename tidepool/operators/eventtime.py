@@ -12,12 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.functions.timecols import bucket_index, micros
-from tidepool.operators.running import Running, running
+from tidepool.operators.running import Running, range_bucket, running, with_range_buckets
 
 ONE_MS = 1_000
-# Arrival-time bucket of the two-level running max (rows are ordered by arrival).
-ARRIVAL_BUCKET_US = micros(1, "h")
 
 
 def jittered_arrival(df: DataFrame, ts: str = "ts", id_col: str = "event_id",
@@ -32,8 +29,11 @@ def watermark_trace(df: DataFrame, ts: str, arrival: list[str], delay_us: int,
     """Add ``wm``: the watermark in force when each row arrives.
 
     ``wm = max(ts of earlier arrivals) - delay - 1 ms``; NULL before any row.
+    ``arrival`` must be a total order (end it with a unique column).  By
+    default the running max is bucketed by balanced ranges of that order.
     """
-    bucket = bucket if bucket is not None else bucket_index(arrival[0], ARRIVAL_BUCKET_US)
+    if bucket is None:
+        df, bucket = with_range_buckets(df, arrival), range_bucket()
     traced = running(df, arrival, [Running("_max_ts", "max", ts)], bucket=bucket,
                      include_current=False)
     return traced.withColumn(
@@ -84,7 +84,8 @@ def refire_counts(classified: DataFrame, key: str, arrival: list[str],
     on_time = (classified.filter(F.col("status") == "on_time")
                .groupBy(*wk).agg(F.count(F.lit(1)).alias("n_on_time")))
     late = classified.filter(F.col("status") == "refire").select(*wk, *arrival)
-    bucket = bucket if bucket is not None else bucket_index(arrival[0], ARRIVAL_BUCKET_US)
+    if bucket is None:
+        late, bucket = with_range_buckets(late, arrival), range_bucket()
     late = running(late, arrival, [Running("late_rank", "count", F.lit(1))],
                    partition_by=wk, bucket=bucket)
     late = late.join(on_time, on=wk, how="left").fillna(0, subset=["n_on_time"])

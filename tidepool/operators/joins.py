@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.timecols import bucket_index, epoch_micros
-from tidepool.operators.running import Running, running
+from tidepool.operators.running import Running, range_bucket, running, with_range_buckets
 
 
 def _shift(ts: Column, us: int) -> Column:
@@ -60,13 +60,15 @@ def window_join_counts(left: DataFrame, right: DataFrame, key: str, ts: str,
 
 
 def latest_control_filter(data: DataFrame, control: DataFrame, ts: str, tiebreak: str,
-                          value: str, control_value: str, bucket_us: int) -> DataFrame:
+                          value: str, control_value: str,
+                          num_buckets: int | None = None) -> DataFrame:
     """Keep data rows whose ``value`` equals the latest control value at their time.
 
     An as-of lookup without a range join: both inputs are unioned into one
     event-time ordered stream (control first on equal timestamps), and the
     last non-null control value is carried forward with the two-level running
-    scan, bucketed by time.  No control value yet means nothing matches.
+    scan over balanced ranges of that order.  No control value yet means
+    nothing matches.
     ``control`` needs ``ts``, ``tiebreak`` and ``control_value`` columns.
     """
     d = data.select(*data.columns, F.lit(None).cast("string").alias("_ctl"),
@@ -75,8 +77,9 @@ def latest_control_filter(data: DataFrame, control: DataFrame, ts: str, tiebreak
         *[(F.col(name) if name in (ts, tiebreak)
            else F.lit(None).cast(data.schema[name].dataType)).alias(name) for name in data.columns],
         F.col(control_value).cast("string").alias("_ctl"), F.lit(0).alias("_prio"))
-    carried = running(d.unionByName(c), [ts, "_prio", tiebreak],
-                      [Running("_latest", "last", "_ctl")], bucket=bucket_index(ts, bucket_us))
+    order = [ts, "_prio", tiebreak]
+    both = with_range_buckets(d.unionByName(c), order, num_buckets)
+    carried = running(both, order, [Running("_latest", "last", "_ctl")], bucket=range_bucket())
     return (carried.filter((F.col("_prio") == 1) & (F.col(value) == F.col("_latest")))
             .select(*data.columns))
 

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KINDS = ("sum", "count", "max", "min", "last", "first")
 
@@ -45,9 +46,79 @@ class Running:
 
 
 def id_bucket(id_col: str, width: int = ID_BUCKET_WIDTH) -> Column:
+    """Bucket of a unique, dense id: never more than ``width`` rows."""
     return F.floor(F.col(id_col) / F.lit(width)).cast("bigint")
 
 
+RANGE_BUCKET_COL = "_rbkt"
+# Sampled keys per bucket when cutting an order into balanced ranges.
+SAMPLE_PER_BUCKET = 32
+
+
+def _numeric_key(df: DataFrame, name: str) -> Column:
+    """Order-preserving, zone-free comparable form of a sort column."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(name))
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(F.col(name))
+    return F.col(name)
+
+
+def range_bounds(df: DataFrame, order_by: list[str], num_buckets: int,
+                 seed: int = 7) -> list[tuple]:
+    """``num_buckets - 1`` cut points of the total order, from a bounded sample.
+
+    Two small jobs (a count and a sample of about ``SAMPLE_PER_BUCKET`` keys
+    per bucket); only the sampled sort keys reach the driver.
+    """
+    keys = df.select(*[_numeric_key(df, c).alias(f"_k{i}") for i, c in enumerate(order_by)])
+    keys = keys.dropna()
+    total = keys.count()
+    if total == 0 or num_buckets <= 1:
+        return []
+    fraction = min(1.0, num_buckets * SAMPLE_PER_BUCKET / total)
+    sample = sorted(tuple(r) for r in keys.sample(False, fraction, seed).collect())
+    cuts = [sample[(i * len(sample)) // num_buckets] for i in range(1, num_buckets)]
+    return sorted(set(cuts))
+
+
+def _bucket_of(key: Column, bounds: list[tuple], lo: int, hi: int, lit_key) -> Column:
+    """Binary search as a CASE tree: number of cut points <= key (log2 depth)."""
+    if lo == hi:
+        return F.lit(lo).cast("bigint")
+    mid = (lo + hi) // 2
+    return F.when(key < lit_key(bounds[mid]), _bucket_of(key, bounds, lo, mid, lit_key)).otherwise(
+        _bucket_of(key, bounds, mid + 1, hi, lit_key))
+
+
+def with_range_buckets(df: DataFrame, order_by: list[str], num_buckets: int | None = None) -> DataFrame:
+    """Tag rows with a balanced, order-preserving bucket, for orders with no dense id.
+
+    The total order (end it with a unique column) is cut at sampled points, so
+    buckets hold about equal row counts however skewed the leading column is:
+    equal timestamps, however many, are split by the tie-breaking column.  The
+    bucket is a pure function of the row (a CASE tree over literal cut
+    points), so every branch of a plan, and every recomputation after a lost
+    executor, assigns the same bucket.  No shuffle is added.
+    """
+    spark = df.sparkSession
+    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = range_bounds(df, order_by, n)
+    names = [f"_k{i}" for i in range(len(order_by))]
+    key = F.struct(*[_numeric_key(df, c).alias(nm) for c, nm in zip(order_by, names)])
+    types = [df.select(_numeric_key(df, c)).schema[0].dataType for c in order_by]
+
+    def lit_key(values: tuple) -> Column:
+        return F.struct(*[F.lit(v).cast(t).alias(nm) for v, t, nm in zip(values, types, names)])
+
+    return df.withColumn(RANGE_BUCKET_COL, _bucket_of(key, bounds, 0, len(bounds), lit_key))
+
+
+def range_bucket() -> Column:
+    return F.col(RANGE_BUCKET_COL)
+
+
 def _bucket_summary(spec: Running, order_struct: Column) -> Column:
     c = spec.col()
     tag = f"_s_{spec.name}"
@@ -122,5 +193,5 @@ def running(df: DataFrame, order_by: list[str], specs: list[Running], *,
     upper = Window.currentRow if include_current else -1
     w_in = (Window.partitionBy(*bkeys).orderBy(*order_by)
             .rowsBetween(Window.unboundedPreceding, upper))
-    out_cols = [F.col(c) for c in df.columns]
+    out_cols = [F.col(c) for c in df.columns if c != RANGE_BUCKET_COL]
     return joined.select(*out_cols, *[_finish(s, w_in) for s in specs])

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.functions.timecols import epoch_seconds, micros
+from tidepool.functions.timecols import bucket_index, epoch_seconds, micros
 from tidepool.operators import changelog, eventtime, joins, partition, rows, running as run, topn, windows
 from tidepool.operators.running import Running, id_bucket
 from tidepool.session import scratch_path
@@ -213,7 +213,7 @@ def throttled_avg(spark, sf):
     # table, never over the events.
     r = run.running(per_bucket, ["bucket_start"],
                     [Running("cum_s", "sum", "s"), Running("cum_cnt", "sum", "n")],
-                    bucket=F.lit(0))
+                    bucket=bucket_index("bucket_start", DAY))
     return r.select("bucket_start", "cum_cnt", (F.col("cum_s") / F.col("cum_cnt")).alias("cum_avg"))
 
 
@@ -303,7 +303,7 @@ def control_filter(spark, sf):
     control = ev.filter(F.col("event_type").isin(*CONTROL_VALUE)).select(
         "event_id", "ts", value.alias("control_value"))
     return joins.latest_control_filter(data, control, "ts", "event_id", "event_type",
-                                       "control_value", DAY)
+                                       "control_value")
 
 
 def reconcile(spark, sf):
