@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.operators.running import Running, range_bucket, running, with_range_buckets
+from tidepool.operators.running import (RANGE_BUCKET_COL, Running, range_bucket, running,
+                                        with_range_buckets)
 
 ONE_MS = 1_000
 
@@ -83,9 +84,13 @@ def refire_counts(classified: DataFrame, key: str, arrival: list[str],
     wk = [key, "window_start", "window_end"]
     on_time = (classified.filter(F.col("status") == "on_time")
                .groupBy(*wk).agg(F.count(F.lit(1)).alias("n_on_time")))
-    late = classified.filter(F.col("status") == "refire").select(*wk, *arrival)
+    extra = [RANGE_BUCKET_COL] if RANGE_BUCKET_COL in classified.columns else []
+    late = classified.filter(F.col("status") == "refire").select(*wk, *arrival, *extra)
     if bucket is None:
-        late, bucket = with_range_buckets(late, arrival), range_bucket()
+        # The watermark trace already cut this arrival order into ranges.
+        if RANGE_BUCKET_COL not in late.columns:
+            late = with_range_buckets(late, arrival)
+        bucket = range_bucket()
     late = running(late, arrival, [Running("late_rank", "count", F.lit(1))],
                    partition_by=wk, bucket=bucket)
     late = late.join(on_time, on=wk, how="left").fillna(0, subset=["n_on_time"])
