@@ -45,9 +45,27 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Event-time arithmetic in this library is defined in UTC."""
+    """Event-time arithmetic in this library is defined in UTC; Python workers need the package."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make the library's functions and classes usable in every Python worker.
+
+    UDFs, ``foreachBatch`` functions, stateful processors and the Python data
+    source are pickled by value (their code travels with the task), so no
+    worker, executor or driver-side helper process needs ``tidepool``
+    installed or on its path.
+    """
+    import sys
+
+    from pyspark import cloudpickle
+
+    pkg = sys.modules[__name__.rsplit(".", 1)[0]]
+    if not cloudpickle.cloudpickle._is_registered_pickle_by_value(pkg):
+        cloudpickle.register_pickle_by_value(pkg)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

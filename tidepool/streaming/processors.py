@@ -12,6 +12,13 @@ import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+def _epoch_micros(s: pd.Series) -> np.ndarray:
+    """Epoch microseconds of a pandas timestamp column, aware or naive (naive = UTC)."""
+    if getattr(s.dt, "tz", None) is not None:
+        s = s.dt.tz_convert("UTC").dt.tz_localize(None)
+    return s.astype("datetime64[us]").astype(np.int64).to_numpy()
+
+
 CHANGELOG_OUT = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("user_id", T.LongType()),
@@ -56,42 +63,82 @@ class ChangelogCount(StatefulProcessor):
         pass
 
 
-THROTTLED_OUT = T.StructType([
-    T.StructField("fired_at_ms", T.LongType()),
-    T.StructField("cnt", T.LongType()),
-    T.StructField("avg_cents", T.DoubleType()),
+TIMER_OUT = T.StructType([
+    T.StructField("user_id", T.LongType()),
+    T.StructField("timer_ts", T.TimestampType()),
 ])
 
 
-class ThrottledAverage(StatefulProcessor):
-    """Accumulate (sum, count) always; emit the mean only when a processing-time
-    timer fires.  The first row after the previous timer expired arms the next
-    timer ``period_ms`` later; the accumulator is never reset."""
+class EventTimeAlarm(StatefulProcessor):
+    """Register an event-time timer ``delay_ms`` after every row; emit it when it fires.
+
+    Timers are kept by Spark's timer store (one per key and timestamp, as in
+    the reference); the processor holds no other state.
+    """
 
-    period_ms = 10_000
+    delay_ms = 5_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.acc = handle.getValueState("acc", "s long, n long")
-        self.timer = handle.getValueState("timer", "at long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        s, n = (self.acc.get() if self.acc.exists() else (0, 0))
+        if pd.isna(key[0]) or key[0] < 0:  # the end-of-input marker only moves the watermark
+            return iter([])
         for pdf in rows:
-            s += int(pdf["cents"].sum())
-            n += len(pdf)
-        self.acc.update((int(s), int(n)))
-        now = timerValues.getCurrentProcessingTimeInMs()
-        if not self.timer.exists() or self.timer.get()[0] < now:
-            at = now + self.period_ms
-            self.handle.registerTimer(at)
-            self.timer.update((at,))
+            for t in np.unique(_epoch_micros(pdf["ts"]) // 1000):
+                self.handle.registerTimer(int(t) + self.delay_ms)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        s, n = self.acc.get()
-        yield pd.DataFrame({"fired_at_ms": [expiredTimerInfo.getExpiryTimeInMs()], "cnt": [n],
-                            "avg_cents": [s / n]})
+        if pd.isna(key[0]):
+            return
+        at = pd.to_datetime(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")
+        yield pd.DataFrame({"user_id": [np.int64(key[0])], "timer_ts": [at]})
+
+    def close(self) -> None:
+        pass
+
+
+LATE_OUT = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampType()),
+    T.StructField("wm", T.TimestampType()),
+    T.StructField("status", T.StringType()),
+])
+
+
+class KeyedLateSplit(StatefulProcessor):
+    """Tag rows late / ok against a per-key watermark (max event time - delay - 1 ms).
+
+    Spark's own watermark drops late rows one micro-batch later and cannot
+    route them to a side output, so the watermark is held in keyed state.
+    Rows of a key are taken in arrival order (``arrival_ts``, ``event_id``).
+    """
+
+    delay_ms = 300_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.max_ts = handle.getValueState("max_ts", "us long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(
+            ["arrival_ts", "event_id"], kind="stable")
+        ts_us = _epoch_micros(batch["ts"])
+        prev = np.maximum.accumulate(ts_us)
+        start = int(self.max_ts.get()[0]) if self.max_ts.exists() else None
+        before = np.empty_like(prev)
+        before[0] = start if start is not None else np.iinfo(np.int64).min
+        before[1:] = prev[:-1]
+        if start is not None:
+            before = np.maximum(before, start)
+        has_wm = before != np.iinfo(np.int64).min
+        wm_us = before - (self.delay_ms + 1) * 1000
+        late = has_wm & (ts_us < wm_us)
+        self.max_ts.update((int(max(prev[-1], start if start is not None else prev[-1])),))
+        wm = pd.to_datetime(np.where(has_wm, wm_us, 0), unit="us").where(has_wm)
+        yield pd.DataFrame({"event_id": batch["event_id"].to_numpy(dtype=np.int64),
+                            "ts": batch["ts"].to_numpy(), "wm": wm,
+                            "status": np.where(late, "late", "ok")})
 
     def close(self) -> None:
         pass

@@ -19,8 +19,9 @@ from tidepool.sources.tables import table_path
 
 # Event time of the end-of-input marker.  A bounded source ends with a maximal
 # watermark so every window fires; a file stream does not, so one row this far
-# in the future is appended to move the watermark past every real window.
-SENTINEL_TS = dt.datetime(9000, 1, 1)
+# in the future is appended to move the watermark past every real window (it
+# stays inside the nanosecond range pandas uses inside stateful processors).
+SENTINEL_TS = dt.datetime(2200, 1, 1)
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str,

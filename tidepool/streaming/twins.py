@@ -17,7 +17,9 @@ from tidepool.plans import catalog
 from tidepool.plans.oracles import ORACLES
 from tidepool.session import scratch_path, use_rocksdb_state
 from tidepool.sources import behavior
-from tidepool.streaming.processors import CHANGELOG_OUT, ChangelogCount
+from tidepool.operators import eventtime
+from tidepool.streaming.processors import (CHANGELOG_OUT, LATE_OUT, TIMER_OUT, ChangelogCount,
+                                           EventTimeAlarm, KeyedLateSplit)
 from tidepool.streaming.runner import (event_time, run_to_table, table_stream,
                                       with_end_marker)
 
@@ -147,6 +149,68 @@ def stream_csv_behavior_scan(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(spark, behavior.stream_behavior_csv(spark, path), "behavior-csv")
 
 
+def stream_event_timers(spark: SparkSession, sf: str) -> DataFrame:
+    """Event-time timers per user at ``ts + 5 s``; each fires once the watermark passes it."""
+    use_rocksdb_state(spark)
+    # The marker gets its own key (-1) so no group is keyed by NULL.
+    ev = (_events_with_marker(spark, sf).select(F.coalesce("user_id", F.lit(-1)).alias("user_id"), "ts")
+          .withWatermark("ts", "5 seconds"))
+    fired = ev.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=EventTimeAlarm(), outputStructType=TIMER_OUT,
+        outputMode="Append", timeMode="EventTime")
+    out = run_to_table(spark, fired, "event-timers")
+    return _ntz(out.filter(F.col("user_id") >= 0), "timer_ts")
+
+
+def stream_late_split_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    """Late rows of a replayed stream, routed to a side table in the same batch.
+
+    Each micro-batch is persisted once and written to two sinks: the on-time
+    rows and the late rows (the reference's main and side outputs).
+    """
+    use_rocksdb_state(spark)
+    ev = eventtime.jittered_arrival(table_stream(spark, sf, "events").select("event_id", "ts", "user_id"))
+    tagged = ev.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=KeyedLateSplit(), outputStructType=LATE_OUT,
+        outputMode="Append", timeMode="None")
+    main_out, side_out = scratch_path(spark, "late-main"), scratch_path(spark, "late-side")
+
+    def two_sinks(batch: DataFrame) -> DataFrame:
+        batch = batch.persist()
+        batch.filter(F.col("status") == "ok").write.mode("append").parquet(main_out)
+        batch.filter(F.col("status") == "late").write.mode("append").parquet(side_out)
+        batch.unpersist()
+        return batch.limit(0)
+
+    run_to_table(spark, tagged, "late-split", per_batch=two_sinks)
+    both = spark.read.schema(LATE_OUT).parquet(main_out).unionByName(
+        spark.read.schema(LATE_OUT).parquet(side_out))
+    return _ntz(both, "ts", "wm")
+
+
+def stream_parse_keyed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """``"key seconds"`` text lines read as a line stream and parsed."""
+    from tidepool.functions.timecols import epoch_seconds
+
+    lines_dir = scratch_path(spark, "keyed-lines")
+    ev = catalog.read_table(spark, sf, "events")
+    rows.keyed_lines(ev, F.col("user_id"), epoch_seconds("ts")).write.text(lines_dir)
+    stream = spark.readStream.schema("value string").text(lines_dir)
+    parsed, _quarantine = rows.parse_keyed_lines(stream)
+    return run_to_table(spark, parsed, "keyed-lines")
+
+
+def stream_proc_time_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Processing-time tumbling count: rows are stamped at ingest, counted per 5 s and user."""
+    ev = table_stream(spark, sf, "events").withColumn("ingest_ts", F.current_timestamp())
+    counts = (ev.withWatermark("ingest_ts", "0 seconds")
+              .groupBy(F.window("ingest_ts", "5 seconds").alias("w"), "user_id")
+              .agg(F.count(F.lit(1)).alias("cnt"))
+              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      "user_id", "cnt"))
+    return run_to_table(spark, counts, "proc-time-count", output_mode="update")
+
+
 STREAM_QUERIES = {
     "stream_word_count": stream_word_count,
     "stream_tumbling_count": stream_tumbling_count,
@@ -158,6 +222,10 @@ STREAM_QUERIES = {
     "stream_table_project": stream_table_project,
     "stream_sql_group_count": stream_sql_group_count,
     "stream_csv_behavior_scan": stream_csv_behavior_scan,
+    "stream_event_timers": stream_event_timers,
+    "stream_late_split_keyed": stream_late_split_keyed,
+    "stream_parse_keyed_lines": stream_parse_keyed_lines,
+    "stream_proc_time_count": stream_proc_time_count,
 }
 
 # A twin computes exactly what its batch form computes.
@@ -172,4 +240,21 @@ STREAM_ORACLES = {
     "stream_table_project": ORACLES["table_project"],
     "stream_sql_group_count": ORACLES["sql_group_count"],
     "stream_csv_behavior_scan": ORACLES["csv_behavior_scan"],
+    # Timers have millisecond resolution.
+    "stream_event_timers": """
+  SELECT DISTINCT user_id, make_timestamp((epoch_us(ts) // 1000) * 1000 + 5000000) AS timer_ts
+  FROM events""",
+    # Per-key watermark: the max event time of the same user's earlier arrivals.
+    "stream_late_split_keyed": """
+  WITH a AS (SELECT event_id, ts, user_id, ts + to_seconds((event_id * 7919) % 900) AS arrival_ts
+             FROM events),
+  t AS (SELECT event_id, ts,
+               max(ts) OVER (PARTITION BY user_id ORDER BY arrival_ts, event_id
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                 - INTERVAL '300001 milliseconds' AS wm
+        FROM a)
+  SELECT event_id, ts, wm, CASE WHEN wm IS NOT NULL AND ts < wm THEN 'late' ELSE 'ok' END AS status
+  FROM t""",
+    "stream_parse_keyed_lines": """
+  SELECT CAST(user_id AS VARCHAR) AS key, (epoch_us(ts) // 1000000) * 1000 AS ts_ms FROM events""",
 }
