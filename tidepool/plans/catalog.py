@@ -193,15 +193,17 @@ def running_avg(spark, sf):
 
 def running_events_per_user(spark, sf):
     ev = _events(spark, sf).select("event_id", "user_id")
-    # First occurrence of each user: a grouped min (combined map-side), then a
-    # join on the unique event id, so no task ever holds a whole user.
+    # First occurrence of each user: a grouped min, combined map-side, so no
+    # task holds a whole user.  Its flag rows are unioned into the row stream
+    # just ahead of the row they mark, and one running scan counts both.
     firsts = ev.groupBy("user_id").agg(F.min("event_id").alias("event_id")).select(
-        "event_id", F.lit(1).alias("first_seen"))
-    flagged = ev.join(firsts, "event_id", "left").fillna(0, subset=["first_seen"])
-    r = run.running(flagged, ["event_id"],
-                    [Running("n", "count", F.lit(1)), Running("users", "sum", "first_seen")],
+        "event_id", F.lit(0).alias("is_row"), F.lit(1).alias("first_seen"))
+    rows_ = ev.select("event_id", F.lit(1).alias("is_row"), F.lit(0).alias("first_seen"))
+    r = run.running(rows_.unionByName(firsts), ["event_id", "is_row"],
+                    [Running("n", "sum", "is_row"), Running("users", "sum", "first_seen")],
                     bucket=id_bucket("event_id"))
-    return r.select("event_id", (F.col("n") / F.col("users")).alias("events_per_user"))
+    return r.filter(F.col("is_row") == 1).select(
+        "event_id", (F.col("n") / F.col("users")).alias("events_per_user"))
 
 
 def throttled_avg(spark, sf):

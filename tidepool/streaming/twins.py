@@ -104,6 +104,17 @@ def stream_equi_join(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(spark, joined, "equi-join")
 
 
+def stream_equi_join_streams(spark: SparkSession, sf: str) -> DataFrame:
+    """Two streams joined on a key with no time bound: each side's rows stay in
+    join state for the life of the query (as in the reference's two-list-state
+    co-process).  Prefer the stream-static form when one side is a table."""
+    orders = table_stream(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    cust = table_stream(spark, sf, "customer").select("c_custkey", "c_name")
+    joined = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner").select(
+        "o_orderkey", "o_custkey", "c_name", "o_totalprice")
+    return run_to_table(spark, joined, "equi-join-streams")
+
+
 def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
     """Stream-stream interval join; watermarks on both sides bound the join state."""
     o = event_time(table_stream(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate")
@@ -217,6 +228,7 @@ STREAM_QUERIES = {
     "stream_topn_per_window": stream_topn_per_window,
     "stream_uv_hourly": stream_uv_hourly,
     "stream_equi_join_static": stream_equi_join,
+    "stream_equi_join_streams": stream_equi_join_streams,
     "stream_interval_join": stream_interval_join,
     "stream_changelog_count": stream_changelog_count,
     "stream_table_project": stream_table_project,
@@ -235,6 +247,7 @@ STREAM_ORACLES = {
     "stream_topn_per_window": ORACLES["topn_per_window"],
     "stream_uv_hourly": ORACLES["uv_hourly"],
     "stream_equi_join_static": ORACLES["stream_equi_join"],
+    "stream_equi_join_streams": ORACLES["stream_equi_join"],
     "stream_interval_join": ORACLES["interval_join"],
     "stream_changelog_count": ORACLES["changelog_count"],
     "stream_table_project": ORACLES["table_project"],
