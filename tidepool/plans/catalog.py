@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.timecols import bucket_index, epoch_seconds, micros
 from tidepool.operators import changelog, eventtime, joins, partition, rows, running as run, topn, windows
-from tidepool.operators.running import Running, id_bucket
-from tidepool.session import scratch_path
+from tidepool.operators.running import RANGE_BUCKET_COL, Running, id_bucket
+from tidepool.session import materialize, scratch_path
 from tidepool.sources import behavior, owned
 from tidepool.sources.tables import clicks, read_table
 
@@ -246,6 +246,10 @@ def late_window_side(spark, sf):
 
 def late_refire(spark, sf):
     c = eventtime.window_lateness(_traced(spark, sf), "ts", LATE_WINDOW, ALLOWED_LATENESS)
+    # Both the first firings and the refire ranks read the classification:
+    # compute it (and the watermark trace under it) once.
+    c = materialize(c.select("event_id", "user_id", "arrival_ts", "window_start", "window_end",
+                             "status", RANGE_BUCKET_COL))
     return eventtime.refire_counts(c, "user_id", ["arrival_ts", "event_id"])
 
 

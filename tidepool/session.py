@@ -85,6 +85,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def materialize(df, name: str = "materialized"):
+    """Compute ``df`` once and cut its lineage: write it as a parquet table under
+    the shared ``spark.checkpoint.dir`` and read it back (never a local
+    checkpoint).  Use it where several branches of a plan read the same
+    expensive intermediate; unlike ``checkpoint()``, the input is computed
+    once and stored columnar."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir.
 

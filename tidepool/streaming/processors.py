@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -65,15 +66,17 @@ class ChangelogCount(StatefulProcessor):
 
 TIMER_OUT = T.StructType([
     T.StructField("user_id", T.LongType()),
-    T.StructField("timer_ts", T.TimestampType()),
+    T.StructField("timer_ms", T.LongType()),
 ])
 
 
 class EventTimeAlarm(StatefulProcessor):
     """Register an event-time timer ``delay_ms`` after every row; emit it when it fires.
 
-    Timers are kept by Spark's timer store (one per key and timestamp, as in
-    the reference); the processor holds no other state.
+    Row-based (``transformWithState``): a timer callback produces one row, so
+    no per-timer pandas frame is built.  Input carries ``ts_ms`` (epoch ms)
+    next to the watermarked ``ts``.  Timers are kept by Spark's timer store
+    (one per key and timestamp, as in the reference); no other state is held.
     """
 
     delay_ms = 5_000
@@ -81,19 +84,17 @@ class EventTimeAlarm(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if pd.isna(key[0]) or key[0] < 0:  # the end-of-input marker only moves the watermark
+    def handleInputRows(self, key, rows, timerValues):
+        if key[0] is None or key[0] < 0:  # the end-of-input marker only moves the watermark
             return iter([])
-        for pdf in rows:
-            for t in np.unique(_epoch_micros(pdf["ts"]) // 1000):
-                self.handle.registerTimer(int(t) + self.delay_ms)
+        for t in {r.ts_ms for r in rows}:
+            self.handle.registerTimer(t + self.delay_ms)
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if pd.isna(key[0]):
-            return
-        at = pd.to_datetime(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")
-        yield pd.DataFrame({"user_id": [np.int64(key[0])], "timer_ts": [at]})
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if key[0] is None or key[0] < 0:
+            return iter([])
+        return iter([Row(user_id=key[0], timer_ms=expiredTimerInfo.getExpiryTimeInMs())])
 
     def close(self) -> None:
         pass

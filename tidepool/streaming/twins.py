@@ -162,15 +162,20 @@ def stream_csv_behavior_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_event_timers(spark: SparkSession, sf: str) -> DataFrame:
     """Event-time timers per user at ``ts + 5 s``; each fires once the watermark passes it."""
+    from tidepool.functions.timecols import ntz_from_millis
+
     use_rocksdb_state(spark)
-    # The marker gets its own key (-1) so no group is keyed by NULL.
-    ev = (_events_with_marker(spark, sf).select(F.coalesce("user_id", F.lit(-1)).alias("user_id"), "ts")
+    # The marker gets its own key (-1): a NULL grouping key would hold back
+    # the timers of every key in its partition.
+    ev = (_events_with_marker(spark, sf)
+          .select(F.coalesce("user_id", F.lit(-1)).alias("user_id"), "ts",
+                  F.floor(F.unix_micros("ts") / 1000).cast("bigint").alias("ts_ms"))
           .withWatermark("ts", "5 seconds"))
-    fired = ev.groupBy("user_id").transformWithStateInPandas(
+    fired = ev.groupBy("user_id").transformWithState(
         statefulProcessor=EventTimeAlarm(), outputStructType=TIMER_OUT,
         outputMode="Append", timeMode="EventTime")
     out = run_to_table(spark, fired, "event-timers")
-    return _ntz(out.filter(F.col("user_id") >= 0), "timer_ts")
+    return out.filter(F.col("user_id") >= 0).select("user_id", ntz_from_millis("timer_ms").alias("timer_ts"))
 
 
 def stream_late_split_keyed(spark: SparkSession, sf: str) -> DataFrame:
