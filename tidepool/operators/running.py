@@ -20,6 +20,7 @@ dense id as the order (``floor(id / width)``) a bucket never holds more than
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -83,36 +84,59 @@ def range_bounds(df: DataFrame, order_by: list[str], num_buckets: int,
     return sorted(set(cuts))
 
 
-def _bucket_of(key: Column, bounds: list[tuple], lo: int, hi: int, lit_key) -> Column:
-    """Binary search as a CASE tree: number of cut points <= key (log2 depth)."""
-    if lo == hi:
-        return F.lit(lo).cast("bigint")
-    mid = (lo + hi) // 2
-    return F.when(key < lit_key(bounds[mid]), _bucket_of(key, bounds, lo, mid, lit_key)).otherwise(
-        _bucket_of(key, bounds, mid + 1, hi, lit_key))
-
-
 def with_range_buckets(df: DataFrame, order_by: list[str], num_buckets: int | None = None) -> DataFrame:
     """Tag rows with a balanced, order-preserving bucket, for orders with no dense id.
 
     The total order (end it with a unique column) is cut at sampled points, so
     buckets hold about equal row counts however skewed the leading column is:
-    equal timestamps, however many, are split by the tie-breaking column.  The
-    bucket is a pure function of the row (a CASE tree over literal cut
-    points), so every branch of a plan, and every recomputation after a lost
-    executor, assigns the same bucket.  No shuffle is added.
+    equal timestamps, however many, are split by the tie-breaking columns.
+    The bucket is a pure function of the row over literal cut points, so every
+    branch of a plan, and every recomputation after a lost executor, assigns
+    the same bucket.  No shuffle is added.
+
+    bucket = #cuts whose leading value < v  (a JVM binary search, ``Bucketizer``)
+           + #cuts with leading value = v and tie-break <= the row's (only rows
+             that tie a cut's leading value look this up).
+    The leading column must be integral or a timestamp (exact as a double).
     """
-    spark = df.sparkSession
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = range_bounds(df, order_by, n)
-    names = [f"_k{i}" for i in range(len(order_by))]
-    key = F.struct(*[_numeric_key(df, c).alias(nm) for c, nm in zip(order_by, names)])
-    types = [df.select(_numeric_key(df, c)).schema[0].dataType for c in order_by]
+    from collections import Counter
 
-    def lit_key(values: tuple) -> Column:
-        return F.struct(*[F.lit(v).cast(t).alias(nm) for v, t, nm in zip(values, types, names)])
+    from pyspark.ml.feature import Bucketizer
 
-    return df.withColumn(RANGE_BUCKET_COL, _bucket_of(key, bounds, 0, len(bounds), lit_key))
+    spark = df.sparkSession
+    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = range_bounds(df, order_by, n)
+    if not cuts:
+        return df.withColumn(RANGE_BUCKET_COL, F.lit(0).cast("bigint"))
+    leads = sorted({c[0] for c in cuts})
+    per_lead = Counter(c[0] for c in cuts)
+    prefix = [0]
+    for d in leads:
+        prefix.append(prefix[-1] + per_lead[d])
+
+    lead = _numeric_key(df, order_by[0]).cast("bigint")
+    staged = df.withColumn("_rlead", lead.cast("double"))
+    splits = [-float("inf")] + [d + 0.5 for d in leads] + [float("inf")]
+    staged = Bucketizer(splits=splits, inputCol="_rlead", outputCol="_ridx").transform(staged)
+    idx = F.col("_ridx").cast("int")
+    # Cut tables enter the plan as one literal each (the JSON one is constant
+    # folded), so building the query costs the same for any bucket count.
+    below = F.element_at(F.lit(prefix).cast("array<bigint>"), idx + 1)
+    next_lead = F.try_element_at(F.lit(leads).cast("array<bigint>"), idx + 1)
+
+    rest = order_by[1:]
+    if rest:
+        names = [f"_k{i}" for i in range(len(rest))]
+        types = [df.select(_numeric_key(df, c)).schema[0].dataType for c in rest]
+        row_rest = F.struct(*[_numeric_key(df, c).alias(nm) for c, nm in zip(rest, names)])
+        nested = [[dict(zip(names, c[1:])) for c in cuts if c[0] == d] for d in leads]
+        ddl = "array<array<struct<" + ", ".join(f"{nm}: {t.simpleString()}" for nm, t in zip(names, types)) + ">>>"
+        rests = F.from_json(F.lit(json.dumps(nested)), ddl)
+        tied = F.size(F.filter(F.try_element_at(rests, idx + 1), lambda x: x <= row_rest))
+    else:
+        tied = F.try_element_at(F.lit([per_lead[d] for d in leads]).cast("array<bigint>"), idx + 1)
+    bucket = below + F.when(lead == next_lead, tied).otherwise(F.lit(0))
+    return staged.withColumn(RANGE_BUCKET_COL, bucket.cast("bigint")).drop("_rlead", "_ridx")
 
 
 def range_bucket() -> Column:
