@@ -54,10 +54,9 @@ def ensure_utc(spark: SparkSession) -> None:
 def ship_package(spark: SparkSession | None = None) -> None:
     """Make the library's functions and classes usable in every Python worker.
 
-    UDFs, ``foreachBatch`` functions, stateful processors and the Python data
-    source are pickled by value (their code travels with the task), so no
-    worker, executor or driver-side helper process needs ``tidepool``
-    installed or on its path.
+    Importing ``tidepool`` already registers it for pickling by value (see the
+    package ``__init__``); this re-checks it for callers that import modules
+    in unusual ways.
     """
     import sys
 
