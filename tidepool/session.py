@@ -111,10 +111,13 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
-    """transformWithState needs the RocksDB state store provider."""
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != STATE_STORE_PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE_PROVIDER)
+    """transformWithState needs the RocksDB state store provider (session-wide)."""
+    if spark.conf.get(STATE_STORE_KEY, "") != STATE_STORE_PROVIDER:
+        spark.conf.set(STATE_STORE_KEY, STATE_STORE_PROVIDER)
 
 
 __all__ = ["build_session", "ensure_utc", "ensure_checkpoint_dir", "scratch_path",

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.session import ensure_utc, scratch_path
+from tidepool.session import STATE_STORE_KEY, STATE_STORE_PROVIDER, ensure_utc, scratch_path
 from tidepool.sources.tables import table_path
 
 # Event time of the end-of-input marker.  A bounded source ends with a maximal
@@ -55,7 +55,8 @@ def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode: str = "append",
-                 per_batch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                 per_batch: Callable[[DataFrame], DataFrame] | None = None,
+                 rocksdb: bool = False) -> DataFrame:
     """Run ``query`` until the available input is consumed; return what it wrote.
 
     ``append`` results go to a parquet file sink (exactly-once through the
@@ -66,16 +67,28 @@ def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode:
     out = scratch_path(spark, f"out-{name}")
     ckpt = scratch_path(spark, f"ckpt-{name}")
     writer = query.writeStream.option("checkpointLocation", ckpt).outputMode(output_mode)
-    if per_batch is None and output_mode == "append":
-        handle = writer.format("parquet").option("path", out).trigger(availableNow=True).start()
-    else:
-        mode = "overwrite" if output_mode == "complete" else "append"
-
-        def sink(batch: DataFrame, _epoch: int) -> None:
-            result = per_batch(batch) if per_batch else batch
-            result.write.mode(mode).parquet(out)
-
-        handle = writer.foreachBatch(sink).trigger(availableNow=True).start()
+    # The state store provider is fixed when a query starts; set it only for
+    # queries that need RocksDB (stateful processors) and restore it after.
+    previous = spark.conf.get(STATE_STORE_KEY, None)
+    if rocksdb:
+        spark.conf.set(STATE_STORE_KEY, STATE_STORE_PROVIDER)
+    try:
+        if per_batch is None and output_mode == "append":
+            handle = writer.format("parquet").option("path", out).trigger(availableNow=True).start()
+        else:
+            mode = "overwrite" if output_mode == "complete" else "append"
+
+            def sink(batch: DataFrame, _epoch: int) -> None:
+                result = per_batch(batch) if per_batch else batch
+                result.write.mode(mode).parquet(out)
+
+            handle = writer.foreachBatch(sink).trigger(availableNow=True).start()
+    finally:
+        if rocksdb:
+            if previous is None:
+                spark.conf.unset(STATE_STORE_KEY)
+            else:
+                spark.conf.set(STATE_STORE_KEY, previous)
     handle.awaitTermination()
     if handle.exception():
         raise handle.exception()

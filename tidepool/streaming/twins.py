@@ -15,7 +15,7 @@ from tidepool.functions.timecols import micros
 from tidepool.operators import rows, topn
 from tidepool.plans import catalog
 from tidepool.plans.oracles import ORACLES
-from tidepool.session import scratch_path, use_rocksdb_state
+from tidepool.session import scratch_path
 from tidepool.sources import behavior
 from tidepool.operators import eventtime
 from tidepool.streaming.processors import (CHANGELOG_OUT, LATE_OUT, TIMER_OUT, ChangelogCount,
@@ -131,12 +131,11 @@ def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_changelog_count(spark: SparkSession, sf: str) -> DataFrame:
     """Changelog of the per-user count, from a stateful processor holding one count per user."""
-    use_rocksdb_state(spark)
     ev = table_stream(spark, sf, "events").select("event_id", "user_id")
     out = ev.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=ChangelogCount(), outputStructType=CHANGELOG_OUT,
         outputMode="Append", timeMode="None")
-    return run_to_table(spark, out, "changelog")
+    return run_to_table(spark, out, "changelog", rocksdb=True)
 
 
 def stream_table_project(spark: SparkSession, sf: str) -> DataFrame:
@@ -164,7 +163,6 @@ def stream_event_timers(spark: SparkSession, sf: str) -> DataFrame:
     """Event-time timers per user at ``ts + 5 s``; each fires once the watermark passes it."""
     from tidepool.functions.timecols import ntz_from_millis
 
-    use_rocksdb_state(spark)
     # The marker gets its own key (-1): a NULL grouping key would hold back
     # the timers of every key in its partition.
     ev = (_events_with_marker(spark, sf)
@@ -174,7 +172,7 @@ def stream_event_timers(spark: SparkSession, sf: str) -> DataFrame:
     fired = ev.groupBy("user_id").transformWithState(
         statefulProcessor=EventTimeAlarm(), outputStructType=TIMER_OUT,
         outputMode="Append", timeMode="EventTime")
-    out = run_to_table(spark, fired, "event-timers")
+    out = run_to_table(spark, fired, "event-timers", rocksdb=True)
     return out.filter(F.col("user_id") >= 0).select("user_id", ntz_from_millis("timer_ms").alias("timer_ts"))
 
 
@@ -184,7 +182,6 @@ def stream_late_split_keyed(spark: SparkSession, sf: str) -> DataFrame:
     Each micro-batch is persisted once and written to two sinks: the on-time
     rows and the late rows (the reference's main and side outputs).
     """
-    use_rocksdb_state(spark)
     ev = eventtime.jittered_arrival(table_stream(spark, sf, "events").select("event_id", "ts", "user_id"))
     tagged = ev.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=KeyedLateSplit(), outputStructType=LATE_OUT,
@@ -198,7 +195,7 @@ def stream_late_split_keyed(spark: SparkSession, sf: str) -> DataFrame:
         batch.unpersist()
         return batch.limit(0)
 
-    run_to_table(spark, tagged, "late-split", per_batch=two_sinks)
+    run_to_table(spark, tagged, "late-split", per_batch=two_sinks, rocksdb=True)
     both = spark.read.schema(LATE_OUT).parquet(main_out).unionByName(
         spark.read.schema(LATE_OUT).parquet(side_out))
     return _ntz(both, "ts", "wm")
