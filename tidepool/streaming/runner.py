@@ -23,6 +23,8 @@ from tidepool.sources.tables import table_path
 # stays inside the nanosecond range pandas uses inside stateful processors).
 SENTINEL_TS = dt.datetime(2200, 1, 1)
 
+CHANGELOG_KEY = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
@@ -70,8 +72,11 @@ def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode:
     # The state store provider is fixed when a query starts; set it only for
     # queries that need RocksDB (stateful processors) and restore it after.
     previous = spark.conf.get(STATE_STORE_KEY, None)
+    previous_changelog = spark.conf.get(CHANGELOG_KEY, None)
     if rocksdb:
         spark.conf.set(STATE_STORE_KEY, STATE_STORE_PROVIDER)
+        # Commit only the changes of each batch instead of a full snapshot.
+        spark.conf.set(CHANGELOG_KEY, "true")
     try:
         if per_batch is None and output_mode == "append":
             handle = writer.format("parquet").option("path", out).trigger(availableNow=True).start()
@@ -85,10 +90,11 @@ def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode:
             handle = writer.foreachBatch(sink).trigger(availableNow=True).start()
     finally:
         if rocksdb:
-            if previous is None:
-                spark.conf.unset(STATE_STORE_KEY)
-            else:
-                spark.conf.set(STATE_STORE_KEY, previous)
+            for key, value in ((STATE_STORE_KEY, previous), (CHANGELOG_KEY, previous_changelog)):
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
     handle.awaitTermination()
     if handle.exception():
         raise handle.exception()
