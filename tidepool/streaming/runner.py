@@ -51,6 +51,35 @@ def with_end_marker(spark: SparkSession, stream: DataFrame, ts: str) -> DataFram
     return stream.unionByName(marker)
 
 
+def replay_files(spark: SparkSession, df: DataFrame, order_col: str, n_files: int, path: str,
+                 marker_ts: str | None = None) -> str:
+    """Write ``df`` as ``n_files`` parquet files in ``order_col`` order, one after
+    another, then (optionally) the end-of-input marker as the last file.
+
+    Read back with ``maxFilesPerTrigger=1`` this replays the table as a stream
+    of ``n_files`` micro-batches in arrival order (file streams take files in
+    modification-time order).  Meant for tests and demos on bounded tables.
+    """
+    lo, hi = df.select(F.min(order_col), F.max(order_col)).first()
+    if lo is None:
+        return path
+    width = (hi - lo) // n_files + 1
+    for i in range(n_files):
+        chunk = df.filter((F.col(order_col) >= lo + i * width) & (F.col(order_col) < lo + (i + 1) * width))
+        chunk.coalesce(1).write.mode("append").parquet(path)
+    if marker_ts:
+        row = {f.name: None for f in df.schema.fields}
+        row[marker_ts] = SENTINEL_TS
+        (spark.createDataFrame([tuple(row[f.name] for f in df.schema.fields)], df.schema)
+         .coalesce(1).write.mode("append").parquet(path))
+    return path
+
+
+def replay_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+    """One replay file per micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Watermarks need TIMESTAMP (not TIMESTAMP_NTZ); the session zone is UTC."""
     return df.withColumn(ts, F.col(ts).cast("timestamp"))

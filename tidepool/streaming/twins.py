@@ -32,7 +32,13 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
-def _events_with_marker(spark, sf):
+def _events_with_marker(spark, sf, events: DataFrame | None = None):
+    """The events stream with its end-of-input marker, event time as TIMESTAMP.
+
+    ``events`` replaces the table stream (e.g. a multi-file replay that
+    already ends with the marker)."""
+    if events is not None:
+        return event_time(events)
     ev = table_stream(spark, sf, "events")
     return event_time(with_end_marker(spark, ev, "ts"))
 
@@ -44,9 +50,9 @@ def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(spark, counts, "word-count", output_mode="complete")
 
 
-def stream_tumbling_count(spark: SparkSession, sf: str) -> DataFrame:
+def stream_tumbling_count(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """Event-time tumbling count, append mode: each window is emitted once, when it closes."""
-    ev = _events_with_marker(spark, sf).withWatermark("ts", "0 seconds")
+    ev = _events_with_marker(spark, sf, events).withWatermark("ts", "0 seconds")
     counts = (ev.groupBy(F.window("ts", "1 hour").alias("w"), "user_id")
               .agg(F.count(F.lit(1)).alias("cnt"))
               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
@@ -55,13 +61,13 @@ def stream_tumbling_count(spark: SparkSession, sf: str) -> DataFrame:
     return _ntz(out.filter(F.col("user_id").isNotNull()), "window_start", "window_end")
 
 
-def stream_topn_per_window(spark: SparkSession, sf: str) -> DataFrame:
+def stream_topn_per_window(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """Sliding-window counts in append mode, then top-N per window in each micro-batch.
 
     A window's counts are all emitted in the micro-batch in which it closes,
     so ranking inside that batch is exact and no state holds a window's items.
     """
-    ev = _events_with_marker(spark, sf).withWatermark("ts", "0 seconds")
+    ev = _events_with_marker(spark, sf, events).withWatermark("ts", "0 seconds")
     counts = (ev.groupBy(F.window("ts", "1 hour", "5 minutes").alias("w"), "event_type")
               .agg(F.count(F.lit(1)).alias("cnt"))
               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
@@ -79,9 +85,9 @@ def stream_topn_per_window(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(spark, counts, "topn", per_batch=rank)
 
 
-def stream_uv_hourly(spark: SparkSession, sf: str) -> DataFrame:
+def stream_uv_hourly(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """Exact hourly distinct viewers: distinct (window, user) in append mode, counted per batch."""
-    ev = _events_with_marker(spark, sf).withWatermark("ts", "0 seconds")
+    ev = _events_with_marker(spark, sf, events).withWatermark("ts", "0 seconds")
     views = ev.filter((F.col("event_type") == "view") | F.col("event_type").isNull())
     pairs = (views.groupBy(F.window("ts", "1 hour").alias("w"), "user_id").agg(F.count(F.lit(1)).alias("_n"))
              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id"))
@@ -129,9 +135,9 @@ def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
     return _ntz(run_to_table(spark, joined, "interval-join"), "o_orderdate", "l_shipdate")
 
 
-def stream_changelog_count(spark: SparkSession, sf: str) -> DataFrame:
+def stream_changelog_count(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """Changelog of the per-user count, from a stateful processor holding one count per user."""
-    ev = table_stream(spark, sf, "events").select("event_id", "user_id")
+    ev = (events if events is not None else table_stream(spark, sf, "events")).select("event_id", "user_id")
     out = ev.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=ChangelogCount(), outputStructType=CHANGELOG_OUT,
         outputMode="Append", timeMode="None")
@@ -159,13 +165,13 @@ def stream_csv_behavior_scan(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(spark, behavior.stream_behavior_csv(spark, path), "behavior-csv")
 
 
-def stream_event_timers(spark: SparkSession, sf: str) -> DataFrame:
+def stream_event_timers(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """Event-time timers per user at ``ts + 5 s``; each fires once the watermark passes it."""
     from tidepool.functions.timecols import ntz_from_millis
 
     # The marker gets its own key (-1): a NULL grouping key would hold back
     # the timers of every key in its partition.
-    ev = (_events_with_marker(spark, sf)
+    ev = (_events_with_marker(spark, sf, events)
           .select(F.coalesce("user_id", F.lit(-1)).alias("user_id"), "ts",
                   F.floor(F.unix_micros("ts") / 1000).cast("bigint").alias("ts_ms"))
           .withWatermark("ts", "5 seconds"))
@@ -176,13 +182,14 @@ def stream_event_timers(spark: SparkSession, sf: str) -> DataFrame:
     return out.filter(F.col("user_id") >= 0).select("user_id", ntz_from_millis("timer_ms").alias("timer_ts"))
 
 
-def stream_late_split_keyed(spark: SparkSession, sf: str) -> DataFrame:
+def stream_late_split_keyed(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """Late rows of a replayed stream, routed to a side table in the same batch.
 
     Each micro-batch is persisted once and written to two sinks: the on-time
     rows and the late rows (the reference's main and side outputs).
     """
-    ev = eventtime.jittered_arrival(table_stream(spark, sf, "events").select("event_id", "ts", "user_id"))
+    src = events if events is not None else table_stream(spark, sf, "events")
+    ev = eventtime.jittered_arrival(src.select("event_id", "ts", "user_id"))
     tagged = ev.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=KeyedLateSplit(), outputStructType=LATE_OUT,
         outputMode="Append", timeMode="None")
