@@ -2,7 +2,7 @@
 
 Timestamps in the tables are TIMESTAMP_NTZ.  Arithmetic stays in that type
 (intervals) so results never depend on a session time zone; epoch numbers go
-through ``timestampdiff`` from the NTZ epoch, which is zone-free too.
+through ``timestamp_diff`` from the NTZ epoch, which is zone-free too.
 """
 
 from __future__ import annotations
@@ -42,10 +42,6 @@ def ntz_from_seconds(col) -> Column:
     return ntz_from_micros(_c(col) * 1_000_000)
 
 
-def plus_micros(col, micros: int) -> Column:
-    return F.timestamp_add("MICROSECOND", F.lit(int(micros)), _c(col))
-
-
 def bucket_start(col, width_micros: int) -> Column:
     """Start of the fixed bucket of ``width_micros`` holding the timestamp."""
     e = epoch_micros(col)

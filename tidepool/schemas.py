@@ -1,25 +1,10 @@
 """Row types used across the library, declared once.
 
-Streams never infer schemas; every source below is read with one of these.
+Streams never infer schemas; every source and stateful processor below uses one of these.
 """
 
 from pyspark.sql import types as T
 
-# A click: who, which url, when (event time).
-CLICK = T.StructType([
-    T.StructField("user", T.StringType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("ts", T.TimestampType()),
-])
-
-# Order and payment events of the reconciliation job, and order/page-view
-# events of the interval join: an id, an event kind, an event time.
-KEYED_EVENT = T.StructType([
-    T.StructField("key", T.StringType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("ts", T.TimestampType()),
-])
-
 # The five-column behaviour log: user,item,category,behaviour,epoch-seconds.
 USER_BEHAVIOR_CSV = T.StructType([
     T.StructField("user_id", T.LongType()),
@@ -29,44 +14,25 @@ USER_BEHAVIOR_CSV = T.StructType([
     T.StructField("epoch_s", T.LongType()),
 ])
 
-WORD_COUNT = T.StructType([
-    T.StructField("word", T.StringType()),
-    T.StructField("cnt", T.LongType()),
-])
-
-# "key seconds" text lines parsed into a key and epoch milliseconds.
-KEYED_LINE = T.StructType([
-    T.StructField("key", T.StringType()),
-    T.StructField("ts_ms", T.LongType()),
-])
-
-TEXT_LINE = T.StructType([T.StructField("value", T.StringType())])
-
-# The driver tables this library reads.
-EVENTS = T.StructType([
+# Changelog rows of a continuously updated group count.
+CHANGELOG_OUT = T.StructType([
     T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
     T.StructField("user_id", T.LongType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("props", T.StringType()),
+    T.StructField("op", T.StringType()),
+    T.StructField("cnt", T.LongType()),
+    T.StructField("op_seq", T.IntegerType()),
 ])
 
-DOCUMENTS = T.StructType([
-    T.StructField("doc_id", T.LongType()),
-    T.StructField("text", T.StringType()),
-    T.StructField("lang", T.StringType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("n_chars", T.LongType()),
+# A fired event-time timer (epoch milliseconds, the timer service's resolution).
+TIMER_OUT = T.StructType([
+    T.StructField("user_id", T.LongType()),
+    T.StructField("timer_ms", T.LongType()),
 ])
 
-ORDERS = T.StructType([
-    T.StructField("o_orderkey", T.LongType()),
-    T.StructField("o_custkey", T.LongType()),
-    T.StructField("o_orderstatus", T.StringType()),
-    T.StructField("o_totalprice", T.DoubleType()),
-    T.StructField("o_orderdate", T.TimestampNTZType()),
-    T.StructField("o_orderpriority", T.StringType()),
+# A row tagged against the watermark it met on arrival.
+LATE_OUT = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampType()),
+    T.StructField("wm", T.TimestampType()),
+    T.StructField("status", T.StringType()),
 ])
-
-TABLE_SCHEMAS = {"events": EVENTS, "documents": DOCUMENTS, "orders": ORDERS}

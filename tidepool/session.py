@@ -106,19 +106,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tidepool-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a file: scheme for the few helpers that use local file APIs in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """transformWithState needs the RocksDB state store provider (session-wide)."""
-    if spark.conf.get(STATE_STORE_KEY, "") != STATE_STORE_PROVIDER:
-        spark.conf.set(STATE_STORE_KEY, STATE_STORE_PROVIDER)
 
 
-__all__ = ["build_session", "ensure_utc", "ensure_checkpoint_dir", "scratch_path",
-           "use_rocksdb_state", "local_path", "DEFAULT_CONF"]
+__all__ = ["build_session", "ensure_utc", "ensure_checkpoint_dir", "scratch_path", "materialize",
+           "ship_package", "DEFAULT_CONF", "STATE_STORE_KEY", "STATE_STORE_PROVIDER"]

@@ -10,9 +10,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Row
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidepool.schemas import CHANGELOG_OUT, LATE_OUT, TIMER_OUT  # noqa: F401 (output types)
+
 def _epoch_micros(s: pd.Series) -> np.ndarray:
     """Epoch microseconds of a pandas timestamp column, aware or naive (naive = UTC)."""
     if getattr(s.dt, "tz", None) is not None:
@@ -20,15 +21,6 @@ def _epoch_micros(s: pd.Series) -> np.ndarray:
     return s.astype("datetime64[us]").astype(np.int64).to_numpy()
 
 
-CHANGELOG_OUT = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("op", T.StringType()),
-    T.StructField("cnt", T.LongType()),
-    T.StructField("op_seq", T.IntegerType()),
-])
-
-
 class ChangelogCount(StatefulProcessor):
     """Per key: the running count, emitted as +I / -U,+U changelog rows.
 
@@ -64,12 +56,6 @@ class ChangelogCount(StatefulProcessor):
         pass
 
 
-TIMER_OUT = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("timer_ms", T.LongType()),
-])
-
-
 class EventTimeAlarm(StatefulProcessor):
     """Register an event-time timer ``delay_ms`` after every row; emit it when it fires.
 
@@ -100,14 +86,6 @@ class EventTimeAlarm(StatefulProcessor):
         pass
 
 
-LATE_OUT = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("wm", T.TimestampType()),
-    T.StructField("status", T.StringType()),
-])
-
-
 class KeyedLateSplit(StatefulProcessor):
     """Tag rows late / ok against a per-key watermark (max event time - delay - 1 ms).
 

@@ -18,8 +18,8 @@ from tidepool.plans.oracles import ORACLES
 from tidepool.session import scratch_path
 from tidepool.sources import behavior
 from tidepool.operators import eventtime
-from tidepool.streaming.processors import (CHANGELOG_OUT, LATE_OUT, TIMER_OUT, ChangelogCount,
-                                           EventTimeAlarm, KeyedLateSplit)
+from tidepool.schemas import CHANGELOG_OUT, LATE_OUT, TIMER_OUT
+from tidepool.streaming.processors import ChangelogCount, EventTimeAlarm, KeyedLateSplit
 from tidepool.streaming.runner import (event_time, run_to_table, table_stream,
                                       with_end_marker)
 
