@@ -82,3 +82,12 @@ def test_running_over_range_buckets_matches_plain(data):
     want = data.select("id", F.max("v").over(w).alias("m"), F.last("s", ignorenulls=True).over(w).alias("l"))
     assert sorted(tuple(r) for r in got.select("id", "m", "l").collect()) == \
         sorted(tuple(r) for r in want.collect())
+
+
+def test_range_buckets_put_null_keys_first(spark):
+    from tidepool.operators.running import RANGE_BUCKET_COL, with_range_buckets
+
+    df = spark.createDataFrame([(None, 1)] + [(i, i) for i in range(100)], "k long, id long")
+    tagged = {r.id: r[RANGE_BUCKET_COL] for r in with_range_buckets(df, ["k", "id"], 4).collect()}
+    assert tagged[1] == 0 or tagged[1] == min(tagged.values())
+    assert max(tagged.values()) >= 2

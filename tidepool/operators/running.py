@@ -117,7 +117,8 @@ def with_range_buckets(df: DataFrame, order_by: list[str], num_buckets: int | No
     lead = _numeric_key(df, order_by[0]).cast("bigint")
     staged = df.withColumn("_rlead", lead.cast("double"))
     splits = [-float("inf")] + [d + 0.5 for d in leads] + [float("inf")]
-    staged = Bucketizer(splits=splits, inputCol="_rlead", outputCol="_ridx").transform(staged)
+    staged = Bucketizer(splits=splits, inputCol="_rlead", outputCol="_ridx",
+                        handleInvalid="keep").transform(staged)
     idx = F.col("_ridx").cast("int")
     # Cut tables enter the plan as one literal each (the JSON one is constant
     # folded), so building the query costs the same for any bucket count.
@@ -135,7 +136,9 @@ def with_range_buckets(df: DataFrame, order_by: list[str], num_buckets: int | No
         tied = F.size(F.filter(F.try_element_at(rests, idx + 1), lambda x: x <= row_rest))
     else:
         tied = F.try_element_at(F.lit([per_lead[d] for d in leads]).cast("array<bigint>"), idx + 1)
-    bucket = below + F.when(lead == next_lead, tied).otherwise(F.lit(0))
+    # NULL sort keys come first in ascending order: bucket 0.
+    bucket = F.when(lead.isNull(), F.lit(0)).otherwise(
+        below + F.when(lead == next_lead, tied).otherwise(F.lit(0)))
     return staged.withColumn(RANGE_BUCKET_COL, bucket.cast("bigint")).drop("_rlead", "_ridx")
 
 

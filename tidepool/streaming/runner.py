@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.session import STATE_STORE_KEY, STATE_STORE_PROVIDER, ensure_utc, scratch_path
-from tidepool.sources.tables import table_path
+from tidepool.sources.tables import FACT_TABLES, FAN_OUT_BYTES_PER_CORE, _size_bytes, table_path
 
 # Event time of the end-of-input marker.  A bounded source ends with a maximal
 # watermark so every window fires; a file stream does not, so one row this far
@@ -37,7 +37,13 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(pattern)
+    stream = reader.parquet(pattern)
+    # Same rule as batch scans: a large fact file read as one split is spread
+    # over the cores (a real stream gets its parallelism from many files).
+    cores = spark.sparkContext.defaultParallelism
+    if name in FACT_TABLES and _size_bytes(path) > cores * FAN_OUT_BYTES_PER_CORE:
+        stream = stream.repartition(cores)
+    return stream
 
 
 def with_end_marker(spark: SparkSession, stream: DataFrame, ts: str) -> DataFrame:
