@@ -91,3 +91,12 @@ def test_keyed_late_split_across_batches(spark, events):
     cols = ["event_id", "status"]
     got_rows = sorted(tuple(str(r[c]) for c in cols) for r in got.collect())
     assert got_rows == _oracle_rows("stream_late_split_keyed", cols)
+
+
+def test_throttled_avg_emits_once_per_batch(spark, plain, events):
+    got = sorted((r.cum_cnt, r.cum_avg) for r in twins.stream_throttled_avg(spark, SF_SMALL, events=plain()).collect())
+    assert len(got) == N_FILES
+    assert [c for c, _ in got] == sorted({c for c, _ in got})  # strictly growing counts
+    total = catalog.clicks(events).agg({"cents": "sum", "*": "count"}).first()
+    assert got[-1][0] == total["count(1)"]
+    assert abs(got[-1][1] - total["sum(cents)"] / total["count(1)"]) < 1e-9

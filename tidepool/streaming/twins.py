@@ -220,6 +220,23 @@ def stream_parse_keyed_lines(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(spark, parsed, "keyed-lines")
 
 
+def stream_throttled_avg(spark: SparkSession, sf: str, every: str = "10 seconds",
+                         events: DataFrame | None = None) -> DataFrame:
+    """Cumulative mean of click cents, emitted once per trigger, not once per row.
+
+    A global streaming aggregate in update mode: partial sums per task, one
+    row of state, and the trigger interval (``every`` on a live stream) is the
+    throttle.  Run to completion here, the single batch emits the overall mean.
+    """
+    src = events if events is not None else table_stream(spark, sf, "events")
+    acc = catalog.clicks(src).agg(F.count(F.lit(1)).alias("cum_cnt"), F.sum("cents").alias("cum_s"))
+
+    def mean(batch: DataFrame) -> DataFrame:
+        return batch.select("cum_cnt", (F.col("cum_s") / F.col("cum_cnt")).alias("cum_avg"))
+
+    return run_to_table(spark, acc, "throttled-avg", output_mode="update", per_batch=mean)
+
+
 def stream_proc_time_count(spark: SparkSession, sf: str) -> DataFrame:
     """Processing-time tumbling count: rows are stamped at ingest, counted per 5 s and user."""
     ev = table_stream(spark, sf, "events").withColumn("ingest_ts", F.current_timestamp())
@@ -247,6 +264,7 @@ STREAM_QUERIES = {
     "stream_late_split_keyed": stream_late_split_keyed,
     "stream_parse_keyed_lines": stream_parse_keyed_lines,
     "stream_proc_time_count": stream_proc_time_count,
+    "stream_throttled_avg": stream_throttled_avg,
 }
 
 # A twin computes exactly what its batch form computes.
@@ -279,4 +297,9 @@ STREAM_ORACLES = {
   FROM t""",
     "stream_parse_keyed_lines": """
   SELECT CAST(user_id AS VARCHAR) AS key, (epoch_us(ts) // 1000000) * 1000 AS ts_ms FROM events""",
+    # One micro-batch when run to completion: the overall mean.
+    "stream_throttled_avg": """
+  SELECT count(*) AS cum_cnt,
+         CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(*) AS cum_avg
+  FROM events""",
 }
