@@ -93,7 +93,8 @@ def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode: str = "append",
                  per_batch: Callable[[DataFrame], DataFrame] | None = None,
-                 rocksdb: bool = False) -> DataFrame:
+                 rocksdb: bool = False,
+                 per_batch_sink: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
     """Run ``query`` until the available input is consumed; return what it wrote.
 
     ``append`` results go to a parquet file sink (exactly-once through the
@@ -113,14 +114,17 @@ def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode:
         # Commit only the changes of each batch instead of a full snapshot.
         spark.conf.set(CHANGELOG_KEY, "true")
     try:
-        if per_batch is None and output_mode == "append":
+        if per_batch_sink is not None:
+            handle = writer.foreachBatch(per_batch_sink).trigger(availableNow=True).start()
+        elif per_batch is None and output_mode == "append":
             handle = writer.format("parquet").option("path", out).trigger(availableNow=True).start()
         else:
-            mode = "overwrite" if output_mode == "complete" else "append"
-
-            def sink(batch: DataFrame, _epoch: int) -> None:
+            def sink(batch: DataFrame, epoch: int) -> None:
                 result = per_batch(batch) if per_batch else batch
-                result.write.mode(mode).parquet(out)
+                if output_mode == "complete":
+                    result.write.mode("overwrite").parquet(out)
+                else:
+                    write_epoch(result, out, epoch)
 
             handle = writer.foreachBatch(sink).trigger(availableNow=True).start()
     finally:
@@ -135,7 +139,18 @@ def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode:
         raise handle.exception()
     empty = spark.createDataFrame([], query.schema)
     expected = (per_batch(empty) if per_batch else empty).schema
+    return read_epochs(spark, out, expected)
+
+
+def write_epoch(df: DataFrame, path: str, epoch: int) -> None:
+    """Idempotent micro-batch write: a retried epoch overwrites its own folder."""
+    df.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+
+def read_epochs(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read a sink written by the file sink or by :func:`write_epoch` (epoch column dropped)."""
     try:
-        return spark.read.schema(expected).parquet(out)
+        df = spark.read.parquet(path)
     except Exception:  # noqa: BLE001 - no batch produced output: an empty result
-        return spark.createDataFrame([], expected)
+        return spark.createDataFrame([], schema)
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])

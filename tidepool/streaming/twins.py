@@ -20,8 +20,8 @@ from tidepool.sources import behavior
 from tidepool.operators import eventtime
 from tidepool.schemas import CHANGELOG_OUT, LATE_OUT, TIMER_OUT
 from tidepool.streaming.processors import ChangelogCount, EventTimeAlarm, KeyedLateSplit
-from tidepool.streaming.runner import (event_time, run_to_table, table_stream,
-                                      with_end_marker)
+from tidepool.streaming.runner import (event_time, read_epochs, run_to_table, table_stream,
+                                      with_end_marker, write_epoch)
 
 HOUR = micros(1, "h")
 
@@ -195,16 +195,14 @@ def stream_late_split_keyed(spark: SparkSession, sf: str, events: DataFrame | No
         outputMode="Append", timeMode="None")
     main_out, side_out = scratch_path(spark, "late-main"), scratch_path(spark, "late-side")
 
-    def two_sinks(batch: DataFrame) -> DataFrame:
+    def two_sinks(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
-        batch.filter(F.col("status") == "ok").write.mode("append").parquet(main_out)
-        batch.filter(F.col("status") == "late").write.mode("append").parquet(side_out)
+        write_epoch(batch.filter(F.col("status") == "ok"), main_out, epoch)
+        write_epoch(batch.filter(F.col("status") == "late"), side_out, epoch)
         batch.unpersist()
-        return batch.limit(0)
 
-    run_to_table(spark, tagged, "late-split", per_batch=two_sinks, rocksdb=True)
-    both = spark.read.schema(LATE_OUT).parquet(main_out).unionByName(
-        spark.read.schema(LATE_OUT).parquet(side_out))
+    run_to_table(spark, tagged, "late-split", per_batch_sink=two_sinks, rocksdb=True)
+    both = read_epochs(spark, main_out, LATE_OUT).unionByName(read_epochs(spark, side_out, LATE_OUT))
     return _ntz(both, "ts", "wm")
 
 
