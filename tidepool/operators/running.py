@@ -68,18 +68,20 @@ def _numeric_key(df: DataFrame, name: str) -> Column:
 
 def range_bounds(df: DataFrame, order_by: list[str], num_buckets: int,
                  seed: int = 7) -> list[tuple]:
-    """``num_buckets - 1`` cut points of the total order, from a bounded sample.
+    """``num_buckets - 1`` cut points of the total order, from a bounded uniform sample.
 
-    Two small jobs (a count and a sample of about ``SAMPLE_PER_BUCKET`` keys
-    per bucket); only the sampled sort keys reach the driver.
+    One job: ``orderBy(rand).limit(k)`` runs as a distributed top-k (each task
+    keeps at most ``k`` rows, the driver merges), so exactly
+    ``min(k, rows)`` uniformly drawn sort keys reach the driver, with
+    ``k = num_buckets * SAMPLE_PER_BUCKET``.
     """
-    keys = df.select(*[_numeric_key(df, c).alias(f"_k{i}") for i, c in enumerate(order_by)])
-    keys = keys.dropna()
-    total = keys.count()
-    if total == 0 or num_buckets <= 1:
+    if num_buckets <= 1:
+        return []
+    keys = df.select(*[_numeric_key(df, c).alias(f"_k{i}") for i, c in enumerate(order_by)]).dropna()
+    k = num_buckets * SAMPLE_PER_BUCKET
+    sample = sorted(tuple(r) for r in keys.orderBy(F.rand(seed)).limit(k).collect())
+    if not sample:
         return []
-    fraction = min(1.0, num_buckets * SAMPLE_PER_BUCKET / total)
-    sample = sorted(tuple(r) for r in keys.sample(False, fraction, seed).collect())
     cuts = [sample[(i * len(sample)) // num_buckets] for i in range(1, num_buckets)]
     return sorted(set(cuts))
 
