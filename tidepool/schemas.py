@@ -36,3 +36,10 @@ LATE_OUT = T.StructType([
     T.StructField("wm", T.TimestampType()),
     T.StructField("status", T.StringType()),
 ])
+
+# Arrival report or processing-time alarm for a key.
+ALARM_OUT = T.StructType([
+    T.StructField("key", T.LongType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("at_ms", T.LongType()),
+])

@@ -121,3 +121,32 @@ class KeyedLateSplit(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class ArrivalAlarm(StatefulProcessor):
+    """Per key: report each arrival at once, and raise an alarm ``delay_ms`` of
+    processing time after it (a processing-time timer per arrival).
+
+    Output rows are (key, kind, at_ms) with kind ``arrival`` or ``alarm``.
+    Alarms need a live query (a processing-time trigger); a run-to-completion
+    query stops before they are due.
+    """
+
+    delay_ms = 10_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+
+    def handleInputRows(self, key, rows, timerValues):
+        now = timerValues.getCurrentProcessingTimeInMs()
+        out = []
+        for _ in rows:
+            out.append(Row(key=key[0], kind="arrival", at_ms=now))
+        self.handle.registerTimer(now + self.delay_ms)
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        return iter([Row(key=key[0], kind="alarm", at_ms=expiredTimerInfo.getExpiryTimeInMs())])
+
+    def close(self) -> None:
+        pass
