@@ -13,10 +13,10 @@ def _with_wm(df):
 
 def test_late_split_golden(spark):
     # Punctuated watermarks 999 and 1999 arrive between the three rows.
-    rows = [("hello world", 1000, None), ("hello flink", 2000, 999), ("hello late", 1000, 1999)]
+    rows = [("hello world", 1000, None), ("hello stream", 2000, 999), ("hello late", 1000, 1999)]
     df = _with_wm(ms_rows(spark, rows, "text string, ts long, wm_ms long", ["ts"]))
     out = {r.text: r.status for r in eventtime.late_split(df).collect()}
-    assert out == {"hello world": "ok", "hello flink": "ok", "hello late": "late"}
+    assert out == {"hello world": "ok", "hello stream": "ok", "hello late": "late"}
 
 
 def test_late_window_golden(spark):

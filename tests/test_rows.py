@@ -21,7 +21,7 @@ def test_word_count_final_and_running(spark):
     assert ("world", 4) in got and ("hello", 2) in got and ("kkk", 1) in got
 
 
-def test_split_rules_match_java(spark):
+def test_split_rules_match_reference_tokenizer(spark):
     df = spark.createDataFrame([("a  b",), (" a",), ("a b  ",), ("   ",), ("",)], "line string")
     got = [r.t for r in df.select(rows.split_on_space("line").alias("t")).collect()]
     assert got == [["a", "", "b"], ["", "a"], ["a", "b"], [], [""]]
