@@ -43,3 +43,10 @@ ALARM_OUT = T.StructType([
     T.StructField("kind", T.StringType()),
     T.StructField("at_ms", T.LongType()),
 ])
+
+# Outcome of matching an order with its first payment.
+RECONCILE_OUT = T.StructType([
+    T.StructField("o_orderkey", T.LongType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("at_ms", T.LongType()),
+])

@@ -150,3 +150,87 @@ class ArrivalAlarm(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class Reconciler(StatefulProcessor):
+    """Match an order with its first payment within ``within_ms`` of event time.
+
+    The first side of a key to arrive waits, with an event-time timer at its
+    time + ``within_ms``.  A partner in time gives ``matched`` and deletes the
+    pending timer; a timer that fires reports ``order_timeout`` or
+    ``payment_timeout``.  A side whose deadline has passed when the next event
+    of its key arrives times out at once, so the outcome does not depend on how
+    events fall into micro-batches.  Only the first payment of an order counts;
+    two ``done`` flags per key make later ones no-ops.  Those flags are the only
+    state kept after a key is decided (state TTL needs processing-time mode).
+
+    Each call reads and writes the key's state once and touches timers only for
+    sides still waiting when the call ends (every state or timer operation is a
+    round trip to the JVM).  Input: key, ``side`` ('order' / 'pay'), ``ts_ms``.
+    """
+
+    within_ms = 90 * 86_400_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState(
+            "match", "order_ts long, pay_ts long, order_done boolean, pay_done boolean")
+
+    def _load(self):
+        got = self.state.get()
+        return list(got) if got is not None else [None, None, False, False]
+
+    def _expire(self, key, st, now, out) -> None:
+        """Time out the waiting sides whose deadline lies before ``now``."""
+        for side, status in ((0, "order_timeout"), (1, "payment_timeout")):
+            if st[side] is not None and now > st[side] + self.within_ms:
+                out.append(Row(o_orderkey=key, status=status, at_ms=st[side]))
+                st[side], st[2 + side] = None, True
+
+    def _sync_timers(self, before, st) -> None:
+        """Register / delete timers so exactly the waiting sides have one."""
+        for side in (0, 1):
+            if before[side] != st[side]:
+                if before[side] is not None:
+                    self.handle.deleteTimer(before[side] + self.within_ms)
+                if st[side] is not None:
+                    self.handle.registerTimer(st[side] + self.within_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        k = key[0]
+        if k is None or k < 0:  # the end-of-input marker only moves the watermark
+            return iter([])
+        st, out = self._load(), []
+        before = list(st)
+        for ts, side in sorted((r.ts_ms, r.side) for r in rows):
+            self._expire(k, st, ts, out)
+            mine, other = (0, 1) if side == "order" else (1, 0)
+            if st[2 + mine] or st[mine] is not None:
+                continue  # a later duplicate of a side already seen
+            if st[other] is not None:  # the partner is waiting and still in time
+                at = st[0] if other == 0 else ts
+                out.append(Row(o_orderkey=k, status="matched", at_ms=at))
+                st[other] = None
+                st[2], st[3] = True, True
+            else:
+                st[mine] = ts
+        self._sync_timers(before, st)
+        self.state.update(tuple(st))
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        k = key[0]
+        if k is None or k < 0:
+            return iter([])
+        st, out = self._load(), []
+        before = list(st)
+        self._expire(k, st, expiredTimerInfo.getExpiryTimeInMs() + 1, out)
+        # The fired timer is gone already; only other changes need syncing.
+        fired = expiredTimerInfo.getExpiryTimeInMs() - self.within_ms
+        before = [None if b == fired else b for b in before[:2]] + before[2:]
+        self._sync_timers(before, st)
+        self.state.update(tuple(st))
+        return iter(out)
+
+    def close(self) -> None:
+        pass

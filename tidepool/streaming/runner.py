@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.session import STATE_STORE_KEY, STATE_STORE_PROVIDER, ensure_utc, scratch_path
 from tidepool.sources.tables import FACT_TABLES, FAN_OUT_BYTES_PER_CORE, _size_bytes, table_path
@@ -48,7 +49,8 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
 
 def with_end_marker(spark: SparkSession, stream: DataFrame, ts: str) -> DataFrame:
     """Union a one-row end-of-input marker (all columns NULL but ``ts``) into ``stream``."""
-    schema = stream.schema
+    # Every column but the event time is NULL in the marker, so all are nullable.
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in stream.schema.fields])
     marker_dir = scratch_path(spark, "end-marker")
     row = {f.name: None for f in schema.fields}
     row[ts] = SENTINEL_TS

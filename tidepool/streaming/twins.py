@@ -18,8 +18,8 @@ from tidepool.plans.oracles import ORACLES
 from tidepool.session import scratch_path
 from tidepool.sources import behavior
 from tidepool.operators import eventtime
-from tidepool.schemas import CHANGELOG_OUT, LATE_OUT, TIMER_OUT
-from tidepool.streaming.processors import ChangelogCount, EventTimeAlarm, KeyedLateSplit
+from tidepool.schemas import CHANGELOG_OUT, LATE_OUT, RECONCILE_OUT, TIMER_OUT
+from tidepool.streaming.processors import ChangelogCount, EventTimeAlarm, KeyedLateSplit, Reconciler
 from tidepool.streaming.runner import (event_time, read_epochs, run_to_table, table_stream,
                                       with_end_marker, write_epoch)
 
@@ -235,6 +235,30 @@ def stream_throttled_avg(spark: SparkSession, sf: str, every: str = "10 seconds"
     return run_to_table(spark, acc, "throttled-avg", output_mode="update", per_batch=mean)
 
 
+def stream_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders matched with their first payment (line-item ship date) within 90 days.
+
+    Both tables are read as streams, tagged with their side, unioned and keyed
+    by order key; event-time timers report the side that waited in vain.
+    """
+    from tidepool.functions.timecols import ntz_from_millis
+
+    def side(df, key, ts, name):
+        return df.select(F.col(key).alias("key"), F.lit(name).alias("side"), F.col(ts).alias("ts"))
+
+    orders = side(table_stream(spark, sf, "orders"), "o_orderkey", "o_orderdate", "order")
+    pays = side(table_stream(spark, sf, "lineitem"), "l_orderkey", "l_shipdate", "pay")
+    both = event_time(with_end_marker(spark, orders.unionByName(pays), "ts"))
+    keyed = (both.select(F.coalesce("key", F.lit(-1)).alias("key"), "side", "ts",
+                         F.floor(F.unix_micros("ts") / 1000).cast("bigint").alias("ts_ms"))
+             .withWatermark("ts", "0 seconds"))
+    out = keyed.groupBy("key").transformWithState(
+        statefulProcessor=Reconciler(), outputStructType=RECONCILE_OUT,
+        outputMode="Append", timeMode="EventTime")
+    res = run_to_table(spark, out, "reconcile", rocksdb=True)
+    return res.select("o_orderkey", "status", ntz_from_millis("at_ms").alias("at_ts"))
+
+
 def stream_proc_time_count(spark: SparkSession, sf: str) -> DataFrame:
     """Processing-time tumbling count: rows are stamped at ingest, counted per 5 s and user."""
     ev = table_stream(spark, sf, "events").withColumn("ingest_ts", F.current_timestamp())
@@ -263,6 +287,7 @@ STREAM_QUERIES = {
     "stream_parse_keyed_lines": stream_parse_keyed_lines,
     "stream_proc_time_count": stream_proc_time_count,
     "stream_throttled_avg": stream_throttled_avg,
+    "stream_reconcile": stream_reconcile,
 }
 
 # A twin computes exactly what its batch form computes.
@@ -295,6 +320,18 @@ STREAM_ORACLES = {
   FROM t""",
     "stream_parse_keyed_lines": """
   SELECT CAST(user_id AS VARCHAR) AS key, (epoch_us(ts) // 1000000) * 1000 AS ts_ms FROM events""",
+    # Event-time matching of each order with its first payment (earliest ship date).
+    "stream_reconcile": """
+  WITH p AS (SELECT l_orderkey AS k, min(l_shipdate) AS pay_ts FROM lineitem GROUP BY l_orderkey),
+  o AS (SELECT o_orderkey AS k, o_orderdate AS order_ts FROM orders),
+  j AS (SELECT coalesce(o.k, p.k) AS k, order_ts, pay_ts,
+               abs(epoch_ms(pay_ts) - epoch_ms(order_ts)) <= CAST(90 AS BIGINT) * 86400000 AS in_time
+        FROM o FULL JOIN p ON o.k = p.k)
+  SELECT k AS o_orderkey, 'matched' AS status, order_ts AS at_ts FROM j WHERE in_time
+  UNION ALL
+  SELECT k, 'order_timeout', order_ts FROM j WHERE order_ts IS NOT NULL AND in_time IS NOT TRUE
+  UNION ALL
+  SELECT k, 'payment_timeout', pay_ts FROM j WHERE pay_ts IS NOT NULL AND in_time IS NOT TRUE""",
     # One micro-batch when run to completion: the overall mean.
     "stream_throttled_avg": """
   SELECT count(*) AS cum_cnt,
