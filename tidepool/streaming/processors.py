@@ -171,6 +171,10 @@ class Reconciler(StatefulProcessor):
 
     within_ms = 90 * 86_400_000
 
+    def __init__(self, within_ms: int | None = None) -> None:
+        if within_ms is not None:
+            self.within_ms = within_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState(
