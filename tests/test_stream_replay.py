@@ -100,3 +100,16 @@ def test_throttled_avg_emits_once_per_batch(spark, plain, events):
     total = catalog.clicks(events).agg({"cents": "sum", "*": "count"}).first()
     assert got[-1][0] == total["count(1)"]
     assert abs(got[-1][1] - total["sum(cents)"] / total["count(1)"]) < 1e-9
+
+
+def test_reconcile_across_batches(spark):
+    # Orders and line items replayed together in event-time order: timers fire
+    # and are deleted across micro-batch boundaries.
+    sides = twins.reconcile_sides(catalog.read_table(spark, SF_SMALL, "orders"),
+                                  catalog.read_table(spark, SF_SMALL, "lineitem"))
+    sides = sides.withColumn("ts_us", epoch_micros("ts"))
+    path = replay_files(spark, sides, "ts_us", 6, scratch_path(spark, "replay-reconcile"), marker_ts="ts")
+    got = twins.stream_reconcile(spark, SF_SMALL, replay_stream(spark, path, sides.schema).drop("ts_us"))
+    cols = ["o_orderkey", "status", "at_ts"]
+    got_rows = sorted(tuple(str(r[c]) for c in cols) for r in got.collect())
+    assert got_rows == _oracle_rows("stream_reconcile", cols)

@@ -76,9 +76,10 @@ def replay_files(spark: SparkSession, df: DataFrame, order_col: str, n_files: in
         chunk = df.filter((F.col(order_col) >= lo + i * width) & (F.col(order_col) < lo + (i + 1) * width))
         chunk.coalesce(1).write.mode("append").parquet(path)
     if marker_ts:
-        row = {f.name: None for f in df.schema.fields}
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+        row = {f.name: None for f in schema.fields}
         row[marker_ts] = SENTINEL_TS
-        (spark.createDataFrame([tuple(row[f.name] for f in df.schema.fields)], df.schema)
+        (spark.createDataFrame([tuple(row[f.name] for f in schema.fields)], schema)
          .coalesce(1).write.mode("append").parquet(path))
     return path
 

@@ -235,20 +235,28 @@ def stream_throttled_avg(spark: SparkSession, sf: str, every: str = "10 seconds"
     return run_to_table(spark, acc, "throttled-avg", output_mode="update", per_batch=mean)
 
 
-def stream_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+def reconcile_sides(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Orders and line items as one (key, side, ts) event stream or table."""
+    def side(df, key, ts, name):
+        return df.select(F.col(key).alias("key"), F.lit(name).alias("side"), F.col(ts).alias("ts"))
+
+    return side(orders, "o_orderkey", "o_orderdate", "order").unionByName(
+        side(lineitem, "l_orderkey", "l_shipdate", "pay"))
+
+
+def stream_reconcile(spark: SparkSession, sf: str, sides: DataFrame | None = None) -> DataFrame:
     """Orders matched with their first payment (line-item ship date) within 90 days.
 
     Both tables are read as streams, tagged with their side, unioned and keyed
     by order key; event-time timers report the side that waited in vain.
+    ``sides`` replaces the input (a (key, side, ts) stream ending with the marker).
     """
     from tidepool.functions.timecols import ntz_from_millis
 
-    def side(df, key, ts, name):
-        return df.select(F.col(key).alias("key"), F.lit(name).alias("side"), F.col(ts).alias("ts"))
-
-    orders = side(table_stream(spark, sf, "orders"), "o_orderkey", "o_orderdate", "order")
-    pays = side(table_stream(spark, sf, "lineitem"), "l_orderkey", "l_shipdate", "pay")
-    both = event_time(with_end_marker(spark, orders.unionByName(pays), "ts"))
+    if sides is None:
+        sides = with_end_marker(spark, reconcile_sides(table_stream(spark, sf, "orders"),
+                                                       table_stream(spark, sf, "lineitem")), "ts")
+    both = event_time(sides)
     keyed = (both.select(F.coalesce("key", F.lit(-1)).alias("key"), "side", "ts",
                          F.floor(F.unix_micros("ts") / 1000).cast("bigint").alias("ts_ms"))
              .withWatermark("ts", "0 seconds"))
