@@ -20,7 +20,15 @@ def write_behavior_csv(events: DataFrame, path: str) -> str:
 
 
 def _parse(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    """Typed rows; a line whose numeric fields do not parse is dropped.
+
+    The lines are read PERMISSIVE (bad fields become NULL) and filtered here:
+    an explicit predicate holds for every projection, whereas DROPMALFORMED
+    misses bad lines whenever CSV column pruning skips their fields (e.g. in
+    ``count()``).
+    """
+    valid = F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("epoch_s").isNotNull()
+    return raw.filter(valid).select(
         "user_id", "item_id", "category_id", "behavior",
         (F.col("epoch_s") * 1000).alias("ts_ms"),
         ntz_from_seconds("epoch_s").alias("event_time"))
@@ -28,8 +36,7 @@ def _parse(raw: DataFrame) -> DataFrame:
 
 def read_behavior_csv(spark: SparkSession, path: str) -> DataFrame:
     """Batch scan with a declared schema (never inferred); seconds become ms and an event time."""
-    return _parse(spark.read.schema(USER_BEHAVIOR_CSV).option("header", "false")
-                  .option("mode", "DROPMALFORMED").csv(path))
+    return _parse(spark.read.schema(USER_BEHAVIOR_CSV).option("header", "false").csv(path))
 
 
 def stream_behavior_csv(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
