@@ -113,3 +113,9 @@ def test_reconcile_across_batches(spark):
     cols = ["o_orderkey", "status", "at_ts"]
     got_rows = sorted(tuple(str(r[c]) for c in cols) for r in got.collect())
     assert got_rows == _oracle_rows("stream_reconcile", cols)
+
+
+def test_window_join_across_batches(spark, with_marker):
+    got = twins.stream_window_join(spark, SF_SMALL, with_marker())
+    cols = ["user_id", "window_start", "window_end", "n_left", "n_right", "n_pairs"]
+    assert _same(got, catalog.window_join(spark, SF_SMALL), cols)

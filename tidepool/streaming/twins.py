@@ -101,6 +101,31 @@ def stream_uv_hourly(spark: SparkSession, sf: str, events: DataFrame | None = No
     return run_to_table(spark, pairs, "uv-hourly", per_batch=count)
 
 
+def stream_window_join(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
+    """Window join of clicks and views per user and day, factorised, on a stream.
+
+    Both sides are counted per (user, day) in one append-mode aggregation; a
+    window's counts for both sides close in the same micro-batch, so the join
+    of the two count sets runs inside that batch and holds no join state.
+    """
+    ev = _events_with_marker(spark, sf, events).withWatermark("ts", "0 seconds")
+    sides = ev.filter(F.col("event_type").isin("click", "view") | F.col("event_type").isNull())
+    counts = (sides.groupBy("user_id", F.window("ts", "1 day").alias("w"), "event_type")
+              .agg(F.count(F.lit(1)).alias("n"))
+              .select("user_id", F.col("w.start").alias("window_start"),
+                      F.col("w.end").alias("window_end"), "event_type", "n"))
+
+    def join_sides(batch: DataFrame) -> DataFrame:
+        keys = ["user_id", "window_start", "window_end"]
+        real = batch.filter(F.col("user_id").isNotNull())
+        left = real.filter(F.col("event_type") == "click").select(*keys, F.col("n").alias("n_left"))
+        right = real.filter(F.col("event_type") == "view").select(*keys, F.col("n").alias("n_right"))
+        joined = left.join(right, keys, "inner").withColumn("n_pairs", F.col("n_left") * F.col("n_right"))
+        return _ntz(joined, "window_start", "window_end")
+
+    return run_to_table(spark, counts, "window-join", per_batch=join_sides)
+
+
 def stream_equi_join(spark: SparkSession, sf: str) -> DataFrame:
     """Order stream enriched from the customer table (stream-static join, no join state)."""
     orders = table_stream(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -283,6 +308,7 @@ STREAM_QUERIES = {
     "stream_tumbling_count": stream_tumbling_count,
     "stream_topn_per_window": stream_topn_per_window,
     "stream_uv_hourly": stream_uv_hourly,
+    "stream_window_join": stream_window_join,
     "stream_equi_join_static": stream_equi_join,
     "stream_equi_join_streams": stream_equi_join_streams,
     "stream_interval_join": stream_interval_join,
@@ -304,6 +330,7 @@ STREAM_ORACLES = {
     "stream_tumbling_count": ORACLES["tumbling_count"],
     "stream_topn_per_window": ORACLES["topn_per_window"],
     "stream_uv_hourly": ORACLES["uv_hourly"],
+    "stream_window_join": ORACLES["window_join"],
     "stream_equi_join_static": ORACLES["stream_equi_join"],
     "stream_equi_join_streams": ORACLES["stream_equi_join"],
     "stream_interval_join": ORACLES["interval_join"],
