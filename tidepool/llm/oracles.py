@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 HASH60 = "('0x' || substr(md5({}), 1, 15))::BIGINT"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 W = r"[^\x20\x09-\x0D]+"
 
 
@@ -107,5 +109,28 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_failed,
        NOT base_failed AND NOT soft_failed AND NOT host_failed AS kept
 FROM f JOIN b ON f.source IS NOT DISTINCT FROM b.source
+""",
+    "op10_fm_index": rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{ALNUM}') AS w FROM documents
+), i AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{ALNUM}') AS w FROM benchmark
+), p AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[k:k + least(10, len(w)) - 1], ' ') AS phrase
+  FROM i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) u(k) WHERE len(w) > 0
+), o AS (
+  SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS phrase
+  FROM d, (SELECT DISTINCT n FROM p), unnest(range(1, len(w) - n + 2)) u(k)
+), h AS (
+  SELECT o.doc_id, o.k, o.n, p.item FROM o JOIN p ON o.phrase = p.phrase AND o.n = p.n
+), c AS (
+  SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT DISTINCT doc_id, k, n FROM h), unnest(range(k, k + n)) u(x) GROUP BY doc_id
+), t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM h WHERE item IS NOT NULL) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 """,
 }

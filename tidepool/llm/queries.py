@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import mixing, quality, sharding, tokens
+from tidepool.llm import decontaminate, langid, mixing, quality, sharding, tokens
 from tidepool.llm.common import materialize, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -35,6 +35,13 @@ def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.get("positions", F.lit(0)).alias("first_position"))
 
 
+def op4_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = langid.learn(docs, ~held_out)
+    return langid.predict(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
+
+
 def op5_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.assign(read(spark, sf_dir, "documents"), "doc_id", "text", [1.0] * SHARDS, added=1.0)
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -49,9 +56,19 @@ def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "host_failed", "kept")
 
 
+def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    found = decontaminate.scan(docs, items, keep=["doc_id"])
+    return found.select("doc_id", "_found.n_words", "_found.n_hit", F.size("_found.items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("_found.items", ","), 256).alias("items_sha256"),
+                        (F.col("_found.n_hit") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simple8b": op1_simple8b,
     "op3_curriculum_mix": op3_curriculum_mix,
+    "op4_ppm_language": op4_ppm_language,
     "op5_rendezvous": op5_rendezvous,
     "op7_host_rules": op7_host_rules,
+    "op10_fm_index": op10_fm_index,
 }
