@@ -109,6 +109,24 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_failed,
        NOT base_failed AND NOT soft_failed AND NOT host_failed AS kept
 FROM f JOIN b ON f.source IS NOT DISTINCT FROM b.source
+""",
+    "op8_doubling": rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{W}') AS w FROM documents
+), g AS (
+  SELECT doc_id, k, sha256(array_to_string(w[k:k + 34], ' ')) AS g FROM d, unnest(range(1, len(w) - 33)) u(k)
+), r AS (
+  SELECT doc_id, k FROM g QUALIFY count(*) OVER (PARTITION BY g) > 1
+), x AS (
+  SELECT DISTINCT doc_id, x FROM r, unnest(range(k, k + 35)) u(x)
+), c AS (
+  SELECT doc_id, count(*) AS n, list(x) AS xs FROM x GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ')
+                   ELSE coalesce((SELECT string_agg(w[i], ' ' ORDER BY i) FROM unnest(range(1, len(w) + 1)) u(i)
+                                  WHERE NOT list_contains(xs, i)), '') END) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)
 """,
     "op10_fm_index": rf"""
 WITH d AS (
