@@ -15,8 +15,12 @@ writer (a lost task leaves nothing behind). A block has
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -117,54 +121,69 @@ class WordIds:
     """Ids of texts by the tokenizer's own rules, each distinct word worked out once.
 
     The tokenizer drops white space and no piece spans it, so the ids of a text are those of its
-    parts between blanks, one after the other. Parts are looked up; a new one goes through the
-    tokenizer's normalizer, splitter and model (ASCII parts are lower-cased and split here by the
-    same pattern). Both memories are emptied when they reach ``most`` entries.
+    parts between blanks, one after the other. Parts are looked up; a new one is split as the
+    tokenizer splits it (Latin letters by the same pattern here, all else by the tokenizer's normalizer and
+    splitter) and its pieces go through the tokenizer's model. What is remembered is bounded: after
+    ``most`` words a new memory begins, and only the last but one is still looked up.
     """
 
-    #: Fixed value: the tokenizer file's split pattern, for ASCII text.
-    PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
-
-    def __init__(self, path: str, most: int = 500_000):
-        import re
+    #: Fixed value: the tokenizer file's split pattern, with the letters, digits and blanks below U+0250 spelt out.
+    PIECE = "'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^{0}{1}{2}]+"
+    LATIN_END = "\u0250"
 
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.model, self.most = self.whole.model, most
-        self.pieces = re.compile(self.PIECE, re.ASCII).findall
+        latin = [chr(c) for c in range(ord(self.LATIN_END))]
+        kind = {c: unicodedata.category(c)[0] for c in latin}
+        blank = [c for c in latin if c.isspace() and not "\x1c" <= c <= "\x1f"]
+        classes = [[c for c in latin if kind[c] == "L"], [c for c in latin if kind[c] == "N"], blank]
+        self.pieces = re.compile(self.PIECE.format(*(re.escape("".join(c)) for c in classes))).findall
         # A byte without a printable Latin-1 character of its own is written as 256 + its rank among those.
-        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        self.bytes = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in own)}
+        own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        rest = [b for b in range(256) if b not in own]
+        self.byte = [chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)]
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.of_piece: dict[str, list[int]] = {}
-        self.pool: list[int] = []
-        self.ends = [0]
-
-    def piece_ids(self, piece: str) -> list[int]:
-        ids = self.of_piece.get(piece)
+        """Begin a new memory; the one before is still asked, the one before that is given up."""
+        self.before, self.known = getattr(self, "known", {}), {}
+        self.of_before, self.of_piece = getattr(self, "of_piece", {}), {}
+        self.pool_before, self.ends_before = getattr(self, "pool", None), getattr(self, "ends", None)
+        self.pool, self.ends = array("I"), array("q", [0])
+
+    def piece_ids(self, piece: str, written: str | None = None) -> list[int]:
+        """The model's ids of a piece, ``written`` as the model reads it (None: by the byte table)."""
+        ids = self.of_before.get(piece)
         if ids is None:
-            ids = self.of_piece[piece] = [t.id for t in self.model.tokenize(piece)]
+            if written is None:
+                written = piece if piece.isascii() and piece.isalnum() else "".join(map(self.byte.__getitem__, piece.encode()))
+            ids = array("I", [t.id for t in self.model.tokenize(written)])
+        self.of_piece[piece] = ids
         return ids
 
-    def part_ids(self, part: str) -> list[int]:
-        if "<|" in part:  # may hold a special token
-            return self.whole.encode(part, add_special_tokens=False).ids
-        if part.isascii():
-            found = self.pieces(part.lower())
-            if not part.isalnum():
-                found = [p.translate(self.bytes) for p in found]
-        else:
-            found = [p for p, _ in self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(part))]
-        return [i for p in found for i in self.piece_ids(p)]
-
     def learn(self, part: str) -> None:
-        self.pool.extend(self.part_ids(part))
-        self.ends.append(len(self.pool))
+        pool, of_piece = self.pool, self.of_piece
+        old = self.before.get(part)
+        if old is not None:
+            pool += self.pool_before[self.ends_before[old]:self.ends_before[old + 1]]
+        elif "<|" in part:  # may hold a special token
+            pool.extend(self.whole.encode(part, add_special_tokens=False).ids)
+        else:
+            low = part.lower()
+            if low.isascii() or max(low) < self.LATIN_END:
+                for piece in self.pieces(low):
+                    ids = of_piece.get(piece)
+                    pool += self.piece_ids(piece) if ids is None else ids
+            else:
+                normal = self.whole.normalizer.normalize_str(part)
+                for written, _ in self.whole.pre_tokenizer.pre_tokenize_str(normal):
+                    ids = of_piece.get("\ue000" + written)
+                    pool += self.piece_ids("\ue000" + written, written) if ids is None else ids
         self.known[part] = len(self.known)
+        self.ends.append(len(pool))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
@@ -173,19 +192,28 @@ class WordIds:
         parts = [x.replace("\n", " ").split(" ") for x in texts]
         for part in set().union(*parts).difference(self.known):
             self.learn(part)
-        known = self.known.__getitem__
-        at = np.fromiter((k for p in parts for k in map(known, p)), np.int64)
-        ends, pool = np.asarray(self.ends, np.int64), np.asarray(self.pool, np.uint32)
-        begin, number = ends[at], ends[at + 1] - ends[at]
+        count = [len(p) for p in parts]
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), np.int64, sum(count))
+        end, ids = np.array(self.ends, np.int64), np.array(self.pool, np.uint32)
+        begin, number = end[at], end[at + 1] - end[at]
         upto = np.cumsum(number)
-        ids = pool[np.repeat(begin - (upto - number), number) + np.arange(int(upto[-1]) if len(upto) else 0)]
-        last = np.cumsum([len(p) for p in parts])
-        sums = np.concatenate([[0], upto])[last]
+        ids = ids[np.repeat(begin - (upto - number), number) + np.arange(int(upto[-1]) if len(upto) else 0)]
+        sums = np.concatenate([[0], upto])[np.cumsum(count)]
         return ids, np.diff(np.concatenate([[0], sums]))
 
 
+def _encoder(path: str) -> WordIds:
+    """The Python worker's encoder, kept for its next tasks."""
+    import tokenizers
+
+    held = tokenizers.__dict__.setdefault("_tidepool_word_ids", {})
+    if path not in held:
+        held[path] = WordIds(path)
+    return held[path]
+
+
 def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids: int, slice_chars: int):
-    ids_of, shard, block = WordIds(path), TaskContext.get().partitionId(), 0
+    ids_of, shard, block = _encoder(path), TaskContext.get().partitionId(), 0
     docs, counts, ids, size = [], [], [], 0
 
     def row():
