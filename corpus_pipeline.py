@@ -10,6 +10,7 @@ The stages, each ``(spark, docs, sf_dir) -> DataFrame`` over all that the one be
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidepool.llm import mixing, quality, tokens
 from tidepool.llm.common import read
@@ -18,9 +19,10 @@ from tidepool.session import materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = quality.score(docs)
-    hosts = materialize(quality.host_rates(scored, "source"), "hosts")
-    return quality.judge(scored, hosts, "source").filter("kept").select(*docs.columns)
+    # The row travels as one column, so that no column of it can clash with the rules'.
+    scored = quality.score(docs.select(F.struct(*docs.columns).alias("_row"), "source", "text"))
+    judged = quality.judge(scored, quality.host_rates(scored, "source"), "source")
+    return judged.filter("kept").select("_row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import text_of, words_of
+from tidepool.llm.common import materialize, text_of, words_of
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50          # fewer words fail
@@ -83,17 +83,15 @@ def host_rates(scored: DataFrame, host: str) -> DataFrame:
     """
     failed = (F.col("base_failed") | F.col("soft_failed")).cast("long")
     hosts = scored.groupBy(F.col(host).alias("_host")).agg(F.count("*").alias("n_docs"), F.sum(failed).alias("n_failed"))
-    # Three sums over the hosts: one row, joined by a constant.
-    sums = hosts.agg(F.sum("n_docs").alias("n"), F.sum("n_failed").alias("f"),
-                     F.sum(F.col("n_failed") * F.col("n_failed") / F.col("n_docs")).alias("q"))
-    mean = F.col("f") / F.col("n")
-    # sum n (r - m)^2 = sum f^2 / n - n m^2
-    var = F.col("q") / F.col("n") - mean * mean
-    size = F.when(var > 1e-12, F.greatest(F.lit(1.0), F.least(F.lit(MAX_PRIOR), mean * (1 - mean) / var - 1)))
-    prior = sums.select(F.lit(0).alias("_one"), mean.alias("_m"), F.coalesce(size, F.lit(MAX_PRIOR)).alias("_s"))
-    rate = (F.col("n_failed") + F.col("_s") * F.col("_m")) / (F.col("n_docs") + F.col("_s"))
-    out = hosts.withColumn("_one", F.lit(0)).join(F.broadcast(prior), "_one")  # one row by construction
-    return out.select("_host", "n_docs", "n_failed", rate.alias("host_rate"), (rate > HOST_REJECT).alias("host_failed"))
+    hosts = materialize(hosts, "hosts")
+    # sum n (r - m)^2 = sum f^2 / n - n m^2: three sums over the hosts make the prior.
+    n, f, q = hosts.agg(F.sum("n_docs"), F.sum("n_failed"),
+                        F.sum(F.col("n_failed") * F.col("n_failed") / F.col("n_docs"))).first()
+    mean = f / n if n else 0.0
+    var = q / n - mean * mean if n else 0.0
+    size = max(1.0, min(MAX_PRIOR, mean * (1 - mean) / var - 1)) if var > 1e-12 else MAX_PRIOR
+    rate = (F.col("n_failed") + F.lit(size * mean)) / (F.col("n_docs") + F.lit(size))
+    return hosts.select("_host", "n_docs", "n_failed", rate.alias("host_rate"), (rate > HOST_REJECT).alias("host_failed"))
 
 
 def judge(scored: DataFrame, hosts: DataFrame, host: str) -> DataFrame:

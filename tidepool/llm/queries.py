@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import decontaminate, langid, mixing, quality, sharding, substring, tokens
+from tidepool.llm import decontaminate, langid, mixing, nearjoin, quality, sharding, substring, tokens
 from tidepool.llm.common import materialize, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -61,6 +61,10 @@ def op8_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearjoin.near_join(read(spark, sf_dir, "documents"))
+
+
 def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     found = decontaminate.scan(docs, items, keep=["doc_id"])
@@ -76,5 +80,6 @@ QUERIES: dict[str, Query] = {
     "op5_rendezvous": op5_rendezvous,
     "op7_host_rules": op7_host_rules,
     "op8_doubling": op8_doubling,
+    "op9_chosen_path": op9_chosen_path,
     "op10_fm_index": op10_fm_index,
 }
