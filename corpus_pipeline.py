@@ -3,8 +3,12 @@
 The stages, each ``(spark, docs, sf_dir) -> DataFrame`` over all that the one before kept:
 
 1. quality rules: documents that fail a rule, or whose host is rejected, go;
-2. mixing: documents are repeated or left out as the target weights ask, in training order;
-3. token ids: every row is encoded and written; the rows read back from the files are returned.
+2. near duplicates: of documents that similarity links connect, the one of least doc_id stays;
+3. decontamination: passages of the benchmark are cut from the texts; a document that has nothing else goes;
+4. mixing: documents are repeated or left out as the target weights ask, in training order;
+5. token ids: every row is encoded and written; the rows read back from the files are returned.
+
+Null doc_ids and texts are borne as the operators say; extra columns travel along, whatever their names.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import mixing, quality, tokens
+from tidepool.llm import decontaminate, mixing, nearjoin, quality, tokens
 from tidepool.llm.common import read
 from tidepool.llm.queries import END_ID, tokenizer_path
 from tidepool.session import materialize
@@ -22,7 +26,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     # The row travels as one column, so that no column of it can clash with the rules'.
     scored = quality.score(docs.select(F.struct(*docs.columns).alias("_row"), "source", "text"))
     judged = quality.judge(scored, quality.host_rates(scored, "source"), "source")
-    return judged.filter("kept").select("_row.*")
+    # A filter on a row number stays above the rules; pushed below them, it would repeat their expressions.
+    judged = judged.withColumn("_nth", F.monotonically_increasing_id())
+    return judged.filter(F.col("kept") & (F.col("_nth") >= 0)).select("_row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first row of each class of similar documents (see ``first_of_class``)."""
+    return nearjoin.first_of_class(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.cut(decontaminate.scan(docs, read(spark, sf_dir, "benchmark")))
+    hit = F.col("_found.n_hit") > 0
+    left = found.filter(~hit | (F.col("_found.n_hit") < F.col("_found.n_words")))
+    changed = {"text": F.when(hit, F.col("_clean")).otherwise(F.col("text")),
+               "n_chars": F.when(hit, F.length("_clean").cast("long")).otherwise(F.col("n_chars"))}
+    return left.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,16 +55,18 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
     ("mixing sources to target weights", mix_sources),
     ("token-ID / binary output", token_ids),
 ]
 
-ORACLE_SQL = None  # the tokenizer is not SQL
+ORACLE_SQL = None  # the tokenizer's ids are not SQL; tests hold the stages against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's rows are written and read again for the next."""
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), "stage")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,10 +2,9 @@
 
 Texts are embedded as ``COORDINATES`` tokens (place, smallest hash), of which two texts share a part that
 equals their sets' similarity, up to chance. A run draws a place; texts with the same token there share a path. Paths
-that many texts share are split again: each draws a place or two (1 / threshold on average, the
-branching at which similar pairs survive every level) by a hash of the path, and texts go on
-with their token there. Small buckets are compared by brute force, and runs repeat until a pair at the
-threshold has met with the target recall.
+that many texts share are split again: each draws a place by a hash of the path, and texts go on
+with their token there. Small buckets, and those that tokens no longer split, are compared by brute force, and runs
+repeat until a pair at the threshold has met with the target recall.
 
 What met is only a candidate: candidates' connected groups are then compared in full on their exact sets,
 so every link is counted once, whatever runs found it. Groups over ``BLOCK`` texts are dealt out as
@@ -36,7 +35,9 @@ RECALL = 0.9999
 MEET = 0.55             # least chance to meet in one run at the threshold (four levels of splitting)
 LEAF = 48               # buckets up to this size are not split
 DEPTH = 6               # levels of splitting at most; what is larger then is compared in blocks
-BLOCK = 512
+DENSE = 0.7             # a bucket that keeps this share of the one above is not split on
+FIRST_RUNS = 3
+BLOCK = 1024
 GROUP_ROWS = 4096       # rows of small buckets that go to a task together
 SLICE_BYTES = 1 << 21
 
@@ -83,12 +84,12 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             one = words.hashes()
             hashes, first, number = shingles(words)
             some = number > 0
-            sketch = np.zeros((len(number), COORDINATES), np.uint16)
+            sketch = np.zeros((len(number), COORDINATES), np.uint8)
             if some.any():
                 high = (hashes >> np.uint64(32)).astype(np.uint32)
                 for k in range(COORDINATES):
                     least = np.minimum.reduceat((high ^ _XOR[k]) * _MUL[k], first[some])
-                    sketch[some, k] = ((least * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
+                    sketch[some, k] = ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
             same = [xxhash.xxh3_128_digest(one[a:b].tobytes()) if b > a else None
                     for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist())]
             yield pd.DataFrame({
@@ -103,46 +104,60 @@ SKETCH_SCHEMA = "key bigint, tie bigint, node bigint, also bigint, sketch binary
 
 def _token(sketch, place):
     """The token of a sketch at a drawn place: place and value."""
-    return F.concat(place.cast("string"), F.lit(":"), F.hex(F.substring(sketch, place * 2 + 1, 2)))
+    return F.concat(place.cast("string"), F.lit(":"), F.hex(F.substring(sketch, place + 1, 1)))
 
 
 def _place(*salt):
     return F.pmod(F.xxhash64(*salt), F.lit(COORDINATES)).cast("int")
 
 
-def _paths(nodes: DataFrame, runs: int, leaf: int, depth: int) -> DataFrame:
-    """(path, node, n): the leaves that hold two or more nodes."""
+def _paths(nodes: DataFrame, runs: tuple[int, int], leaf: int, depth: int) -> DataFrame:
+    """(path, node, n): the leaves of the runs that hold nodes of two or more roots.
+
+    A bucket within one root has nothing to add and is dropped. One that its last token hardly split is of
+    texts alike throughout, which more tokens would not tell apart: it is a leaf, whatever its size.
+    """
     place = _place(F.lit("root"), F.col("run"))
-    level = nodes.select("node", "sketch", F.explode(F.sequence(F.lit(1), F.lit(runs))).alias("run"))
-    level = level.select("node", F.xxhash64("run", _token(F.col("sketch"), place)).alias("path"))
+    level = nodes.select("node", "root", "sketch", F.explode(F.sequence(F.lit(runs[0]), F.lit(runs[1]))).alias("run"))
+    level = level.select("node", "root", F.lit(0).cast("long").alias("above"),
+                         F.xxhash64("run", _token(F.col("sketch"), place)).alias("path"))
     leaves = None
     for d in range(depth + 1):
         level = materialize(level, "paths")
-        sizes = level.groupBy(F.col("path").alias("_p")).agg(F.count("*").alias("n")).filter("n > 1")
+        sizes = level.groupBy(F.col("path").alias("_p")).agg(
+            F.count("*").alias("n"), F.min("root").alias("_low"), F.max("root").alias("_high"))
+        sizes = sizes.filter("_low < _high").select("_p", "n")
         level = materialize(level.join(sizes, F.col("path") == F.col("_p")).drop("_p"), "buckets")
-        done = level if d == depth else level.filter(F.col("n") <= leaf)
+        small = (F.col("n") <= leaf) | (F.col("n") >= DENSE * F.col("above")) & (F.col("above") > 0)
+        done = level if d == depth else level.filter(small)
+        done = done.select("path", "node", "n")
         leaves = done if leaves is None else leaves.unionByName(done)
-        rest = level.filter(F.col("n") > leaf)
+        rest = level.filter(~small)
         if d == depth or not rest.limit(1).count():
             break
-        # One place, and a second for a quarter of the paths: 1 / 0.8 on average.
-        twice = F.pmod(F.xxhash64(F.lit("twice"), "path"), F.lit(4)) == 0
-        rest = rest.withColumn("branch", F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
         rest = rest.join(nodes.select(F.col("node").alias("_n"), "sketch"), F.col("node") == F.col("_n"))
-        level = rest.select("node", F.xxhash64("path", "branch", _token(
-            F.col("sketch"), _place(F.col("path"), F.col("branch")))).alias("path"))
+        level = rest.select("node", "root", F.col("n").alias("above"), F.xxhash64("path", _token(
+            F.col("sketch"), _place(F.col("path")))).alias("path"))
     return leaves
 
 
-def _dealt(rows: DataFrame, group: str, number: str, key: str, leaf: int) -> DataFrame:
+def _candidates(nodes: DataFrame, runs: tuple[int, int], leaf: int, depth: int) -> DataFrame:
+    """Links that connect the nodes whose sketches are alike and that meet in a leaf of the runs."""
+    leaves = _dealt(_paths(nodes, runs, leaf, depth), "path", "n", "node", BLOCK)
+    met = leaves.join(nodes.select(F.col("node").alias("_n"), "sketch"), F.col("node") == F.col("_n"))
+    met = met.select("task", "side", "path", "node", "sketch")
+    return materialize(met.groupBy("task").applyInPandas(_meet, "a bigint, b bigint"), "met")
+
+
+def _dealt(rows: DataFrame, group: str, number: str, key: str, whole: int) -> DataFrame:
     """``rows`` with ``task``, ``side``: small groups share a task by hash; each pair of blocks of a large one is a
     task (side 0 and 1, or 2 for a block with itself), so a row goes to as many tasks as its group has blocks."""
     spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    small = rows.filter(F.col(number) <= leaf)
+    small = rows.filter(F.col(number) <= whole)
     shares = max(spread, -(-small.count() // GROUP_ROWS))
     small = small.withColumn("task", F.concat(F.lit("s"), F.pmod(F.xxhash64(group), F.lit(shares)).cast("string")))
     small = small.withColumn("side", F.lit(2))
-    large = rows.filter(F.col(number) > leaf)
+    large = rows.filter(F.col(number) > whole)
     large = large.withColumn("_blocks", F.ceil(F.col(number) / BLOCK).cast("long"))
     large = large.withColumn("_mine", F.pmod(F.xxhash64(F.lit("block"), key), F.col("_blocks")))
     large = large.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
@@ -187,7 +202,7 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
     found = []
     for _, bucket in rows.groupby("path", sort=False):
         node = bucket["node"].to_numpy()
-        sketch = np.frombuffer(b"".join(bucket["sketch"]), np.uint16).reshape(len(node), -1)
+        sketch = np.frombuffer(b"".join(bucket["sketch"]), np.uint8).reshape(len(node), -1)
         left, right = _sides(bucket["side"].to_numpy())
         need = (THRESHOLD[0] / THRESHOLD[1] - SLACK) * COORDINATES
         forest = _Forest(len(node))
@@ -243,12 +258,12 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float = RECALL, leaf: int = LEAF,
               depth: int = DEPTH) -> DataFrame:
-    """One row per document: key, class_id, n_links, copy_id.
+    """One row per document: key, class_id, n_links, copy_id, text_hash.
 
     Two documents are linked if the Jaccard similarity of their sets of 5-word shingles is 0.8 or more (texts
     of fewer words have one shingle, all their words). n_links counts the other documents linked to this
     one, copies included. class_id is the least key among the documents that links connect; copy_id the
-    least key of those with the same words in the same order. Texts without words (null, empty, blank) are
+    least key of those with the same words in the same order; text_hash tells rows of one key apart. Texts without words (null, empty, blank) are
     linked to none and their own class. Null keys take part and are never a class id unless the class has
     no other. Repeated rows are copies. Other columns are not read.
     """
@@ -266,11 +281,14 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall:
                                & F.col("key").eqNullSafe(F.col("_k"))).select("node", "key", "tie", "sketch")
     standing = materialize(standing.dropDuplicates(["node"]), "standing")
 
-    leaves = _paths(standing, runs_for(recall), leaf, depth)
-    met = _dealt(leaves, "path", "n", "node", leaf)
-    met = met.join(standing.select(F.col("node").alias("_n"), "sketch"), F.col("node") == F.col("_n"))
-    candidates = met.select("task", "side", "path", "node", "sketch").groupBy("task").applyInPandas(_meet, "a bigint, b bigint")
-    groups = components(candidates)
+    # The first runs connect most of what is alike; later ones look only where that could still grow.
+    runs = runs_for(recall)
+    met = _candidates(standing.withColumn("root", F.col("node")), (1, FIRST_RUNS), leaf, depth)
+    found = components(met).withColumnRenamed("node", "_n")
+    rooted = standing.join(found, F.col("node") == F.col("_n"), "left").withColumn("root", F.coalesce("root", "node")).drop("_n")
+    rooted = materialize(rooted, "rooted")
+    met = met.unionByName(_candidates(rooted, (FIRST_RUNS + 1, runs), leaf, depth))
+    groups = components(met)
     sizes = groups.groupBy(F.col("root").alias("_r")).agg(F.count("*").alias("n"))
     groups = groups.join(sizes, F.col("root") == F.col("_r")).drop("_r")
     groups = groups.join(standing.select(F.col("node").alias("_n"), "key", "tie"), F.col("node") == F.col("_n")).drop("_n")
@@ -299,9 +317,27 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall:
     nodes = nodes.join(least, F.col("root") == F.col("_r"))
     nodes = nodes.select(F.col("node").alias("_n"), F.col("also").alias("_a"), "class_id", "copy_id",
                          (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = sketched.select("key", "node", "also").join(
+    out = sketched.select("key", "tie", "node", "also").join(
         nodes, (F.col("node") == F.col("_n")) & (F.col("also") == F.col("_a")), "left")
     none = F.col("node").isNull()
     return out.select(F.col("key").alias(key), F.when(none, F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      F.when(none, F.col("key")).otherwise(F.col("copy_id")).alias("copy_id"))
+                      F.when(none, F.col("key")).otherwise(F.col("copy_id")).alias("copy_id"),
+                      F.col("tie").alias("text_hash"))
+
+
+def first_of_class(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` per class of ``near_join``: the one of least key (nulls last), of those the one
+    of least text hash, of equal rows any. Rows without words are classes of their own and all stay.
+    """
+    classes = near_join(docs, key, text)
+    wordless = F.length(F.translate(text_of(text), " \t\n\x0b\x0c\r", "")) == 0
+    # Per class the least (key, text hash); a class without keys is told by its copies' text hash alone.
+    first = classes.filter(F.col(key) == F.col("class_id")).groupBy(F.col("class_id").alias("_id")).agg(
+        F.min("text_hash").alias("_hash"))
+    keyless = classes.filter("class_id is null").groupBy(F.lit(None).cast("long").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.lit(1).alias("_one")).drop("_one")
+    first = first.unionByName(keyless)
+    some = docs.filter(~wordless).withColumn("_tie", F.xxhash64(text_of(text).cast("binary")))
+    kept = some.join(first, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_hash")))
+    kept = kept.dropDuplicates(["_id", "_hash"])
+    return kept.select(*docs.columns).unionByName(docs.filter(wordless))

@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import decontaminate, langid, mixing, nearjoin, quality, sharding, substring, tokens
+from tidepool.llm import decontaminate, langid, mincut, mixing, nearjoin, pii, quality, sharding, substring, tokens
 from tidepool.llm.common import materialize, read
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 SHARDS = 24
+PII_KEY_CONF = "tidepool.pii.key"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,11 @@ def op1_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.decode(spark, folder)
 
 
+def op2_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = spark.conf.get(PII_KEY_CONF, "key of the example queries")
+    return pii.pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), key)
+
+
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies",
@@ -47,6 +53,11 @@ def op5_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op6_min_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mincut.extract(read(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     scored = quality.score(docs).drop("text")
@@ -75,9 +86,11 @@ def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simple8b": op1_simple8b,
+    "op2_feistel_pii": op2_feistel_pii,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_ppm_language": op4_ppm_language,
     "op5_rendezvous": op5_rendezvous,
+    "op6_min_cut": op6_min_cut,
     "op7_host_rules": op7_host_rules,
     "op8_doubling": op8_doubling,
     "op9_chosen_path": op9_chosen_path,
