@@ -6,7 +6,7 @@ the whole window, or until no candidates survive.
 
 At a short length a window is represented by one of its sequences, the one with the smallest hash: equal
 windows pick the same one, so a window whose pick occurs once in the corpus cannot repeat. Picks
-are few (2 in 20 to 30 words), and windows in a row share them.
+are few (about one in ten words), and windows in a row share them.
 
 Texts are packed to chunks of a bounded size. Per level each chunk sends the distinct hashes of its
 candidates, by hash bucket, and the bucket answers with one bit per hash: does it occur elsewhere? A
@@ -29,8 +29,8 @@ from tidepool.llm.common import materialize, text_of
 from tidepool.llm.wordhash import Words, grams
 
 LENGTH = 35
-SHORTEST = 9
-CHUNK_BYTES = 1 << 22
+SHORTEST = 18
+CHUNK_BYTES = 1 << 21
 BUCKET_WORDS = 1 << 19
 CHUNK_SCHEMA = "chunk bigint, keys array<bigint>, sizes binary, texts binary, n_words bigint"
 PROBE_SCHEMA = "bucket bigint, chunk bigint, hashes binary, again binary"
@@ -223,7 +223,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         replies = answers if replies is None else replies.unionByName(answers)
         per_chunk = replies.groupBy(F.col("chunk").alias("_c")).agg(
             F.collect_list(F.struct("level", "bucket", "n", "bits")).alias("replies"))
-        state = chunks.join(per_chunk, F.col("chunk") == F.col("_c"), "left").drop("_c")
+        state = chunks.hint("merge").join(per_chunk, F.col("chunk") == F.col("_c"), "left").drop("_c")
         state = state.withColumn("replies", F.coalesce("replies", F.expr(
             "cast(array() as array<struct<level:int,bucket:bigint,n:int,bits:binary>>)")))
     return state.mapInPandas(lambda b: _remove(b, sizes, buckets, length), RESULT_SCHEMA)

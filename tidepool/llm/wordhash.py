@@ -15,6 +15,7 @@ _TABLE = _random.integers(1, 2**64 - 1, (2, 256), dtype=np.uint64)
 _BASE = [int(x) | 1 for x in _random.integers(1, 2**64 - 1, 2, dtype=np.uint64)]
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
+STRETCH = 1 << 19
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -61,12 +62,21 @@ class Words:
         self.count = np.diff(self.first)
 
     def hashes(self, lane: int = 0) -> np.ndarray:
-        n = len(self.buffer)
-        power, inverse = _power(lane, n)
-        sums = np.empty(n + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(_TABLE[lane][self.buffer] * power, out=sums[1:])
-        return mix((sums[self.end] - sums[self.begin]) * inverse[self.begin])
+        # Stretches of a bounded length (or one longer word), so that the powers stay small.
+        out = np.empty(len(self.begin), np.uint64)
+        k = 0
+        while k < len(out):
+            start = self.begin[k]
+            stop = max(k + 1, int(np.searchsorted(self.end, start + STRETCH, side="right")))
+            part = self.buffer[start:self.end[stop - 1]]
+            power, inverse = _power(lane, len(part))
+            sums = np.empty(len(part) + 1, np.uint64)
+            sums[0] = 0
+            np.cumsum(_TABLE[lane][part] * power, out=sums[1:])
+            begin = self.begin[k:stop] - start
+            out[k:stop] = mix((sums[self.end[k:stop] - start] - sums[begin]) * inverse[begin])
+            k = stop
+        return out
 
     def left(self) -> np.ndarray:
         """Words from each word to its text's end, itself included."""
