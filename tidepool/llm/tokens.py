@@ -15,6 +15,7 @@ writer (a lost task leaves nothing behind). A block has
 
 from __future__ import annotations
 
+import gc
 import re
 import unicodedata
 import zlib
@@ -40,6 +41,8 @@ BLOCK_SCHEMA = ("shard int, block int, doc_ids array<bigint>, n_tokens array<big
                 "words binary, offsets binary, escapes binary")
 DOC_SCHEMA = "shard int, block int, seq int, doc_id bigint, within bigint, n_tokens bigint, ids_crc32 bigint"
 
+_POWERS = np.uint64(1) << np.arange(61, dtype=np.uint64)
+_WIDTH = np.searchsorted(_POWERS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.uint8)
 _COUNT = np.ones(16, np.int64)
 for _s, (_n, _) in SELECTORS.items():
     _COUNT[_s] = _n
@@ -60,7 +63,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     widest = 120
     bits = np.full((lanes, LANE + widest), 255, np.uint8)
     flat = np.full(lanes * LANE, 255, np.uint8)
-    flat[:n] = np.searchsorted(np.uint64(1) << np.arange(61, dtype=np.uint64), ids, side="right")
+    flat[:n] = _WIDTH[ids] if ids.max() < len(_WIDTH) else np.searchsorted(_POWERS, ids, side="right")
     bits[:, :LANE] = flat.reshape(lanes, LANE)
     best = np.where(bits[:, :LANE] > 60, 0, 14).astype(np.uint8)
     span, top = 1, bits  # top[i]: widest of the span ids from i on
@@ -131,7 +134,7 @@ class WordIds:
     PIECE = "'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^{0}{1}{2}]+"
     LATIN_END = "\u0250"
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 350_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -222,6 +225,7 @@ def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids:
                 "words": words.astype("<u8").tobytes(), "offsets": offsets.astype("<u4").tobytes(),
                 "escapes": escapes.astype("<u8").tobytes()}
 
+    gc.disable()  # many small objects, none in cycles
     for batch in batches:
         keys = [None if pd.isna(k) else int(k) for k in batch["doc_id"]]
         texts, begin = list(batch["text"]), 0
@@ -244,6 +248,7 @@ def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids:
             begin = end
     if docs:
         yield pd.DataFrame([row()])
+    gc.enable()
 
 
 def encode(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text",
