@@ -37,12 +37,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.cut(decontaminate.scan(docs, read(spark, sf_dir, "benchmark")))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    found = decontaminate.cut(decontaminate.scan(rows, read(spark, sf_dir, "benchmark")))
     hit = F.col("_found.n_hit") > 0
     left = found.filter(~hit | (F.col("_found.n_hit") < F.col("_found.n_words")))
     changed = {"text": F.when(hit, F.col("_clean")).otherwise(F.col("text")),
-               "n_chars": F.when(hit, F.length("_clean").cast("long")).otherwise(F.col("n_chars"))}
-    return left.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
+               "n_chars": F.when(hit, F.length("_clean").cast("long")).otherwise(F.col("_row.n_chars"))}
+    return left.select(*((changed[c] if c in changed else F.col("_row")[c]).alias(c) for c in docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -148,8 +148,8 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str =
     blocks = max(1, -(-sought.count() // most_phrases))
     if blocks > 1:
         sought = materialize(sought, "phrases")
-        docs = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
-        keep = [*(docs.columns if keep is None else keep), *([] if keep is None else ["_row"])]
+        docs = materialize(docs.withColumn("_pass_row", F.monotonically_increasing_id()), "documents")
+        keep = [*(docs.columns if keep is None else keep), *([] if keep is None else ["_pass_row"])]
     with_text = docs.select(*(docs.columns if keep is None else keep), text_of(text).cast("binary").alias("_text"))
     schema = T.StructType([*(f for f in with_text.schema.fields if f.name != "_text"), T.StructField("_found", FOUND)])
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
@@ -163,9 +163,9 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str =
         return passes[0]
     hits = None
     for one in passes:
-        part = one.filter("_found.n_hit > 0").select("_row", "_found.items", "_found.spans")
+        part = one.filter("_found.n_hit > 0").select("_pass_row", "_found.items", "_found.spans")
         hits = part if hits is None else hits.unionByName(part)
-    hits = hits.groupBy(F.col("_row").alias("_r")).agg(
+    hits = hits.groupBy(F.col("_pass_row").alias("_r")).agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.sort_array(F.flatten(F.collect_list("spans"))).alias("_spans"))
     # Blocks' spans may overlap or touch: a span is grown while the next one starts within it.
@@ -178,11 +178,11 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str =
                 F.greatest(F.get(done, F.size(done) - 1)["end"], x["end"]).alias("end")))),
         ).otherwise(F.concat(done, F.array(x)))))
     hits = hits.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["begin"]))
-    out = passes[0].join(hits, F.col("_row") == F.col("_r"), "left")
+    out = passes[0].join(hits, F.col("_pass_row") == F.col("_r"), "left")
     found = F.struct(F.col("_found.n_words").alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                      F.coalesce("items", F.col("_found.items")).alias("items"),
                      F.coalesce("spans", F.col("_found.spans")).alias("spans"))
-    kept = [f.name for f in schema.fields if f.name not in ("_row", "_found")]
+    kept = [f.name for f in schema.fields if f.name not in ("_pass_row", "_found")]
     return out.select(*kept, found.alias("_found"))
 
 

@@ -48,7 +48,7 @@ class FMIndex:
         self.words, self.gap = words, gap
         order = suffix_array(symbols)
         last = words[order - 1]  # 0 before a run; the text's last symbol ends a run too
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(words, minlength=int(words.max(initial=0)) + 2))])
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(words, minlength=1))])
         # Positions are kept for each SAMPLE-th word and each run's first, so a walk back stays in its run.
         kept = np.zeros(n, bool)
         kept[::SAMPLE] = True
@@ -89,7 +89,7 @@ class FMIndex:
         """Rows [low, high) whose suffixes start with each pattern (rows of ids, 0 at the left as filler)."""
         low, high = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.n, np.int64)
         live = np.arange(len(patterns))
-        most = len(self.first) - 2
+        most = len(self.first) - 2  # the highest word of this index
         for k in reversed(range(patterns.shape[1])):
             word = patterns[live, k]
             go = word > 0

@@ -328,16 +328,19 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall:
 
 def first_of_class(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of ``docs`` per class of ``near_join``: the one of least key (nulls last), of those the one
-    of least text hash, of equal rows any. Rows without words are classes of their own and all stay.
+    of least text hash, of equal rows any. Rows without words are classes of their own and all stay. In a
+    class without any key one row of each different text stays.
     """
     classes = near_join(docs, key, text)
-    wordless = F.length(F.translate(text_of(text), " \t\n\x0b\x0c\r", "")) == 0
+    empty = F.length(F.translate(text_of(text), " \t\n\x0b\x0c\r", "")) == 0
+    # The row travels as one column, so that no column of it can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).cast("long").alias("_key"),
+                       F.xxhash64(text_of(text).cast("binary")).alias("_tie"), empty.alias("_empty"))
     # Per class the least (key, text hash); a class without keys is told by its copies' text hash alone.
     first = classes.filter(F.col(key) == F.col("class_id")).groupBy(F.col("class_id").alias("_id")).agg(
         F.min("text_hash").alias("_hash"))
-    keyless = classes.filter("class_id is null").groupBy(F.lit(None).cast("long").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.lit(1).alias("_one")).drop("_one")
+    keyless = classes.filter("class_id is null").select(F.lit(None).cast("long").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     first = first.unionByName(keyless)
-    some = docs.filter(~wordless).withColumn("_tie", F.xxhash64(text_of(text).cast("binary")))
-    kept = some.join(first, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_hash")))
+    kept = rows.filter(~F.col("_empty")).join(first, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_hash")))
     kept = kept.dropDuplicates(["_id", "_hash"])
-    return kept.select(*docs.columns).unionByName(docs.filter(wordless))
+    return kept.select("_row").unionByName(rows.filter("_empty").select("_row")).select("_row.*")
