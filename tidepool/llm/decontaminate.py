@@ -111,7 +111,7 @@ def _scan(batches: Iterator[pa.RecordBatch], known: Phrases, kind: pa.DataType,
     shortest = int(known.lengths.min()) if len(known.lengths) else 1 << 62
     word_id = known.vocabulary.get
     for batch in batches:
-        texts = batch.column("_text")
+        texts = batch.column("_fm_text")
         counts, found, held, size = [], {}, [], 0
         for doc in range(batch.num_rows):
             words = texts[doc].as_py().translate(FOLD).split()
@@ -129,7 +129,7 @@ def _scan(batches: Iterator[pa.RecordBatch], known: Phrases, kind: pa.DataType,
             found |= search_shard(held, known)
         rows = [{"n_words": n, "n_hit": hit, "items": items, "spans": [{"begin": b, "end": e} for b, e in spans]}
                 for n, (hit, items, spans) in ((n, found.get(doc, (0, [], []))) for doc, n in enumerate(counts))]
-        kept = [c for c in batch.schema.names if c != "_text"]
+        kept = [c for c in batch.schema.names if c != "_fm_text"]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(rows, kind)], [*kept, "_found"])
 
 
@@ -141,17 +141,18 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str =
 
     Null texts have no words. Repeated rows are each searched. The phrases go to the tasks in blocks of
     about ``most_phrases`` (by hash of the phrase); with more than one block, each block passes over the
-    documents and the blocks' spans are merged per row. No items, no hits.
+    documents and the blocks' spans are merged per row. No items, no hits. A column ``_found`` of ``docs`` is replaced.
     """
     spark = docs.sparkSession
+    keep = [c for c in (docs.columns if keep is None else keep) if c != "_found"]
     sought = phrases(items, item_key, item_text, window)
     blocks = max(1, -(-sought.count() // most_phrases))
     if blocks > 1:
         sought = materialize(sought, "phrases")
         docs = materialize(docs.withColumn("_pass_row", F.monotonically_increasing_id()), "documents")
-        keep = [*(docs.columns if keep is None else keep), *([] if keep is None else ["_pass_row"])]
-    with_text = docs.select(*(docs.columns if keep is None else keep), text_of(text).cast("binary").alias("_text"))
-    schema = T.StructType([*(f for f in with_text.schema.fields if f.name != "_text"), T.StructField("_found", FOUND)])
+        keep = [*keep, "_pass_row"]
+    with_text = docs.select(*keep, text_of(text).cast("binary").alias("_fm_text"))
+    schema = T.StructType([*(f for f in with_text.schema.fields if f.name != "_fm_text"), T.StructField("_found", FOUND)])
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
                       ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))])
     passes = []
@@ -189,7 +190,7 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str =
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for text, found in zip(batch.column("_text").to_pylist(), batch.column("_found").to_pylist()):
+        for text, found in zip(batch.column("_fm_text").to_pylist(), batch.column("_found").to_pylist()):
             if found["spans"]:
                 at = [m.span() for m in WORD_BYTES.finditer(text)]
                 pieces, end = [], 0
@@ -198,7 +199,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     end = at[s["end"] - 1][1]
                 text = b"".join([*pieces, text[end:]])
             out.append(text.decode())
-        kept = [c for c in batch.schema.names if c != "_text"]
+        kept = [c for c in batch.schema.names if c != "_fm_text"]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out, pa.string())], [*kept, "_clean"])
 
 
@@ -206,4 +207,4 @@ def cut(scanned: DataFrame, text: str = "text") -> DataFrame:
     """``scanned`` (of ``scan``) plus ``_clean``: the text without the hit words and what stands between
     the words of a span. Texts without hits stay as they are (null: empty)."""
     schema = T.StructType([*scanned.schema.fields, T.StructField("_clean", T.StringType())])
-    return scanned.withColumn("_text", text_of(text).cast("binary")).mapInArrow(_cut, schema)
+    return scanned.withColumn("_fm_text", text_of(text).cast("binary")).mapInArrow(_cut, schema)

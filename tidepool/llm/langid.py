@@ -118,7 +118,7 @@ def _predict(batches: Iterator[pd.DataFrame], coder: Coder, memory: int) -> Iter
     table = np.empty((1024, len(coder.langs)))
     for batch in batches:
         langs, scores = [], []
-        for text in batch.pop("_text"):
+        for text in batch.pop("_langid_text"):
             words = _words(text)
             if not words or not coder.langs:
                 langs.append("und")
@@ -149,7 +149,7 @@ def predict(docs: DataFrame, model: dict[str, dict[bytes, int]], text: str = "te
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     coder = docs.sparkSession.sparkContext.broadcast(trees(model))  # bounded: see learn
-    rows = docs.select(*keep, text_of(text).alias("_text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_text"),
+    rows = docs.select(*keep, text_of(text).alias("_langid_text"))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_langid_text"),
                         "lang_pred string", "score double"])
     return rows.mapInPandas(lambda b: _predict(b, Coder(coder.value), memory), schema)

@@ -135,7 +135,7 @@ def main_text(page: str) -> str:
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        batch["text"] = [main_text(page) for page in batch.pop("_html")]
+        batch["text"] = [main_text(page) for page in batch.pop("_mincut_html")]
         yield batch
 
 
@@ -147,6 +147,6 @@ def extract(pages: DataFrame, html: str = "html", keep: list[str] | None = None)
     ``pages`` is replaced. Rows are independent; repeated rows give repeated results.
     """
     keep = [c for c in (pages.columns if keep is None else keep) if c != "text"]
-    rows = pages.select(*keep, text_of(html).alias("_html"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_html"]
+    rows = pages.select(*keep, text_of(html).alias("_mincut_html"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_mincut_html"]
     return rows.mapInPandas(_extract, ", ".join([*fields, "text string"]))

@@ -197,13 +197,13 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     some = body.rlike("[0-9@]")
     none = F.array().cast("array<string>")
-    out = docs.withColumn("_found", F.when(some, F.regexp_extract_all(body, F.lit(ANY), F.lit(0))).otherwise(none))
-    out = out.withColumn("_new", F.transform("_found", lambda m: _pseudonym(m, key)))
-    found, new = F.col("_found"), F.col("_new")
+    out = docs.withColumn("_pii_found", F.when(some, F.regexp_extract_all(body, F.lit(ANY), F.lit(0))).otherwise(none))
+    out = out.withColumn("_pii_new", F.transform("_pii_found", lambda m: _pseudonym(m, key)))
+    found, new = F.col("_pii_found"), F.col("_pii_new")
     pieces = F.split(F.col(text), ANY, -1)
     joined = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(new, i), F.lit("")))), "")
     changed = F.size(F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x))
     return out.withColumns({
         text: F.when(F.size(found) > 0, joined).otherwise(F.col(text)),
         "n_found": F.size(found).cast("long"), "n_replaced": changed.cast("long"),
-    }).drop("_found", "_new")
+    }).drop("_pii_found", "_pii_new")
