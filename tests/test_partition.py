@@ -1,21 +1,6 @@
-"""Partitioning: owned source, shuffle / rebalance, replicate-to-all."""
-
-import pyarrow as pa
-import pyarrow.parquet as pq
+"""Partitioning: owned rows, shuffle / rebalance, replicate-to-all."""
 
 from tidepool.operators import partition
-from tidepool.sources.owned import read_owned
-
-
-def test_owned_source_golden(spark, tmp_path):
-    # Ten row groups holding 0..9: with two owners, evens go to 0, odds to 1.
-    path = str(tmp_path / "ints.parquet")
-    pq.write_table(pa.table({"i": pa.array(range(10), pa.int64())}), path, row_group_size=1)
-    df = read_owned(spark, path, "i bigint", owners=2)
-    got = sorted((r.i, r.owner) for r in df.collect())
-    assert got == [(i, i % 2) for i in range(10)]
-    parts = df.rdd.glom().map(lambda rs: sorted(r.i for r in rs)).collect()
-    assert parts == [[0, 2, 4, 6, 8], [1, 3, 5, 7, 9]]
 
 
 def test_owned_partitions_layout(spark):

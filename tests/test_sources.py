@@ -18,3 +18,10 @@ def test_behavior_csv_round_trip_and_bad_lines(spark):
     assert stream.count() == ev.count()
     row = batch.orderBy("item_id").first()
     assert row.ts_ms % 1000 == 0 and row.event_time is not None
+
+
+def test_every_line_is_parsed_or_quarantined(spark):
+    lines = spark.createDataFrame([("1,2,a,view,10",), ("x,2,a,view,10",), ("",), (None,), ("1,2",), ("3,4,,,5",)], "value string")
+    good, bad = behavior.split_behavior_lines(lines)
+    assert sorted(r.user_id for r in good.collect()) == [1, 3]
+    assert bad.count() == 4

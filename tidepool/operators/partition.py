@@ -37,6 +37,14 @@ def replicate_to(df: DataFrame, n: int) -> DataFrame:
     return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("replica"))
 
 
+def spread(df: DataFrame, num_partitions: int, within: float) -> DataFrame:
+    """Per partition: does it hold its even share of the rows, give or take ``within`` of it?"""
+    sizes = df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    share = total / num_partitions
+    return sizes.select("partition", (F.abs(F.col("n") - share) <= within * share).alias("even"))
+
+
 def owned_partitions(df: DataFrame, key: str, owners: int) -> DataFrame:
     """Rows owned by partition ``key % owners``, laid out so partition k holds owner k.
 

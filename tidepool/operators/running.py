@@ -68,18 +68,19 @@ def _numeric_key(df: DataFrame, name: str) -> Column:
 
 def range_bounds(df: DataFrame, order_by: list[str], num_buckets: int,
                  seed: int = 7) -> list[tuple]:
-    """``num_buckets - 1`` cut points of the total order, from a bounded uniform sample.
+    """``num_buckets - 1`` cut points of the total order, from a uniform sample.
 
-    One job: ``orderBy(rand).limit(k)`` runs as a distributed top-k (each task
-    keeps at most ``k`` rows, the driver merges), so exactly
-    ``min(k, rows)`` uniformly drawn sort keys reach the driver, with
-    ``k = num_buckets * SAMPLE_PER_BUCKET``.
+    Rows are counted first and sampled with the fraction that yields about
+    ``k = num_buckets * SAMPLE_PER_BUCKET`` sort keys in all, so what reaches the
+    driver depends on the buckets asked for, not on the rows or their partitions.
     """
     if num_buckets <= 1:
         return []
     keys = df.select(*[_numeric_key(df, c).alias(f"_k{i}") for i, c in enumerate(order_by)]).dropna()
-    k = num_buckets * SAMPLE_PER_BUCKET
-    sample = sorted(tuple(r) for r in keys.orderBy(F.rand(seed)).limit(k).collect())
+    rows, k = keys.count(), num_buckets * SAMPLE_PER_BUCKET
+    if rows > k:
+        keys = keys.sample(False, k / rows, seed)
+    sample = sorted(tuple(r) for r in keys.collect())
     if not sample:
         return []
     cuts = [sample[(i * len(sample)) // num_buckets] for i in range(1, num_buckets)]
@@ -132,7 +133,10 @@ def with_range_buckets(df: DataFrame, order_by: list[str], num_buckets: int | No
         names = [f"_k{i}" for i in range(len(rest))]
         types = [df.select(_numeric_key(df, c)).schema[0].dataType for c in rest]
         row_rest = F.struct(*[_numeric_key(df, c).alias(nm) for c, nm in zip(rest, names)])
-        nested = [[dict(zip(names, c[1:])) for c in cuts if c[0] == d] for d in leads]
+        by_lead: dict = {d: [] for d in leads}
+        for c in cuts:
+            by_lead[c[0]].append(dict(zip(names, c[1:])))
+        nested = list(by_lead.values())
         ddl = "array<array<struct<" + ", ".join(f"{nm}: {t.simpleString()}" for nm, t in zip(names, types)) + ">>>"
         rests = F.from_json(F.lit(json.dumps(nested)), ddl)
         tied = F.size(F.filter(F.try_element_at(rests, idx + 1), lambda x: x <= row_rest))

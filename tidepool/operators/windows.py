@@ -68,11 +68,12 @@ def distinct_visitors(df: DataFrame, ts: str, size_us: int, visitor: str) -> Dat
 
     Stage 1 de-duplicates on (window, visitor); stage 2 counts per window.
     A hot window is spread over many tasks by stage 1, and stage 2 combines
-    partial counts map-side, so no task holds a window's visitor set.
+    partial counts map-side, so no task holds a window's visitor set.  A NULL
+    visitor is not counted, as in ``count(DISTINCT ...)``.
     """
     w = F.window(ts, _interval(size_us))
     pairs = df.select(w.alias("w"), visitor).distinct()
-    return (pairs.groupBy("w").agg(F.count(F.lit(1)).alias("uv"))
+    return (pairs.groupBy("w").agg(F.count(visitor).alias("uv"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uv"))
 
 

@@ -21,7 +21,7 @@ from tidepool.functions.timecols import bucket_index, epoch_seconds, micros
 from tidepool.operators import changelog, eventtime, joins, partition, rows, running as run, topn, windows
 from tidepool.operators.running import RANGE_BUCKET_COL, Running, id_bucket
 from tidepool.session import materialize, scratch_path
-from tidepool.sources import behavior, owned
+from tidepool.sources import behavior
 from tidepool.sources.tables import clicks, read_table
 
 MIN = micros(1, "min")
@@ -41,6 +41,9 @@ CLICK_THRESHOLD_CENTS = 500
 REPLICATE_RULE = {"click": 1, "view": 2}
 CONTROL_VALUE = {"signup": "click", "error": "view"}
 
+# Ids per bucket of the running aggregates here: small, so that also small tables carry over buckets.
+RUN_WIDTH = 4_096
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -88,8 +91,12 @@ def uv_hourly(spark, sf):
 
 
 def uv_hourly_approx(spark, sf):
+    """Per window: is the estimate within 5% (or one visitor) of the exact count?"""
     views = _events(spark, sf).filter(F.col("event_type") == "view")
-    return windows.distinct_visitors_approx(views, "ts", HOUR, "user_id")
+    near = windows.distinct_visitors_approx(views, "ts", HOUR, "user_id").withColumnRenamed("uv", "estimate")
+    both = windows.distinct_visitors(views, "ts", HOUR, "user_id").join(near, ["window_start", "window_end"])
+    off = F.abs(F.col("estimate") - F.col("uv"))
+    return both.select("window_start", "window_end", "uv", (off <= F.greatest(F.lit(1.0), 0.05 * F.col("uv"))).alias("near"))
 
 
 # --- rows -------------------------------------------------------------------------------
@@ -133,20 +140,49 @@ def csv_behavior_scan(spark, sf):
     return behavior.read_behavior_csv(spark, path)
 
 
+def quarantine_counts(spark, sf):
+    """Lines of both text formats, some of them broken: what was parsed and what was set aside."""
+    ev = _events(spark, sf)
+    # Every seventh user's line has no number where one has to be.
+    number = F.when(F.col("user_id") % 7 == 0, F.lit("n/a")).otherwise(epoch_seconds("ts").cast("string"))
+    good, bad = rows.parse_keyed_lines(rows.keyed_lines(ev, F.col("user_id"), number))
+    csv_good, csv_bad = behavior.split_behavior_lines(ev.select(F.concat_ws(
+        ",", "user_id", "event_id", "event_type", "event_type", number).alias("value")))
+    parts = [("keyed", "parsed", good), ("keyed", "quarantine", bad),
+             ("csv", "parsed", csv_good), ("csv", "quarantine", csv_bad)]
+    counted = [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(f).alias("format"), F.lit(k).alias("kind"), "n")
+               for f, k, d in parts]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])
+
+
+OWNERS = 8
+
+
 def partitioned_source(spark, sf):
-    # One owner per core: every reader task owns an equal share of row groups.
-    # (The reference's two-owner layout is the unit golden in tests.)
-    owners = spark.sparkContext.defaultParallelism
-    src = owned.read_owned(spark, f"{sf.rstrip('/')}/events.parquet",
-                           "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string", owners)
-    return src.select("event_id", "ts", "user_id", "event_type")
+    """Rows with their owner and the partition that holds them: they have to be the same."""
+    ev = _events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+    return partition.owned_partitions(ev, "event_id", OWNERS)
 
 
 def redistribute(spark, sf):
+    """Rows after keyBy, with whether all rows of their key are in one partition."""
     ev = _events(spark, sf).select("event_id", "user_id", "event_type")
-    spread = partition.shuffle(ev, 8)
-    spread = partition.rebalance(spread, 4)
-    return partition.key_by(spread, "user_id")
+    spread = partition.key_by(partition.shuffle(ev, OWNERS), "user_id", num_partitions=OWNERS)
+    spread = spread.withColumn("_p", F.spark_partition_id())
+    places = spread.groupBy("user_id").agg((F.min("_p") == F.max("_p")).alias("together"))
+    return spread.drop("_p").join(places, "user_id").select("event_id", "user_id", "event_type", "together")
+
+
+def shuffle_spread(spark, sf):
+    return partition.spread(partition.shuffle(_events(spark, sf), OWNERS), OWNERS, 0.5)
+
+
+def rebalance_spread(spark, sf):
+    return partition.spread(partition.rebalance(_events(spark, sf), OWNERS), OWNERS, 0.1)
+
+
+def parallelism_spread(spark, sf):
+    return partition.spread(partition.with_parallelism(_events(spark, sf), 3), 3, 0.1)
 
 
 def replicate_all(spark, sf):
@@ -170,7 +206,7 @@ def sql_tumble(spark, sf):
 
 def _per_user_running(spark, sf, specs):
     c = _clicks(spark, sf)
-    return run.running(c, ["event_id"], specs, partition_by=["user_id"], bucket=id_bucket("event_id"))
+    return run.running(c, ["event_id"], specs, partition_by=["user_id"], bucket=id_bucket("event_id", RUN_WIDTH))
 
 
 def running_count(spark, sf):
@@ -193,7 +229,7 @@ def running_avg_keyed(spark, sf):
 def running_avg(spark, sf):
     r = run.running(_clicks(spark, sf), ["event_id"],
                     [Running("s", "sum", "cents"), Running("n", "count", F.lit(1))],
-                    bucket=id_bucket("event_id"))
+                    bucket=id_bucket("event_id", RUN_WIDTH))
     return r.select("event_id", (F.col("s") / F.col("n")).alias("avg_cents"))
 
 
@@ -207,7 +243,7 @@ def running_events_per_user(spark, sf):
     rows_ = ev.select("event_id", F.lit(1).alias("is_row"), F.lit(0).alias("first_seen"))
     r = run.running(rows_.unionByName(firsts), ["event_id", "is_row"],
                     [Running("n", "sum", "is_row"), Running("users", "sum", "first_seen")],
-                    bucket=id_bucket("event_id"))
+                    bucket=id_bucket("event_id", RUN_WIDTH))
     return r.filter(F.col("is_row") == 1).select(
         "event_id", (F.col("n") / F.col("users")).alias("events_per_user"))
 
@@ -227,7 +263,7 @@ def throttled_avg(spark, sf):
 
 def changelog_count(spark, sf):
     ev = _events(spark, sf)
-    return changelog.changelog(ev, "user_id", "event_id", id_bucket("event_id"))
+    return changelog.changelog(ev, "user_id", "event_id", id_bucket("event_id", RUN_WIDTH))
 
 
 # --- event time ---------------------------------------------------------------------------
@@ -342,6 +378,10 @@ QUERIES: dict[str, Query] = {
     "csv_behavior_scan": csv_behavior_scan,
     "partitioned_source": partitioned_source,
     "redistribute": redistribute,
+    "shuffle_spread": shuffle_spread,
+    "rebalance_spread": rebalance_spread,
+    "parallelism_spread": parallelism_spread,
+    "quarantine_counts": quarantine_counts,
     "replicate_all": replicate_all,
     "sql_group_count": sql_group_count,
     "sql_tumble": sql_tumble,

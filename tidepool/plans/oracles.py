@@ -102,11 +102,32 @@ ORACLES: dict[str, str] = {
          make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS event_time
   FROM events""",
 
+    "uv_hourly_approx": """
+  SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
+         time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
+         count(DISTINCT user_id) AS uv, TRUE AS near
+  FROM events WHERE event_type = 'view' GROUP BY ALL""",
+
     "partitioned_source": """
-  SELECT event_id, ts, user_id, event_type FROM events""",
+  SELECT event_id, ts, user_id, event_type, CAST(event_id % 8 AS INTEGER) AS owner,
+         CAST(event_id % 8 AS INTEGER) AS partition FROM events""",
+
+    "shuffle_spread": """
+  SELECT CAST(p AS INTEGER) AS partition, TRUE AS even FROM range(8) r(p)""",
+
+    "rebalance_spread": """
+  SELECT CAST(p AS INTEGER) AS partition, TRUE AS even FROM range(8) r(p)""",
+
+    "parallelism_spread": """
+  SELECT CAST(p AS INTEGER) AS partition, TRUE AS even FROM range(3) r(p)""",
+
+    "quarantine_counts": """
+  SELECT format, kind, CAST(count(*) FILTER (WHERE coalesce(user_id % 7 = 0, FALSE) = (kind = 'quarantine')) AS BIGINT) AS n
+  FROM events, (VALUES ('keyed'), ('csv')) f(format), (VALUES ('parsed'), ('quarantine')) k(kind)
+  GROUP BY format, kind""",
 
     "redistribute": """
-  SELECT event_id, user_id, event_type FROM events""",
+  SELECT event_id, user_id, event_type, TRUE AS together FROM events""",
 
     "replicate_all": """
   SELECT r_regionkey, r_name, CAST(0 AS INTEGER) AS replica FROM region

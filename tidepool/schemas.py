@@ -23,12 +23,6 @@ CHANGELOG_OUT = T.StructType([
     T.StructField("op_seq", T.IntegerType()),
 ])
 
-# A fired event-time timer (epoch milliseconds, the timer service's resolution).
-TIMER_OUT = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("timer_ms", T.LongType()),
-])
-
 # A row tagged against the watermark it met on arrival.
 LATE_OUT = T.StructType([
     T.StructField("event_id", T.LongType()),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,32 +46,16 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Event-time arithmetic in this library is defined in UTC; Python workers need the package."""
+    """Event-time arithmetic in this library is defined in UTC."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ship_package(spark)
-
-
-def ship_package(spark: SparkSession | None = None) -> None:
-    """Make the library's functions and classes usable in every Python worker.
-
-    Importing ``tidepool`` already registers it for pickling by value (see the
-    package ``__init__``); this re-checks it for callers that import modules
-    in unusual ways.
-    """
-    import sys
-
-    from pyspark import cloudpickle
-
-    pkg = sys.modules[__name__.rsplit(".", 1)[0]]
-    if not cloudpickle.cloudpickle._is_registered_pickle_by_value(pkg):
-        cloudpickle.register_pickle_by_value(pkg)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    Only when the session has none (local tests) is a fresh folder created.
+    A session without one gets a fresh folder only in local mode (one process, as in tests); on a
+    cluster a machine-local folder would not be seen by the executors, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -79,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local($|\[)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidepool-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -112,4 +99,4 @@ STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
 
 
 __all__ = ["build_session", "ensure_utc", "ensure_checkpoint_dir", "scratch_path", "materialize",
-           "ship_package", "DEFAULT_CONF", "STATE_STORE_KEY", "STATE_STORE_PROVIDER"]
+           "DEFAULT_CONF", "STATE_STORE_KEY", "STATE_STORE_PROVIDER"]

@@ -20,7 +20,8 @@ def write_behavior_csv(events: DataFrame, path: str) -> str:
 
 
 def _parse(raw: DataFrame) -> DataFrame:
-    """Typed rows; a line whose numeric fields do not parse is dropped.
+    """Typed rows; a line whose numeric fields do not parse is left out here
+    (``split_behavior_lines`` gives those lines).
 
     The lines are read PERMISSIVE (bad fields become NULL) and filtered here:
     an explicit predicate holds for every projection, whereas DROPMALFORMED
@@ -45,3 +46,12 @@ def stream_behavior_csv(spark: SparkSession, path: str, max_files_per_trigger: i
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return _parse(reader.csv(path))
+
+
+def split_behavior_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(parsed, quarantine)`` of text lines (column ``value``), batch or stream: every line is in one of them."""
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in USER_BEHAVIOR_CSV.fields)
+    raw = lines.select("value", F.from_csv("value", ddl, {"mode": "PERMISSIVE"}).alias("_r"))
+    valid = F.col("_r.user_id").isNotNull() & F.col("_r.item_id").isNotNull() & F.col("_r.epoch_s").isNotNull()
+    valid = F.coalesce(valid, F.lit(False))
+    return _parse(raw.filter(valid).select("_r.*")), raw.filter(~valid).select("value")

@@ -20,47 +20,10 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Tables that grow with the data.  Dimension tables (region, nation, ...) are
-# left as scanned.
-FACT_TABLES = ("lineitem", "orders", "events", "documents", "pages", "conversations")
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan a table; spread a fact table whose scan yields fewer splits than cores.
-
-    A parquet row group is the smallest scan split, so a file written as one
-    row group is read by one task and everything up to the first shuffle runs
-    on one core.  A round-robin repartition spreads such a scan over all cores;
-    filters and column pruning are still pushed below it into the scan.  At
-    cluster scale the scan has thousands of splits and this is a no-op.
-    """
+    """Scan a table. How many splits it is read in is for ``spark.sql.files.maxPartitionBytes``."""
     ensure_utc(spark)
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
-    if name in FACT_TABLES:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores and _size_bytes(path) > cores * FAN_OUT_BYTES_PER_CORE:
-            df = df.repartition(cores)
-    return df
-
-
-# Below this much input per core, an extra shuffle costs more than it saves.
-FAN_OUT_BYTES_PER_CORE = 1 << 20
-
-
-def _size_bytes(path: str) -> int:
-    """Total size of a file or folder (0 if it cannot be listed)."""
-    try:
-        import pyarrow.fs as pafs
-
-        fs, root = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-        info = fs.get_file_info(root)
-        if info.type == pafs.FileType.File:
-            return info.size
-        return sum(i.size for i in fs.get_file_info(pafs.FileSelector(root, recursive=True))
-                   if i.type == pafs.FileType.File)
-    except Exception:  # noqa: BLE001 - an unknown size only means "do not fan out"
-        return 0
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def clicks(events: DataFrame) -> DataFrame:

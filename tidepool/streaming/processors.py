@@ -12,7 +12,6 @@ import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidepool.schemas import CHANGELOG_OUT, LATE_OUT, TIMER_OUT  # noqa: F401 (output types)
 
 def _epoch_micros(s: pd.Series) -> np.ndarray:
     """Epoch microseconds of a pandas timestamp column, aware or naive (naive = UTC)."""
@@ -56,36 +55,6 @@ class ChangelogCount(StatefulProcessor):
         pass
 
 
-class EventTimeAlarm(StatefulProcessor):
-    """Register an event-time timer ``delay_ms`` after every row; emit it when it fires.
-
-    Row-based (``transformWithState``): a timer callback produces one row, so
-    no per-timer pandas frame is built.  Input carries ``ts_ms`` (epoch ms)
-    next to the watermarked ``ts``.  Timers are kept by Spark's timer store
-    (one per key and timestamp, as in the reference); no other state is held.
-    """
-
-    delay_ms = 5_000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-
-    def handleInputRows(self, key, rows, timerValues):
-        if key[0] is None or key[0] < 0:  # the end-of-input marker only moves the watermark
-            return iter([])
-        for t in {r.ts_ms for r in rows}:
-            self.handle.registerTimer(t + self.delay_ms)
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if key[0] is None or key[0] < 0:
-            return iter([])
-        return iter([Row(user_id=key[0], timer_ms=expiredTimerInfo.getExpiryTimeInMs())])
-
-    def close(self) -> None:
-        pass
-
-
 class KeyedLateSplit(StatefulProcessor):
     """Tag rows late / ok against a per-key watermark (max event time - delay - 1 ms).
 
@@ -166,7 +135,7 @@ class Reconciler(StatefulProcessor):
 
     Each call reads and writes the key's state once and touches timers only for
     sides still waiting when the call ends (every state or timer operation is a
-    round trip to the JVM).  Input: key, ``side`` ('order' / 'pay'), ``ts_ms``.
+    round trip to the JVM).  Grouped by (key, ``is_end``); input: ``side`` ('order' / 'pay'), ``ts_ms``.
     """
 
     within_ms = 90 * 86_400_000
@@ -201,8 +170,8 @@ class Reconciler(StatefulProcessor):
                     self.handle.registerTimer(st[side] + self.within_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        k = key[0]
-        if k is None or k < 0:  # the end-of-input marker only moves the watermark
+        k, is_end = key
+        if is_end:  # the end-of-input marker only moves the watermark
             return iter([])
         st, out = self._load(), []
         before = list(st)
@@ -224,8 +193,6 @@ class Reconciler(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         k = key[0]
-        if k is None or k < 0:
-            return iter([])
         st, out = self._load(), []
         before = list(st)
         self._expire(k, st, expiredTimerInfo.getExpiryTimeInMs() + 1, out)

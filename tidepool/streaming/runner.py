@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.session import STATE_STORE_KEY, STATE_STORE_PROVIDER, ensure_utc, scratch_path
-from tidepool.sources.tables import FACT_TABLES, FAN_OUT_BYTES_PER_CORE, _size_bytes, table_path
+from tidepool.sources.tables import table_path
 
 # Event time of the end-of-input marker.  A bounded source ends with a maximal
 # watermark so every window fires; a file stream does not, so one row this far
@@ -27,6 +29,10 @@ SENTINEL_TS = dt.datetime(2200, 1, 1)
 CHANGELOG_KEY = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
+#: Marks the end-of-input row; real rows have FALSE, whatever their other columns hold.
+END_COL = "is_end"
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """A table file read as a stream (schema taken from the file footer, not inferred from rows)."""
@@ -38,31 +44,41 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(pattern)
-    # Same rule as batch scans: a large fact file read as one split is spread
-    # over the cores (a real stream gets its parallelism from many files).
-    cores = spark.sparkContext.defaultParallelism
-    if name in FACT_TABLES and _size_bytes(path) > cores * FAN_OUT_BYTES_PER_CORE:
-        stream = stream.repartition(cores)
-    return stream
-
-
-def with_end_marker(spark: SparkSession, stream: DataFrame, ts: str) -> DataFrame:
-    """Union a one-row end-of-input marker (all columns NULL but ``ts``) into ``stream``."""
-    # Every column but the event time is NULL in the marker, so all are nullable.
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in stream.schema.fields])
-    marker_dir = scratch_path(spark, "end-marker")
-    row = {f.name: None for f in schema.fields}
-    row[ts] = SENTINEL_TS
-    spark.createDataFrame([tuple(row[f.name] for f in schema.fields)], schema).write.parquet(marker_dir)
-    marker = spark.readStream.schema(schema).parquet(marker_dir)
-    return stream.unionByName(marker)
-
-
-def replay_files(spark: SparkSession, df: DataFrame, order_col: str, n_files: int, path: str,
-                 marker_ts: str | None = None) -> str:
-    """Write ``df`` as ``n_files`` parquet files in ``order_col`` order, one after
-    another, then (optionally) the end-of-input marker as the last file.
+    return reader.parquet(pattern)
+
+
+class EndMarker:
+    """The end of a bounded input: one row far in the future, in a source of its own.
+
+    The source is empty while the input is read, however many micro-batches that takes.
+    ``deliver`` then adds the row, and another run on the same checkpoint reads it, which
+    moves the watermark past every real window.
+    """
+
+    def __init__(self, spark: SparkSession, schema: T.StructType, ts: str):
+        self.spark, self.ts = spark, ts
+        self.schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+        self.folder = scratch_path(spark, "end-marker")
+        spark.createDataFrame([], self.schema).write.parquet(self.folder)
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.schema).parquet(self.folder)
+
+    def deliver(self) -> None:
+        row = {f.name: None for f in self.schema.fields} | {self.ts: SENTINEL_TS, END_COL: True}
+        rows = [tuple(row[f.name] for f in self.schema.fields)]
+        self.spark.createDataFrame(rows, self.schema).write.mode("append").parquet(self.folder)
+
+
+def with_end_marker(spark: SparkSession, stream: DataFrame, ts: str) -> tuple[DataFrame, EndMarker]:
+    """``stream`` plus ``is_end`` and the source of its end marker; hand the marker to ``run_to_table``."""
+    flagged = stream.withColumn(END_COL, F.lit(False))
+    end = EndMarker(spark, flagged.schema, ts)
+    return flagged.unionByName(end.stream()), end
+
+
+def replay_files(spark: SparkSession, df: DataFrame, order_col: str, n_files: int, path: str) -> str:
+    """Write ``df`` as ``n_files`` parquet files in ``order_col`` order, one after another.
 
     Read back with ``maxFilesPerTrigger=1`` this replays the table as a stream
     of ``n_files`` micro-batches in arrival order (file streams take files in
@@ -75,12 +91,6 @@ def replay_files(spark: SparkSession, df: DataFrame, order_col: str, n_files: in
     for i in range(n_files):
         chunk = df.filter((F.col(order_col) >= lo + i * width) & (F.col(order_col) < lo + (i + 1) * width))
         chunk.coalesce(1).write.mode("append").parquet(path)
-    if marker_ts:
-        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-        row = {f.name: None for f in schema.fields}
-        row[marker_ts] = SENTINEL_TS
-        (spark.createDataFrame([tuple(row[f.name] for f in schema.fields)], schema)
-         .coalesce(1).write.mode("append").parquet(path))
     return path
 
 
@@ -94,12 +104,35 @@ def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
+@contextmanager
+def _state_store(spark: SparkSession, rocksdb: bool):
+    """The state store provider is fixed when a query starts: RocksDB (committing only each batch's
+    changes) for queries that need it (stateful processors), then the session's own again."""
+    wanted = {STATE_STORE_KEY: STATE_STORE_PROVIDER, CHANGELOG_KEY: "true"} if rocksdb else {}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode: str = "append",
                  per_batch: Callable[[DataFrame], DataFrame] | None = None,
                  rocksdb: bool = False,
-                 per_batch_sink: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
+                 per_batch_sink: Callable[[DataFrame, int], None] | None = None,
+                 end: EndMarker | None = None) -> DataFrame:
     """Run ``query`` until the available input is consumed; return what it wrote.
 
+    With ``end``, the end marker is delivered after that and read by another run on the same
+    checkpoint; its own result rows (``is_end``) are left out of what was written, not inside the query, where
+    Catalyst would push the filter below the watermark and the marker would never count.
+
     ``append`` results go to a parquet file sink (exactly-once through the
     sink's commit log).  ``update`` / ``complete`` results, or any query with a
     ``per_batch`` step, go through ``foreachBatch``: ``complete`` overwrites the
@@ -107,41 +140,40 @@ def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode:
     """
     out = scratch_path(spark, f"out-{name}")
     ckpt = scratch_path(spark, f"ckpt-{name}")
-    writer = query.writeStream.option("checkpointLocation", ckpt).outputMode(output_mode)
-    # The state store provider is fixed when a query starts; set it only for
-    # queries that need RocksDB (stateful processors) and restore it after.
-    previous = spark.conf.get(STATE_STORE_KEY, None)
-    previous_changelog = spark.conf.get(CHANGELOG_KEY, None)
-    if rocksdb:
-        spark.conf.set(STATE_STORE_KEY, STATE_STORE_PROVIDER)
-        # Commit only the changes of each batch instead of a full snapshot.
-        spark.conf.set(CHANGELOG_KEY, "true")
-    try:
+
+    def real(rows: DataFrame) -> DataFrame:
+        return rows.filter(~F.col(END_COL)).drop(END_COL) if END_COL in rows.columns else rows
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        batch = real(batch)
+        result = per_batch(batch) if per_batch else batch
+        if output_mode == "complete":
+            result.write.mode("overwrite").parquet(out)
+        else:
+            write_epoch(result, out, epoch)
+
+    def run() -> None:
+        writer = query.writeStream.option("checkpointLocation", ckpt).outputMode(output_mode)
         if per_batch_sink is not None:
-            handle = writer.foreachBatch(per_batch_sink).trigger(availableNow=True).start()
+            writer = writer.foreachBatch(per_batch_sink)
         elif per_batch is None and output_mode == "append":
-            handle = writer.format("parquet").option("path", out).trigger(availableNow=True).start()
+            writer = writer.format("parquet").option("path", out)
         else:
-            def sink(batch: DataFrame, epoch: int) -> None:
-                result = per_batch(batch) if per_batch else batch
-                if output_mode == "complete":
-                    result.write.mode("overwrite").parquet(out)
-                else:
-                    write_epoch(result, out, epoch)
-
-            handle = writer.foreachBatch(sink).trigger(availableNow=True).start()
-    finally:
-        if rocksdb:
-            for key, value in ((STATE_STORE_KEY, previous), (CHANGELOG_KEY, previous_changelog)):
-                if value is None:
-                    spark.conf.unset(key)
-                else:
-                    spark.conf.set(key, value)
-    handle.awaitTermination()
-    if handle.exception():
-        raise handle.exception()
+            writer = writer.foreachBatch(sink)
+        with _state_store(spark, rocksdb):
+            handle = writer.trigger(availableNow=True).start()
+        handle.awaitTermination()
+        if handle.exception():
+            raise handle.exception()
+
+    run()
+    if end is not None:
+        end.deliver()
+        run()
     empty = spark.createDataFrame([], query.schema)
-    expected = (per_batch(empty) if per_batch else empty).schema
+    if per_batch is None and output_mode == "append":
+        return real(read_epochs(spark, out, empty.schema))
+    expected = (per_batch(real(empty)) if per_batch else real(empty)).schema
     return read_epochs(spark, out, expected)
 
 
@@ -151,9 +183,15 @@ def write_epoch(df: DataFrame, path: str, epoch: int) -> None:
 
 
 def read_epochs(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read a sink written by the file sink or by :func:`write_epoch` (epoch column dropped)."""
+    """Read a sink written by the file sink or by :func:`write_epoch` (epoch column dropped).
+
+    A sink without a single row (no folder, or no data files in it) is an empty result; anything
+    else that goes wrong is an error.
+    """
     try:
         df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no batch produced output: an empty result
-        return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return spark.createDataFrame([], schema)
+        raise
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])

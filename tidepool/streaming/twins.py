@@ -2,12 +2,15 @@
 
 Each twin reads a table as a file stream, runs to completion with
 ``availableNow`` and returns what its sink wrote, so it is checked against the
-same oracle as its batch form.  Event-time twins union an end-of-input marker
-so every window closes (a bounded source ends with a maximal watermark).
+same oracle as its batch form.  Event-time twins read their table over several
+micro-batches in event order; an end-of-input marker is delivered after the last one, so
+that every window closes (a bounded source ends with a maximal watermark).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +21,10 @@ from tidepool.plans.oracles import ORACLES
 from tidepool.session import scratch_path
 from tidepool.sources import behavior
 from tidepool.operators import eventtime
-from tidepool.schemas import CHANGELOG_OUT, LATE_OUT, RECONCILE_OUT, TIMER_OUT
-from tidepool.streaming.processors import ChangelogCount, EventTimeAlarm, KeyedLateSplit, Reconciler
-from tidepool.streaming.runner import (event_time, read_epochs, run_to_table, table_stream,
-                                      with_end_marker, write_epoch)
+from tidepool.schemas import CHANGELOG_OUT, LATE_OUT, RECONCILE_OUT
+from tidepool.streaming.processors import ChangelogCount, KeyedLateSplit, Reconciler
+from tidepool.streaming.runner import (END_COL, event_time, read_epochs, replay_files, replay_stream, run_to_table,
+                                      table_stream, with_end_marker, write_epoch)
 
 HOUR = micros(1, "h")
 
@@ -32,15 +35,24 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
+#: Micro-batches in which a registered event-time twin reads its table.
+N_BATCHES = 4
+
+
+def _replayed(spark, df: DataFrame, order: str, n_files: int = N_BATCHES) -> DataFrame:
+    """``df`` as a stream of ``n_files`` micro-batches in the order of an integer column."""
+    path = replay_files(spark, df, order, n_files, scratch_path(spark, "replay"))
+    return replay_stream(spark, path, df.schema)
+
+
 def _events_with_marker(spark, sf, events: DataFrame | None = None):
-    """The events stream with its end-of-input marker, event time as TIMESTAMP.
+    """The events stream, event time as TIMESTAMP, and its end-of-input marker.
 
-    ``events`` replaces the table stream (e.g. a multi-file replay that
-    already ends with the marker)."""
-    if events is not None:
-        return event_time(events)
-    ev = table_stream(spark, sf, "events")
-    return event_time(with_end_marker(spark, ev, "ts"))
+    The table is replayed in event order over several micro-batches; ``events`` replaces that stream."""
+    if events is None:
+        events = _replayed(spark, catalog.read_table(spark, sf, "events"), "event_id")
+    stream, end = with_end_marker(spark, events, "ts")
+    return event_time(stream), end
 
 
 def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,53 +64,68 @@ def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_tumbling_count(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """Event-time tumbling count, append mode: each window is emitted once, when it closes."""
-    ev = _events_with_marker(spark, sf, events).withWatermark("ts", "0 seconds")
-    counts = (ev.groupBy(F.window("ts", "1 hour").alias("w"), "user_id")
+    ev, end = _events_with_marker(spark, sf, events)
+    ev = ev.withWatermark("ts", "0 seconds")
+    counts = (ev.groupBy(F.window("ts", "1 hour").alias("w"), "user_id", END_COL)
               .agg(F.count(F.lit(1)).alias("cnt"))
               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      "user_id", "cnt"))
-    out = run_to_table(spark, counts, "tumbling-count")
-    return _ntz(out.filter(F.col("user_id").isNotNull()), "window_start", "window_end")
+                      "user_id", "cnt", END_COL))
+    return _ntz(run_to_table(spark, counts, "tumbling-count", end=end), "window_start", "window_end")
+
+
+def stream_sql_tumble(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
+    """SQL tumbling window over a streaming view with a watermark; each window is emitted once."""
+    ev, end = _events_with_marker(spark, sf, events)
+    view = f"tp_stream_{uuid.uuid4().hex[:12]}"
+    ev.withWatermark("ts", "0 seconds").createOrReplaceTempView(view)
+    q = spark.sql(f"""
+        SELECT user_id, COUNT(event_type) AS cnt, window.end AS end_t, is_end
+        FROM {view} GROUP BY user_id, is_end, window(ts, '1 hour')""")
+    out = run_to_table(spark, q, "sql-tumble", end=end)
+    spark.catalog.dropTempView(view)
+    return _ntz(out, "end_t")
 
 
 def stream_topn_per_window(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
-    """Sliding-window counts in append mode, then top-N per window in each micro-batch.
+    """Pane counts, sliding windows over the panes (both append mode), top-N per window in each micro-batch.
 
-    A window's counts are all emitted in the micro-batch in which it closes,
+    Rows are counted per 5-minute pane first; only pane counts are expanded to the 12 windows
+    they are in.  A window's counts are all emitted in the micro-batch in which it closes,
     so ranking inside that batch is exact and no state holds a window's items.
     """
-    ev = _events_with_marker(spark, sf, events).withWatermark("ts", "0 seconds")
-    counts = (ev.groupBy(F.window("ts", "1 hour", "5 minutes").alias("w"), "event_type")
-              .agg(F.count(F.lit(1)).alias("cnt"))
+    ev, end = _events_with_marker(spark, sf, events)
+    ev = ev.withWatermark("ts", "0 seconds")
+    panes = ev.groupBy(F.window("ts", "5 minutes").alias("pane"), "event_type", END_COL).agg(F.count(F.lit(1)).alias("n"))
+    counts = (panes.groupBy(F.window("pane", "1 hour", "5 minutes").alias("w"), "event_type", END_COL)
+              .agg(F.sum("n").alias("cnt"))
               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      "event_type", "cnt"))
+                      "event_type", "cnt", END_COL))
 
     def rank(batch: DataFrame) -> DataFrame:
-        real = batch.filter(F.col("event_type").isNotNull())
-        top = topn.top_n(real, ["window_start", "window_end"],
+        top = topn.top_n(batch, ["window_start", "window_end"],
                          [F.desc("cnt"), F.asc("event_type")], catalog.TOP_N)
         return top.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                           F.col("window_end").cast("timestamp_ntz").alias("window_end"),
                           F.col("event_type").alias("item"), "cnt",
                           F.col("rank").cast("bigint").alias("rank"))
 
-    return run_to_table(spark, counts, "topn", per_batch=rank)
+    return run_to_table(spark, counts, "topn", per_batch=rank, end=end)
 
 
 def stream_uv_hourly(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """Exact hourly distinct viewers: distinct (window, user) in append mode, counted per batch."""
-    ev = _events_with_marker(spark, sf, events).withWatermark("ts", "0 seconds")
-    views = ev.filter((F.col("event_type") == "view") | F.col("event_type").isNull())
-    pairs = (views.groupBy(F.window("ts", "1 hour").alias("w"), "user_id").agg(F.count(F.lit(1)).alias("_n"))
-             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id"))
+    ev, end = _events_with_marker(spark, sf, events)
+    ev = ev.withWatermark("ts", "0 seconds")
+    views = ev.filter((F.col("event_type") == "view") | F.col(END_COL))
+    pairs = (views.groupBy(F.window("ts", "1 hour").alias("w"), "user_id", END_COL).agg(F.count(F.lit(1)).alias("_n"))
+             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id", END_COL))
 
     def count(batch: DataFrame) -> DataFrame:
-        return (batch.filter(F.col("user_id").isNotNull())
-                .groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("uv"))
+        return (batch.groupBy("window_start", "window_end").agg(F.count("user_id").alias("uv"))
                 .select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "uv"))
 
-    return run_to_table(spark, pairs, "uv-hourly", per_batch=count)
+    return run_to_table(spark, pairs, "uv-hourly", per_batch=count, end=end)
 
 
 def stream_window_join(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
@@ -108,22 +135,22 @@ def stream_window_join(spark: SparkSession, sf: str, events: DataFrame | None =
     window's counts for both sides close in the same micro-batch, so the join
     of the two count sets runs inside that batch and holds no join state.
     """
-    ev = _events_with_marker(spark, sf, events).withWatermark("ts", "0 seconds")
-    sides = ev.filter(F.col("event_type").isin("click", "view") | F.col("event_type").isNull())
-    counts = (sides.groupBy("user_id", F.window("ts", "1 day").alias("w"), "event_type")
+    ev, end = _events_with_marker(spark, sf, events)
+    ev = ev.withWatermark("ts", "0 seconds")
+    sides = ev.filter(F.col("event_type").isin("click", "view") | F.col(END_COL))
+    counts = (sides.groupBy("user_id", F.window("ts", "1 day").alias("w"), "event_type", END_COL)
               .agg(F.count(F.lit(1)).alias("n"))
               .select("user_id", F.col("w.start").alias("window_start"),
-                      F.col("w.end").alias("window_end"), "event_type", "n"))
+                      F.col("w.end").alias("window_end"), "event_type", "n", END_COL))
 
     def join_sides(batch: DataFrame) -> DataFrame:
         keys = ["user_id", "window_start", "window_end"]
-        real = batch.filter(F.col("user_id").isNotNull())
-        left = real.filter(F.col("event_type") == "click").select(*keys, F.col("n").alias("n_left"))
-        right = real.filter(F.col("event_type") == "view").select(*keys, F.col("n").alias("n_right"))
+        left = batch.filter(F.col("event_type") == "click").select(*keys, F.col("n").alias("n_left"))
+        right = batch.filter(F.col("event_type") == "view").select(*keys, F.col("n").alias("n_right"))
         joined = left.join(right, keys, "inner").withColumn("n_pairs", F.col("n_left") * F.col("n_right"))
         return _ntz(joined, "window_start", "window_end")
 
-    return run_to_table(spark, counts, "window-join", per_batch=join_sides)
+    return run_to_table(spark, counts, "window-join", per_batch=join_sides, end=end)
 
 
 def stream_equi_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -146,13 +173,20 @@ def stream_equi_join_streams(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(spark, joined, "equi-join-streams")
 
 
-def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
-    """Stream-stream interval join; watermarks on both sides bound the join state."""
-    o = event_time(table_stream(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate")
-    li = event_time(table_stream(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"), "l_shipdate")
-    o = o.withWatermark("o_orderdate", "1 day")
-    li = li.withWatermark("l_shipdate", "1 day")
+def stream_interval_join(spark: SparkSession, sf: str, out_of_order: str = "1 day") -> DataFrame:
+    """Stream-stream interval join; watermarks on both sides bound the join state.
+
+    Both tables are replayed in event-time order over several micro-batches.  Spark takes the lesser of the two
+    watermarks, so a row is late only if it comes ``out_of_order`` after both sides have passed its time.
+    """
+    from tidepool.functions.timecols import epoch_micros
+
+    def side(table: str, ts: str, *cols: str) -> DataFrame:
+        df = catalog.read_table(spark, sf, table).select(*cols, ts).withColumn("_us", epoch_micros(ts))
+        return event_time(_replayed(spark, df, "_us").drop("_us"), ts).withWatermark(ts, out_of_order)
+
+    o = side("orders", "o_orderdate", "o_orderkey")
+    li = side("lineitem", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
     cond = ((o.o_orderkey == li.l_orderkey)
             & (li.l_shipdate >= o.o_orderdate - F.expr("INTERVAL 10 DAYS"))
             & (li.l_shipdate <= o.o_orderdate + F.expr("INTERVAL 5 DAYS")))
@@ -191,20 +225,17 @@ def stream_csv_behavior_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_event_timers(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
-    """Event-time timers per user at ``ts + 5 s``; each fires once the watermark passes it."""
-    from tidepool.functions.timecols import ntz_from_millis
+    """Event-time timers per user at ``ts + 5 s``; each fires once the watermark passes it.
 
-    # The marker gets its own key (-1): a NULL grouping key would hold back
-    # the timers of every key in its partition.
-    ev = (_events_with_marker(spark, sf, events)
-          .select(F.coalesce("user_id", F.lit(-1)).alias("user_id"), "ts",
-                  F.floor(F.unix_micros("ts") / 1000).cast("bigint").alias("ts_ms"))
-          .withWatermark("ts", "5 seconds"))
-    fired = ev.groupBy("user_id").transformWithState(
-        statefulProcessor=EventTimeAlarm(), outputStructType=TIMER_OUT,
-        outputMode="Append", timeMode="EventTime")
-    out = run_to_table(spark, fired, "event-timers", rocksdb=True)
-    return out.filter(F.col("user_id") >= 0).select("user_id", ntz_from_millis("timer_ms").alias("timer_ts"))
+    A timer is a group (user, millisecond) in append mode, which is emitted once when the
+    watermark has passed it; the watermark's delay is the timer's.
+    """
+    ev, end = _events_with_marker(spark, sf, events)
+    ev = ev.withWatermark("ts", "5 seconds")
+    fired = (ev.groupBy(F.window("ts", "1 millisecond").alias("w"), "user_id", END_COL).agg(F.count(F.lit(1)).alias("_n"))
+             .select("user_id", F.col("w.start").alias("at"), END_COL))
+    out = run_to_table(spark, fired, "event-timers", end=end)
+    return out.select("user_id", (F.col("at").cast("timestamp_ntz") + F.expr("INTERVAL 5 SECONDS")).alias("timer_ts"))
 
 
 def stream_late_split_keyed(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
@@ -274,21 +305,24 @@ def stream_reconcile(spark: SparkSession, sf: str, sides: DataFrame | None = Non
 
     Both tables are read as streams, tagged with their side, unioned and keyed
     by order key; event-time timers report the side that waited in vain.
-    ``sides`` replaces the input (a (key, side, ts) stream ending with the marker).
+    ``sides`` replaces the input (a (key, side, ts) stream in event-time order).
     """
     from tidepool.functions.timecols import ntz_from_millis
 
     if sides is None:
-        sides = with_end_marker(spark, reconcile_sides(table_stream(spark, sf, "orders"),
-                                                       table_stream(spark, sf, "lineitem")), "ts")
-    both = event_time(sides)
-    keyed = (both.select(F.coalesce("key", F.lit(-1)).alias("key"), "side", "ts",
-                         F.floor(F.unix_micros("ts") / 1000).cast("bigint").alias("ts_ms"))
+        from tidepool.functions.timecols import epoch_micros
+
+        both = reconcile_sides(catalog.read_table(spark, sf, "orders"), catalog.read_table(spark, sf, "lineitem"))
+        sides = _replayed(spark, both.withColumn("_us", epoch_micros("ts")), "_us").drop("_us")
+    stream, end = with_end_marker(spark, sides, "ts")
+    # The marker has a key of its own: a NULL grouping key would hold back the timers of its partition.
+    keyed = (event_time(stream).select(F.when(F.col(END_COL), F.lit(0)).otherwise(F.col("key")).alias("key"), END_COL,
+                                       "side", "ts", F.floor(F.unix_micros("ts") / 1000).cast("bigint").alias("ts_ms"))
              .withWatermark("ts", "0 seconds"))
-    out = keyed.groupBy("key").transformWithState(
+    out = keyed.groupBy("key", END_COL).transformWithState(
         statefulProcessor=Reconciler(), outputStructType=RECONCILE_OUT,
         outputMode="Append", timeMode="EventTime")
-    res = run_to_table(spark, out, "reconcile", rocksdb=True)
+    res = run_to_table(spark, out, "reconcile", rocksdb=True, end=end)
     return res.select("o_orderkey", "status", ntz_from_millis("at_ms").alias("at_ts"))
 
 
@@ -306,6 +340,7 @@ def stream_proc_time_count(spark: SparkSession, sf: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_word_count": stream_word_count,
     "stream_tumbling_count": stream_tumbling_count,
+    "stream_sql_tumble": stream_sql_tumble,
     "stream_topn_per_window": stream_topn_per_window,
     "stream_uv_hourly": stream_uv_hourly,
     "stream_window_join": stream_window_join,
@@ -328,6 +363,7 @@ STREAM_QUERIES = {
 STREAM_ORACLES = {
     "stream_word_count": ORACLES["word_count"],
     "stream_tumbling_count": ORACLES["tumbling_count"],
+    "stream_sql_tumble": ORACLES["sql_tumble"],
     "stream_topn_per_window": ORACLES["topn_per_window"],
     "stream_uv_hourly": ORACLES["uv_hourly"],
     "stream_window_join": ORACLES["window_join"],
