@@ -161,16 +161,35 @@ def test_language_accuracy_on_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
-def test_code_lengths_are_of_a_distribution():
-    model = {"x": collections.Counter()}
-    for word in ("abab", "abba", "b"):
-        code = word.encode() + langid.END
-        for i in range(len(code)):
-            for k in range(min(i, langid.ORDER) + 1):
-                model["x"][code[i - k:i + 1]] += 1
-    coder = langid.Coder(langid.trees(model))
-    # P("abab" then END): a 2/3, b|a 1, a|ab 1/2, b|aba 1, END|abab 1, each times what escapes leave (1 - d / (n + d)).
-    assert coder.bits("abab")[0] < coder.bits("abaa")[0] < coder.bits("zzzz")[0]
+def brute_bits(counts, word):
+    code, bits = word.encode() + langid.END, 0.0
+    for i in range(len(code)):
+        for k in range(min(i, langid.ORDER), -1, -1):
+            context = code[i - k:i]
+            after = {g[-1]: n for g, n in counts.items() if g[:-1] == context}
+            share = sum(after.values()) + len(after)
+            if code[i] in after:
+                bits -= np.log2(after[code[i]] / share)
+                break
+            if after:
+                bits -= np.log2(len(after) / share)
+        else:
+            bits += np.log2(257)
+    return bits
+
+
+def test_code_lengths_equal_brute_force():
+    model = {}
+    for lang, words in (("x", ["abab", "abba", "b"]), ("y", ["bcb", "abcabcabc", "é"])):
+        counts = model.setdefault(lang, collections.Counter())
+        for word in words:
+            code = word.encode() + langid.END
+            for i in range(len(code)):
+                for k in range(min(i, langid.ORDER) + 1):
+                    counts[code[i - k:i + 1]] += 1
+    words = ["abab", "abaa", "zzzz", "abcab", "é", "è", "b"]
+    got = langid.Coder(langid.code_table(model)).bits(words)
+    assert got == pytest.approx(np.array([[brute_bits(model[x], w) for x in ("x", "y")] for w in words]))
 
 
 def test_language_odd_rows(spark, odd):

@@ -17,6 +17,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,8 @@ ORDER = 5
 END = b"\n"  # follows the last byte of a word
 LEARN_ROWS = 2_000      # labelled documents learned from, per language (the first by hash)
 LANGUAGES = 500         # languages learned at most, the most frequent ones
-MEMORY = 300_000        # distinct words a task remembers
+MEMORY = 300_000        # distinct words a task remembers, about
+SLICE_CHARS = 1 << 21
 LETTERS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -73,68 +75,98 @@ def learn(docs: DataFrame, labelled: Column, lang: str = "lang", text: str = "te
     return model
 
 
-def trees(model: dict[str, dict[bytes, int]]) -> list[tuple[str, dict[bytes, float], dict[bytes, float]]]:
-    """Per language: bits of a byte in its context, bits of an escape from a context."""
-    out = []
-    for lang in sorted(model):
+def code_table(model: dict[str, dict[bytes, int]]) -> tuple[list[str], dict[bytes, int], dict[bytes, int], np.ndarray]:
+    """(languages, byte string -> row, context -> row, bits by row and language).
+
+    A byte string's row has the bits of its last byte after the bytes before it, in each language with that
+    language's own escapes to shorter contexts. A context's row has the bits of the escape from it, 0
+    in languages that do not know it. The last row is for a byte that no language knows.
+    """
+    langs = sorted(model)
+    grams = sorted({g for counts in model.values() for g in counts}, key=lambda g: (len(g), g))
+    contexts = sorted({g[:-1] for g in grams})
+    row, escape_row = {g: k for k, g in enumerate(grams)}, {c: len(grams) + k for k, c in enumerate(contexts)}
+    bits = np.zeros((len(grams) + len(contexts) + 1, len(langs)))
+    unknown = math.log2(257)
+    bits[-1] = unknown
+    for at, lang in enumerate(langs):
         followers: dict[bytes, list[int]] = {}
         for gram, n in model[lang].items():
             entry = followers.setdefault(gram[:-1], [0, 0])
             entry[0] += n
             entry[1] += 1
-        cost = {g: -math.log2(n / sum(followers[g[:-1]])) for g, n in model[lang].items()}
-        escape = {c: -math.log2(d / (n + d)) for c, (n, d) in followers.items()}
-        out.append((lang, cost, escape))
-    return out
+        for context, (n, distinct) in followers.items():
+            bits[escape_row[context], at] = -math.log2(distinct / (n + distinct))
+        counts = model[lang]
+        for k, gram in enumerate(grams):  # shorter ones first: what a longer one falls back on is there
+            n = counts.get(gram)
+            if n is not None:
+                bits[k, at] = -math.log2(n / sum(followers[gram[:-1]]))
+            else:
+                shorter = bits[row[gram[1:]], at] if len(gram) > 1 else unknown
+                bits[k, at] = bits[escape_row[gram[:-1]], at] + shorter
+    return langs, row, escape_row, bits
 
 
 class Coder:
     """Code lengths of words under all languages' frozen statistics."""
 
-    def __init__(self, learned: list[tuple[str, dict[bytes, float], dict[bytes, float]]]):
-        self.langs = [lang for lang, _, _ in learned]
-        self.trees = [(cost, escape) for _, cost, escape in learned]
+    def __init__(self, table: tuple[list[str], dict[bytes, int], dict[bytes, int], np.ndarray]):
+        self.langs, self.row, self.escape_row, self.table = table
 
-    def bits(self, word: str) -> list[float]:
-        code = word.encode("utf-8", "surrogatepass") + END
+    def _rows(self, word: str) -> list[int]:
+        """The rows whose bits add up to the word's code length."""
+        code, row, escape = word.encode("utf-8", "surrogatepass") + END, self.row.get, self.escape_row.get
         out = []
-        for cost, escape in self.trees:
-            total = 0.0
-            for i in range(len(code)):
-                for k in range(min(i, ORDER), -1, -1):
-                    c = cost.get(code[i - k:i + 1])
-                    if c is not None:
-                        total += c
-                        break
-                    total += escape.get(code[i - k:i], 0.0)
-                else:
-                    total += 8.005624549193878  # log2(257)
-            out.append(total)
+        for i in range(len(code)):
+            begin = i - ORDER if i > ORDER else 0
+            while begin <= i:
+                k = row(code[begin:i + 1])
+                if k is not None:
+                    out.append(k)
+                    break
+                k = escape(code[begin:i])
+                if k is not None:
+                    out.append(k)
+                begin += 1
+            else:
+                out.append(len(self.table) - 1)
         return out
 
+    def bits(self, words: list[str]) -> np.ndarray:
+        """Bits by word and language."""
+        rows = [self._rows(w) for w in words]
+        first = np.cumsum([0, *map(len, rows[:-1])])
+        return np.add.reduceat(self.table[np.fromiter(chain.from_iterable(rows), np.int64)], first, axis=0)
+
 
 def _predict(batches: Iterator[pd.DataFrame], coder: Coder, memory: int) -> Iterator[pd.DataFrame]:
     known: dict[str, int] = {}
-    table = np.empty((1024, len(coder.langs)))
+    table = np.empty((0, len(coder.langs)))
     for batch in batches:
-        langs, scores = [], []
-        for text in batch.pop("_langid_text"):
-            words = _words(text)
-            if not words or not coder.langs:
-                langs.append("und")
-                scores.append(0.0)
-                continue
+        texts = list(batch.pop("_langid_text"))
+        langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+        begin = 0
+        while begin < len(texts) and coder.langs:
+            # Texts of a bounded length together, one at least.
+            end, size = begin + 1, len(texts[begin])
+            while end < len(texts) and size + len(texts[end]) <= SLICE_CHARS:
+                size += len(texts[end])
+                end += 1
+            words = [_words(t) for t in texts[begin:end]]
             if len(known) > memory:
-                known = {}
-            for w in set(words).difference(known):
-                if len(known) == len(table):
-                    table = np.concatenate([table, np.empty_like(table)])
-                table[len(known)] = coder.bits(w)
-                known[w] = len(known)
-            bits = table[np.fromiter(map(known.__getitem__, words), np.int64, len(words))].sum(axis=0)
-            best = int(bits.argmin())
-            langs.append(coder.langs[best])
-            scores.append(float(1.0 / np.exp2(np.minimum(bits[best] - bits, 0.0)).sum()))
+                known, table = {}, table[:0]
+            new = list(set().union(*words).difference(known))
+            if new:
+                known.update(zip(new, range(len(known), len(known) + len(new))))
+                table = np.concatenate([table, coder.bits(new)])
+            for k, mine in enumerate(words, begin):
+                if mine:
+                    bits = table[np.fromiter(map(known.__getitem__, mine), np.int64, len(mine))].sum(axis=0)
+                    best = int(bits.argmin())
+                    langs[k] = coder.langs[best]
+                    scores[k] = float(1.0 / np.exp2(np.minimum(bits[best] - bits, 0.0)).sum())
+            begin = end
         batch["lang_pred"], batch["score"] = langs, scores
         yield batch
 
@@ -148,7 +180,7 @@ def predict(docs: DataFrame, model: dict[str, dict[bytes, int]], text: str = "te
     first. Only the text enters a prediction; columns of the result's names are replaced.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
-    coder = docs.sparkSession.sparkContext.broadcast(trees(model))  # bounded: see learn
+    coder = docs.sparkSession.sparkContext.broadcast(code_table(model))  # bounded: see learn
     rows = docs.select(*keep, text_of(text).alias("_langid_text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_langid_text"),
                         "lang_pred string", "score double"])
