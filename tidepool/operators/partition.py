@@ -48,8 +48,9 @@ def spread(df: DataFrame, num_partitions: int, within: float) -> DataFrame:
 def owned_partitions(df: DataFrame, key: str, owners: int) -> DataFrame:
     """Rows owned by partition ``key % owners``, laid out so partition k holds owner k.
 
-    Range partitioning on the owner id keeps owner k in partition k (hash
-    partitioning could put two owners into one partition).
+    The owner is the partition number itself; hash or range partitioning could put two
+    owners into one partition.  A NULL key has owner 0.
     """
-    owned = df.withColumn("owner", F.pmod(F.col(key), F.lit(owners)).cast("int"))
-    return owned.repartitionByRange(owners, "owner").withColumn("partition", F.spark_partition_id())
+    owner = F.coalesce(F.pmod(F.col(key), F.lit(owners)), F.lit(0)).cast("int")
+    owned = df.withColumn("owner", owner)
+    return owned.repartitionById(owners, "owner").withColumn("partition", F.spark_partition_id())
