@@ -1,7 +1,5 @@
 """Every catalogue query against its DuckDB oracle on the small tables."""
 
-import math
-
 import duckdb
 import pytest
 
@@ -39,13 +37,12 @@ def test_query_matches_oracle(spark, con, name):
     assert _rows(df.columns, df.collect()) == _rows(rel.columns, rel.fetchall())
 
 
-def test_every_query_runs(spark):
-    for name, q in E.queries().items():
-        assert q(spark, SF_SMALL).count() >= 0, name
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+def test_query_without_oracle_gives_rows(spark, name):
+    assert E.queries()[name](spark, SF_SMALL).limit(1).count() == 1
 
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["window_start", "window_end", "item", "cnt", "rank"]
     assert df.count() > 0
-    assert not math.isnan(df.count())
