@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+import pyarrow.compute as pc
+
 from tidepool.operators import rows
 from tidepool.operators.running import Running, running
 
@@ -36,9 +38,18 @@ def test_replicate_by_rule(spark):
 def test_square_both_paths(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "i int")
     assert sorted(r.sq for r in rows.square(df, "i", ["i"]).collect()) == [1, 4, 9]
-    opened = []
-    out = rows.map_with_setup(df, "i", ["i"], setup=lambda: opened.append(1) or "h")
-    assert sorted(r.sq for r in out.collect()) == [1, 4, 9]
+
+
+def test_setup_and_teardown_run_once_per_task(spark, tmp_path):
+    def note(what):
+        with open(tmp_path / what, "a") as f:
+            f.write("x")
+
+    df = spark.range(1, 101, numPartitions=3).withColumnRenamed("id", "i")
+    out = rows.map_with_setup(df, "i", ["i"], setup=lambda: note("open") or 10, teardown=lambda h: note(f"close{h}"),
+                              apply=lambda h, v: pc.add(v, h))
+    assert sorted(r.sq for r in out.collect()) == list(range(11, 111))
+    assert (tmp_path / "open").read_text() == (tmp_path / "close10").read_text() == "xxx"
 
 
 def test_filter_map_pair(spark):

@@ -46,9 +46,12 @@ def square(df: DataFrame, col: str, keep: list[str]) -> DataFrame:
 
 def map_with_setup(df: DataFrame, col: str, keep: list[str],
                    setup: Callable[[], object] | None = None,
-                   teardown: Callable[[object], None] | None = None) -> DataFrame:
+                   teardown: Callable[[object], None] | None = None,
+                   apply: Callable[[object, object], object] | None = None) -> DataFrame:
     """A rich map: per-partition setup, a vectorised map per Arrow batch, teardown.
 
+    ``apply(handle, values)`` maps an Arrow array of int64 to one (None: squares).
+
     Spark calls the function once per partition with an iterator of Arrow
     record batches, so ``setup`` / ``teardown`` run once per task, like the
     reference's open/close.  Use :func:`square` when no setup is needed.
@@ -63,7 +66,7 @@ def map_with_setup(df: DataFrame, col: str, keep: list[str],
         try:
             for rb in batches:
                 v = rb.column(col).cast(pa.int64())
-                cols = [rb.column(k) for k in keep] + [pc.multiply(v, v)]
+                cols = [rb.column(k) for k in keep] + [apply(handle, v) if apply else pc.multiply(v, v)]
                 yield pa.RecordBatch.from_arrays(cols, names=list(keep) + ["sq"])
         finally:
             if teardown:
