@@ -1,6 +1,6 @@
 """Jaccard join on word 5-grams by chosen paths.
 
-Texts are embedded as ``COORDINATES`` tokens (place, smallest hash), of which two texts share a part that
+Texts are embedded as tokens (place, smallest hash), of which two texts share a part that
 equals their sets' similarity, up to chance. A run draws a place; texts with the same token there share a path. Paths
 that many texts share are split again: each draws a place by a hash of the path, and texts go on
 with their token there. Small buckets, and those that tokens no longer split, are compared by brute force, and runs
@@ -29,7 +29,8 @@ from tidepool.llm.wordhash import Words, grams
 
 SHINGLE = 5
 THRESHOLD = (4, 5)      # similarity, as a fraction
-COORDINATES = 96
+COORDINATES = 96        # bytes of a sketch, one per hash
+PLACES = 48             # hashes that paths are drawn from, kept whole
 SLACK = 0.2             # sketches may differ from sets by this much (five standard deviations)
 RECALL = 0.9999
 MEET = 0.55             # least chance to meet in one run at the threshold (four levels of splitting)
@@ -84,31 +85,33 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             one = words.hashes()
             hashes, first, number = shingles(words)
             some = number > 0
-            sketch = np.zeros((len(number), COORDINATES), np.uint8)
+            sketch, tokens = np.zeros((len(number), COORDINATES), np.uint8), np.zeros((len(number), PLACES), "<u4")
             if some.any():
                 high = (hashes >> np.uint64(32)).astype(np.uint32)
                 for k in range(COORDINATES):
                     least = np.minimum.reduceat((high ^ _XOR[k]) * _MUL[k], first[some])
                     sketch[some, k] = ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+                    if k < PLACES:
+                        tokens[some, k] = least
             same = [xxhash.xxh3_128_digest(one[a:b].tobytes()) if b > a else None
                     for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist())]
             yield pd.DataFrame({
                 "key": batch["key"].iloc[begin:end].astype("Int64").array, "tie": batch["tie"].iloc[begin:end].array,
                 "node": pd.array([None if s is None else int.from_bytes(s[:8], "little", signed=True) for s in same], "Int64"),
                 "also": pd.array([None if s is None else int.from_bytes(s[8:], "little", signed=True) for s in same], "Int64"),
-                "sketch": [r.tobytes() for r in sketch]})
+                "sketch": [r.tobytes() for r in sketch], "tokens": [r.tobytes() for r in tokens]})
 
 
-SKETCH_SCHEMA = "key bigint, tie bigint, node bigint, also bigint, sketch binary"
+SKETCH_SCHEMA = "key bigint, tie bigint, node bigint, also bigint, sketch binary, tokens binary"
 
 
-def _token(sketch, place):
-    """The token of a sketch at a drawn place: place and value."""
-    return F.concat(place.cast("string"), F.lit(":"), F.hex(F.substring(sketch, place + 1, 1)))
+def _token(tokens, place):
+    """The token at a drawn place: place and value."""
+    return F.concat(place.cast("string"), F.lit(":"), F.hex(F.substring(tokens, place * 4 + 1, 4)))
 
 
 def _place(*salt):
-    return F.pmod(F.xxhash64(*salt), F.lit(COORDINATES)).cast("int")
+    return F.pmod(F.xxhash64(*salt), F.lit(PLACES)).cast("int")
 
 
 def _paths(nodes: DataFrame, runs: tuple[int, int], leaf: int, depth: int) -> DataFrame:
@@ -118,9 +121,9 @@ def _paths(nodes: DataFrame, runs: tuple[int, int], leaf: int, depth: int) -> Da
     texts alike throughout, which more tokens would not tell apart: it is a leaf, whatever its size.
     """
     place = _place(F.lit("root"), F.col("run"))
-    level = nodes.select("node", "root", "sketch", F.explode(F.sequence(F.lit(runs[0]), F.lit(runs[1]))).alias("run"))
+    level = nodes.select("node", "root", "tokens", F.explode(F.sequence(F.lit(runs[0]), F.lit(runs[1]))).alias("run"))
     level = level.select("node", "root", F.lit(0).cast("long").alias("above"),
-                         F.xxhash64("run", _token(F.col("sketch"), place)).alias("path"))
+                         F.xxhash64("run", _token(F.col("tokens"), place)).alias("path"))
     leaves = None
     for d in range(depth + 1):
         level = materialize(level, "paths")
@@ -135,9 +138,9 @@ def _paths(nodes: DataFrame, runs: tuple[int, int], leaf: int, depth: int) -> Da
         rest = level.filter(~small)
         if d == depth or not rest.limit(1).count():
             break
-        rest = rest.join(nodes.select(F.col("node").alias("_n"), "sketch"), F.col("node") == F.col("_n"))
+        rest = rest.join(nodes.select(F.col("node").alias("_n"), "tokens"), F.col("node") == F.col("_n"))
         level = rest.select("node", "root", F.col("n").alias("above"), F.xxhash64("path", _token(
-            F.col("sketch"), _place(F.col("path")))).alias("path"))
+            F.col("tokens"), _place(F.col("path")))).alias("path"))
     return leaves
 
 
@@ -278,7 +281,7 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall:
     copies = materialize(copies, "copies")
     first = copies.select(F.col("node").alias("_n"), F.col("first.key").alias("_k"), F.col("first.tie").alias("_t"))
     standing = with_words.join(first, (F.col("node") == F.col("_n")) & (F.col("tie") == F.col("_t"))
-                               & F.col("key").eqNullSafe(F.col("_k"))).select("node", "key", "tie", "sketch")
+                               & F.col("key").eqNullSafe(F.col("_k"))).select("node", "key", "tie", "sketch", "tokens")
     standing = materialize(standing.dropDuplicates(["node"]), "standing")
 
     # The first runs connect most of what is alike; later ones look only where that could still grow.
@@ -296,7 +299,8 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall:
 
     # Exact sets, of the grouped texts only.
     wanted = groups.select("node", F.col("key").alias("_k"), F.col("tie").alias("_t"))
-    texts = rows.join(wanted, (F.col("tie") == F.col("_t")) & F.col("key").eqNullSafe(F.col("_k")))
+    # What is wanted grows with the input: the join is planned alike at every size.
+    texts = rows.hint("merge").join(wanted, (F.col("tie") == F.col("_t")) & F.col("key").eqNullSafe(F.col("_k")))
     sets = texts.select("node", "text").dropDuplicates(["node"]).mapInPandas(_sets, "node bigint, shingles binary")
     sets = materialize(sets, "sets")
     weights = copies.select(F.col("node").alias("_c"), "copies")
