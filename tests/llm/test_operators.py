@@ -135,6 +135,13 @@ def test_fm_index_equals_naive_search():
         assert sorted(zip(which.tolist(), at.tolist())) == want
 
 
+def test_cut_counts_words_in_either_case(spark):
+    items = spark.createDataFrame([("i", "alpha beta gamma")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "The QUICK fox. Alpha, BETA gamma! The End"), (2, "ALPHA beta\nGAMMA")], "doc_id long, text string")
+    got = decontaminate.cut(decontaminate.scan(docs, items)).orderBy("doc_id").collect()
+    assert [r["_clean"] for r in got] == ["The QUICK fox. ! The End", ""]
+
+
 def test_decontaminate_blocks_and_cut(spark, odd):
     items = spark.createDataFrame([("i1", "Two THREE four"), ("i2", None), ("i3", "!!"), (None, "vital 漢字"),
                                    ("i4", "w5 w6 w7 w8 w9 w10 w11 w12 w13 w14 w15")], "item_id string, text string")

@@ -26,7 +26,8 @@ SHARD_WORDS = 1 << 20
 MOST_PHRASES = 200_000
 #: ASCII other than letters and digits separates words; A-Z count as a-z.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
-WORD_BYTES = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: The words of a text as it is written: what FOLD keeps, in either case.
+WORD_BYTES = re.compile(rb"[0-9A-Za-z\x80-\xFF]+")
 WORD_SQL = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 FOUND = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
                       T.StructField("items", T.ArrayType(T.StringType())),
