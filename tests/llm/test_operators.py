@@ -107,6 +107,32 @@ def test_near_join_equals_brute_force(spark, small, monkeypatch):
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in got.collect()} == brute_near(rows)
 
 
+def test_near_join_of_texts_from_shared_passages(spark):
+    # Unlike texts share passages, so buckets are split many times before they are small.
+    rng = random.Random(8)
+    pool = [[f"p{i}x{j}" for j in range(40)] for i in range(36)]
+    rows = []
+    for i in range(300):
+        base = [w for p in rng.sample(pool, 18) for w in p]
+        rows.append((2 * i, " ".join(base)))
+        # Of 716 shingles 70 change and 14 are added: 646 / 800 = 0.81.
+        copy = list(base)
+        for k in range(14):
+            copy[25 + 50 * k] = f"u{i}x{k}"
+        copy += [f"v{i}x{k}" for k in range(14)]
+        rows.append((2 * i + 1, " ".join(copy)))
+    sets = [set(zip(*(w[k:] for k in range(5)))) for w in (t.split() for _, t in rows)]
+    assert all(0.8 <= len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) < 0.84 for i in range(0, 600, 2))
+    got = nearjoin.near_join(spark.createDataFrame(rows, "doc_id long, text string"), leaf=2)
+    assert {r["doc_id"]: r["class_id"] for r in got.collect()} == {k: k - k % 2 for k, _ in rows}
+
+
+def test_runs_hold_the_recall():
+    for splits in range(nearjoin.DEPTH + 1):
+        runs = nearjoin.runs_for(nearjoin.RECALL, splits)
+        assert (1 - 0.8**(splits + 1))**runs <= 1 - nearjoin.RECALL
+
+
 def test_near_join_odd_rows(odd):
     got = [(r["doc_id"], r["class_id"], r["n_links"]) for r in nearjoin.near_join(odd).collect()]
     assert sorted(got, key=str) == sorted([(1, 1, 1), (1, 1, 1), (2, 2, 0), (None, None, 0), (3, 3, 0), (4, 4, 0),

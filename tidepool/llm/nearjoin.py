@@ -3,8 +3,12 @@
 Texts are embedded as tokens (place, smallest hash), of which two texts share a part that
 equals their sets' similarity, up to chance. A run draws a place; texts with the same token there share a path. Paths
 that many texts share are split again: each draws a place by a hash of the path, and texts go on
-with their token there. Small buckets, and those that tokens no longer split, are compared by brute force, and runs
-repeat until a pair at the threshold has met with the target recall.
+with their token there. Small buckets, and those that tokens no longer split, are compared by brute force.
+
+Each split lowers the chance to meet, so runs are counted per text: after a run whose path was split d times, a
+pair at the threshold has met with chance (share of equal tokens)^(d + 1). A text takes part in runs until
+what is left over all its runs, on average over the share that ``PLACES`` tokens have, is at most 1 - recall.
+Of a pair, the text that is done first has had all its runs with the other one still there.
 
 What met is only a candidate: candidates' connected groups are then compared in full on their exact sets,
 so every link is counted once, whatever runs found it. Groups over ``BLOCK`` texts are dealt out as
@@ -20,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import materialize, text_of
@@ -33,7 +37,6 @@ COORDINATES = 96        # bytes of a sketch, one per hash
 PLACES = 48             # hashes that paths are drawn from, kept whole
 SLACK = 0.2             # sketches may differ from sets by this much (five standard deviations)
 RECALL = 0.9999
-MEET = 0.55             # least chance to meet in one run at the threshold (four levels of splitting)
 LEAF = 48               # buckets up to this size are not split
 DEPTH = 6               # levels of splitting at most; what is larger then is compared in blocks
 DENSE = 0.7             # a bucket that keeps this share of the one above is not split on
@@ -47,9 +50,35 @@ _XOR = _draw.integers(0, 2**32, COORDINATES, dtype=np.uint32)
 _MUL = _draw.integers(0, 2**32, COORDINATES, dtype=np.uint32) | np.uint32(1)
 
 
-def runs_for(recall: float, meet: float = MEET) -> int:
-    """Runs after which a pair that meets in a run with chance ``meet`` has met with chance ``recall``."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - meet))
+#: Of a pair at the threshold: how likely k of the places have equal tokens (k from 0 on).
+_SHARE = [math.comb(PLACES, k) * THRESHOLD[0]**k * (THRESHOLD[1] - THRESHOLD[0])**(PLACES - k) / THRESHOLD[1]**PLACES
+          for k in range(PLACES + 1)]
+
+
+def _apart(equal: int, splits: int) -> float:
+    """Log of the chance that a pair with so many equal tokens does not meet in a run with so many splits."""
+    meet = (equal / PLACES)**(splits + 1)
+    return math.log(1 - meet) if meet < 1 else -1e3
+
+
+def runs_for(recall: float, splits: int) -> int:
+    """Runs with so many splits each after which a pair at the threshold has met with chance ``recall``."""
+    runs = 1
+    while sum(w * math.exp(runs * _apart(k, splits)) for k, w in enumerate(_SHARE)) > 1 - recall:
+        runs += 1
+    return runs
+
+
+def _left(runs: list[Column]) -> Column:
+    """The chance that a pair at the threshold has not met after so many runs with 0, 1, ... splits."""
+    by_share = F.array(*(F.struct(F.lit(w).alias("w"), F.array(*(F.lit(_apart(k, d)) for d in range(len(runs)))).alias("apart"))
+                         for k, w in enumerate(_SHARE)))
+
+    def one(total: Column, x: Column) -> Column:
+        logs = F.zip_with(x["apart"], F.array(*runs), lambda a, n: a * n)
+        return total + x["w"] * F.exp(F.aggregate(logs, F.lit(0.0), lambda a, b: a + b))
+
+    return F.aggregate(by_share, F.lit(0.0), one)
 
 
 def _slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -114,19 +143,22 @@ def _place(*salt):
     return F.pmod(F.xxhash64(*salt), F.lit(PLACES)).cast("int")
 
 
-def _paths(nodes: DataFrame, runs: tuple[int, int], leaf: int, depth: int) -> DataFrame:
-    """(path, node, n): the leaves of the runs that hold nodes of two or more roots.
+def _paths(nodes: DataFrame, runs: tuple[int, int], leaf: int, depth: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(path, node, n): the leaves of the runs that hold nodes of two or more roots; and per split the nodes that
+    went through it, once per run.
 
     A bucket within one root has nothing to add and is dropped. One that its last token hardly split is of
     texts alike throughout, which more tokens would not tell apart: it is a leaf, whatever its size.
     """
-    place = _place(F.lit("root"), F.col("run"))
+    place = F.pmod(F.col("run"), F.lit(PLACES)).cast("int")  # no place twice while there are others
     level = nodes.select("node", "root", "tokens", F.explode(F.sequence(F.lit(runs[0]), F.lit(runs[1]))).alias("run"))
     level = level.select("node", "root", F.lit(0).cast("long").alias("above"),
                          F.xxhash64("run", _token(F.col("tokens"), place)).alias("path"))
-    leaves = None
+    leaves, split = None, []
     for d in range(depth + 1):
         level = materialize(level, "paths")
+        if d:
+            split.append(level.select("node"))
         sizes = level.groupBy(F.col("path").alias("_p")).agg(
             F.count("*").alias("n"), F.min("root").alias("_low"), F.max("root").alias("_high"))
         sizes = sizes.filter("_low < _high").select("_p", "n")
@@ -141,15 +173,29 @@ def _paths(nodes: DataFrame, runs: tuple[int, int], leaf: int, depth: int) -> Da
         rest = rest.join(nodes.select(F.col("node").alias("_n"), "tokens"), F.col("node") == F.col("_n"))
         level = rest.select("node", "root", F.col("n").alias("above"), F.xxhash64("path", _token(
             F.col("tokens"), _place(F.col("path")))).alias("path"))
-    return leaves
+    return leaves, split
 
 
-def _candidates(nodes: DataFrame, runs: tuple[int, int], leaf: int, depth: int) -> DataFrame:
-    """Links that connect the nodes whose sketches are alike and that meet in a leaf of the runs."""
-    leaves = _dealt(_paths(nodes, runs, leaf, depth), "path", "n", "node", BLOCK)
+def _candidates(nodes: DataFrame, runs: tuple[int, int], leaf: int, depth: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Links that connect the nodes whose sketches are alike and that meet in a leaf of the runs; and the nodes
+    by split, as ``_paths`` has them."""
+    leaves, split = _paths(nodes, runs, leaf, depth)
+    leaves = _dealt(leaves, "path", "n", "node", BLOCK)
     met = leaves.join(nodes.select(F.col("node").alias("_n"), "sketch"), F.col("node") == F.col("_n"))
     met = met.select("task", "side", "path", "node", "sketch")
-    return materialize(met.groupBy("task").applyInPandas(_meet, "a bigint, b bigint"), "met")
+    return materialize(met.groupBy("task").applyInPandas(_meet, "a bigint, b bigint"), "met"), split
+
+
+def _counted(nodes: DataFrame, split: list[DataFrame], runs: int, depth: int) -> DataFrame:
+    """``nodes`` with ``runs`` more runs added to ``_runs``: how many had 0, 1, ... ``depth`` splits."""
+    for d, level in enumerate(split, 1):
+        went = level.groupBy(F.col("node").alias("_n")).agg(F.count("*").alias(f"_w{d}"))
+        nodes = nodes.join(went, F.col("node") == F.col("_n"), "left").drop("_n")
+    through = [F.lit(runs), *(F.coalesce(f"_w{d}", F.lit(0)) for d in range(1, len(split) + 1))]
+    through += [F.lit(0)] * (depth + 2 - len(through))
+    more = [(a - b).cast("int") for a, b in zip(through, through[1:])]
+    nodes = nodes.withColumn("_runs", F.array(*(F.get("_runs", F.lit(d)) + n for d, n in enumerate(more))))
+    return nodes.drop(*(f"_w{d}" for d in range(1, len(split) + 1)))
 
 
 def _dealt(rows: DataFrame, group: str, number: str, key: str, whole: int) -> DataFrame:
@@ -284,13 +330,22 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall:
                                & F.col("key").eqNullSafe(F.col("_k"))).select("node", "key", "tie", "sketch", "tokens")
     standing = materialize(standing.dropDuplicates(["node"]), "standing")
 
-    # The first runs connect most of what is alike; later ones look only where that could still grow.
-    runs = runs_for(recall)
-    met = _candidates(standing.withColumn("root", F.col("node")), (1, FIRST_RUNS), leaf, depth)
-    found = components(met).withColumnRenamed("node", "_n")
-    rooted = standing.join(found, F.col("node") == F.col("_n"), "left").withColumn("root", F.coalesce("root", "node")).drop("_n")
-    rooted = materialize(rooted, "rooted")
-    met = met.unionByName(_candidates(rooted, (FIRST_RUNS + 1, runs), leaf, depth))
+    # The first runs connect most of what is alike; later ones look only where that could still grow, and
+    # only at texts whose runs so far may have missed more than recall allows.
+    nodes = standing.withColumn("root", F.col("node")).withColumn("_runs", F.array(*[F.lit(0)] * (depth + 1)))
+    met, done = None, 0
+    for upto in [FIRST_RUNS, *(runs_for(recall, d) for d in range(depth + 1) if d < 2 or (depth - d) % 2 == 0)]:
+        if upto <= done:
+            continue
+        links, split = _candidates(nodes, (done + 1, upto), leaf, depth)
+        nodes = _counted(nodes, split, upto - done, depth)
+        if met is None:
+            found = components(links).withColumnRenamed("node", "_n").withColumnRenamed("root", "_root")
+            nodes = nodes.join(found, F.col("node") == F.col("_n"), "left").withColumn("root", F.coalesce("_root", "root")).drop("_n", "_root")
+        met, done = links if met is None else met.unionByName(links), upto
+        nodes = materialize(nodes.filter(_left([F.get("_runs", F.lit(d)) for d in range(depth + 1)]) > 1 - recall), "unmet")
+        if not nodes.limit(1).count():
+            break
     groups = components(met)
     sizes = groups.groupBy(F.col("root").alias("_r")).agg(F.count("*").alias("n"))
     groups = groups.join(sizes, F.col("root") == F.col("_r")).drop("_r")
