@@ -330,6 +330,32 @@ def test_main_text():
     assert blocks("") == []
 
 
+BARE = """<nav><a href=x>Home</a> <a href=y>All our many other pages and topics here</a></nav>
+{}<p>The first paragraph says what the page is about, in some twenty words or so, so that it is running text.</p>
+<p>The second paragraph goes on with it, has <math><mi>x</mi><mo>=</mo><mn>2</mn></math> inside, and ends like a sentence.</p>{}
+<div class="sidebar"><p>Read also the other things that we have written on this and that.</p></div><footer>Some words at the end.</footer>"""
+WRAPPERS = [("<body class='single has-sidebar'>", "</body>"), ("<body><div class='content no-sidebar'>", "</div></body>"),
+            ("<body><main class='search-results'>", "</main></body>"), ("<body><form id=aspnetForm method=post>", "</form></body>"),
+            ("<html class='js no-menu'><body><form><div class='page with-widget'>", "</div></form></body></html>")]
+
+
+@pytest.mark.parametrize("before,after", WRAPPERS)
+@pytest.mark.parametrize("inner", [("", ""), ("<article>", "</article>")])
+def test_wrappers_do_not_hide_the_page(before, after, inner):
+    want = BARE.split("<p>")[1].split("</p>")[0]
+    text = mincut.main_text(before + BARE.format(*inner) + after)
+    assert text.split("\n") == [want, "The second paragraph goes on with it, has x=2 inside, and ends like a sentence."]
+
+
+def test_wrapped_comments_stay_out():
+    article = "<article><p>" + "The article has a few words to say, not many. " * 3 + "</p></article>"
+    comments = "<section class=comments>" + "<article id=c1><p>A reader has very much more to say about all of it than the page has.</p></article>" * 8 + "</section>"
+    for before, after in WRAPPERS:
+        text = mincut.main_text(before + article + comments + after)
+        assert "few words" in text and "reader" not in text
+    assert mincut.main_text("<body class=x>" + BARE.split("{}")[0] + "<footer>" + "All rights are reserved by us and by all of our partners. " * 9 + "</footer>") == ""
+
+
 def test_extract_odd_pages(spark):
     rows = [(1, "u", PAGE, "x"), (2, None, None, "x"), (3, "u", "", "x"), (1, "u", PAGE, "x"), (4, "u", "<p>" + "word " * 50_000 + "</p>", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
