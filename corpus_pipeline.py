@@ -6,7 +6,8 @@ The stages, each ``(spark, docs, sf_dir) -> DataFrame`` over all that the one be
 2. near duplicates: of documents that similarity links connect, the one of least doc_id stays;
 3. decontamination: passages of the benchmark are cut from the texts; a document that has nothing else goes;
 4. mixing: documents are repeated or left out as the target weights ask, in training order;
-5. token ids: every row is encoded and written; the rows read back from the files are returned.
+5. token ids: every row is encoded and written in training order (the order in which the table of stage 4 was
+   written); the rows read back from the files are returned, their ``start`` ascends in that order.
 
 Null doc_ids and texts are borne as the operators say; extra columns travel along, whatever their names.
 """
@@ -51,7 +52,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return tokens.decode(spark, tokens.encode(docs, tokenizer_path(), END_ID))
+    """The token files are in the order of the table before, the training order."""
+    return tokens.decode(spark, tokens.encode(docs, tokenizer_path(), END_ID, order=tokens.as_written()))
 
 
 STAGES = [

@@ -445,6 +445,25 @@ def test_pipeline_stages(spark):
     assert docs.count() == sum(want.values())
 
 
+def test_token_files_are_in_training_order(spark):
+    rows = [(i * 7919 % 400, f"word{i} " * (5 + i % 9), f"s{i % 3}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix(docs).collect()
+    want = [k for _, k in sorted((p, r["doc_id"]) for r in mixed for p in r["positions"])]
+    assert want != sorted(want) and len(want) > len(set(want))
+    for files in (1, 3, 12):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", files)
+        try:
+            table = corpus_pipeline.materialize(corpus_pipeline.mix_sources(spark, docs, SF_SMALL), "stage")
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        got = corpus_pipeline.token_ids(spark, table, SF_SMALL).orderBy("start").collect()
+        assert [r["doc_id"] for r in got] == want
+        assert [r["start"] for r in got] == [sum(x["n_tokens"] for x in got[:k]) for k in range(len(got))]
+
+
 def test_pipeline_stages_on_no_rows(spark):
     none = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

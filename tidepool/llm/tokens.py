@@ -26,7 +26,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import text_of
@@ -251,19 +251,28 @@ def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids:
     gc.enable()
 
 
+def as_written(name: str = "_metadata") -> list[Column]:
+    """The order in which a table of Parquet files was written: Spark numbers the files by task, rows are in order."""
+    file, row = F.col(f"{name}.file_name"), F.col(f"{name}.row_index")
+    return [F.regexp_extract(file, r"part-(\d+)", 1).try_cast("long"), file, row]
+
+
 def encode(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text",
-           out: str | None = None, block_ids: int = BLOCK_IDS) -> str:
-    """Write the ids of all documents in ascending key order; returns the folder.
+           out: str | None = None, block_ids: int = BLOCK_IDS, order: list[Column] | None = None) -> str:
+    """Write the ids of all documents in ascending key order, or by ``order`` if given; returns the folder.
 
     Null texts are empty: a document of the end id alone. Null keys come first; documents of the same key
-    are ordered by text hash, repeated rows are all written. Other columns are not read. A text is never
-    split between blocks. An empty table writes no block.
+    are ordered by text hash, repeated rows are all written. Other columns are not read but for ``order``. A text is
+    never split between blocks. An empty table writes no block.
     """
     spark = docs.sparkSession
     out = out or scratch_path(spark, "simple8b")
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    rows = rows.withColumn("_tie", F.xxhash64("text"))
-    rows = rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").drop("_tie")
+    body = text_of(text)
+    order = [F.col(key).cast("long"), F.xxhash64(body)] if order is None else order
+    places = [f"_by{k}" for k in range(len(order))]
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("text"),
+                       *(c.alias(p) for c, p in zip(order, places)))
+    rows = rows.repartitionByRange(*places).sortWithinPartitions(*places).drop(*places)
     blocks = rows.mapInPandas(lambda b: _blocks(b, path, end_id, block_ids, 1 << 22), BLOCK_SCHEMA)
     blocks.write.option("compression", "zstd").parquet(out)
     return out
