@@ -82,7 +82,7 @@ def replay_files(spark: SparkSession, df: DataFrame, order_col: str, n_files: in
 
     Read back with ``maxFilesPerTrigger=1`` this replays the table as a stream
     of ``n_files`` micro-batches in arrival order (file streams take files in
-    modification-time order).  Meant for tests and demos on bounded tables.
+    modification-time order).  For tests on small tables only: each file is written by one task.
     """
     lo, hi = df.select(F.min(order_col), F.max(order_col)).first()
     if lo is None:
@@ -99,6 +99,38 @@ def replay_stream(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+#: Rows of a replay file, about; and files of a micro-batch at most.
+REPLAY_ROWS, REPLAY_FILES = 1 << 17, 16
+
+
+def time_ordered_stream(spark: SparkSession, df: DataFrame, ts: str, batches: int, rows: int = REPLAY_ROWS) -> DataFrame:
+    """All rows of ``df`` as a stream in the order of ``ts``, over ``batches`` micro-batches or more.
+
+    The table is written once, range-sorted, to files of about ``rows`` rows (all rows of one time are in one file,
+    null times come first). A file stream takes files by modification time, so that is set to follow the
+    order of the ranges; where a store does not keep it, all files are one micro-batch, in which no row is late.
+    """
+    path = scratch_path(spark, "replay")
+    n_files = max(batches, -(-df.count() // rows))
+    df.repartitionByRange(n_files, F.col(ts).asc_nulls_first()).write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def files():
+        found = [s for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
+        return sorted(found, key=lambda s: (int(s.getPath().getName().split("-")[1]), s.getPath().getName()))
+
+    first = files()
+    begin = max((s.getModificationTime() for s in first), default=0) // 1000 * 1000 - 1000 * len(first)
+    for k, s in enumerate(first):
+        fs.setTimes(s.getPath(), begin + 1000 * k, -1)
+    kept = [s.getModificationTime() for s in files()] == [begin + 1000 * k for k in range(len(first))]
+    reader = spark.readStream.schema(df.schema).option("maxFileAge", f"{len(first) + 604_800}s")
+    if kept:
+        reader = reader.option("maxFilesPerTrigger", max(1, min(REPLAY_FILES, len(first) // batches)))
+    return reader.parquet(path)
+
+
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Watermarks need TIMESTAMP (not TIMESTAMP_NTZ); the session zone is UTC."""
     return df.withColumn(ts, F.col(ts).cast("timestamp"))

@@ -23,8 +23,8 @@ from tidepool.sources import behavior
 from tidepool.operators import eventtime
 from tidepool.schemas import CHANGELOG_OUT, LATE_OUT, RECONCILE_OUT
 from tidepool.streaming.processors import ChangelogCount, KeyedLateSplit, Reconciler
-from tidepool.streaming.runner import (END_COL, event_time, read_epochs, replay_files, replay_stream, run_to_table,
-                                      table_stream, with_end_marker, write_epoch)
+from tidepool.streaming.runner import (END_COL, event_time, read_epochs, run_to_table, table_stream, time_ordered_stream,
+                                      with_end_marker, write_epoch)
 
 HOUR = micros(1, "h")
 
@@ -35,22 +35,16 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
-#: Micro-batches in which a registered event-time twin reads its table.
+#: Micro-batches, at least, in which a registered event-time twin reads its table.
 N_BATCHES = 4
 
 
-def _replayed(spark, df: DataFrame, order: str, n_files: int = N_BATCHES) -> DataFrame:
-    """``df`` as a stream of ``n_files`` micro-batches in the order of an integer column."""
-    path = replay_files(spark, df, order, n_files, scratch_path(spark, "replay"))
-    return replay_stream(spark, path, df.schema)
-
-
 def _events_with_marker(spark, sf, events: DataFrame | None = None):
     """The events stream, event time as TIMESTAMP, and its end-of-input marker.
 
-    The table is replayed in event order over several micro-batches; ``events`` replaces that stream."""
+    The table is read in event-time order over several micro-batches; ``events`` replaces that stream."""
     if events is None:
-        events = _replayed(spark, catalog.read_table(spark, sf, "events"), "event_id")
+        events = time_ordered_stream(spark, catalog.read_table(spark, sf, "events"), "ts", N_BATCHES)
     stream, end = with_end_marker(spark, events, "ts")
     return event_time(stream), end
 
@@ -179,11 +173,9 @@ def stream_interval_join(spark: SparkSession, sf: str, out_of_order: str = "1 da
     Both tables are replayed in event-time order over several micro-batches.  Spark takes the lesser of the two
     watermarks, so a row is late only if it comes ``out_of_order`` after both sides have passed its time.
     """
-    from tidepool.functions.timecols import epoch_micros
-
     def side(table: str, ts: str, *cols: str) -> DataFrame:
-        df = catalog.read_table(spark, sf, table).select(*cols, ts).withColumn("_us", epoch_micros(ts))
-        return event_time(_replayed(spark, df, "_us").drop("_us"), ts).withWatermark(ts, out_of_order)
+        df = catalog.read_table(spark, sf, table).select(*cols, ts)
+        return event_time(time_ordered_stream(spark, df, ts, N_BATCHES), ts).withWatermark(ts, out_of_order)
 
     o = side("orders", "o_orderdate", "o_orderkey")
     li = side("lineitem", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
@@ -310,10 +302,9 @@ def stream_reconcile(spark: SparkSession, sf: str, sides: DataFrame | None = Non
     from tidepool.functions.timecols import ntz_from_millis
 
     if sides is None:
-        from tidepool.functions.timecols import epoch_micros
-
         both = reconcile_sides(catalog.read_table(spark, sf, "orders"), catalog.read_table(spark, sf, "lineitem"))
-        sides = _replayed(spark, both.withColumn("_us", epoch_micros("ts")), "_us").drop("_us")
+        # A side without a time has nothing to wait for (its oracle leaves it out too).
+        sides = time_ordered_stream(spark, both.filter("ts IS NOT NULL"), "ts", N_BATCHES)
     stream, end = with_end_marker(spark, sides, "ts")
     # The marker has a key of its own: a NULL grouping key would hold back the timers of its partition.
     keyed = (event_time(stream).select(F.when(F.col(END_COL), F.lit(0)).otherwise(F.col("key")).alias("key"), END_COL,
