@@ -289,6 +289,41 @@ def test_pseudonyms(spark):
     assert int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+WAYS = [["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111"], ["378282246310005", "3782 822463 10005"],
+        ["GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32"], ["BE68539007547034", "BE68 5390 0754 7034"],
+        ["(988) 555-2485", "988-555-2485", "988.555.2485", "+1 (988) 555-2485", "+1988-555-2485", "+1 988 5552485"],
+        ["1999-12-25", "25.12.1999", "12/25/1999", "25/12/1999"], ["2001-03-04", "04.03.2001", "03/04/2001"]]
+
+
+def test_pseudonyms_are_the_same_in_all_ways_of_writing(spark):
+    import datetime
+
+    days = [datetime.date(1980, 1, 13) + datetime.timedelta(days=367 * i) for i in range(40)]
+    ways = WAYS + [[d.strftime(f) for f in ("%Y-%m-%d", "%d.%m.%Y", "%m/%d/%Y")] + [d.strftime("%d/%m/%Y")] * (d.day > 12) for d in days]
+    rows = [(k, f"see {v} AND more") for k, same in enumerate(ways) for v in same]
+    got = pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "k").collect()
+
+    def bare(text):
+        v = text[4:-9]
+        if "/" in v:
+            m, d, y = v.split("/")
+            return y + (m + d if int(m) <= 12 else d + m)
+        if v[4:5] == "-" and len(v) == 10:
+            return v.replace("-", "")
+        if v[2:3] == ".":
+            return "".join(reversed(v.split(".")))
+        v = v[2:] if v.startswith("+1") else v
+        return "".join(c for c in v if c.isalnum())
+
+    found = collections.defaultdict(set)
+    for (k, before), r in zip(rows, got):
+        assert r["text"] != before and len(r["text"]) == len(before)
+        if k < 5:
+            assert [c for c in r["text"][4:-9] if not c.isalnum()] == [c for c in before[4:-9] if not c.isalnum()]
+        found[k].add(bare(r["text"]))
+    assert all(len(v) == 1 for v in found.values()) and len({*map(min, found.values())}) == len(ways)
+
+
 def test_pseudonyms_leave_the_rest(odd):
     got = pii.pseudonymise(odd, "k")
     assert set(got.columns) == {*odd.columns, "n_found", "n_replaced"}

@@ -8,8 +8,16 @@ alternating Feistel network whose round function is SHA-256 of (key, kind, round
   from the other half; separators, length and case stay;
 * numbers with a range (IPv4, days, social security numbers): two residues of A x B values are added to by turns.
 
+Of cards, phones and IBANs the bare digits (letters) are permuted and written back between the separators found, of dates
+the day, so a value has the same pseudonym in whichever of the known ways it is written. A phone's country code
+stays, and its national number is permuted alike with and without one. Emails, access keys and secrets are told apart as written, case included.
+
 So equal values have equal pseudonyms in all documents, different ones never share one, and check digits
 and calendars hold. Whoever has the key can run the rounds backwards.
+
+Known forms are those of ``PATTERNS``: IBANs bare or in groups of four; days as yyyy-MM-dd, dd.MM.yyyy and with
+slashes, month first or, where that is no day, day first; secrets as a name (password, token, ...), = or : and 16 to 128
+hexadecimal digits. Other forms (secrets of other letters, days with one-digit months or month names) are not found.
 """
 
 from __future__ import annotations
@@ -18,10 +26,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Length of an IBAN by country. In printed groups the length tells where it ends.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_GROUPED = "|".join(
+    f"(?:{'|'.join(names.split())})[0-9]{{2}}(?:[ -][A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f"[ -][A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, names in IBAN_LENGTHS.items())
 #: What the kinds look like. Order matters where two could start at one place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}|{_GROUPED})(?![A-Za-z0-9])",
     "access": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "secret": r"(?i:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[0-9A-Fa-f]{16,128}(?![A-Za-z0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/-]|\.[0-9])",
@@ -90,6 +107,18 @@ def permute_pair(a: Column, b: Column, sizes: tuple[int, int], key: str, kind: s
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn)
 
 
+def _bare(m: Column) -> Column:
+    return F.regexp_replace(m, "[^A-Za-z0-9]", "")
+
+
+def _refill(m: Column, bare: Column) -> Column:
+    """``m`` with the characters of ``bare`` for its letters and digits, in order."""
+    def one(c: Column, i: Column) -> Column:
+        return F.when(c.rlike("[A-Za-z0-9]"), F.substr(bare, F.length(_bare(F.substr(m, F.lit(1), i + 1))), F.lit(1))).otherwise(c)
+
+    return F.when(m == _bare(m), bare).otherwise(F.array_join(F.transform(_chars(m), one), ""))
+
+
 def _luhn(digits: Column) -> Column:
     """The Luhn sum of digits, the last one not doubled."""
     return F.aggregate(F.transform(_chars(F.reverse(digits)), lambda c, i: F.when(
@@ -102,19 +131,40 @@ def _mod97(s: Column) -> Column:
         F.ascii(c) < 58, (a * 10 + F.ascii(c) - 48) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97).cast("int"))
 
 
+def _held(value: Column, then) -> Column:
+    """``then`` of a value that is worked out once."""
+    return F.transform(F.array(value), then)[0]
+
+
 def _card(m: Column, key: str) -> Column:
-    digits = F.regexp_replace(m, "[ -]", "")
-    body = permute_chars(F.substr(m, F.lit(1), F.length(m) - 1), key, "card")
-    check = F.pmod(-_luhn(F.concat(F.regexp_replace(body, "[ -]", ""), F.lit("0"))), F.lit(10))
-    return F.when(_luhn(digits) % 10 == 0, F.concat(body, check.cast("string"))).otherwise(m)
+    def new(digits: Column) -> Column:
+        body = permute_chars(F.substr(digits, F.lit(1), F.length(digits) - 1), key, "card")
+        whole = _held(body, lambda x: F.concat(x, F.pmod(-_luhn(F.concat(x, F.lit("0"))), F.lit(10)).cast("string")))
+        return F.when(_luhn(digits) % 10 == 0, _held(whole, lambda x: _refill(m, x))).otherwise(m)
+
+    return _held(_bare(m), new)
 
 
 def _iban(m: Column, key: str) -> Column:
-    rest = F.substr(m, F.lit(5), F.length(m))
-    country = F.substr(m, F.lit(1), F.lit(2))
-    body = permute_chars(rest, key, "iban")
-    check = F.lpad((98 - _mod97(F.concat(body, country, F.lit("00")))).cast("string"), 2, "0")
-    return F.when(_mod97(F.concat(rest, F.substr(m, F.lit(1), F.lit(4)))) == 1, F.concat(country, check, body)).otherwise(m)
+    def new(bare: Column) -> Column:
+        rest, country = F.substr(bare, F.lit(5), F.length(bare)), F.substr(bare, F.lit(1), F.lit(2))
+        whole = _held(permute_chars(rest, key, "iban"), lambda x: F.concat(
+            country, F.lpad((98 - _mod97(F.concat(x, country, F.lit("00")))).cast("string"), 2, "0"), x))
+        valid = _mod97(F.concat(rest, F.substr(bare, F.lit(1), F.lit(4)))) == 1
+        return F.when(valid, _held(whole, lambda x: _refill(m, x))).otherwise(m)
+
+    return _held(_bare(m), new)
+
+
+#: A phone's country code before an area code, three and four digits; or before any groups.
+_COUNTRY = (r"^(\+[0-9]{1,3}?[ .-]?)(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-]?[0-9]{4}$", r"^(\+[0-9]{1,3}[ .(-])")
+
+
+def _phone(m: Column, key: str) -> Column:
+    area, any_ = (F.length(F.regexp_extract(m, p, 1)) for p in _COUNTRY)
+    after = F.when(area > 0, area).otherwise(any_)
+    return _held(F.substr(m, after + 1, F.length(m)), lambda x: F.concat(
+        F.substr(m, F.lit(1), after), _held(permute_chars(_bare(x), key, "phone"), lambda new: _refill(x, new))))
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -140,28 +190,36 @@ def _ssn(m: Column, key: str) -> Column:
     return F.when(valid, F.transform(F.array(new), write)[0]).otherwise(m)
 
 
-def _written(cycle: Column, pattern: str):
-    return lambda x: F.date_format(F.date_add(F.lit(DAY_ZERO).cast("date"), (
-        cycle * 146_097 + x["a"] * CYCLE[1] + x["b"]).cast("int")), pattern)
+def _date(m: Column, key: str) -> Column:
+    """Days are permuted within their 400 years (0001-0400, ..., 2001-2400); 9601 and later stay.
 
+    Slash dates are read month first, and day first where that is no day. A day-first date is written day first
+    if it is then read so again, else month first: what is written is always read as the new day."""
+    def day(pattern: str) -> Column:
+        found = F.try_to_timestamp(m, F.lit(pattern)).cast("date")
+        # A date counts if it is written back as it was read.
+        return F.when(F.date_format(found, pattern) == m, found)
 
-def _date(m: Column, key: str) -> Column:
-    """Days are permuted within their 400 years (0001-0400, ..., 2001-2400); 9601 and later stay."""
-    out = m
-    for shape, pattern in ((r"^[0-9]{4}-", "yyyy-MM-dd"), (r"/", "MM/dd/yyyy"), (r"^[0-9]{2}\.", "dd.MM.yyyy")):
-        day = F.try_to_timestamp(m, F.lit(pattern)).cast("date")
-        number = F.datediff(day, F.lit(DAY_ZERO).cast("date"))
+    def moved(number: Column) -> Column:
         cycle, rest = F.floor(number / 146_097).cast("int"), F.pmod(number, F.lit(146_097))
-        new = permute_pair(F.floor(rest / CYCLE[1]), rest % CYCLE[1], CYCLE, key, f"date{pattern}")
-        moved = F.transform(F.array(new), _written(cycle, pattern))[0]
-        # A date counts if it is written back as it was read.
-        valid = (number >= 0) & (cycle < 24) & (F.date_format(day, pattern) == m)
-        out = F.when(m.rlike(shape), F.when(valid, moved).otherwise(m)).otherwise(out)
-    return out
+        new = permute_pair(F.floor(rest / CYCLE[1]), rest % CYCLE[1], CYCLE, key, "date")
+        return _held(new, lambda x: F.when((number >= 0) & (cycle < 24), F.date_add(
+            F.lit(DAY_ZERO).cast("date"), (cycle * 146_097 + x["a"] * CYCLE[1] + x["b"]).cast("int"))))
+
+    def written(x: Column) -> Column:
+        first = x["month_first"] | (F.dayofmonth(x["new"]) <= 12)
+        return F.coalesce(F.when(m.rlike("^[0-9]{4}-"), F.date_format(x["new"], "yyyy-MM-dd")).when(
+            m.contains("."), F.date_format(x["new"], "dd.MM.yyyy")).when(
+            first, F.date_format(x["new"], "MM/dd/yyyy")).otherwise(F.date_format(x["new"], "dd/MM/yyyy")), m)
+
+    month = F.when(m.contains("/"), day("MM/dd/yyyy"))
+    read = F.when(m.rlike("^[0-9]{4}-"), day("yyyy-MM-dd")).when(m.contains("."), day("dd.MM.yyyy")).otherwise(
+        F.coalesce(month, day("dd/MM/yyyy")))
+    number = F.datediff(read, F.lit(DAY_ZERO).cast("date"))
+    return _held(_held(number, lambda n: F.struct(moved(n).alias("new"), month.isNotNull().alias("month_first"))), written)
 
 
 def _pseudonym(m: Column, key: str) -> Column:
-    after = F.length(F.regexp_extract(m, r"^(\+[0-9]{1,3}[ .(-])", 1))
     head = F.length(F.regexp_extract(m, r"^(.*[=:]\s*[\"']?)", 1))
     at = F.instr(m, "@")
     kinds = {
@@ -174,7 +232,7 @@ def _pseudonym(m: Column, key: str) -> Column:
         "ssn": _ssn(m, key),
         "card": _card(m, key),
     }
-    out = F.concat(F.substr(m, F.lit(1), after), permute_chars(F.substr(m, after + 1, F.length(m)), key, "phone"))
+    out = _phone(m, key)
     for kind in reversed(["email", "access", "iban", "secret", "date", "ip", "ssn", "card"]):
         bare = {"email": "@", "secret": r"[=:]\s*[\"']?[0-9A-Fa-f]+$"}.get(kind)
         whole = rf"^(?:{_inner(kind)})$" if bare is None else bare
