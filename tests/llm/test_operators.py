@@ -127,6 +127,14 @@ def test_near_join_of_texts_from_shared_passages(spark):
     assert {r["doc_id"]: r["class_id"] for r in got.collect()} == {k: k - k % 2 for k, _ in rows}
 
 
+def test_one_row_of_each_class_whatever_the_keys(spark):
+    one, two, none = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(1, one), (1, two), (2, one + " x"), (3, two + " y"), (None, none), (None, none + " z"), (None, none), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"][:2]) for r in nearjoin.first_of_class(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(1, "a0"), (1, "b0"), (None, "c0"), (None, "")], key=str)
+
+
 def test_runs_hold_the_recall():
     for splits in range(nearjoin.DEPTH + 1):
         runs = nearjoin.runs_for(nearjoin.RECALL, splits)

@@ -316,6 +316,11 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall:
     linked to none and their own class. Null keys take part and are never a class id unless the class has
     no other. Repeated rows are copies. Other columns are not read.
     """
+    return _classes(docs, key, text, recall, leaf, depth).drop("_root")
+
+
+def _classes(docs: DataFrame, key: str, text: str, recall: float = RECALL, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
+    """The rows of ``near_join`` plus _root, which tells classes apart also where keys repeat; null without words."""
     rows = docs.select(F.col(key).cast("long").alias("key"), text_of(text).cast("binary").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     sketched = materialize(rows.mapInPandas(_sketch, SKETCH_SCHEMA), "sketches")
@@ -374,7 +379,7 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall:
     nodes = nodes.withColumn("root", F.coalesce("root", "node"))
     least = nodes.groupBy(F.col("root").alias("_r")).agg(F.min("copy_id").alias("class_id"))
     nodes = nodes.join(least, F.col("root") == F.col("_r"))
-    nodes = nodes.select(F.col("node").alias("_n"), F.col("also").alias("_a"), "class_id", "copy_id",
+    nodes = nodes.select(F.col("node").alias("_n"), F.col("also").alias("_a"), F.col("root").alias("_root"), "class_id", "copy_id",
                          (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = sketched.select("key", "tie", "node", "also").join(
         nodes, (F.col("node") == F.col("_n")) & (F.col("also") == F.col("_a")), "left")
@@ -382,24 +387,21 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text", recall:
     return out.select(F.col("key").alias(key), F.when(none, F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.when(none, F.col("key")).otherwise(F.col("copy_id")).alias("copy_id"),
-                      F.col("tie").alias("text_hash"))
+                      F.col("tie").alias("text_hash"), "_root")
 
 
 def first_of_class(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of ``docs`` per class of ``near_join``: the one of least key (nulls last), of those the one
-    of least text hash, of equal rows any. Rows without words are classes of their own and all stay. In a
-    class without any key one row of each different text stays.
+    of least text hash, of equal rows any. Rows without words are classes of their own and all stay.
     """
-    classes = near_join(docs, key, text)
+    classes = _classes(docs, key, text)
     empty = F.length(F.translate(text_of(text), " \t\n\x0b\x0c\r", "")) == 0
     # The row travels as one column, so that no column of it can clash.
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).cast("long").alias("_key"),
                        F.xxhash64(text_of(text).cast("binary")).alias("_tie"), empty.alias("_empty"))
-    # Per class the least (key, text hash); a class without keys is told by its copies' text hash alone.
-    first = classes.filter(F.col(key) == F.col("class_id")).groupBy(F.col("class_id").alias("_id")).agg(
-        F.min("text_hash").alias("_hash"))
-    keyless = classes.filter("class_id is null").select(F.lit(None).cast("long").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    first = first.unionByName(keyless)
+    first = classes.filter("_root is not null").groupBy("_root").agg(
+        F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col("text_hash").alias("hash"))).alias("_first"))
+    first = first.select("_root", F.col("_first.id").alias("_id"), F.col("_first.hash").alias("_hash"))
     kept = rows.filter(~F.col("_empty")).join(first, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_hash")))
-    kept = kept.dropDuplicates(["_id", "_hash"])
+    kept = kept.dropDuplicates(["_root"])
     return kept.select("_row").unionByName(rows.filter("_empty").select("_row")).select("_row.*")
