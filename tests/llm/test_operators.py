@@ -243,6 +243,13 @@ def test_language_odd_rows(spark, odd):
     assert langid.predict(odd.limit(0), langid.learn(odd.limit(0), F.lit(True))).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    from pyspark.sql import functions as F
+    rows = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)}", f"l{i}") for i in range(520)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert set(model) == {r[2] for r in rows}
+
+
 # --- personal data --------------------------------------------------------------------------------
 
 def _draw(key, kind, k, other):

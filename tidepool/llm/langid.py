@@ -29,7 +29,6 @@ from tidepool.llm.common import text_of
 ORDER = 5
 END = b"\n"  # follows the last byte of a word
 LEARN_ROWS = 2_000      # labelled documents learned from, per language (the first by hash)
-LANGUAGES = 500         # languages learned at most, the most frequent ones
 MEMORY = 300_000        # distinct words a task remembers, about
 SLICE_CHARS = 1 << 21
 LETTERS = re.compile(r"[^\W\d_]+").findall
@@ -55,18 +54,17 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def learn(docs: DataFrame, labelled: Column, lang: str = "lang", text: str = "text", key: str = "doc_id",
-          rows: int = LEARN_ROWS, languages: int = LANGUAGES) -> dict[str, dict[bytes, int]]:
+          rows: int = LEARN_ROWS) -> dict[str, dict[bytes, int]]:
     """language -> byte string -> count, from the rows where ``labelled`` and the label is not null.
 
-    Bounded sample: the first ``rows`` documents of each of the ``languages`` most frequent languages, by hash of
-    key and text (whole texts). The model's size is bounded by that sample, not by the corpus.
+    Bounded sample: the first ``rows`` documents of each language, by hash of key and text (whole texts). The
+    model's size is bounded by that sample and the number of languages, not by the corpus.
     """
     known = docs.filter(labelled & F.col(lang).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), text_of(text).alias("text"), F.xxhash64(key, text).alias("_draw"))
-    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
     first = Window.partitionBy("lang").orderBy("_draw")
     sample = known.select("lang", "_draw").withColumn("_nth", F.row_number().over(first)).filter(F.col("_nth") <= rows)
-    chosen = sample.join(F.broadcast(most), "lang").select("lang", "_draw").distinct()  # rows x languages at most
+    chosen = sample.select("lang", "_draw").distinct()
     sample = known.join(chosen, ["lang", "_draw"], "left_semi").select("lang", "text")
     grams = sample.mapInPandas(_contexts, "lang string, gram binary, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     model: dict[str, dict[bytes, int]] = {}
