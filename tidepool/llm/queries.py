@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import decontaminate, langid, mincut, mixing, nearjoin, pii, quality, sharding, substring, tokens
-from tidepool.llm.common import materialize, read
+from tidepool.llm import decontaminate, langid, mincut, mixing, nearjoin, pii, quality, runs, sharding, substring, tokens
+from tidepool.llm.common import materialize, read, text_of, words_of
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -84,6 +84,35 @@ def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("_found.n_hit") > 0).alias("contaminated"))
 
 
+def _repeated(text: Column, key: Column) -> Column:
+    """The texts that op11 looks at: of every tenth key (by crc32) the words from some place on are made periodic."""
+    h = F.crc32(key.cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+
+    def periodic(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("long")
+        # Periods end to end; the last one is cut.
+        from_a = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(from_a, F.lit(1), (n - a).cast("int"))), " ")
+
+    words = words_of(text)
+    return F.when((h % 10 == 0) & (F.size(words) > 0), periodic(words)).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.collapse(docs, _repeated(text_of("text"), F.col("doc_id")), keep=["doc_id"])
+    best = runs.strongest(F.col("runs"))
+    found = found.select("_row.doc_id", "runs", "kept", best.alias("best"))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    length, period = F.col("best.length"), F.col("best.period")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+                        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simple8b": op1_simple8b,
     "op2_feistel_pii": op2_feistel_pii,
@@ -95,4 +124,5 @@ QUERIES: dict[str, Query] = {
     "op8_doubling": op8_doubling,
     "op9_chosen_path": op9_chosen_path,
     "op10_fm_index": op10_fm_index,
+    "op11_periodic_runs": op11_periodic_runs,
 }
