@@ -13,6 +13,25 @@ def _shard(n: int) -> str:
     return f"(SELECT arg_max(s, ({draw}, s)) FROM range({n}) r(s))"
 
 
+def _lloyd(rounds: int) -> str:
+    """Rounds of nearest entry and mean, rounded down, from the codebooks ``c0``, and the last assignment ``a``; numbers are exact in doubles."""
+    def nearest(book: int) -> str:
+        far = "list_dot_product(p.x, p.x) - 2 * list_dot_product(p.x, c.x) + list_dot_product(c.x, c.x)"
+        return f"""SELECT p.rid, p.part, min({{'far': {far}, 'entry': c.entry}}) AS m
+  FROM p JOIN c{book} c USING (part) GROUP BY p.rid, p.part"""
+
+    steps = [f"""a{k} AS MATERIALIZED (
+  {nearest(k - 1)}
+), m{k} AS (
+  SELECT part, m.entry AS entry, i, floor(sum(x[i]) / count(*)) AS v
+  FROM a{k} JOIN p USING (rid, part), unnest(range(1, len(x) + 1)) u(i) GROUP BY ALL
+), c{k} AS MATERIALIZED (
+  SELECT part, entry, coalesce(n.x, c.x) AS x
+  FROM c{k - 1} c LEFT JOIN (SELECT part, entry, list(v ORDER BY i) AS x FROM m{k} GROUP BY ALL) n USING (part, entry)
+)""" for k in range(1, rounds + 1)]
+    return ",\n".join(steps) + f",\na AS (\n  {nearest(rounds)}\n)"
+
+
 ORACLES: dict[str, str] = {
     "op3_curriculum_mix": rf"""
 WITH d AS (
@@ -150,5 +169,23 @@ WITH d AS (
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+""",
+    "op12_gnat_codes": rf"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS q,
+         row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT rid, part, q[part * len(q) // 4 + 1:(part + 1) * len(q) // 4] AS x FROM v, range(4) r(part)
+), c0 AS MATERIALIZED (
+  SELECT part, rid - 1 AS entry, x FROM p WHERE rid <= 256
+), {_lloyd(4)}, e AS (
+  SELECT rid, string_agg(printf('%02x', m.entry), '' ORDER BY part) AS code, sum(m.far)::BIGINT AS error FROM a GROUP BY rid
+), s AS (
+  SELECT sha256(string_agg(x[i]::BIGINT::VARCHAR, ',' ORDER BY part, entry, i)) AS codebooks_sha256
+  FROM c4, unnest(range(1, len(x) + 1)) u(i)
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM v JOIN e USING (rid), s
 """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import decontaminate, langid, mincut, mixing, nearjoin, pii, quality, runs, sharding, substring, tokens
+from tidepool.llm import decontaminate, langid, mincut, mixing, nearjoin, pii, quality, runs, sharding, substring, tokens, vectorcodes
 from tidepool.llm.common import materialize, read, text_of, words_of
 
 TOKENIZER = "word_bpe_49k.json"
@@ -113,6 +113,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
 
 
+def op12_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vectorcodes.compress(read(spark, sf_dir, "embeddings"))
+    coded = vectorcodes.with_label_error(coded, "label")
+    return coded.select("_row.vec_id", "code", "error", "label_error",
+                        F.lit(vectorcodes.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simple8b": op1_simple8b,
     "op2_feistel_pii": op2_feistel_pii,
@@ -125,4 +132,5 @@ QUERIES: dict[str, Query] = {
     "op9_chosen_path": op9_chosen_path,
     "op10_fm_index": op10_fm_index,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_gnat_codes": op12_gnat_codes,
 }
