@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import decontaminate, langid, mincut, mixing, nearjoin, pii, quality, runs, sharding, substring, tokens, vectorcodes
+from tidepool.llm import decontaminate, langid, mincut, mixing, nearjoin, ngramlm, pii, quality, runs, sharding, substring, tokens, vectorcodes
 from tidepool.llm.common import materialize, read, text_of, words_of
 
 TOKENIZER = "word_bpe_49k.json"
@@ -120,6 +120,14 @@ def op12_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(vectorcodes.digest(books)).alias("codebooks_sha256"))
 
 
+def op13_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = lambda key: F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    scored = ngramlm.score(docs, ~held_out("doc_id"))
+    return scored.select(F.col("key").alias("doc_id"), held_out("key").alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simple8b": op1_simple8b,
     "op2_feistel_pii": op2_feistel_pii,
@@ -133,4 +141,5 @@ QUERIES: dict[str, Query] = {
     "op10_fm_index": op10_fm_index,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_gnat_codes": op12_gnat_codes,
+    "op13_deleted_interpolation": op13_deleted_interpolation,
 }
