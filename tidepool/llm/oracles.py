@@ -8,6 +8,14 @@ ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 W = r"[^\x20\x09-\x0D]+"
 
 
+# The reflected polynomial's table of 256 remainders, from its rule, and the crc32 of a text over it.
+CRC_TABLE = """SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, [0, 0, 0, 0, 0, 0, 0, 0]),
+         lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab"""
+CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+             regexp_extract_all(hex(encode({})), '..'), lambda h: ('0x' || h)::BIGINT)),
+             lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"""
+
+
 def _shard(n: int) -> str:
     draw = HASH60.format("coalesce(doc_id::VARCHAR, '\\N') || '|' || s")
     return f"(SELECT arg_max(s, ({draw}, s)) FROM range({n}) r(s))"
@@ -187,5 +195,42 @@ WITH v AS MATERIALIZED (
 )
 SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
 FROM v JOIN e USING (rid), s
+""",
+    # Plainly: all pairs of equal words within a quarter of the text, stretches of them, the smallest period of each stretch.
+    "op11_periodic_runs": rf"""
+WITH tab AS (
+  {CRC_TABLE}
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{W}') AS w,
+         {CRC.format("doc_id::VARCHAR")} AS h
+  FROM documents, tab
+), q AS (
+  SELECT *, len(w)::BIGINT AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d
+), t AS MATERIALIZED (
+  SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+    list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w
+  FROM q
+), u AS MATERIALIZED (
+  SELECT r, n, i, w[i + 1] AS x FROM t, unnest(range(n)) v(i)
+), m AS (
+  SELECT l.r, l.i - e.i AS q, l.i FROM u l JOIN u e ON l.r = e.r AND l.x = e.x AND e.i < l.i AND 4 * (l.i - e.i) <= l.n
+), s AS (
+  SELECT r, q, min(i) - q AS b, count(*) + q AS k
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM m) GROUP BY r, q, island
+  HAVING count(*) + q >= greatest(6, 4 * q)
+), o AS MATERIALIZED (
+  SELECT * FROM s x WHERE NOT EXISTS (SELECT 1 FROM s y WHERE y.r = x.r AND y.b = x.b AND y.k = x.k AND y.q < x.q)
+), z AS (
+  SELECT r, count(*) AS n_runs, string_agg(b || ',' || k || ',' || q || chr(10), '' ORDER BY b, q) AS listed,
+         arg_max({{'b': b, 'k': k, 'q': q}}, (k / q, -b, -q)) AS best
+  FROM o GROUP BY r
+), y AS (
+  SELECT r, coalesce(string_agg(x, ' ' ORDER BY i), '') AS kept
+  FROM u WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.r = u.r AND u.i >= o.b + o.q AND u.i < o.b + o.k) GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.b::BIGINT AS start, best.k::BIGINT AS length, best.q::BIGINT AS period,
+       (1000 * best.k // best.q)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+       sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM t LEFT JOIN z USING (r) LEFT JOIN y USING (r)
 """,
 }
