@@ -29,7 +29,8 @@ from tidepool.llm.wordhash import U, Words, pair
 
 HOLD_EVERY = 8
 ROUNDS = 12
-CHUNK_BYTES = 1 << 23
+CHUNK_BYTES = 1 << 22
+STEP = 1 << 17      # tokens priced together
 BUCKET_KEYS = 1 << 21
 SPARE_BITS = 20
 #: Tokens that no text holds: the end of a text, and what comes before its first word.
@@ -104,15 +105,19 @@ class Chunk:
         is_word = np.ones(len(token), bool)
         is_word[upto - 1] = False
         token[is_word], token[upto - 1] = words.hashes(), END
+        del body, words, is_word
+        grams, n = np.empty(3 * len(token), np.uint64), len(token)
+        grams[:n] = (token >> U(2)) | U(_WORD)
         two = pair(self.shifted(token, BEFORE), token)
-        three = pair(self.shifted(two, BEFORE_TWO), token)
-        grams = np.concatenate([(token >> U(2)) | U(_WORD), two >> U(64 - bits), three >> U(64 - bits)])
-        self.order = np.argsort(grams, kind="stable")
-        ranked = grams[self.order]
-        new = np.ones(len(ranked), bool)
-        new[1:] = ranked[1:] != ranked[:-1]
+        grams[n:2 * n] = two >> U(64 - bits)
+        grams[2 * n:] = pair(self.shifted(two, BEFORE_TWO), token) >> U(64 - bits)
+        del token, two
+        self.order = np.argsort(grams).astype(np.uint32)
+        grams = grams[self.order]
+        new = np.ones(len(grams), bool)
+        new[1:] = grams[1:] != grams[:-1]
         self.begin = np.flatnonzero(new)
-        self.grams = ranked[self.begin]
+        self.grams = grams[self.begin]
         self.roles = np.frombuffer(row.roles, np.uint8)
 
     def shifted(self, values: np.ndarray, at_start) -> np.ndarray:
@@ -203,15 +208,18 @@ def _score(batches, bits: int, texts: int, tokens: int, words: int, weights: np.
     for batch in batches:
         for row in batch.itertuples():
             chunk = Chunk(row, bits)
-            c3, x2, c2, x1, c1 = _counts(chunk, row.replies, ["kept", "held"], texts)
-            kind = np.where(x2 > 0, TWO + np.log2(np.maximum(x2, 1)).astype(np.int64),
-                            np.where(x1 > 0, ONE + np.log2(np.maximum(x1, 1)).astype(np.int64), 0))
-            a = weights[kind]
-            p = (a[:, 0] * _ratio(c3, x2) + a[:, 1] * _ratio(c2, x1) + a[:, 2] * (c1 / max(tokens, 1)) + a[:, 3] / (words + 1))
-            base = np.log10((c1 + 1) / (tokens + words + 1))
+            counts = _counts(chunk, row.replies, ["kept", "held"], texts)
+            base, score = np.empty(len(counts[0])), np.empty(len(counts[0]))
+            for k in range(0, len(base), STEP):
+                c3, x2, c2, x1, c1 = (c[k:k + STEP] for c in counts)
+                kind = np.where(x2 > 0, TWO + np.log2(np.maximum(x2, 1)).astype(np.int64),
+                                np.where(x1 > 0, ONE + np.log2(np.maximum(x1, 1)).astype(np.int64), 0))
+                a = weights[kind]
+                p = a[:, 0] * _ratio(c3, x2) + a[:, 1] * _ratio(c2, x1) + a[:, 2] * (c1 / max(tokens, 1)) + a[:, 3] / (words + 1)
+                score[k:k + STEP], base[k:k + STEP] = np.log10(p), np.log10((c1 + 1) / (tokens + words + 1))
             yield pd.DataFrame({"key": pd.array(list(row.keys), "Int64"), "n_tokens": chunk.count,
-                                "n_known": np.add.reduceat((c1 > 0).astype(np.int64), chunk.first),
-                                "base_score": np.add.reduceat(base, chunk.first), "score": np.add.reduceat(np.log10(p), chunk.first)})
+                                "n_known": np.add.reduceat((counts[-1] > 0).astype(np.int64), chunk.first),
+                                "base_score": np.add.reduceat(base, chunk.first), "score": np.add.reduceat(score, chunk.first)})
 
 
 def _settled(sums: dict[int, list[float]], known: bool) -> np.ndarray:
