@@ -25,5 +25,5 @@ def changelog_ops(count: Column) -> Column:
 def changelog(df: DataFrame, key: str, order: str, bucket: Column) -> DataFrame:
     """Changelog of ``SELECT key, COUNT(*) GROUP BY key`` in ``order`` of arrival."""
     counted = running(df.select(order, key), [order], [Running("_cnt", "count", F.lit(1))],
-                      partition_by=[key], bucket=bucket)
+                      partition_by=[key], bucket=bucket, nulls_last=True)
     return counted.select(order, key, F.inline(changelog_ops(F.col("_cnt"))))

@@ -30,13 +30,13 @@ def watermark_trace(df: DataFrame, ts: str, arrival: list[str], delay_us: int,
     """Add ``wm``: the watermark in force when each row arrives.
 
     ``wm = max(ts of earlier arrivals) - delay - 1 ms``; NULL before any row.
-    ``arrival`` must be a total order (end it with a unique column).  By
+    ``arrival`` must be a total order (end it with a unique column; NULL comes last).  By
     default the running max is bucketed by balanced ranges of that order.
     """
     if bucket is None:
-        df, bucket = with_range_buckets(df, arrival), range_bucket()
+        df, bucket = with_range_buckets(df, arrival, nulls_last=True), range_bucket()
     traced = running(df, arrival, [Running("_max_ts", "max", ts)], bucket=bucket,
-                     include_current=False)
+                     include_current=False, nulls_last=True)
     return traced.withColumn(
         "wm", F.timestamp_add("MICROSECOND", F.lit(-(delay_us + ONE_MS)), F.col("_max_ts"))
     ).drop("_max_ts")
@@ -89,11 +89,12 @@ def refire_counts(classified: DataFrame, key: str, arrival: list[str],
     if bucket is None:
         # The watermark trace already cut this arrival order into ranges.
         if RANGE_BUCKET_COL not in late.columns:
-            late = with_range_buckets(late, arrival)
+            late = with_range_buckets(late, arrival, nulls_last=True)
         bucket = range_bucket()
     late = running(late, arrival, [Running("late_rank", "count", F.lit(1))],
-                   partition_by=wk, bucket=bucket)
-    late = late.join(on_time, on=wk, how="left").fillna(0, subset=["n_on_time"])
+                   partition_by=wk, bucket=bucket, nulls_last=True)
+    first = on_time.select(F.struct(*wk).alias("_wk"), "n_on_time")
+    late = late.withColumn("_wk", F.struct(*wk)).join(first, "_wk", "left").fillna(0, subset=["n_on_time"])
     has_first = F.when(F.col("n_on_time") > 0, 1).otherwise(0)
     refires = late.select(
         *wk,

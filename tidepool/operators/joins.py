@@ -68,7 +68,7 @@ def latest_control_filter(data: DataFrame, control: DataFrame, ts: str, tiebreak
     event-time ordered stream (control first on equal timestamps), and the
     last non-null control value is carried forward with the two-level running
     scan over balanced ranges of that order.  No control value yet means
-    nothing matches.
+    nothing matches, and so does a row without a time.
     ``control`` needs ``ts``, ``tiebreak`` and ``control_value`` columns.
     """
     d = data.select(*data.columns, F.lit(None).cast("string").alias("_ctl"),
@@ -78,7 +78,7 @@ def latest_control_filter(data: DataFrame, control: DataFrame, ts: str, tiebreak
            else F.lit(None).cast(data.schema[name].dataType)).alias(name) for name in data.columns],
         F.col(control_value).cast("string").alias("_ctl"), F.lit(0).alias("_prio"))
     order = [ts, "_prio", tiebreak]
-    both = with_range_buckets(d.unionByName(c), order, num_buckets)
+    both = with_range_buckets(d.unionByName(c).filter(F.col(ts).isNotNull()), order, num_buckets)
     carried = running(both, order, [Running("_latest", "last", "_ctl")], bucket=range_bucket())
     return (carried.filter((F.col("_prio") == 1) & (F.col(value) == F.col("_latest")))
             .select(*data.columns))

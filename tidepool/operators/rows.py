@@ -76,19 +76,20 @@ def map_with_setup(df: DataFrame, col: str, keep: list[str],
 
 
 def keyed_lines(df: DataFrame, key: Column, seconds: Column, keep: list[str] = ()) -> DataFrame:
-    """Render rows as the reference's ``"key seconds"`` text lines."""
-    return df.select(*keep, F.concat_ws(" ", key.cast("string"), seconds.cast("string")).alias("value"))
+    """Render rows as the reference's ``"key seconds"`` text lines; a NULL is an empty field."""
+    fields = [F.coalesce(c.cast("string"), F.lit("")) for c in (key, seconds)]
+    return df.select(*keep, F.concat_ws(" ", *fields).alias("value"))
 
 
 def parse_keyed_lines(lines: DataFrame, keep: list[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Parse ``"key seconds"`` lines into ``(key, ts_ms)``.
 
     Returns ``(parsed, quarantine)``: a line without a second field or with a
-    non-integer one goes to ``quarantine`` instead of failing the job.
+    non-integer one goes to ``quarantine`` instead of failing the job.  An empty key is NULL.
     """
-    parts = F.split(F.col("value"), " ")
+    key = F.nullif(F.split(F.col("value"), " ").getItem(0), F.lit(""))
     secs = F.expr("try_cast(try_element_at(split(value, ' '), 2) AS BIGINT)")
-    staged = lines.select(*keep, "value", parts.getItem(0).alias("key"), secs.alias("_secs"))
+    staged = lines.select(*keep, "value", key.alias("key"), secs.alias("_secs"))
     ok = F.col("_secs").isNotNull()
     parsed = staged.filter(ok).select(*keep, "key", (F.col("_secs") * 1000).alias("ts_ms"))
     quarantine = staged.filter(~ok).select(*keep, "value")

@@ -87,7 +87,8 @@ def range_bounds(df: DataFrame, order_by: list[str], num_buckets: int,
     return sorted(set(cuts))
 
 
-def with_range_buckets(df: DataFrame, order_by: list[str], num_buckets: int | None = None) -> DataFrame:
+def with_range_buckets(df: DataFrame, order_by: list[str], num_buckets: int | None = None,
+                       nulls_last: bool = False) -> DataFrame:
     """Tag rows with a balanced, order-preserving bucket, for orders with no dense id.
 
     The total order (end it with a unique column) is cut at sampled points, so
@@ -101,6 +102,7 @@ def with_range_buckets(df: DataFrame, order_by: list[str], num_buckets: int | No
            + #cuts with leading value = v and tie-break <= the row's (only rows
              that tie a cut's leading value look this up).
     The leading column must be integral or a timestamp (exact as a double).
+    NULL sort keys come first, or last with ``nulls_last``.
     """
     from collections import Counter
 
@@ -110,7 +112,8 @@ def with_range_buckets(df: DataFrame, order_by: list[str], num_buckets: int | No
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = range_bounds(df, order_by, n)
     if not cuts:
-        return df.withColumn(RANGE_BUCKET_COL, F.lit(0).cast("bigint"))
+        bucket = F.when(F.col(order_by[0]).isNull(), F.lit(1 if nulls_last else 0)).otherwise(F.lit(0))
+        return df.withColumn(RANGE_BUCKET_COL, bucket.cast("bigint"))
     leads = sorted({c[0] for c in cuts})
     per_lead = Counter(c[0] for c in cuts)
     prefix = [0]
@@ -132,18 +135,20 @@ def with_range_buckets(df: DataFrame, order_by: list[str], num_buckets: int | No
     if rest:
         names = [f"_k{i}" for i in range(len(rest))]
         types = [df.select(_numeric_key(df, c)).schema[0].dataType for c in rest]
-        row_rest = F.struct(*[_numeric_key(df, c).alias(nm) for c, nm in zip(rest, names)])
+        # Structs compare field by field, NULL lowest; a flag ahead of each field puts NULL where it belongs.
+        flag = [F.when(_numeric_key(df, c).isNull(), F.lit(1 if nulls_last else -1)).otherwise(F.lit(0)) for c in rest]
+        row_rest = F.struct(*[x for f, c, nm in zip(flag, rest, names) for x in (f.alias(f"{nm}n"), _numeric_key(df, c).alias(nm))])
         by_lead: dict = {d: [] for d in leads}
         for c in cuts:
-            by_lead[c[0]].append(dict(zip(names, c[1:])))
+            by_lead[c[0]].append({k: v for nm, x in zip(names, c[1:]) for k, v in ((f"{nm}n", 0), (nm, x))})
         nested = list(by_lead.values())
-        ddl = "array<array<struct<" + ", ".join(f"{nm}: {t.simpleString()}" for nm, t in zip(names, types)) + ">>>"
+        ddl = "array<array<struct<" + ", ".join(f"{nm}n: int, {nm}: {t.simpleString()}" for nm, t in zip(names, types)) + ">>>"
         rests = F.from_json(F.lit(json.dumps(nested)), ddl)
         tied = F.size(F.filter(F.try_element_at(rests, idx + 1), lambda x: x <= row_rest))
     else:
         tied = F.try_element_at(F.lit([per_lead[d] for d in leads]).cast("array<bigint>"), idx + 1)
-    # NULL sort keys come first in ascending order: bucket 0.
-    bucket = F.when(lead.isNull(), F.lit(0)).otherwise(
+    # NULL sort keys: bucket 0, or one past all others.
+    bucket = F.when(lead.isNull(), F.lit(len(cuts) + 1 if nulls_last else 0)).otherwise(
         below + F.when(lead == next_lead, tied).otherwise(F.lit(0)))
     return staged.withColumn(RANGE_BUCKET_COL, bucket.cast("bigint")).drop("_rlead", "_ridx")
 
@@ -206,25 +211,32 @@ def _finish(spec: Running, w) -> Column:
 
 def running(df: DataFrame, order_by: list[str], specs: list[Running], *,
             partition_by: list[str] | tuple = (), bucket: Column,
-            include_current: bool = True) -> DataFrame:
+            include_current: bool = True, nulls_last: bool = False) -> DataFrame:
     """Append running aggregates to every row of ``df``.
 
     ``include_current=False`` gives the value over rows strictly before the
-    current one (e.g. the watermark a row sees on arrival).
+    current one (e.g. the watermark a row sees on arrival).  NULL keys are a key
+    like any other; NULL order values (and a NULL bucket) come first, or last with ``nulls_last``.
     """
     keys = list(partition_by)
-    bkeys = keys + ["_bkt"]
-    order_struct = F.struct(*[F.col(c) for c in order_by])
-    b = df.withColumn("_bkt", bucket)
 
-    summary = b.groupBy(*bkeys).agg(*[_bucket_summary(s, order_struct) for s in specs])
-    w_prev = (Window.partitionBy(*keys).orderBy("_bkt")
+    def asc(c: Column) -> Column:
+        return c.asc_nulls_last() if nulls_last else c.asc_nulls_first()
+
+    nulls = F.lit(1 if nulls_last else -1)
+    order_struct = F.struct(*[x for c in order_by for x in (F.when(F.col(c).isNull(), nulls).otherwise(F.lit(0)), F.col(c))])
+    # Keys and bucket as one struct: never NULL itself, so the join keeps rows with NULL inside, and the
+    # join's partitioning is still the window's.
+    b = df.withColumn("_grp", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], bucket.alias("bkt")))
+
+    summary = b.groupBy("_grp").agg(*[_bucket_summary(s, order_struct) for s in specs])
+    w_prev = (Window.partitionBy(*[F.col(f"_grp.k{i}") for i in range(len(keys))]).orderBy(asc(F.col("_grp.bkt")))
               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(*bkeys, *[_carry(s, w_prev) for s in specs])
+    carry = summary.select("_grp", *[_carry(s, w_prev) for s in specs])
 
-    joined = b.join(carry, on=bkeys, how="inner")
+    joined = b.join(carry, on="_grp", how="inner")
     upper = Window.currentRow if include_current else -1
-    w_in = (Window.partitionBy(*bkeys).orderBy(*order_by)
+    w_in = (Window.partitionBy("_grp").orderBy(*[asc(F.col(c)) for c in order_by])
             .rowsBetween(Window.unboundedPreceding, upper))
     out_cols = [F.col(c) for c in df.columns]
     return joined.select(*out_cols, *[_finish(s, w_in) for s in specs])

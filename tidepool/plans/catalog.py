@@ -65,7 +65,7 @@ def _arrivals(spark, sf):
 def topn_per_window(spark, sf):
     counts = windows.sliding_count(_events(spark, sf), "ts", HOUR, 5 * MIN, ["event_type"])
     top = topn.top_n(counts, ["window_start", "window_end"],
-                     [F.desc("cnt"), F.asc("event_type")], TOP_N)
+                     [F.desc("cnt"), F.asc_nulls_last("event_type")], TOP_N)
     return top.select("window_start", "window_end", F.col("event_type").alias("item"), "cnt",
                       F.col("rank").cast("bigint").alias("rank"))
 
@@ -125,8 +125,15 @@ def map_with_setup(spark, sf):
 
         return pa.array([i * i for i in range(MOST_LINES + 1)], pa.int64())
 
+    def look_up(table, v):
+        import pyarrow.compute as pc
+
+        # A number outside the lookup is worked out.
+        known = pc.and_(pc.greater_equal(v, 0), pc.less_equal(v, MOST_LINES))
+        return pc.if_else(known, table.take(pc.if_else(known, v, 0)), pc.multiply(v, v))
+
     return rows.map_with_setup(read_table(spark, sf, "lineitem"), "l_linenumber",
-                               ["l_orderkey", "l_linenumber"], setup=load, apply=lambda table, v: table.take(v))
+                               ["l_orderkey", "l_linenumber"], setup=load, apply=look_up)
 
 
 def parse_keyed_lines(spark, sf):
@@ -147,19 +154,27 @@ def csv_behavior_scan(spark, sf):
     return behavior.read_behavior_csv(spark, path)
 
 
+def broken_lines(ev: DataFrame) -> DataFrame:
+    """The events as lines of both text formats (``keyed``, ``csv``); every seventh user's line has no number where one has to be."""
+    number = F.when(F.col("user_id") % 7 == 0, F.lit("n/a")).otherwise(epoch_seconds("ts").cast("string"))
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("user_id", "event_id", "event_type", "event_type")]
+    csv = F.concat_ws(",", *fields, F.coalesce(number, F.lit("")))
+    return ev.select(F.concat_ws(" ", fields[0], F.coalesce(number, F.lit(""))).alias("keyed"), csv.alias("csv"))
+
+
+def count_kinds(fmt: str, good: DataFrame, bad: DataFrame) -> DataFrame:
+    """Per kind (``parsed``, ``quarantine``) of a format's lines, how many there are."""
+    counted = [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(fmt).alias("format"), F.lit(k).alias("kind"), "n")
+               for k, d in (("parsed", good), ("quarantine", bad))]
+    return counted[0].unionByName(counted[1])
+
+
 def quarantine_counts(spark, sf):
     """Lines of both text formats, some of them broken: what was parsed and what was set aside."""
-    ev = _events(spark, sf)
-    # Every seventh user's line has no number where one has to be.
-    number = F.when(F.col("user_id") % 7 == 0, F.lit("n/a")).otherwise(epoch_seconds("ts").cast("string"))
-    good, bad = rows.parse_keyed_lines(rows.keyed_lines(ev, F.col("user_id"), number))
-    csv_good, csv_bad = behavior.split_behavior_lines(ev.select(F.concat_ws(
-        ",", "user_id", "event_id", "event_type", "event_type", number).alias("value")))
-    parts = [("keyed", "parsed", good), ("keyed", "quarantine", bad),
-             ("csv", "parsed", csv_good), ("csv", "quarantine", csv_bad)]
-    counted = [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(f).alias("format"), F.lit(k).alias("kind"), "n")
-               for f, k, d in parts]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])
+    lines = broken_lines(_events(spark, sf))
+    keyed = rows.parse_keyed_lines(lines.select(F.col("keyed").alias("value")))
+    csv = behavior.split_behavior_lines(lines.select(F.col("csv").alias("value")))
+    return count_kinds("keyed", *keyed).unionByName(count_kinds("csv", *csv))
 
 
 OWNERS = 8
@@ -176,8 +191,9 @@ def redistribute(spark, sf):
     ev = _events(spark, sf).select("event_id", "user_id", "event_type")
     spread = partition.key_by(partition.shuffle(ev, OWNERS), "user_id", num_partitions=OWNERS)
     spread = spread.withColumn("_p", F.spark_partition_id())
-    places = spread.groupBy("user_id").agg((F.min("_p") == F.max("_p")).alias("together"))
-    return spread.drop("_p").join(places, "user_id").select("event_id", "user_id", "event_type", "together")
+    places = spread.groupBy(F.col("user_id").alias("_user")).agg((F.min("_p") == F.max("_p")).alias("together"))
+    return (spread.drop("_p").join(places, F.col("user_id").eqNullSafe(F.col("_user")))
+            .select("event_id", "user_id", "event_type", "together"))
 
 
 def shuffle_spread(spark, sf):
@@ -213,7 +229,8 @@ def sql_tumble(spark, sf):
 
 def _per_user_running(spark, sf, specs):
     c = _clicks(spark, sf)
-    return run.running(c, ["event_id"], specs, partition_by=["user_id"], bucket=id_bucket("event_id", RUN_WIDTH))
+    return run.running(c, ["event_id"], specs, partition_by=["user_id"], bucket=id_bucket("event_id", RUN_WIDTH),
+                       nulls_last=True)
 
 
 def running_count(spark, sf):
@@ -223,8 +240,8 @@ def running_count(spark, sf):
 
 def running_sum(spark, sf):
     r = _per_user_running(spark, sf, [Running("cents_sum", "sum", "cents"),
-                                      Running("first_type", "first", "event_type")])
-    return r.select("event_id", "user_id", F.col("first_type").alias("event_type"),
+                                      Running("first_row", "first", F.struct("event_type"))])
+    return r.select("event_id", "user_id", F.col("first_row.event_type").alias("event_type"),
                     F.col("cents_sum").alias("cents"))
 
 
@@ -236,7 +253,7 @@ def running_avg_keyed(spark, sf):
 def running_avg(spark, sf):
     r = run.running(_clicks(spark, sf), ["event_id"],
                     [Running("s", "sum", "cents"), Running("n", "count", F.lit(1))],
-                    bucket=id_bucket("event_id", RUN_WIDTH))
+                    bucket=id_bucket("event_id", RUN_WIDTH), nulls_last=True)
     return r.select("event_id", (F.col("s") / F.col("n")).alias("avg_cents"))
 
 
@@ -250,7 +267,7 @@ def running_events_per_user(spark, sf):
     rows_ = ev.select("event_id", F.lit(1).alias("is_row"), F.lit(0).alias("first_seen"))
     r = run.running(rows_.unionByName(firsts), ["event_id", "is_row"],
                     [Running("n", "sum", "is_row"), Running("users", "sum", "first_seen")],
-                    bucket=id_bucket("event_id", RUN_WIDTH))
+                    bucket=id_bucket("event_id", RUN_WIDTH), nulls_last=True)
     return r.filter(F.col("is_row") == 1).select(
         "event_id", (F.col("n") / F.col("users")).alias("events_per_user"))
 
@@ -264,7 +281,7 @@ def throttled_avg(spark, sf):
     # table, never over the events.
     r = run.running(per_bucket, ["bucket_start"],
                     [Running("cum_s", "sum", "s"), Running("cum_cnt", "sum", "n")],
-                    bucket=bucket_index("bucket_start", DAY))
+                    bucket=bucket_index("bucket_start", DAY), nulls_last=True)
     return r.select("bucket_start", "cum_cnt", (F.col("cum_s") / F.col("cum_cnt")).alias("cum_avg"))
 
 

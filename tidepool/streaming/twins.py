@@ -97,7 +97,7 @@ def stream_topn_per_window(spark: SparkSession, sf: str, events: DataFrame | Non
 
     def rank(batch: DataFrame) -> DataFrame:
         top = topn.top_n(batch, ["window_start", "window_end"],
-                         [F.desc("cnt"), F.asc("event_type")], catalog.TOP_N)
+                         [F.desc("cnt"), F.asc_nulls_last("event_type")], catalog.TOP_N)
         return top.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                           F.col("window_end").cast("timestamp_ntz").alias("window_end"),
                           F.col("event_type").alias("item"), "cnt",
