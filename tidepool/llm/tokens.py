@@ -34,6 +34,8 @@ from tidepool.session import scratch_path
 
 LANE = 1024
 BLOCK_IDS = 1 << 18
+#: Bytes of remembered words of a Python worker, about; there may be as much again of older ones.
+WORD_MEMORY = 160 << 20
 #: Selector -> (ids per word, bits per id); selector 0 is an escape, 15 a run of zeros.
 SELECTORS = {1: (60, 1), 2: (30, 2), 3: (20, 3), 4: (15, 4), 5: (12, 5), 6: (10, 6), 7: (8, 7), 8: (7, 8),
              9: (6, 10), 10: (5, 12), 11: (4, 15), 12: (3, 20), 13: (2, 30), 14: (1, 60), 15: (120, 0)}
@@ -127,18 +129,21 @@ class WordIds:
     parts between blanks, one after the other. Parts are looked up; a new one is split as the
     tokenizer splits it (Latin letters by the same pattern here, all else by the tokenizer's normalizer and
     splitter) and its pieces go through the tokenizer's model. What is remembered is bounded: after
-    ``most`` words a new memory begins, and only the last but one is still looked up.
+    ``memory`` bytes, about, a new memory begins, and of those before only the last ``older`` (0 or 1) is still looked up.
     """
 
     #: Fixed value: the tokenizer file's split pattern, with the letters, digits and blanks below U+0250 spelt out.
     PIECE = "'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^{0}{1}{2}]+"
     LATIN_END = "\u0250"
 
-    def __init__(self, path: str, most: int = 350_000):
+    #: Bytes that a word or piece takes in the memory besides its characters (a string, a dictionary entry, its ids).
+    ENTRY = 260
+
+    def __init__(self, path: str, memory: int = WORD_MEMORY, older: int = 1):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.model, self.most = self.whole.model, most
+        self.model, self.memory, self.older = self.whole.model, memory, older
         latin = [chr(c) for c in range(ord(self.LATIN_END))]
         kind = {c: unicodedata.category(c)[0] for c in latin}
         blank = [c for c in latin if c.isspace() and not "\x1c" <= c <= "\x1f"]
@@ -151,11 +156,17 @@ class WordIds:
         self.reset()
 
     def reset(self) -> None:
-        """Begin a new memory; the one before is still asked, the one before that is given up."""
-        self.before, self.known = getattr(self, "known", {}), {}
-        self.of_before, self.of_piece = getattr(self, "of_piece", {}), {}
-        self.pool_before, self.ends_before = getattr(self, "pool", None), getattr(self, "ends", None)
+        """Begin a new memory; the one before is still asked if ``older`` says so, the one before that is given up."""
+        old = self.older and hasattr(self, "known")
+        self.before, self.known = self.known if old else {}, {}
+        self.of_before, self.of_piece = self.of_piece if old else {}, {}
+        self.pool_before, self.ends_before = (self.pool, self.ends) if old else (None, None)
         self.pool, self.ends = array("I"), array("q", [0])
+        self.chars = 0
+
+    def held(self) -> int:
+        """Bytes of the present memory, about."""
+        return self.ENTRY * (len(self.known) + len(self.of_piece)) + self.chars + 4 * len(self.pool) + 8 * len(self.ends)
 
     def piece_ids(self, piece: str, written: str | None = None) -> list[int]:
         """The model's ids of a piece, ``written`` as the model reads it (None: by the byte table)."""
@@ -165,6 +176,7 @@ class WordIds:
                 written = piece if piece.isascii() and piece.isalnum() else "".join(map(self.byte.__getitem__, piece.encode()))
             ids = array("I", [t.id for t in self.model.tokenize(written)])
         self.of_piece[piece] = ids
+        self.chars += len(piece)
         return ids
 
     def learn(self, part: str) -> None:
@@ -186,11 +198,12 @@ class WordIds:
                     ids = of_piece.get("\ue000" + written)
                     pool += self.piece_ids("\ue000" + written, written) if ids is None else ids
         self.known[part] = len(self.known)
+        self.chars += len(part)
         self.ends.append(len(pool))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
-        if len(self.known) > self.most:
+        if self.held() > self.memory:
             self.reset()
         parts = [x.replace("\n", " ").split(" ") for x in texts]
         for part in set().union(*parts).difference(self.known):
@@ -205,18 +218,33 @@ class WordIds:
         return ids, np.diff(np.concatenate([[0], sums]))
 
 
-def _encoder(path: str) -> WordIds:
+def _encoder(path: str, memory: int, older: int) -> WordIds:
     """The Python worker's encoder, kept for its next tasks."""
     import tokenizers
 
     held = tokenizers.__dict__.setdefault("_tidepool_word_ids", {})
-    if path not in held:
-        held[path] = WordIds(path)
-    return held[path]
-
-
-def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids: int, slice_chars: int):
-    ids_of, shard, block = _encoder(path), TaskContext.get().partitionId(), 0
+    key = (path, memory, older)
+    if key not in held:
+        held[key] = WordIds(*key)
+    return held[key]
+
+
+def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids: int, slice_chars: int, memory: int, keep: bool):
+    """The block rows of a task. Cyclic collection is off meanwhile (many small objects, none in cycles)."""
+    ids_of = _encoder(path, memory, int(keep))
+    collects = gc.isenabled()
+    gc.disable()
+    try:
+        yield from _task_blocks(batches, ids_of, end_id, block_ids, slice_chars)
+    finally:
+        if not keep:
+            ids_of.reset()
+        if collects:
+            gc.enable()
+
+
+def _task_blocks(batches: Iterator[pd.DataFrame], ids_of: WordIds, end_id: int, block_ids: int, slice_chars: int):
+    shard, block = TaskContext.get().partitionId(), 0
     docs, counts, ids, size = [], [], [], 0
 
     def row():
@@ -225,7 +253,6 @@ def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids:
                 "words": words.astype("<u8").tobytes(), "offsets": offsets.astype("<u4").tobytes(),
                 "escapes": escapes.astype("<u8").tobytes()}
 
-    gc.disable()  # many small objects, none in cycles
     for batch in batches:
         keys = [None if pd.isna(k) else int(k) for k in batch["doc_id"]]
         texts, begin = list(batch["text"]), 0
@@ -248,7 +275,6 @@ def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids:
             begin = end
     if docs:
         yield pd.DataFrame([row()])
-    gc.enable()
 
 
 def as_written(name: str = "_metadata") -> list[Column]:
@@ -258,12 +284,16 @@ def as_written(name: str = "_metadata") -> list[Column]:
 
 
 def encode(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text",
-           out: str | None = None, block_ids: int = BLOCK_IDS, order: list[Column] | None = None) -> str:
+           out: str | None = None, block_ids: int = BLOCK_IDS, order: list[Column] | None = None,
+           word_memory: int = WORD_MEMORY, keep_memory: bool = True, slice_chars: int = 1 << 22) -> str:
     """Write the ids of all documents in ascending key order, or by ``order`` if given; returns the folder.
 
     Null texts are empty: a document of the end id alone. Null keys come first; documents of the same key
     are ordered by text hash, repeated rows are all written. Other columns are not read but for ``order``. A text is
     never split between blocks. An empty table writes no block.
+
+    A task remembers the ids of words it has met: ``word_memory`` bytes, about, and as much again of the memory before. With ``keep_memory`` the Python
+    worker keeps it for its next task; without, one memory is held and given up at the task's end (where other stages need the workers).
     """
     spark = docs.sparkSession
     out = out or scratch_path(spark, "simple8b")
@@ -273,7 +303,7 @@ def encode(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: s
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("text"),
                        *(c.alias(p) for c, p in zip(order, places)))
     rows = rows.repartitionByRange(*places).sortWithinPartitions(*places).drop(*places)
-    blocks = rows.mapInPandas(lambda b: _blocks(b, path, end_id, block_ids, 1 << 22), BLOCK_SCHEMA)
+    blocks = rows.mapInPandas(lambda b: _blocks(b, path, end_id, block_ids, slice_chars, word_memory, keep_memory), BLOCK_SCHEMA)
     blocks.write.option("compression", "zstd").parquet(out)
     return out
 
