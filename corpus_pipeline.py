@@ -53,7 +53,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files are in the order of the table before, the training order."""
-    return tokens.decode(spark, tokens.encode(docs, tokenizer_path(), END_ID, order=tokens.as_written()))
+    # The workers have grown in earlier stages: a small memory of words, given up after each task.
+    folder = tokens.encode(docs, tokenizer_path(), END_ID, order=tokens.as_written(), word_memory=32 << 20, keep_memory=False,
+                           slice_chars=1 << 20)
+    return tokens.decode(spark, folder)
 
 
 STAGES = [
