@@ -209,17 +209,16 @@ def _finish(spec: Running, w) -> Column:
     return out.alias(spec.name)
 
 
-def running(df: DataFrame, order_by: list[str], specs: list[Running], *,
-            partition_by: list[str] | tuple = (), bucket: Column,
-            include_current: bool = True, nulls_last: bool = False) -> DataFrame:
-    """Append running aggregates to every row of ``df``.
+@dataclass(frozen=True)
+class _Scan:
+    """The parts of a running scan: tagged rows, one summary row per (keys, bucket), what lies before each of them."""
 
-    ``include_current=False`` gives the value over rows strictly before the
-    current one (e.g. the watermark a row sees on arrival).  NULL keys are a key
-    like any other; NULL order values (and a NULL bucket) come first, or last with ``nulls_last``.
-    """
-    keys = list(partition_by)
+    rows: DataFrame
+    summary: DataFrame
+    before: object
 
+
+def _scan(df: DataFrame, order_by, specs, keys, bucket, nulls_last, carry: DataFrame | None) -> _Scan:
     def asc(c: Column) -> Column:
         return c.asc_nulls_last() if nulls_last else c.asc_nulls_first()
 
@@ -227,16 +226,59 @@ def running(df: DataFrame, order_by: list[str], specs: list[Running], *,
     order_struct = F.struct(*[x for c in order_by for x in (F.when(F.col(c).isNull(), nulls).otherwise(F.lit(0)), F.col(c))])
     # Keys and bucket as one struct: never NULL itself, so the join keeps rows with NULL inside, and the
     # join's partitioning is still the window's.
-    b = df.withColumn("_grp", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], bucket.alias("bkt")))
+    group = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], bucket.cast("bigint").alias("bkt"))
+    b = df.withColumn("_grp", group)
+    summary = b.groupBy("_grp").agg(*[_bucket_summary(s, order_struct) for s in specs]).withColumn("_carried", F.lit(False))
+    if carry is not None:
+        # What earlier rows left per key comes before every bucket of the key.
+        group = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.lit(None).cast("bigint").alias("bkt"))
+        summary = summary.unionByName(carry.select(group.alias("_grp"), *[f"_s_{s.name}" for s in specs], F.lit(True).alias("_carried")))
+    # In the order of buckets; what was carried comes first.
+    before = (Window.partitionBy(*[F.col(f"_grp.k{i}") for i in range(len(keys))])
+              .orderBy(F.col("_carried").desc(), asc(F.col("_grp.bkt"))).rowsBetween(Window.unboundedPreceding, -1))
+    return _Scan(b, summary, before)
 
-    summary = b.groupBy("_grp").agg(*[_bucket_summary(s, order_struct) for s in specs])
-    w_prev = (Window.partitionBy(*[F.col(f"_grp.k{i}") for i in range(len(keys))]).orderBy(asc(F.col("_grp.bkt")))
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select("_grp", *[_carry(s, w_prev) for s in specs])
 
-    joined = b.join(carry, on="_grp", how="inner")
+def running(df: DataFrame, order_by: list[str], specs: list[Running], *,
+            partition_by: list[str] | tuple = (), bucket: Column,
+            include_current: bool = True, nulls_last: bool = False, carry: DataFrame | None = None) -> DataFrame:
+    """Append running aggregates to every row of ``df``.
+
+    ``include_current=False`` gives the value over rows strictly before the
+    current one (e.g. the watermark a row sees on arrival).  NULL keys are a key
+    like any other; NULL order values (and a NULL bucket) come first, or last with ``nulls_last``.
+    ``carry`` continues a scan over earlier rows: what :func:`carry_after` gave for them.
+    """
+    keys = list(partition_by)
+    scan = _scan(df, order_by, specs, keys, bucket, nulls_last, carry)
+    ahead = scan.summary.select("_grp", "_carried", *[_carry(s, scan.before) for s in specs]).filter(~F.col("_carried")).drop("_carried")
+
+    joined = scan.rows.join(ahead, on="_grp", how="inner")
     upper = Window.currentRow if include_current else -1
-    w_in = (Window.partitionBy("_grp").orderBy(*[asc(F.col(c)) for c in order_by])
-            .rowsBetween(Window.unboundedPreceding, upper))
+    asc = [F.col(c).asc_nulls_last() if nulls_last else F.col(c).asc_nulls_first() for c in order_by]
+    w_in = Window.partitionBy("_grp").orderBy(*asc).rowsBetween(Window.unboundedPreceding, upper)
     out_cols = [F.col(c) for c in df.columns]
     return joined.select(*out_cols, *[_finish(s, w_in) for s in specs])
+
+
+def carry_after(df: DataFrame, order_by: list[str], specs: list[Running], *, partition_by: list[str] | tuple = (),
+                bucket: Column, nulls_last: bool = False, carry: DataFrame | None = None) -> DataFrame:
+    """One row per key: what a scan over later rows has to carry (the keys and ``_s_<name>``)."""
+    keys = list(partition_by)
+    scan = _scan(df, order_by, specs, keys, bucket, nulls_last, carry)
+    place = F.struct((~F.col("_carried")).alias("later"), F.when(F.col("_grp.bkt").isNull(), F.lit(1 if nulls_last else -1)).otherwise(0),
+                     F.col("_grp.bkt"))
+
+    def total(spec: Running) -> Column:
+        s = F.col(f"_s_{spec.name}")
+        if spec.kind in ("sum", "count"):
+            out = F.sum(s)
+        elif spec.kind in ("max", "min"):
+            out = F.max(s) if spec.kind == "max" else F.min(s)
+        else:
+            pick = F.max_by if spec.kind == "last" else F.min_by
+            out = pick(s, F.when(s.isNotNull(), place))
+        return out.alias(f"_s_{spec.name}")
+
+    per_key = scan.summary.groupBy(*[F.col(f"_grp.k{i}").alias(k) for i, k in enumerate(keys)]).agg(*[total(s) for s in specs])
+    return per_key.select(*keys, *[f"_s_{s.name}" for s in specs])

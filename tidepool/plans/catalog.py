@@ -12,6 +12,7 @@ days; every size is a parameter of the operator.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -214,16 +215,24 @@ def replicate_all(spark, sf):
 
 # --- aggregates: final, running, changelog ----------------------------------------------
 
+def on_view(df: DataFrame, sql: str) -> DataFrame:
+    """``sql`` over ``df`` (batch or stream) as the temporary view ``{view}``; the view's name is the query's own and goes once it is planned."""
+    view = f"tp_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(view)
+    try:
+        return df.sparkSession.sql(sql.format(view=view))
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
+
+
 def sql_group_count(spark, sf):
-    _events(spark, sf).createOrReplaceTempView("tp_clicks")
-    return spark.sql("SELECT user_id, COUNT(event_type) AS cnt FROM tp_clicks GROUP BY user_id")
+    return on_view(_events(spark, sf), "SELECT user_id, COUNT(event_type) AS cnt FROM {view} GROUP BY user_id")
 
 
 def sql_tumble(spark, sf):
-    _events(spark, sf).createOrReplaceTempView("tp_clicks")
-    return spark.sql("""
+    return on_view(_events(spark, sf), """
         SELECT user_id, COUNT(event_type) AS cnt, window.end AS end_t
-        FROM tp_clicks
+        FROM {view}
         GROUP BY user_id, window(ts, '1 hour')""")
 
 
@@ -365,15 +374,17 @@ def stream_equi_join(spark, sf):
         "o_orderkey", "o_custkey", "c_name", "o_totalprice")
 
 
-def control_filter(spark, sf):
-    ev = _events(spark, sf)
-    data = ev.filter(F.col("event_type").isin("click", "view")).select(
-        "event_id", "ts", "user_id", "event_type")
+def control_sides(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(data rows, control rows) of the events: clicks and views are data, sign-ups and errors set the value that passes."""
+    data = ev.filter(F.col("event_type").isin("click", "view")).select("event_id", "ts", "user_id", "event_type")
     value = F.lit(None).cast("string")
     for k, v in CONTROL_VALUE.items():
         value = F.when(F.col("event_type") == k, F.lit(v)).otherwise(value)
-    control = ev.filter(F.col("event_type").isin(*CONTROL_VALUE)).select(
-        "event_id", "ts", value.alias("control_value"))
+    return data, ev.filter(F.col("event_type").isin(*CONTROL_VALUE)).select("event_id", "ts", value.alias("control_value"))
+
+
+def control_filter(spark, sf):
+    data, control = control_sides(_events(spark, sf))
     return joins.latest_control_filter(data, control, "ts", "event_id", "event_type",
                                        "control_value")
 

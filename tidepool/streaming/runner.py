@@ -9,6 +9,7 @@ same shared folder, so a restarted driver resumes where the query stopped.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.functions.timecols import epoch_micros
 from tidepool.session import STATE_STORE_KEY, STATE_STORE_PROVIDER, ensure_utc, scratch_path
 from tidepool.sources.tables import table_path
 
@@ -55,8 +57,8 @@ class EndMarker:
     moves the watermark past every real window.
     """
 
-    def __init__(self, spark: SparkSession, schema: T.StructType, ts: str):
-        self.spark, self.ts = spark, ts
+    def __init__(self, spark: SparkSession, schema: T.StructType, ts: str, inputs: tuple = ()):
+        self.spark, self.ts, self.inputs = spark, ts, tuple(inputs)
         self.schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
         self.folder = scratch_path(spark, "end-marker")
         spark.createDataFrame([], self.schema).write.parquet(self.folder)
@@ -70,10 +72,51 @@ class EndMarker:
         self.spark.createDataFrame(rows, self.schema).write.mode("append").parquet(self.folder)
 
 
-def with_end_marker(spark: SparkSession, stream: DataFrame, ts: str) -> tuple[DataFrame, EndMarker]:
+class OrderedInput:
+    """All rows of a table as a stream, in the order of ``by`` (a time or a number), over ``batches`` micro-batches.
+
+    The rows arrive slice by slice: ``deliver(k)`` adds those between two cut points to the folder that the stream reads, as new
+    files, and the next run of the query on the same checkpoint takes them as one micro-batch. So order
+    does not depend on what a store says about its files, a slice has as many tasks as the table has splits there,
+    and a scan per slice reads the row groups of its range. The cut points are approximate quantiles: ``batches`` numbers on the driver. All
+    rows of one value are in one slice; NULL comes first, or last with ``nulls_last``.
+    """
+
+    def __init__(self, spark: SparkSession, df: DataFrame, by: str, batches: int, nulls_last: bool = False):
+        ensure_utc(spark)
+        self.spark, self.df, self.nulls_last = spark, df, nulls_last
+        kind = df.schema[by].dataType
+        self.by = epoch_micros(by) if isinstance(kind, T.TimestampNTZType) else F.unix_micros(by) if isinstance(kind, T.TimestampType) else F.col(by)
+        shares = [k / batches for k in range(1, batches)]
+        cuts = df.select(self.by.cast("double").alias("v")).approxQuantile("v", shares, 0.01) if shares else []
+        self.edges = [None, *sorted(set(cuts)), None]
+        self.folder = scratch_path(spark, "input")
+        spark.createDataFrame([], df.schema).write.parquet(self.folder)
+
+    def __len__(self) -> int:
+        return len(self.edges) - 1
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.df.schema).parquet(self.folder)
+
+    def deliver(self, k: int) -> None:
+        if k >= len(self):
+            return
+        low, high = self.edges[k], self.edges[k + 1]
+        inside = F.lit(True)
+        if low is not None:
+            inside = inside & (self.by >= F.lit(int(low)))
+        if high is not None:
+            inside = inside & (self.by < F.lit(int(high)))
+        nulls = self.by.isNull() if k == (len(self) - 1 if self.nulls_last else 0) else F.lit(False)
+        self.df.filter(nulls | (self.by.isNotNull() & inside)).write.mode("append").parquet(self.folder)
+
+
+def with_end_marker(spark: SparkSession, stream: DataFrame | OrderedInput, ts: str) -> tuple[DataFrame, EndMarker]:
     """``stream`` plus ``is_end`` and the source of its end marker; hand the marker to ``run_to_table``."""
-    flagged = stream.withColumn(END_COL, F.lit(False))
-    end = EndMarker(spark, flagged.schema, ts)
+    inputs = (stream,) if isinstance(stream, OrderedInput) else ()
+    flagged = (stream.stream() if inputs else stream).withColumn(END_COL, F.lit(False))
+    end = EndMarker(spark, flagged.schema, ts, inputs)
     return flagged.unionByName(end.stream()), end
 
 
@@ -136,35 +179,48 @@ def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
+#: Settings are read when a query starts; queries started by several threads take turns.
+_STARTING = threading.Lock()
+NO_DATA_KEY = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 @contextmanager
-def _state_store(spark: SparkSession, rocksdb: bool):
-    """The state store provider is fixed when a query starts: RocksDB (committing only each batch's
-    changes) for queries that need it (stateful processors), then the session's own again."""
+def _starting(spark: SparkSession, rocksdb: bool, last: bool = True):
+    """The session while a query starts: RocksDB (committing only each batch's changes) for queries that need it
+    (stateful processors); no micro-batch without data except after the last slice. Then the session's own settings again."""
     wanted = {STATE_STORE_KEY: STATE_STORE_PROVIDER, CHANGELOG_KEY: "true"} if rocksdb else {}
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    if not last:
+        wanted[NO_DATA_KEY] = "false"
+    with _STARTING:
+        before = {key: spark.conf.get(key, None) for key in wanted}
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
 
 
 def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode: str = "append",
                  per_batch: Callable[[DataFrame], DataFrame] | None = None,
                  rocksdb: bool = False,
                  per_batch_sink: Callable[[DataFrame, int], None] | None = None,
-                 end: EndMarker | None = None) -> DataFrame:
+                 end: EndMarker | None = None, key: list[str] | None = None, inputs: tuple[OrderedInput, ...] = ()) -> DataFrame:
     """Run ``query`` until the available input is consumed; return what it wrote.
 
+    ``inputs`` (or those of ``end``) are delivered slice by slice, each slice read by a run of its own on the same checkpoint.
+
     With ``end``, the end marker is delivered after that and read by another run on the same
     checkpoint; its own result rows (``is_end``) are left out of what was written, not inside the query, where
     Catalyst would push the filter below the watermark and the marker would never count.
 
+    With ``key``, ``update`` results are merged into one row per key (:class:`~tidepool.streaming.carry.KeyedTable`):
+    an epoch rewrites the key buckets it touches, and run again it changes nothing.
+
     ``append`` results go to a parquet file sink (exactly-once through the
     sink's commit log).  ``update`` / ``complete`` results, or any query with a
     ``per_batch`` step, go through ``foreachBatch``: ``complete`` overwrites the
@@ -173,18 +229,24 @@ def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode:
     out = scratch_path(spark, f"out-{name}")
     ckpt = scratch_path(spark, f"ckpt-{name}")
 
+    epochs: list[int] = []
+    table = None
+
     def real(rows: DataFrame) -> DataFrame:
         return rows.filter(~F.col(END_COL)).drop(END_COL) if END_COL in rows.columns else rows
 
     def sink(batch: DataFrame, epoch: int) -> None:
         batch = real(batch)
         result = per_batch(batch) if per_batch else batch
-        if output_mode == "complete":
+        if table is not None:
+            table.upsert(result, epoch)
+            epochs.append(epoch)
+        elif output_mode == "complete":
             result.write.mode("overwrite").parquet(out)
         else:
             write_epoch(result, out, epoch)
 
-    def run() -> None:
+    def run(last: bool = True) -> None:
         writer = query.writeStream.option("checkpointLocation", ckpt).outputMode(output_mode)
         if per_batch_sink is not None:
             writer = writer.foreachBatch(per_batch_sink)
@@ -192,20 +254,33 @@ def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode:
             writer = writer.format("parquet").option("path", out)
         else:
             writer = writer.foreachBatch(sink)
-        with _state_store(spark, rocksdb):
+        with _starting(spark, rocksdb, last):
             handle = writer.trigger(availableNow=True).start()
         handle.awaitTermination()
         if handle.exception():
             raise handle.exception()
 
-    run()
-    if end is not None:
-        end.deliver()
-        run()
     empty = spark.createDataFrame([], query.schema)
-    if per_batch is None and output_mode == "append":
-        return real(read_epochs(spark, out, empty.schema))
     expected = (per_batch(real(empty)) if per_batch else real(empty)).schema
+    if key is not None:
+        from tidepool.streaming.carry import KeyedTable
+
+        table = KeyedTable(spark, expected, key, path=out)
+    inputs = tuple(inputs) + (end.inputs if end is not None else ())
+    slices = max((len(i) for i in inputs), default=0)
+    for k in range(slices):
+        for i in inputs:
+            i.deliver(k)
+        if end is not None and k == slices - 1:
+            end.deliver()  # with the last rows: the watermark moves after their micro-batch
+        run(last=k == slices - 1)
+    if not slices:
+        run()
+        if end is not None:
+            end.deliver()
+            run()
+    if table is not None:
+        return table.read(epochs[-1]) if epochs else spark.createDataFrame([], expected)
     return read_epochs(spark, out, expected)
 
 

@@ -9,8 +9,6 @@ that every window closes (a bounded source ends with a maximal watermark).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +19,11 @@ from tidepool.plans.oracles import ORACLES
 from tidepool.session import scratch_path
 from tidepool.sources import behavior
 from tidepool.operators import eventtime
-from tidepool.schemas import CHANGELOG_OUT, LATE_OUT, RECONCILE_OUT
-from tidepool.streaming.processors import ChangelogCount, KeyedLateSplit, Reconciler
-from tidepool.streaming.runner import (END_COL, event_time, read_epochs, run_to_table, table_stream, time_ordered_stream,
+from tidepool.schemas import LATE_OUT
+from tidepool.streaming.processors import KeyedLateSplit
+from tidepool.streaming.runner import (END_COL, OrderedInput, event_time, read_epochs, run_to_table, table_stream,
                                       with_end_marker, write_epoch)
+from tidepool.streaming.stepwise import STEP_QUERIES, stream_changelog_count, stream_reconcile  # noqa: F401
 
 HOUR = micros(1, "h")
 
@@ -44,16 +43,15 @@ def _events_with_marker(spark, sf, events: DataFrame | None = None):
 
     The table is read in event-time order over several micro-batches; ``events`` replaces that stream."""
     if events is None:
-        events = time_ordered_stream(spark, catalog.read_table(spark, sf, "events"), "ts", N_BATCHES)
+        events = OrderedInput(spark, catalog.read_table(spark, sf, "events"), "ts", N_BATCHES)
     stream, end = with_end_marker(spark, events, "ts")
     return event_time(stream), end
 
 
-def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
-    """Running word count over a document stream; the full table is rewritten per trigger."""
-    docs = table_stream(spark, sf, "documents")
-    counts = rows.word_count(docs, "text")
-    return run_to_table(spark, counts, "word-count", output_mode="complete")
+def stream_word_count(spark: SparkSession, sf: str, docs: DataFrame | None = None) -> DataFrame:
+    """Word count over a document stream: changed counts are merged by word into the buckets they are in."""
+    docs = docs if docs is not None else table_stream(spark, sf, "documents")
+    return run_to_table(spark, rows.word_count(docs, "text"), "word-count", output_mode="update", key=["word"])
 
 
 def stream_tumbling_count(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
@@ -70,14 +68,10 @@ def stream_tumbling_count(spark: SparkSession, sf: str, events: DataFrame | None
 def stream_sql_tumble(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """SQL tumbling window over a streaming view with a watermark; each window is emitted once."""
     ev, end = _events_with_marker(spark, sf, events)
-    view = f"tp_stream_{uuid.uuid4().hex[:12]}"
-    ev.withWatermark("ts", "0 seconds").createOrReplaceTempView(view)
-    q = spark.sql(f"""
+    q = catalog.on_view(ev.withWatermark("ts", "0 seconds"), """
         SELECT user_id, COUNT(event_type) AS cnt, window.end AS end_t, is_end
         FROM {view} GROUP BY user_id, is_end, window(ts, '1 hour')""")
-    out = run_to_table(spark, q, "sql-tumble", end=end)
-    spark.catalog.dropTempView(view)
-    return _ntz(out, "end_t")
+    return _ntz(run_to_table(spark, q, "sql-tumble", end=end), "end_t")
 
 
 def stream_topn_per_window(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
@@ -173,9 +167,12 @@ def stream_interval_join(spark: SparkSession, sf: str, out_of_order: str = "1 da
     Both tables are replayed in event-time order over several micro-batches.  Spark takes the lesser of the two
     watermarks, so a row is late only if it comes ``out_of_order`` after both sides have passed its time.
     """
+    both = []
+
     def side(table: str, ts: str, *cols: str) -> DataFrame:
         df = catalog.read_table(spark, sf, table).select(*cols, ts)
-        return event_time(time_ordered_stream(spark, df, ts, N_BATCHES), ts).withWatermark(ts, out_of_order)
+        both.append(OrderedInput(spark, df, ts, N_BATCHES))
+        return event_time(both[-1].stream(), ts).withWatermark(ts, out_of_order)
 
     o = side("orders", "o_orderdate", "o_orderkey")
     li = side("lineitem", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
@@ -183,16 +180,7 @@ def stream_interval_join(spark: SparkSession, sf: str, out_of_order: str = "1 da
             & (li.l_shipdate >= o.o_orderdate - F.expr("INTERVAL 10 DAYS"))
             & (li.l_shipdate <= o.o_orderdate + F.expr("INTERVAL 5 DAYS")))
     joined = o.join(li, cond, "inner").select(*catalog.INTERVAL_COLS)
-    return _ntz(run_to_table(spark, joined, "interval-join"), "o_orderdate", "l_shipdate")
-
-
-def stream_changelog_count(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
-    """Changelog of the per-user count, from a stateful processor holding one count per user."""
-    ev = (events if events is not None else table_stream(spark, sf, "events")).select("event_id", "user_id")
-    out = ev.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=ChangelogCount(), outputStructType=CHANGELOG_OUT,
-        outputMode="Append", timeMode="None")
-    return run_to_table(spark, out, "changelog", rocksdb=True)
+    return _ntz(run_to_table(spark, joined, "interval-join", inputs=tuple(both)), "o_orderdate", "l_shipdate")
 
 
 def stream_table_project(spark: SparkSession, sf: str) -> DataFrame:
@@ -202,11 +190,11 @@ def stream_table_project(spark: SparkSession, sf: str) -> DataFrame:
                         "table-project")
 
 
-def stream_sql_group_count(spark: SparkSession, sf: str) -> DataFrame:
-    """SQL over a streaming temp view; the updating result table is kept complete."""
-    table_stream(spark, sf, "events").createOrReplaceTempView("tp_click_stream")
-    q = spark.sql("SELECT user_id, COUNT(event_type) AS cnt FROM tp_click_stream GROUP BY user_id")
-    return run_to_table(spark, q, "sql-group-count", output_mode="complete")
+def stream_sql_group_count(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
+    """SQL over a streaming temp view; changed counts are merged by user into the result table."""
+    src = events if events is not None else table_stream(spark, sf, "events")
+    q = catalog.on_view(src, "SELECT user_id, COUNT(event_type) AS cnt FROM {view} GROUP BY user_id")
+    return run_to_table(spark, q, "sql-group-count", output_mode="update", key=["user_id"])
 
 
 def stream_csv_behavior_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -292,31 +280,6 @@ def reconcile_sides(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         side(lineitem, "l_orderkey", "l_shipdate", "pay"))
 
 
-def stream_reconcile(spark: SparkSession, sf: str, sides: DataFrame | None = None) -> DataFrame:
-    """Orders matched with their first payment (line-item ship date) within 90 days.
-
-    Both tables are read as streams, tagged with their side, unioned and keyed
-    by order key; event-time timers report the side that waited in vain.
-    ``sides`` replaces the input (a (key, side, ts) stream in event-time order).
-    """
-    from tidepool.functions.timecols import ntz_from_millis
-
-    if sides is None:
-        both = reconcile_sides(catalog.read_table(spark, sf, "orders"), catalog.read_table(spark, sf, "lineitem"))
-        # A side without a time has nothing to wait for (its oracle leaves it out too).
-        sides = time_ordered_stream(spark, both.filter("ts IS NOT NULL"), "ts", N_BATCHES)
-    stream, end = with_end_marker(spark, sides, "ts")
-    # The marker has a key of its own: a NULL grouping key would hold back the timers of its partition.
-    keyed = (event_time(stream).select(F.when(F.col(END_COL), F.lit(0)).otherwise(F.col("key")).alias("key"), END_COL,
-                                       "side", "ts", F.floor(F.unix_micros("ts") / 1000).cast("bigint").alias("ts_ms"))
-             .withWatermark("ts", "0 seconds"))
-    out = keyed.groupBy("key", END_COL).transformWithState(
-        statefulProcessor=Reconciler(), outputStructType=RECONCILE_OUT,
-        outputMode="Append", timeMode="EventTime")
-    res = run_to_table(spark, out, "reconcile", rocksdb=True, end=end)
-    return res.select("o_orderkey", "status", ntz_from_millis("at_ms").alias("at_ts"))
-
-
 def stream_proc_time_count(spark: SparkSession, sf: str) -> DataFrame:
     """Processing-time tumbling count: rows are stamped at ingest, counted per 5 s and user."""
     ev = table_stream(spark, sf, "events").withColumn("ingest_ts", F.current_timestamp())
@@ -325,7 +288,34 @@ def stream_proc_time_count(spark: SparkSession, sf: str) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("cnt"))
               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       "user_id", "cnt"))
-    return run_to_table(spark, counts, "proc-time-count", output_mode="update")
+    return run_to_table(spark, counts, "proc-time-count", output_mode="update", key=["window_start", "window_end", "user_id"])
+
+
+def stream_quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Both text formats read as line streams; parsed and broken lines of a micro-batch go to a table each, and are counted."""
+    parts = []
+    lines = catalog.broken_lines(catalog.read_table(spark, sf, "events"))
+    for fmt, split in (("keyed", rows.parse_keyed_lines), ("csv", behavior.split_behavior_lines)):
+        folder = scratch_path(spark, f"{fmt}-lines")
+        lines.select(F.col(fmt).alias("value")).write.text(folder)
+        good, bad = split_to_sinks(spark, behavior.stream_behavior_lines(spark, folder), split, fmt)
+        parts.append(catalog.count_kinds(fmt, good, bad))
+    return parts[0].unionByName(parts[1])
+
+
+def split_to_sinks(spark: SparkSession, lines: DataFrame, split, name: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of a stream of lines: ``split`` divides each micro-batch, which is read once and written to two sinks."""
+    good_out, bad_out = scratch_path(spark, f"{name}-parsed"), scratch_path(spark, f"{name}-quarantine")
+    good, bad = split(spark.createDataFrame([], lines.schema))
+
+    def sinks(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        for part, out in zip(split(batch), (good_out, bad_out)):
+            write_epoch(part, out, epoch)
+        batch.unpersist()
+
+    run_to_table(spark, lines, name, per_batch_sink=sinks)
+    return read_epochs(spark, good_out, good.schema), read_epochs(spark, bad_out, bad.schema)
 
 
 STREAM_QUERIES = {
@@ -338,7 +328,6 @@ STREAM_QUERIES = {
     "stream_equi_join_static": stream_equi_join,
     "stream_equi_join_streams": stream_equi_join_streams,
     "stream_interval_join": stream_interval_join,
-    "stream_changelog_count": stream_changelog_count,
     "stream_table_project": stream_table_project,
     "stream_sql_group_count": stream_sql_group_count,
     "stream_csv_behavior_scan": stream_csv_behavior_scan,
@@ -347,7 +336,8 @@ STREAM_QUERIES = {
     "stream_parse_keyed_lines": stream_parse_keyed_lines,
     "stream_proc_time_count": stream_proc_time_count,
     "stream_throttled_avg": stream_throttled_avg,
-    "stream_reconcile": stream_reconcile,
+    "stream_quarantine_counts": stream_quarantine_counts,
+    **STEP_QUERIES,
 }
 
 # A twin computes exactly what its batch form computes.
@@ -364,6 +354,15 @@ STREAM_ORACLES = {
     "stream_changelog_count": ORACLES["changelog_count"],
     "stream_table_project": ORACLES["table_project"],
     "stream_sql_group_count": ORACLES["sql_group_count"],
+    "stream_quarantine_counts": ORACLES["quarantine_counts"],
+    "stream_running_count": ORACLES["running_count"],
+    "stream_running_sum": ORACLES["running_sum"],
+    "stream_running_avg_keyed": ORACLES["running_avg_keyed"],
+    "stream_running_avg": ORACLES["running_avg"],
+    "stream_late_split": ORACLES["late_split"],
+    "stream_late_window_side": ORACLES["late_window_side"],
+    "stream_late_refire": ORACLES["late_refire"],
+    "stream_control_filter": ORACLES["control_filter"],
     "stream_csv_behavior_scan": ORACLES["csv_behavior_scan"],
     # Timers have millisecond resolution.
     "stream_event_timers": """
