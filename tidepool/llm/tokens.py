@@ -35,7 +35,7 @@ from tidepool.session import scratch_path
 LANE = 1024
 BLOCK_IDS = 1 << 18
 #: Bytes of remembered words of a Python worker, about; there may be as much again of older ones.
-WORD_MEMORY = 160 << 20
+WORD_MEMORY = 240 << 20
 #: Selector -> (ids per word, bits per id); selector 0 is an escape, 15 a run of zeros.
 SELECTORS = {1: (60, 1), 2: (30, 2), 3: (20, 3), 4: (15, 4), 5: (12, 5), 6: (10, 6), 7: (8, 7), 8: (7, 8),
              9: (6, 10), 10: (5, 12), 11: (4, 15), 12: (3, 20), 13: (2, 30), 14: (1, 60), 15: (120, 0)}
