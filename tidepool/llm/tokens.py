@@ -231,14 +231,13 @@ def _encoder(path: str, memory: int, older: int) -> WordIds:
 
 def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids: int, slice_chars: int, memory: int, keep: bool):
     """The block rows of a task. Cyclic collection is off meanwhile (many small objects, none in cycles)."""
-    ids_of = _encoder(path, memory, int(keep))
+    # Without keeping, neither the words nor the tokenizer outlive the task.
+    ids_of = _encoder(path, memory, 1) if keep else WordIds(path, memory, 0)
     collects = gc.isenabled()
     gc.disable()
     try:
         yield from _task_blocks(batches, ids_of, end_id, block_ids, slice_chars)
     finally:
-        if not keep:
-            ids_of.reset()
         if collects:
             gc.enable()
 
