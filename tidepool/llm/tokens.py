@@ -15,6 +15,7 @@ writer (a lost task leaves nothing behind). A block has
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import unicodedata
@@ -229,6 +230,13 @@ def _encoder(path: str, memory: int, older: int) -> WordIds:
     return held[key]
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, where the C library can (an idle Python worker would hold it)."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids: int, slice_chars: int, memory: int, keep: bool):
     """The block rows of a task. Cyclic collection is off meanwhile (many small objects, none in cycles)."""
     # Without keeping, neither the words nor the tokenizer outlive the task.
@@ -240,6 +248,9 @@ def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids:
     finally:
         if collects:
             gc.enable()
+        if not keep:
+            del ids_of
+            _give_back()
 
 
 def _task_blocks(batches: Iterator[pd.DataFrame], ids_of: WordIds, end_id: int, block_ids: int, slice_chars: int):
