@@ -42,6 +42,15 @@ def ntz_from_seconds(col) -> Column:
     return ntz_from_micros(_c(col) * 1_000_000)
 
 
+def millis_text(col) -> Column:
+    """Epoch milliseconds as the text a SQL timestamp prints as: seconds, a point and the fraction
+    without trailing zeros, at least one digit (``2024-01-01 00:00:05.25``). UTC; NULL stays NULL."""
+    millis = _c(col)
+    digits = F.lpad(F.pmod(millis, F.lit(1000)).cast("string"), 3, "0")
+    fraction = F.concat(F.substring(digits, 1, 1), F.rtrim(F.substring(digits, 2, 2), F.lit("0")))
+    return F.concat(F.date_format(ntz_from_millis(millis), "yyyy-MM-dd HH:mm:ss"), F.lit("."), fraction)
+
+
 def bucket_start(col, width_micros: int) -> Column:
     """Start of the fixed bucket of ``width_micros`` holding the timestamp."""
     e = epoch_micros(col)

@@ -18,8 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.functions.timecols import bucket_index, epoch_seconds, micros
-from tidepool.operators import changelog, eventtime, joins, partition, rows, running as run, topn, windows
+from tidepool.functions.timecols import bucket_index, epoch_millis, epoch_seconds, micros, millis_text
+from tidepool.operators import changelog, eventtime, joins, partition, rows, running as run, throttle, topn, windows
 from tidepool.operators.running import RANGE_BUCKET_COL, Running, id_bucket
 from tidepool.session import materialize, scratch_path
 from tidepool.sources import behavior
@@ -37,6 +37,7 @@ ALLOWED_LATENESS = 5 * MIN
 TIMER_DELAY = micros(5, "s")
 TIMER_OUT_OF_ORDER = micros(5, "s")
 THROTTLE_BUCKET = 10 * MIN
+THROTTLE_DELAY_MS = 3_600_000    # between a row and the throttled mean it sets a timer for
 MATCH_WITHIN = 90 * DAY
 CLICK_THRESHOLD_CENTS = 500
 MOST_LINES = 7                  # line numbers of an order go up to 7
@@ -294,6 +295,15 @@ def throttled_avg(spark, sf):
     return r.select("bucket_start", "cum_cnt", (F.col("cum_s") / F.col("cum_cnt")).alias("cum_avg"))
 
 
+def throttled_timer_avg(spark, sf):
+    ticks = materialize(throttle.sum_per_tick(_clicks(spark, sf), "ts", "cents"), "throttle-ticks")
+    return throttle.throttled_mean(ticks, THROTTLE_DELAY_MS)[0]
+
+
+def timestamp_text(spark, sf):
+    return _events(spark, sf).select("event_id", millis_text(epoch_millis("ts")).alias("ts_text"))
+
+
 def changelog_count(spark, sf):
     ev = _events(spark, sf)
     return changelog.changelog(ev, "user_id", "event_id", id_bucket("event_id", RUN_WIDTH))
@@ -426,6 +436,8 @@ QUERIES: dict[str, Query] = {
     "running_avg": running_avg,
     "running_events_per_user": running_events_per_user,
     "throttled_avg": throttled_avg,
+    "throttled_timer_avg": throttled_timer_avg,
+    "timestamp_text": timestamp_text,
     "changelog_count": changelog_count,
     "watermark_trace": watermark_trace,
     "late_split": late_split,

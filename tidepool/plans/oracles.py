@@ -185,6 +185,23 @@ ORACLES: dict[str, str] = {
            / CAST(sum(n) OVER (ORDER BY bucket_start {RUN_ID}) AS DOUBLE) AS cum_avg
   FROM b""",
 
+    # The chain of timers: the first row, then each first row more than an hour after the one before.
+    "throttled_timer_avg": f"""
+  WITH RECURSIVE t AS (
+    SELECT epoch_us(ts) // 1000 AS ms, sum({CENTS}) AS s, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY ALL),
+  chain(set_ms) AS (
+    SELECT min(ms) FROM t HAVING count(*) > 0
+    UNION ALL
+    SELECT min(t.ms) FROM chain JOIN t ON t.ms > chain.set_ms + 3600000 HAVING count(*) > 0)
+  SELECT make_timestamp((set_ms + 3600000) * 1000) AS fired_at, CAST(sum(n) AS BIGINT) AS cum_cnt,
+         CAST(coalesce(sum(s), 0) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS cum_avg
+  FROM chain JOIN t ON t.ms <= chain.set_ms + 3600000 GROUP BY set_ms""",
+
+    "timestamp_text": """
+  SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || '.' || CASE
+           WHEN strftime(ts, '%g') = '000' THEN '0' ELSE rtrim(strftime(ts, '%g'), '0') END AS ts_text
+  FROM events""",
+
     "changelog_count": f"""
   WITH r AS (
     SELECT event_id, user_id,

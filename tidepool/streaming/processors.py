@@ -98,11 +98,15 @@ class ArrivalAlarm(StatefulProcessor):
 
     Output rows are (key, kind, at_ms) with kind ``arrival`` or ``alarm``.
     Alarms need a live query (a processing-time trigger); a run-to-completion
-    query stops before they are due.
+    query stops before they are due. A key has one timer per instant: arrivals of one instant share an alarm.
     """
 
     delay_ms = 10_000
 
+    def __init__(self, delay_ms: int | None = None) -> None:
+        if delay_ms is not None:
+            self.delay_ms = delay_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+import time
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -284,6 +285,39 @@ def run_to_table(spark: SparkSession, query: DataFrame, name: str, output_mode:
     return read_epochs(spark, out, expected)
 
 
+def run_live(spark: SparkSession, query: DataFrame, name: str, last_due: Callable[[DataFrame], int | None],
+             trigger: str = "500 milliseconds", timeout_s: float = 900) -> DataFrame:
+    """Run a query with processing-time timers on a live trigger until its last timer has fired; return what it wrote.
+
+    Once a micro-batch finds no more input, ``last_due(rows written)`` says when the last timer is due (epoch ms, None: no timer). The query is
+    stopped after the first micro-batch that started later than that.
+    """
+    out, ckpt = scratch_path(spark, f"out-{name}"), scratch_path(spark, f"ckpt-{name}")
+    writer = query.writeStream.option("checkpointLocation", ckpt).outputMode("append").foreachBatch(lambda b, e: write_epoch(b, out, e))
+    with _starting(spark, rocksdb=True):
+        handle = writer.trigger(processingTime=trigger).start()
+    give_up, due = time.monotonic() + timeout_s, None
+    try:
+        while True:
+            if not handle.isActive and handle.exception():
+                raise handle.exception()
+            if time.monotonic() > give_up:
+                raise TimeoutError(f"{name}: timers still pending after {timeout_s} s")
+            seen = handle.lastProgress
+            if seen is not None and seen["numInputRows"] == 0:
+                if due is None:
+                    due = last_due(read_epochs(spark, out, query.schema))
+                    if due is None:
+                        break
+                started = dt.datetime.fromisoformat(seen["timestamp"].replace("Z", "+00:00"))
+                if started.timestamp() * 1000 > due + 1:
+                    break
+            time.sleep(0.2)
+    finally:
+        handle.stop()
+    return read_epochs(spark, out, query.schema)
+
+
 def write_epoch(df: DataFrame, path: str, epoch: int) -> None:
     """Idempotent micro-batch write: a retried epoch overwrites its own folder."""
     df.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.functions.timecols import epoch_micros, ntz_from_micros
-from tidepool.operators import changelog, eventtime, joins
+from tidepool.operators import changelog, eventtime, joins, throttle
 from tidepool.operators.eventtime import ONE_MS
 from tidepool.operators.running import RANGE_BUCKET_COL, Running, carry_after, id_bucket, running
 from tidepool.plans import catalog
-from tidepool.session import scratch_path
+from tidepool.session import materialize, scratch_path
 from tidepool.streaming.carry import EpochTable, KeyedTable, StreamWatermark
 from tidepool.streaming.runner import END_COL, OrderedInput, read_epochs, run_to_table, with_end_marker, write_epoch
 
@@ -125,6 +125,35 @@ def stream_changelog_count(spark: SparkSession, sf: str, events: DataFrame | Non
                           lambda r: r.select("event_id", "user_id", F.inline(changelog.changelog_ops(F.col("_cnt")))))
 
 
+# --- throttled mean -----------------------------------------------------------------------------
+
+THROTTLE_STATE = "s bigint, n bigint, timer_ms bigint"
+
+
+def stream_throttled_timer_avg(spark: SparkSession, sf: str, events: DataFrame | None = None,
+                               delay_ms: int = catalog.THROTTLE_DELAY_MS) -> DataFrame:
+    """The mean of all clicks so far, given out when a timer fires that the first row after the timer before has set.
+
+    Sum, count and the pending timer are carried, one row; rows come in event-time order from batch to batch.
+    """
+    clicks = catalog.clicks(events) if events is not None else catalog._clicks(spark, sf)
+    rows = clicks.select("ts", "cents")
+    if events is None:
+        rows = OrderedInput(spark, rows, "ts", N_BATCHES)
+    state = EpochTable(spark, T._parse_datatype_string(THROTTLE_STATE), name="throttle-state")
+    out = scratch_path(spark, "throttle-out")
+
+    def step(batch: DataFrame, epoch: int, ended: bool) -> None:
+        row = state.before(epoch).first()
+        ticks = materialize(throttle.sum_per_tick(batch, "ts", "cents"), "throttle-ticks")
+        fired, left = throttle.throttled_mean(ticks, delay_ms, tuple(row) if row else (0, 0, None), ended)
+        write_epoch(fired, out, epoch)
+        state.write(spark.createDataFrame([left], state.schema), epoch)
+
+    run_steps(spark, rows, "throttled-timer", step, ts="ts")
+    return read_epochs(spark, out, T._parse_datatype_string("fired_at timestamp_ntz, cum_cnt bigint, cum_avg double"))
+
+
 # --- the stream's own watermark -----------------------------------------------------------------
 
 def _arrivals(spark, sf, events: DataFrame | None):
@@ -348,6 +377,7 @@ STEP_QUERIES = {
     "stream_running_avg_keyed": stream_running_avg_keyed,
     "stream_running_avg": stream_running_avg,
     "stream_changelog_count": stream_changelog_count,
+    "stream_throttled_timer_avg": stream_throttled_timer_avg,
     "stream_late_split": stream_late_split,
     "stream_late_window_side": stream_late_window_side,
     "stream_late_refire": stream_late_refire,

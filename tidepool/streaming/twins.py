@@ -19,10 +19,10 @@ from tidepool.plans.oracles import ORACLES
 from tidepool.session import scratch_path
 from tidepool.sources import behavior
 from tidepool.operators import eventtime
-from tidepool.schemas import LATE_OUT
-from tidepool.streaming.processors import KeyedLateSplit
-from tidepool.streaming.runner import (END_COL, OrderedInput, event_time, read_epochs, run_to_table, table_stream,
-                                      with_end_marker, write_epoch)
+from tidepool.schemas import ALARM_OUT, LATE_OUT
+from tidepool.streaming.processors import ArrivalAlarm, KeyedLateSplit
+from tidepool.streaming.runner import (END_COL, SENTINEL_TS, OrderedInput, event_time, read_epochs, run_live, run_to_table,
+                                      table_stream, with_end_marker, write_epoch)
 from tidepool.streaming.stepwise import STEP_QUERIES, stream_changelog_count, stream_reconcile  # noqa: F401
 
 HOUR = micros(1, "h")
@@ -254,13 +254,12 @@ def stream_parse_keyed_lines(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(spark, parsed, "keyed-lines")
 
 
-def stream_throttled_avg(spark: SparkSession, sf: str, every: str = "10 seconds",
-                         events: DataFrame | None = None) -> DataFrame:
+def stream_throttled_avg(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """Cumulative mean of click cents, emitted once per trigger, not once per row.
 
     A global streaming aggregate in update mode: partial sums per task, one
-    row of state, and the trigger interval (``every`` on a live stream) is the
-    throttle.  Run to completion here, the single batch emits the overall mean.
+    row of state, and the trigger interval of a live stream is the throttle.  Run to
+    completion here, the single batch emits the overall mean.  (``stream_throttled_timer_avg`` has timers.)
     """
     src = events if events is not None else table_stream(spark, sf, "events")
     acc = catalog.clicks(src).agg(F.count(F.lit(1)).alias("cum_cnt"), F.sum("cents").alias("cum_s"))
@@ -291,6 +290,58 @@ def stream_proc_time_count(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_table(spark, counts, "proc-time-count", output_mode="update", key=["window_start", "window_end", "user_id"])
 
 
+def final_ingest_windows(spark: SparkSession, rows: DataFrame | OrderedInput, keys: list[str], size: str = "5 seconds") -> DataFrame:
+    """(window_start, window_end, keys, cnt): processing-time tumbling counts, each window given out once, when it is over.
+
+    Rows are stamped when their micro-batch starts. The watermark follows the stamps, so a window closes with the first micro-batch after its end;
+    the end of the input is stamped far in the future and closes the last one, as idle time does on a live stream.
+    """
+    stream, end = with_end_marker(spark, rows, "ts")
+    stamp = F.when(F.col(END_COL), F.lit(SENTINEL_TS).cast("timestamp")).otherwise(F.current_timestamp())
+    counts = (stream.withColumn("ingest_ts", stamp).withWatermark("ingest_ts", "0 seconds")
+              .groupBy(F.window("ingest_ts", size).alias("w"), *keys, END_COL).agg(F.count(F.lit(1)).alias("cnt"))
+              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "cnt", END_COL))
+    return run_to_table(spark, counts, "ingest-windows", end=end)
+
+
+def stream_ingest_windows(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
+    """What final processing-time windows say whatever the clock: a user's windows add up to their rows, none came twice, all are whole 5 s."""
+    if events is None:
+        events = OrderedInput(spark, catalog.read_table(spark, sf, "events").select("event_id", "ts", "user_id"), "event_id", N_BATCHES)
+    windows = final_ingest_windows(spark, events, ["user_id"])
+    start, end = F.unix_micros("window_start"), F.unix_micros("window_end")
+    return windows.groupBy("user_id").agg(
+        F.sum("cnt").alias("cnt"), (F.count(F.lit(1)) == F.countDistinct("window_start")).alias("each_once"),
+        F.bool_and((end - start == 5_000_000) & (start % 5_000_000 == 0)).alias("aligned"))
+
+
+#: Processing time between an arrival and its alarm in the registered query.
+ALARM_DELAY_MS = 2_000
+
+
+def arrival_alarms(spark: SparkSession, keyed: DataFrame, delay_ms: int) -> DataFrame:
+    """(key, kind, at_ms) of a stream with a column ``key``: every arrival, and an alarm ``delay_ms`` of processing time after it."""
+    out = keyed.groupBy("key").transformWithState(statefulProcessor=ArrivalAlarm(delay_ms), outputStructType=ALARM_OUT,
+                                                  outputMode="Append", timeMode="ProcessingTime")
+
+    def last_due(rows: DataFrame) -> int | None:
+        last = rows.filter("kind = 'arrival'").agg(F.max("at_ms")).first()[0]
+        return None if last is None else last + delay_ms
+
+    return run_live(spark, out, "arrival-alarms", last_due)
+
+
+def stream_arrival_alarms(spark: SparkSession, sf: str, events: DataFrame | None = None, delay_ms: int = ALARM_DELAY_MS) -> DataFrame:
+    """Per user: arrivals, and whether every instant with an arrival had one alarm, ``delay_ms`` later, and no alarm came otherwise."""
+    events = events if events is not None else table_stream(spark, sf, "events")
+    rows = arrival_alarms(spark, events.select(F.col("user_id").alias("key")), delay_ms)
+    alarm = F.col("kind") == "alarm"
+    instants = rows.groupBy("key", F.when(alarm, F.col("at_ms") - delay_ms).otherwise(F.col("at_ms")).alias("at_ms")).agg(
+        F.count(F.when(~alarm, 1)).alias("arrivals"), F.count(F.when(alarm, 1)).alias("alarms"))
+    return instants.groupBy(F.col("key").alias("user_id")).agg(
+        F.sum("arrivals").alias("arrivals"), F.bool_and((F.col("arrivals") > 0) & (F.col("alarms") == 1)).alias("all_alarmed"))
+
+
 def stream_quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Both text formats read as line streams; parsed and broken lines of a micro-batch go to a table each, and are counted."""
     parts = []
@@ -335,6 +386,8 @@ STREAM_QUERIES = {
     "stream_late_split_keyed": stream_late_split_keyed,
     "stream_parse_keyed_lines": stream_parse_keyed_lines,
     "stream_proc_time_count": stream_proc_time_count,
+    "stream_ingest_windows": stream_ingest_windows,
+    "stream_arrival_alarms": stream_arrival_alarms,
     "stream_throttled_avg": stream_throttled_avg,
     "stream_quarantine_counts": stream_quarantine_counts,
     **STEP_QUERIES,
@@ -359,6 +412,10 @@ STREAM_ORACLES = {
     "stream_running_sum": ORACLES["running_sum"],
     "stream_running_avg_keyed": ORACLES["running_avg_keyed"],
     "stream_running_avg": ORACLES["running_avg"],
+    # What holds whatever the wall clock says.
+    "stream_ingest_windows": "SELECT user_id, count(*) AS cnt, true AS each_once, true AS aligned FROM events GROUP BY user_id",
+    "stream_arrival_alarms": "SELECT user_id, count(*) AS arrivals, true AS all_alarmed FROM events GROUP BY user_id",
+    "stream_throttled_timer_avg": ORACLES["throttled_timer_avg"],
     "stream_late_split": ORACLES["late_split"],
     "stream_late_window_side": ORACLES["late_window_side"],
     "stream_late_refire": ORACLES["late_refire"],
