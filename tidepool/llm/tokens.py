@@ -22,10 +22,11 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -206,16 +207,19 @@ class WordIds:
         """(ids of all texts one after the other, number of ids of each)."""
         if self.held() > self.memory:
             self.reset()
-        parts = [x.replace("\n", " ").split(" ") for x in texts]
-        for part in set().union(*parts).difference(self.known):
-            self.learn(part)
-        count = [len(p) for p in parts]
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), np.int64, sum(count))
-        end, ids = np.array(self.ends, np.int64), np.array(self.pool, np.uint32)
+        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        count = np.diff(lists.offsets.to_numpy())
+        coded = lists.flatten().dictionary_encode()
+        distinct, known = coded.dictionary.to_pylist(), self.known
+        for part in distinct:
+            if part not in known:
+                self.learn(part)
+        at = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        end, ids = np.frombuffer(self.ends, np.int64), np.frombuffer(self.pool, np.uint32) if self.pool else np.zeros(0, np.uint32)
         begin, number = end[at], end[at + 1] - end[at]
         upto = np.cumsum(number)
         ids = ids[np.repeat(begin - (upto - number), number) + np.arange(int(upto[-1]) if len(upto) else 0)]
-        sums = np.concatenate([[0], upto])[np.cumsum(count)]
+        sums = np.concatenate([[0], upto])[np.cumsum(count)].astype(np.int64)
         return ids, np.diff(np.concatenate([[0], sums]))
 
 
