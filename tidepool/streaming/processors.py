@@ -20,41 +20,6 @@ def _epoch_micros(s: pd.Series) -> np.ndarray:
     return s.astype("datetime64[us]").astype(np.int64).to_numpy()
 
 
-class ChangelogCount(StatefulProcessor):
-    """Per key: the running count, emitted as +I / -U,+U changelog rows.
-
-    State is the key's count so far.  Rows of one key within a micro-batch are
-    ordered by ``order_col`` before counting; the batch size bounds that work.
-    """
-
-    key_col = "user_id"
-    order_col = "event_id"
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "cnt long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order_col, kind="stable")
-        start = int(self.count.get()[0]) if self.count.exists() else 0
-        counts = start + np.arange(1, len(batch) + 1, dtype=np.int64)
-        ids = batch[self.order_col].to_numpy(dtype=np.int64)
-        first = counts == 1
-        rest = ~first
-        parts = [
-            pd.DataFrame({"event_id": ids[first], "op": "+I", "cnt": counts[first], "op_seq": 0}),
-            pd.DataFrame({"event_id": ids[rest], "op": "-U", "cnt": counts[rest] - 1, "op_seq": 0}),
-            pd.DataFrame({"event_id": ids[rest], "op": "+U", "cnt": counts[rest], "op_seq": 1}),
-        ]
-        out = pd.concat(parts, ignore_index=True)
-        out.insert(1, "user_id", np.int64(key[0]))
-        out["op_seq"] = out["op_seq"].astype(np.int32)
-        self.count.update((int(counts[-1]),))
-        yield out[["event_id", "user_id", "op", "cnt", "op_seq"]]
-
-    def close(self) -> None:
-        pass
-
-
 class KeyedLateSplit(StatefulProcessor):
     """Tag rows late / ok against a per-key watermark (max event time - delay - 1 ms).
 

@@ -313,6 +313,10 @@ def run_live(spark: SparkSession, query: DataFrame, name: str, last_due: Callabl
                 if started.timestamp() * 1000 > due + 1:
                     break
             time.sleep(0.2)
+        for _ in range(250):  # between two micro-batches, if there is such a time: nothing has to be broken off
+            if not handle.status["isTriggerActive"]:
+                break
+            time.sleep(0.02)
     finally:
         handle.stop()
     return read_epochs(spark, out, query.schema)
