@@ -1,3 +1,4 @@
+import os
 import zlib
 
 import numpy as np
@@ -76,3 +77,16 @@ def test_nulls_ties_and_empty(spark, whole):
     assert got == brute(whole, sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)))
     none = tokens.decode(spark, tokens.encode(docs.limit(0), tokenizer_path(), END_ID))
     assert none.count() == 0
+
+
+def test_a_tokenizer_of_other_rules_encodes_whole_texts():
+    folder = os.path.dirname(tokenizer_path())
+    assert tokens.WordIds(tokenizer_path()).by_words
+    path = os.path.join(folder, "byte_bpe_50k.json")
+    other, ids_of = Tokenizer.from_file(path), tokens.WordIds(path)
+    assert not ids_of.by_words
+    texts = [*TEXTS, "A plain English sentence, with words."]
+    ids, number = ids_of(texts)
+    want = [other.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and number.tolist() == [len(w) for w in want]
+    assert [len(x) for x in ids_of([])] == [0, 0]

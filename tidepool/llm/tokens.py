@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import json
 import re
 import unicodedata
 import zlib
@@ -124,6 +125,12 @@ def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _rules(part, steps: str) -> list[dict]:
+    """The steps of a tokenizer's normalizer or splitter, as its file has them."""
+    said = json.loads(part.__getstate__()) if part is not None else {}
+    return said.get(steps, [said])
+
+
 class WordIds:
     """Ids of texts by the tokenizer's own rules, each distinct word worked out once.
 
@@ -132,11 +139,16 @@ class WordIds:
     tokenizer splits it (Latin letters by the same pattern here, all else by the tokenizer's normalizer and
     splitter) and its pieces go through the tokenizer's model. What is remembered is bounded: after
     ``memory`` bytes, about, a new memory begins, and of those before only the last ``older`` (0 or 1) is still looked up.
+    A tokenizer file with other rules than these (``by_words`` is false) encodes whole texts, nothing remembered.
     """
 
     #: Fixed value: the tokenizer file's split pattern, with the letters, digits and blanks below U+0250 spelt out.
-    PIECE = "'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^{0}{1}{2}]+"
+    PIECE = "'s|'t|'re|'ve|'m|'ll|'d|[{0}]+|[{1}]|[^{2}{0}{1}]+"
     LATIN_END = "\u0250"
+    #: The normalizer and the splitter of the tokenizer files that may be read by words.
+    NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+    SPLITTER = [{"type": "Split", "pattern": {"Regex": PIECE.format("\\p{L}", "\\p{N}", "\\s")}, "behavior": "Removed", "invert": True},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
 
     #: Bytes that a word or piece takes in the memory besides its characters (a string, a dictionary entry, its ids).
     ENTRY = 260
@@ -146,6 +158,9 @@ class WordIds:
 
         self.whole = Tokenizer.from_file(path)
         self.model, self.memory, self.older = self.whole.model, memory, older
+        self.by_words = (_rules(self.whole.normalizer, "normalizers") == self.NORMALIZER
+                         and _rules(self.whole.pre_tokenizer, "pretokenizers") == self.SPLITTER
+                         and all("<|" in t.content for t in self.whole.get_added_tokens_decoder().values()))
         latin = [chr(c) for c in range(ord(self.LATIN_END))]
         kind = {c: unicodedata.category(c)[0] for c in latin}
         blank = [c for c in latin if c.isspace() and not "\x1c" <= c <= "\x1f"]
@@ -205,6 +220,9 @@ class WordIds:
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
+        if not self.by_words:
+            each = [np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts]
+            return np.concatenate([np.zeros(0, np.uint32), *each]), np.array([len(e) for e in each], np.int64)
         if self.held() > self.memory:
             self.reset()
         lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
