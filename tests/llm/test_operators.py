@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SF_SMALL
@@ -406,12 +407,63 @@ def test_wrapped_comments_stay_out():
     assert mincut.main_text("<body class=x>" + BARE.split("{}")[0] + "<footer>" + "All rights are reserved by us and by all of our partners. " * 9 + "</footer>") == ""
 
 
+LONG = "A reader has very much more to say about all of it than the page has, in long sentences that go on."
+
+
+@pytest.mark.parametrize("name", ["responses", "discussion-thread", "user-feedback", "kommentare", "outbrain"])
+def test_comments_and_adverts_by_other_names_stay_out(name):
+    article = "<article><h1>A title</h1><p>" + "The article has a few words to say. " * 4 + "</p><p>Short</p>{}</article>"
+    other = f"<div class='{name}'><p>{LONG}</p><p>Ok.</p></div>"
+    for page in (article.format(other), article.format("") + other, "<main>" + article.format("") + other + "</main>"):
+        text = mincut.main_text(f"<body>{page}</body>")
+        assert "reader" not in text and text.startswith("A title\n") and text.endswith("\nShort")
+
+
+def test_what_is_not_in_the_article_stays_out():
+    article = "<article><p>" + "The article has a few words to say. " * 4 + "</p></article>"
+    assert "reader" not in mincut.main_text(f"<main>{article}<div class=x9><p>{LONG}</p></div></main>")
+    # A teaser is not the page's article.
+    assert "reader" in mincut.main_text(f"<article><p>Read this one too, it is new and it is short.</p></article><div><p>{LONG * 9}</p></div>")
+
+
+def test_elements_and_blocks_outvote_each_other():
+    assert mincut.main_text("<article>" + "<p>Wo</p>" * 200 + "</article>").count("Wo") == 200
+    assert mincut.main_text("<div class=story>" + "<p>Wo</p>" * 200 + "</div>").count("Wo") == 200
+    links = "<div class=content><ul>" + "<li><a href=x>Read this</a>" * 8 + "</ul></div>"
+    assert mincut.main_text(links + f"<p>{LONG}</p>") == LONG
+
+
+def test_the_cut_changes_labels_on_pages_and_improves_them(spark):
+    """The classifier sees text alone; the articles of these pages are known by their tags, which it does not see."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    weights = mincut.fit(pages)
+    assert weights == mincut.fit(pages) and weights != mincut.Classifier()
+    alone = changed = wrong = 0
+    for row in pages.select("html").collect():
+        found = blocks(row["html"] or "")
+        for block, label in zip(found, mincut.labels(found, weights)):
+            truth = block.inside > 0 and block.against == 0
+            alone += (mincut.score(block, weights) > 0) != truth
+            changed += (mincut.score(block, weights) > 0) != label
+            wrong += label != truth
+    assert changed > 100 and wrong < alone / 20
+
+
+def test_fit_of_odd_pages(spark):
+    none = spark.createDataFrame([(None,), ("",), ("<p>No evidence</p>",)], "html string")
+    assert mincut.fit(none) == mincut.fit(none.limit(0)) == mincut.Classifier()
+    a_few = mincut.fit(spark.createDataFrame([(PAGE,)] * 3, "html string"))
+    assert all(abs(x - y) < 0.5 for x, y in zip(a_few, mincut.Classifier()))
+
+
 def test_extract_odd_pages(spark):
     rows = [(1, "u", PAGE, "x"), (2, None, None, "x"), (3, "u", "", "x"), (1, "u", PAGE, "x"), (4, "u", "<p>" + "word " * 50_000 + "</p>", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     got = {r["page_id"]: r["text"] for r in mincut.extract(pages).collect()}
     assert got[2] == got[3] == "" and got[4].count("word") == 50_000 and got[1].startswith("The title")
     assert mincut.extract(pages.limit(0)).count() == 0
+    clash = pages.withColumnsRenamed({"page_id": "_mincut_html", "url": "row"}).withColumn("a b`c", F.lit(1))
+    assert mincut.extract(clash).columns == ["_mincut_html", "row", "html", "a b`c", "text"] and mincut.extract(clash).count() == 5
 
 
 # --- quality, mixing, shards ----------------------------------------------------------------------

@@ -41,10 +41,16 @@ AGAINST_NAMES = {
     "newsletter", "notice", "notices", "notification", "pager", "pagination", "popup", "promo", "promoted", "related",
     "recommended", "replies", "reply", "search", "share", "sharing", "sidebar", "signup", "sitemap", "skip", "social",
     "sponsor", "sponsored", "subscribe", "tags", "toolbar", "topbar", "widget", "complementary", "alert"}
+#: Beginnings of names, in several languages: reader comments, and networks that place adverts.
+AGAINST_STEMS = ("comment", "komment", "coment", "discuss", "respons", "feedback", "outbrain", "taboola", "advert", "werb")
+NO_STEMS = {"responsive", "commentary"}
 FOR_NAMES = {"article", "body", "content", "entry", "main", "post", "story", "text"}
 RUNNING_WORDS = 8       # a block of so many words is running text
 LEAST_TEXT = 120        # characters of running text that can be a page's text
 REST = 0.2
+# The page's article: the outermost article with most running text, if it holds this share of it.
+SHARE_OF_ONE = 0.25     # where it is the only one
+SHARE_OF_MANY = 0.5
 
 
 @dataclass
@@ -66,6 +72,9 @@ class Block:
     element: int = 0
     against: int = 0  # how many of the elements around it speak against
     inside: int = 0   # how many speak for
+    holder: int = 0   # the innermost element that speaks for it, if none further in speaks against
+    in_tag: bool = False  # an article or the like is around it
+    outside: bool = False  # the page has an article and this is not in it
     linked: int = 0  # characters in links
     text: str = ""
 
@@ -84,7 +93,8 @@ def _evidence(tag: str, attributes: str, in_article: bool) -> tuple[int, bool, i
         for name, *values in ATTRIBUTE.findall(attributes):
             if name.lower() in ("class", "id", "role"):
                 parts = {p.lower() for p in NAME_PARTS.findall("".join(values))}
-                if parts & AGAINST_NAMES and not (in_article and parts & {"header", "tags"} and not parts & (AGAINST_NAMES - {"header", "tags"})):
+                stems = any(p.startswith(AGAINST_STEMS) and p not in NO_STEMS for p in parts)
+                if stems or parts & AGAINST_NAMES and not (in_article and parts & {"header", "tags"} and not parts & (AGAINST_NAMES - {"header", "tags"})):
                     against = True
                 if parts & FOR_NAMES:
                     found = 1
@@ -117,7 +127,7 @@ def _cancel(every: list[Element], out: list[Block]) -> None:
             free[e.up] += free[e.number]
             shown[e.up] += shown[e.number]
     left, left_articles = free[0], shown[0]
-    against, inside = [0] * n, [0] * n
+    against, inside, holder, in_tag = [0] * n, [0] * n, [0] * n, [False] * n
     for e in every[1:]:
         k = e.number
         if e.evidence < 0 and e.weak and not against[e.up] and left <= REST * text[k]:
@@ -128,8 +138,30 @@ def _cancel(every: list[Element], out: list[Block]) -> None:
                 left_articles += shown[k]
         against[k] = against[e.up] + (e.evidence < 0)
         inside[k] = inside[e.up] + (e.evidence > 0)
+        holder[k] = 0 if e.evidence < 0 else k if e.evidence > 0 else holder[e.up]
+        in_tag[k] = e.evidence >= 0 and (in_tag[e.up] or (e.evidence > 0 and e.tag in FOR_TAGS))
     for b in out:
-        b.against, b.inside = against[b.element], inside[b.element]
+        k = b.element
+        b.against, b.inside, b.holder, b.in_tag = against[k], inside[k], holder[k], in_tag[k]
+
+
+def _outside(every: list[Element], out: list[Block]) -> None:
+    """Marks the blocks that are not in the page's article, where it has one. Its first-level heading may stand before it."""
+    against, top = [0] * len(every), [0] * len(every)
+    for e in every[1:]:
+        against[e.number] = against[e.up] + (e.evidence < 0)
+        top[e.number] = top[e.up] or (e.number if e.tag == "article" and not against[e.number] else 0)
+    held: dict[int, int] = {}
+    for b in out:
+        if not b.against and len(b.text.split()) >= RUNNING_WORDS:
+            held[top[b.element]] = held.get(top[b.element], 0) + len(b.text) - b.linked
+    articles = {k: v for k, v in held.items() if k and v > 0}
+    if not articles:
+        return
+    most = max(articles, key=articles.get)
+    if articles[most] >= (SHARE_OF_ONE if len(articles) == 1 else SHARE_OF_MANY) * sum(held.values()):
+        for b in out:
+            b.outside = top[b.element] != most and not b.against and b.tag != "h1"
 
 
 def blocks(page: str) -> list[Block]:
@@ -204,4 +236,5 @@ def blocks(page: str) -> list[Block]:
             flush()
     flush()
     _cancel(every, out)
+    _outside(every, out)
     return out
