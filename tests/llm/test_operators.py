@@ -230,7 +230,10 @@ def test_code_lengths_equal_brute_force():
                 for k in range(min(i, langid.ORDER) + 1):
                     counts[code[i - k:i + 1]] += 1
     words = ["abab", "abaa", "zzzz", "abcab", "é", "è", "b"]
-    got = langid.Coder(langid.code_table(model)).bits(words)
+    keys = {lang: sorted((langid.key_of(g), n) for g, n in counts.items()) for lang, counts in model.items()}
+    coder = langid.Coder(langid.code_table({lang: tuple(np.array(x) for x in zip(*pairs)) for lang, pairs in keys.items()}))
+    got = coder.bits(words)
+    assert coder.bits([]).shape == (0, 2)
     assert got == pytest.approx(np.array([[brute_bits(model[x], w) for x in ("x", "y")] for w in words]))
 
 
@@ -249,6 +252,20 @@ def test_every_language_is_learned(spark):
     rows = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)}", f"l{i}") for i in range(520)]
     model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
     assert set(model) == {r[2] for r in rows}
+    # Strings that a language does not know cost it nothing: the model is the sum of the languages' own strings.
+    _, grams, contexts = langid.code_table(model)
+    assert len(grams.bits) == sum(len(keys) for keys, _ in model.values()) and len(contexts.bits) < len(grams.bits)
+
+
+def test_sample_is_bounded_and_no_task_has_a_language(spark, tmp_path):
+    from pyspark.sql import functions as F
+    docs = spark.range(6_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text w"), F.col("id")).alias("text"),
+                                     F.when(F.col("id") % 10 == 0, "few").otherwise("many").alias("lang"))
+    model = langid.learn(docs, F.lit(True), rows=1_000)
+    texts = {lang: n[list(keys).index(langid.key_of(b"t"))] / 2 for lang, (keys, n) in model.items()}
+    assert texts["few"] == 600 and 850 < texts["many"] < 1_150
+    again = langid.learn(docs.unionAll(docs.filter("doc_id = 1")).repartition(3), F.lit(True), rows=10_000)
+    assert sum(n[list(keys).index(langid.key_of(b"t"))] / 2 for keys, n in again.values()) == 6_000
 
 
 # --- personal data --------------------------------------------------------------------------------

@@ -9,6 +9,8 @@ tree gives it the shortest code.
 
 Contexts start at the word, so a word's code length depends on the word alone, and each distinct word
 is coded once per task and language.
+
+Byte strings are numbers (``key_of``), so a model is sorted arrays, as long as the languages' own strings together.
 """
 
 from __future__ import annotations
@@ -17,20 +19,26 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import text_of
 
 ORDER = 5
 END = b"\n"  # follows the last byte of a word
-LEARN_ROWS = 2_000      # labelled documents learned from, per language (the first by hash)
+LEARN_ROWS = 2_000      # labelled documents learned from, per language, about
+DRAWS = 1 << 62
 MEMORY = 300_000        # distinct words a task remembers, about
+MEMORY_BYTES = 64 << 20  # and bytes of their code lengths
 SLICE_CHARS = 1 << 21
+CELLS = 1 << 21         # bytes x languages looked at together
+UNKNOWN = math.log2(257)
+
+Model = dict[str, tuple[np.ndarray, np.ndarray]]  # language -> (keys, ascending; counts)
 LETTERS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -38,6 +46,11 @@ def _words(text: str) -> list[str]:
     return LETTERS(text.lower())
 
 
+def key_of(gram: bytes) -> int:
+    """A byte string of ORDER + 1 bytes at most as a number: its length, then its bytes."""
+    return len(gram) << 48 | int.from_bytes(gram, "big")
+
+
 def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         seen: dict[str, Counter] = {}
@@ -50,95 +63,118 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for i in range(len(code)):
                     for k in range(min(i, ORDER) + 1):
                         counts[code[i - k:i + 1]] += n
-            yield pd.DataFrame({"lang": lang, "gram": list(counts), "n": list(counts.values())})
+            yield pd.DataFrame({"lang": lang, "gram": [key_of(g) for g in counts], "n": list(counts.values())})
 
 
 def learn(docs: DataFrame, labelled: Column, lang: str = "lang", text: str = "text", key: str = "doc_id",
-          rows: int = LEARN_ROWS) -> dict[str, dict[bytes, int]]:
-    """language -> byte string -> count, from the rows where ``labelled`` and the label is not null.
+          rows: int = LEARN_ROWS) -> Model:
+    """The counts of byte strings by language, from the rows where ``labelled`` and the label is not null.
 
-    Bounded sample: the first ``rows`` documents of each language, by hash of key and text (whole texts). The
-    model's size is bounded by that sample and the number of languages, not by the corpus.
+    Bounded sample: about ``rows`` documents of each language (all, if there are no more), those whose hash of key and text is
+    below the language's share; whole texts, repeated rows once. No task gets a language's rows: only documents
+    of the sample are shuffled. The model's size is bounded by that sample, summed over the languages.
     """
-    known = docs.filter(labelled & F.col(lang).isNotNull()).select(
-        F.col(lang).cast("string").alias("lang"), text_of(text).alias("text"), F.xxhash64(key, text).alias("_draw"))
-    first = Window.partitionBy("lang").orderBy("_draw")
-    sample = known.select("lang", "_draw").withColumn("_nth", F.row_number().over(first)).filter(F.col("_nth") <= rows)
-    chosen = sample.select("lang", "_draw").distinct()
-    sample = known.join(chosen, ["lang", "_draw"], "left_semi").select("lang", "text")
-    grams = sample.mapInPandas(_contexts, "lang string, gram binary, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    model: dict[str, dict[bytes, int]] = {}
-    for row in grams.toLocalIterator():
-        model.setdefault(row["lang"], {})[bytes(row["gram"])] = row["n"]
-    return model
-
-
-def code_table(model: dict[str, dict[bytes, int]]) -> tuple[list[str], dict[bytes, int], dict[bytes, int], np.ndarray]:
-    """(languages, byte string -> row, context -> row, bits by row and language).
-
-    A byte string's row has the bits of its last byte after the bytes before it, in each language with that
-    language's own escapes to shorter contexts. A context's row has the bits of the escape from it, 0
-    in languages that do not know it. The last row is for a byte that no language knows.
-    """
-    langs = sorted(model)
-    grams = sorted({g for counts in model.values() for g in counts}, key=lambda g: (len(g), g))
-    contexts = sorted({g[:-1] for g in grams})
-    row, escape_row = {g: k for k, g in enumerate(grams)}, {c: len(grams) + k for k, c in enumerate(contexts)}
-    bits = np.zeros((len(grams) + len(contexts) + 1, len(langs)))
-    unknown = math.log2(257)
-    bits[-1] = unknown
-    for at, lang in enumerate(langs):
-        followers: dict[bytes, list[int]] = {}
-        for gram, n in model[lang].items():
-            entry = followers.setdefault(gram[:-1], [0, 0])
-            entry[0] += n
-            entry[1] += 1
-        for context, (n, distinct) in followers.items():
-            bits[escape_row[context], at] = -math.log2(distinct / (n + distinct))
-        counts = model[lang]
-        for k, gram in enumerate(grams):  # shorter ones first: what a longer one falls back on is there
-            n = counts.get(gram)
-            if n is not None:
-                bits[k, at] = -math.log2(n / sum(followers[gram[:-1]]))
-            else:
-                shorter = bits[row[gram[1:]], at] if len(gram) > 1 else unknown
-                bits[k, at] = bits[escape_row[gram[:-1]], at] + shorter
-    return langs, row, escape_row, bits
+    known = docs.filter(labelled & F.col(lang).isNotNull())
+    name = F.col(lang).cast("string")
+    share = known.groupBy(name.alias("_lang")).agg((F.lit(rows) / F.count("*")).alias("_share"))
+    drawn = known.select(name.alias("lang"), text_of(text).alias("text"),
+                         F.shiftrightunsigned(F.xxhash64(key, text), 2).alias("_draw"))
+    sample = drawn.join(share, F.col("lang") == F.col("_lang")).filter(F.col("_draw") <= F.col("_share") * F.lit(float(DRAWS)))
+    sample = sample.groupBy("lang", "_draw").agg(F.first("text").alias("text")).select("lang", "text")
+    grams = sample.mapInPandas(_contexts, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    table = grams.toArrow()
+    langs = table["lang"].combine_chunks().dictionary_encode()
+    of, keys, n = langs.indices.to_numpy(), table["gram"].to_numpy(), table["n"].to_numpy()
+    order = np.lexsort((keys, of))
+    ends = np.cumsum(np.bincount(of, minlength=len(langs.dictionary)))
+    parts = np.split(order, ends[:-1]) if len(ends) else []
+    return {x: (keys[at], n[at]) for x, at in zip(langs.dictionary.to_pylist(), parts)}
+
+
+class Lists(NamedTuple):
+    """key -> (language, bits) of the languages that know it."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+    lang: np.ndarray
+    bits: np.ndarray
+
+    @staticmethod
+    def of(parts: list[tuple[np.ndarray, np.ndarray]]) -> Lists:
+        """From (keys, bits) of each language."""
+        every = np.concatenate([keys for keys, _ in parts]) if parts else np.empty(0, np.int64)
+        lang = np.repeat(np.arange(len(parts), dtype=np.int32), [len(keys) for keys, _ in parts])
+        bits = np.concatenate([b for _, b in parts]) if parts else np.empty(0)
+        order = np.argsort(every, kind="stable")
+        keys, first = np.unique(every[order], return_index=True)
+        return Lists(keys, np.append(first, len(every)), lang[order], bits[order])
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``keys``, language, bits) of all that is known."""
+        at = np.searchsorted(self.keys, keys)
+        place = np.flatnonzero(at < len(self.keys))
+        place = place[self.keys[at[place]] == keys[place]]
+        begin, length = self.starts[at[place]], np.diff(self.starts)[at[place]]
+        flat = np.arange(length.sum()) + np.repeat(begin - np.cumsum(length) + length, length)
+        return np.repeat(place, length), self.lang[flat], self.bits[flat]
+
+
+def code_table(model: Model) -> tuple[list[str], Lists, Lists]:
+    """(languages, bits of a string's last byte after the bytes before it, bits of the escape from a context)."""
+    langs, grams, contexts = sorted(model), [], []
+    for lang in langs:
+        keys, n = model[lang]
+        before, at = np.unique(((keys >> 48) - 1) << 48 | (keys & ((1 << 48) - 1)) >> 8, return_inverse=True)
+        total, distinct = np.bincount(at, n), np.bincount(at)
+        grams.append((keys, -np.log2(n / (total + distinct)[at])))
+        contexts.append((before, -np.log2(distinct / (total + distinct))))
+    return langs, Lists.of(grams), Lists.of(contexts)
 
 
 class Coder:
     """Code lengths of words under all languages' frozen statistics."""
 
-    def __init__(self, table: tuple[list[str], dict[bytes, int], dict[bytes, int], np.ndarray]):
-        self.langs, self.row, self.escape_row, self.table = table
-
-    def _rows(self, word: str) -> list[int]:
-        """The rows whose bits add up to the word's code length."""
-        code, row, escape = word.encode("utf-8", "surrogatepass") + END, self.row.get, self.escape_row.get
-        out = []
-        for i in range(len(code)):
-            begin = i - ORDER if i > ORDER else 0
-            while begin <= i:
-                k = row(code[begin:i + 1])
-                if k is not None:
-                    out.append(k)
-                    break
-                k = escape(code[begin:i])
-                if k is not None:
-                    out.append(k)
-                begin += 1
-            else:
-                out.append(len(self.table) - 1)
-        return out
+    def __init__(self, table: tuple[list[str], Lists, Lists]):
+        self.langs, self.grams, self.contexts = table
 
     def bits(self, words: list[str]) -> np.ndarray:
         """Bits by word and language."""
-        rows = [self._rows(w) for w in words]
-        first = np.cumsum([0, *map(len, rows[:-1])])
-        return np.add.reduceat(self.table[np.fromiter(chain.from_iterable(rows), np.int64)], first, axis=0)
+        codes = [w.encode("utf-8", "surrogatepass") + END for w in words]
+        out, begin = [np.empty((0, len(self.langs)))], 0
+        while begin < len(codes):
+            end, size = begin + 1, len(codes[begin])
+            while end < len(codes) and (size + len(codes[end])) * len(self.langs) <= CELLS:
+                size += len(codes[end])
+                end += 1
+            out.append(self._bits(codes[begin:end]))
+            begin = end
+        return np.concatenate(out)
+
+    def _bits(self, codes: list[bytes]) -> np.ndarray:
+        data = np.frombuffer(b"".join(codes), np.uint8).astype(np.int64)
+        lengths = np.array([len(c) for c in codes])
+        first = np.cumsum(lengths) - lengths
+        place = np.arange(len(data)) - np.repeat(first, lengths)
+        length = np.minimum(place, ORDER) + 1
+        ending = data.copy()  # the last bytes at each place, ORDER + 1 at most, within the word
+        for k in range(1, ORDER + 1):
+            ending[k:] |= np.where(place[k:] >= k, data[:-k] << (8 * k), 0) if k < len(data) else 0
+        # What a byte costs depends on these bytes alone.
+        distinct, at = np.unique(length << 48 | ending, return_inverse=True)
+        length, ending = distinct >> 48, distinct & ((1 << 48) - 1)
+        bits = np.full((len(distinct), len(self.langs)), UNKNOWN)
+        for k in range(ORDER + 1):  # k bytes before: a language knows the string, or escapes to the shorter one
+            mine = np.flatnonzero(length > k)
+            gram = ending[mine] & ((1 << (8 * k + 8)) - 1)
+            row, lang, escape = self.contexts.find(k << 48 | gram >> 8)
+            bits[mine[row], lang] += escape
+            row, lang, known = self.grams.find((k + 1) << 48 | gram)
+            bits[mine[row], lang] = known
+        return np.add.reduceat(bits[at], first, axis=0)
 
 
 def _predict(batches: Iterator[pd.DataFrame], coder: Coder, memory: int) -> Iterator[pd.DataFrame]:
+    memory = min(memory, MEMORY_BYTES // (8 * max(1, len(coder.langs))))
     known: dict[str, int] = {}
     table = np.empty((0, len(coder.langs)))
     for batch in batches:
@@ -169,7 +205,7 @@ def _predict(batches: Iterator[pd.DataFrame], coder: Coder, memory: int) -> Iter
         yield batch
 
 
-def predict(docs: DataFrame, model: dict[str, dict[bytes, int]], text: str = "text", keep: list[str] | None = None,
+def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None,
             memory: int = MEMORY) -> DataFrame:
     """The columns ``keep`` of ``docs`` (None: all) plus lang_pred and score.
 
@@ -178,7 +214,7 @@ def predict(docs: DataFrame, model: dict[str, dict[bytes, int]], text: str = "te
     first. Only the text enters a prediction; columns of the result's names are replaced.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
-    coder = docs.sparkSession.sparkContext.broadcast(code_table(model))  # bounded: see learn
+    coder = docs.sparkSession.sparkContext.broadcast(code_table(model))  # sum over the languages of a bounded sample
     rows = docs.select(*keep, text_of(text).alias("_langid_text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_langid_text"),
                         "lang_pred string", "score double"])
