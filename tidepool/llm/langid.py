@@ -79,7 +79,8 @@ def learn(docs: DataFrame, labelled: Column, lang: str = "lang", text: str = "te
     share = known.groupBy(name.alias("_lang")).agg((F.lit(rows) / F.count("*")).alias("_share"))
     drawn = known.select(name.alias("lang"), text_of(text).alias("text"),
                          F.shiftrightunsigned(F.xxhash64(key, text), 2).alias("_draw"))
-    sample = drawn.join(share, F.col("lang") == F.col("_lang")).filter(F.col("_draw") <= F.col("_share") * F.lit(float(DRAWS)))
+    # One row per language, less than the model that the driver gets. Without the hint the texts would be shuffled by language.
+    sample = drawn.join(F.broadcast(share), F.col("lang") == F.col("_lang")).filter(F.col("_draw") <= F.col("_share") * F.lit(float(DRAWS)))
     sample = sample.groupBy("lang", "_draw").agg(F.first("text").alias("text")).select("lang", "text")
     grams = sample.mapInPandas(_contexts, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     table = grams.toArrow()
