@@ -29,7 +29,7 @@ from tidepool.llm.common import materialize, text_of
 from tidepool.llm.wordhash import Words, grams
 
 LENGTH = 35
-SHORTEST = 18
+SHORTEST = 9
 CHUNK_BYTES = 1 << 21
 BUCKET_WORDS = 1 << 19
 CHUNK_SCHEMA = "chunk bigint, keys array<bigint>, sizes binary, texts binary, n_words bigint"
