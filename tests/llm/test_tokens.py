@@ -1,4 +1,8 @@
+import gc
+import itertools
 import os
+import sys
+import weakref
 import zlib
 
 import numpy as np
@@ -90,3 +94,55 @@ def test_a_tokenizer_of_other_rules_encodes_whole_texts():
     want = [other.encode(t, add_special_tokens=False).ids for t in texts]
     assert ids.tolist() == [i for w in want for i in w] and number.tolist() == [len(w) for w in want]
     assert [len(x) for x in ids_of([])] == [0, 0]
+
+
+def test_words_of_known_pieces_need_no_call_each():
+    """The work of a call goes with new pieces; words that are put together from known ones are split and looked up together."""
+    ids_of = tokens.WordIds(tokenizer_path())
+    pieces, marks = [f"{a}{b}" for a, b in itertools.product("bcdfgh", ["ao", "eu"])], [",", ".", "!?", "-", ")", "'s"]
+    ids_of([" ".join(pieces + marks)])
+    text = " ".join(a + b + c for a, b, c in itertools.product(pieces, marks, [p.upper() for p in pieces]))
+    want = Tokenizer.from_file(tokenizer_path()).encode(text, add_special_tokens=False).ids
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(frame) if event == "call" else None)
+    try:
+        ids, number = ids_of([text])
+    finally:
+        sys.setprofile(None)
+    assert ids.tolist() == want and number.tolist() == [len(want)]
+    assert len(calls) < 100 < len(text.split()) / 8
+
+
+@pytest.mark.parametrize("older", [0, 1])
+def test_a_new_memory_gives_the_same_ids(whole, older):
+    ids_of = tokens.WordIds(tokenizer_path(), memory=0, older=older)
+    for k in range(4):
+        texts = [*TEXTS, "", "only Latin ones", f"n{k} \u023a\u023e\u0130 \u01c5\u00b5\u1e9e H\u0331 a\u0301"] * (1 + k % 2)
+        ids, counts = ids_of(texts)
+        want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+        assert (ids_of.known.before is not None) == bool(older)
+        assert older == 0 or ids_of.known.before.before is None
+
+
+def test_a_memory_given_up_is_freed_without_collection():
+    gc.disable()
+    try:
+        ids_of = tokens.WordIds(tokenizer_path())
+        ids_of(["some words"])
+        known = weakref.ref(ids_of.known)
+        del ids_of
+        assert known() is None
+    finally:
+        gc.enable()
+
+
+def test_blocks_hold_whole_documents(spark, whole):
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(k % 7 * 3))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    folder = tokens.encode(docs, tokenizer_path(), END_ID, block_ids=40, slice_chars=50)
+    got = tokens.decode(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32").orderBy("start").collect()
+    assert [tuple(r) for r in got] == brute(whole, rows)
+    for r in spark.read.schema(tokens.BLOCK_SCHEMA).parquet(folder).collect():
+        assert sum(r.n_tokens) == r.n_ids and sum(r.n_tokens[:-1]) < 40

@@ -22,7 +22,7 @@ import re
 import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,13 +37,14 @@ from tidepool.session import scratch_path
 
 LANE = 1024
 BLOCK_IDS = 1 << 18
-#: Bytes of remembered words of a Python worker, about; there may be as much again of older ones.
+#: Bytes of remembered pieces of words of a Python worker, about; there may be as much again of older ones.
 WORD_MEMORY = 240 << 20
 #: Selector -> (ids per word, bits per id); selector 0 is an escape, 15 a run of zeros.
 SELECTORS = {1: (60, 1), 2: (30, 2), 3: (20, 3), 4: (15, 4), 5: (12, 5), 6: (10, 6), 7: (8, 7), 8: (7, 8),
              9: (6, 10), 10: (5, 12), 11: (4, 15), 12: (3, 20), 13: (2, 30), 14: (1, 60), 15: (120, 0)}
 BLOCK_SCHEMA = ("shard int, block int, doc_ids array<bigint>, n_tokens array<bigint>, n_ids bigint, "
                 "words binary, offsets binary, escapes binary")
+BLOCK_NAMES = ["shard", "block", "doc_ids", "n_tokens", "n_ids", "words", "offsets", "escapes"]
 DOC_SCHEMA = "shard int, block int, seq int, doc_id bigint, within bigint, n_tokens bigint, ids_crc32 bigint"
 
 _POWERS = np.uint64(1) << np.arange(61, dtype=np.uint64)
@@ -131,13 +132,63 @@ def _rules(part, steps: str) -> list[dict]:
     return said.get(steps, [said])
 
 
+class PieceNumbers(dict):
+    """Number of each piece met, and by number its ids: those of piece n are ``pool[ends[n]:ends[n + 1]]``.
+
+    Number 0 is the line break, which ends a part and has no ids. A piece not met is looked up in the memory
+    ``before``, if there is one, and then worked out by ``ids_of``.
+    """
+
+    #: Bytes that a piece takes besides its characters and ids (a string, a dictionary entry, a number, an end).
+    ENTRY = 200
+
+    def __init__(self, ids_of: Callable[[str], list[int]], before: PieceNumbers | None = None):
+        super().__init__({"\n": 0})
+        self.ids_of, self.before = ids_of, before
+        self.pool, self.ends, self.chars = array("I"), array("q", [0, 0]), 0
+
+    def __missing__(self, piece: str) -> int:
+        old = None if self.before is None else self.before.get(piece)
+        if old is None:
+            self.pool.extend(self.ids_of(piece))
+        else:
+            self.pool += self.before.pool[self.before.ends[old]:self.before.ends[old + 1]]
+        self.ends.append(len(self.pool))
+        self.chars += len(piece)
+        self[piece] = number = len(self)
+        return number
+
+    def held(self) -> int:
+        """Bytes, about."""
+        return self.ENTRY * len(self) + self.chars + 4 * len(self.pool)
+
+
+def _ranges(begin: np.ndarray, number: np.ndarray, upto: np.ndarray) -> np.ndarray:
+    """The places of ranges, one range after the other; ``upto``: running sum of ``number``."""
+    return np.repeat(begin - (upto - number), number) + np.arange(int(upto[-1]) if len(upto) else 0)
+
+
+def _new_ids(whole, byte: list[str]) -> Callable[[str], list[int]]:
+    """Gives the ids of a piece, or of a whole part with a line break before it; ``byte``: how the model reads each byte."""
+    model = whole.model
+
+    def ids_of(piece: str) -> list[int]:
+        if piece[0] == "\n":
+            return whole.encode(piece[1:], add_special_tokens=False).ids
+        written = piece if piece.isascii() and piece.isalnum() else "".join(map(byte.__getitem__, piece.encode()))
+        return [t.id for t in model.tokenize(written)]
+
+    return ids_of
+
+
 class WordIds:
-    """Ids of texts by the tokenizer's own rules, each distinct word worked out once.
+    """Ids of texts by the tokenizer's own rules, each distinct piece worked out once.
 
     The tokenizer drops white space and no piece spans it, so the ids of a text are those of its
-    parts between blanks, one after the other. Parts are looked up; a new one is split as the
-    tokenizer splits it (Latin letters by the same pattern here, all else by the tokenizer's normalizer and
-    splitter) and its pieces go through the tokenizer's model. What is remembered is bounded: after
+    parts between blanks, one after the other. The distinct parts of the texts of a call are split together, by the
+    tokenizer's own pattern with the letters, digits and blanks below U+0250 spelt out. Their pieces are looked up, a new
+    one goes through the tokenizer's model. Parts with other characters, or with what may be a special token, are looked
+    up whole, a new one goes through the whole tokenizer. What is remembered is bounded: after
     ``memory`` bytes, about, a new memory begins, and of those before only the last ``older`` (0 or 1) is still looked up.
     A tokenizer file with other rules than these (``by_words`` is false) encodes whole texts, nothing remembered.
     """
@@ -150,14 +201,11 @@ class WordIds:
     SPLITTER = [{"type": "Split", "pattern": {"Regex": PIECE.format("\\p{L}", "\\p{N}", "\\s")}, "behavior": "Removed", "invert": True},
                 {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
 
-    #: Bytes that a word or piece takes in the memory besides its characters (a string, a dictionary entry, its ids).
-    ENTRY = 260
-
     def __init__(self, path: str, memory: int = WORD_MEMORY, older: int = 1):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.model, self.memory, self.older = self.whole.model, memory, older
+        self.memory, self.older = memory, older
         self.by_words = (_rules(self.whole.normalizer, "normalizers") == self.NORMALIZER
                          and _rules(self.whole.pre_tokenizer, "pretokenizers") == self.SPLITTER
                          and all("<|" in t.content for t in self.whole.get_added_tokens_decoder().values()))
@@ -165,78 +213,59 @@ class WordIds:
         kind = {c: unicodedata.category(c)[0] for c in latin}
         blank = [c for c in latin if c.isspace() and not "\x1c" <= c <= "\x1f"]
         classes = [[c for c in latin if kind[c] == "L"], [c for c in latin if kind[c] == "N"], blank]
-        self.pieces = re.compile(self.PIECE.format(*(re.escape("".join(c)) for c in classes))).findall
+        # A line break ends a part.
+        self.pieces = re.compile(self.PIECE.format(*(re.escape("".join(c)) for c in classes)) + "|\n").findall
+        # Arrow's pattern of the parts that are looked up whole; some Latin capitals have small letters from U+0250 on.
+        leave = "".join(c for c in latin if max(c.lower()) >= self.LATIN_END)
+        self.odd = f"<\\||[^\\x00-\\x{{{ord(self.LATIN_END) - 1:x}}}]|[{leave}]"
         # A byte without a printable Latin-1 character of its own is written as 256 + its rank among those.
         own = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = [b for b in range(256) if b not in own]
-        self.byte = [chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)]
-        self.reset()
+        byte = [chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)]
+        # The memory does not refer to this object: both are freed as soon as they are given up.
+        self.known = PieceNumbers(_new_ids(self.whole, byte))
 
     def reset(self) -> None:
         """Begin a new memory; the one before is still asked if ``older`` says so, the one before that is given up."""
-        old = self.older and hasattr(self, "known")
-        self.before, self.known = self.known if old else {}, {}
-        self.of_before, self.of_piece = self.of_piece if old else {}, {}
-        self.pool_before, self.ends_before = (self.pool, self.ends) if old else (None, None)
-        self.pool, self.ends = array("I"), array("q", [0])
-        self.chars = 0
-
-    def held(self) -> int:
-        """Bytes of the present memory, about."""
-        return self.ENTRY * (len(self.known) + len(self.of_piece)) + self.chars + 4 * len(self.pool) + 8 * len(self.ends)
-
-    def piece_ids(self, piece: str, written: str | None = None) -> list[int]:
-        """The model's ids of a piece, ``written`` as the model reads it (None: by the byte table)."""
-        ids = self.of_before.get(piece)
-        if ids is None:
-            if written is None:
-                written = piece if piece.isascii() and piece.isalnum() else "".join(map(self.byte.__getitem__, piece.encode()))
-            ids = array("I", [t.id for t in self.model.tokenize(written)])
-        self.of_piece[piece] = ids
-        self.chars += len(piece)
-        return ids
-
-    def learn(self, part: str) -> None:
-        pool, of_piece = self.pool, self.of_piece
-        old = self.before.get(part)
-        if old is not None:
-            pool += self.pool_before[self.ends_before[old]:self.ends_before[old + 1]]
-        elif "<|" in part:  # may hold a special token
-            pool.extend(self.whole.encode(part, add_special_tokens=False).ids)
-        else:
-            low = part.lower()
-            if low.isascii() or max(low) < self.LATIN_END:
-                for piece in self.pieces(low):
-                    ids = of_piece.get(piece)
-                    pool += self.piece_ids(piece) if ids is None else ids
-            else:
-                normal = self.whole.normalizer.normalize_str(part)
-                for written, _ in self.whole.pre_tokenizer.pre_tokenize_str(normal):
-                    ids = of_piece.get("\ue000" + written)
-                    pool += self.piece_ids("\ue000" + written, written) if ids is None else ids
-        self.known[part] = len(self.known)
-        self.chars += len(part)
-        self.ends.append(len(pool))
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.known.before = None
+        self.known = PieceNumbers(self.known.ids_of, self.known if self.older else None)
+
+    def parts(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of parts, where each part's ids begin, how many they are)."""
+        odd = pc.match_substring_regex(distinct, self.odd)
+        is_odd, plain = odd.to_numpy(zero_copy_only=False), distinct.filter(pc.invert(odd))
+        lines = pc.binary_join(pa.ListArray.from_arrays([0, len(plain)], plain), pa.scalar("\n", plain.type))[0].as_py()
+        found = self.pieces(f"{lines}\n".lower()) if len(plain) else []
+        found += ["\n" + part for part in distinct.filter(odd).to_pylist()]
+        at = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
+        last = at == 0
+        last[len(found) - int(is_odd.sum()):] = True
+        end, pool = np.frombuffer(self.known.ends, np.int64), np.frombuffer(self.known.pool or b"", np.uint32)
+        begin, number = end[at], end[at + 1] - end[at]
+        upto = np.cumsum(number)
+        ids = pool[_ranges(begin, number, upto)]
+        ends = np.empty(len(distinct) + 1, np.int64)
+        ends[0], ends[1:] = 0, upto[last]
+        place = np.empty(len(distinct), np.int64)  # those looked up whole come last
+        place[np.concatenate([np.flatnonzero(~is_odd), np.flatnonzero(is_odd)])] = np.arange(len(distinct))
+        return ids, ends[place], ends[place + 1] - ends[place]
+
+    def __call__(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
         if not self.by_words:
-            each = [np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts]
+            each = [np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts.to_pylist()]
             return np.concatenate([np.zeros(0, np.uint32), *each]), np.array([len(e) for e in each], np.int64)
-        if self.held() > self.memory:
+        if self.known.held() > self.memory:
             self.reset()
-        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         count = np.diff(lists.offsets.to_numpy())
         coded = lists.flatten().dictionary_encode()
-        distinct, known = coded.dictionary.to_pylist(), self.known
-        for part in distinct:
-            if part not in known:
-                self.learn(part)
-        at = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
-        end, ids = np.frombuffer(self.ends, np.int64), np.frombuffer(self.pool, np.uint32) if self.pool else np.zeros(0, np.uint32)
-        begin, number = end[at], end[at + 1] - end[at]
+        at = coded.indices.to_numpy()
+        ids, begin, number = self.parts(coded.dictionary)
+        begin, number = begin[at], number[at]
         upto = np.cumsum(number)
-        ids = ids[np.repeat(begin - (upto - number), number) + np.arange(int(upto[-1]) if len(upto) else 0)]
+        ids = ids[_ranges(begin, number, upto)]
         sums = np.concatenate([[0], upto])[np.cumsum(count)].astype(np.int64)
         return ids, np.diff(np.concatenate([[0], sums]))
 
@@ -259,7 +288,7 @@ def _give_back() -> None:
         trim(0)
 
 
-def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids: int, slice_chars: int, memory: int, keep: bool):
+def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block_ids: int, slice_chars: int, memory: int, keep: bool):
     """The block rows of a task. Cyclic collection is off meanwhile (many small objects, none in cycles)."""
     # Without keeping, neither the words nor the tokenizer outlive the task.
     ids_of = _encoder(path, memory, 1) if keep else WordIds(path, memory, 0)
@@ -275,38 +304,46 @@ def _blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids:
             _give_back()
 
 
-def _task_blocks(batches: Iterator[pd.DataFrame], ids_of: WordIds, end_id: int, block_ids: int, slice_chars: int):
+def _task_blocks(batches: Iterator[pa.RecordBatch], ids_of: WordIds, end_id: int, block_ids: int, slice_chars: int):
     shard, block = TaskContext.get().partitionId(), 0
-    docs, counts, ids, size = [], [], [], 0
+    keys, counts, ids, size = [], [], [], 0
 
     def row():
         words, offsets, escapes = pack(np.concatenate(ids))
-        return {"shard": shard, "block": block, "doc_ids": docs, "n_tokens": counts, "n_ids": size,
-                "words": words.astype("<u8").tobytes(), "offsets": offsets.astype("<u4").tobytes(),
-                "escapes": escapes.astype("<u8").tobytes()}
+        return pa.RecordBatch.from_arrays([
+            pa.array([shard], pa.int32()), pa.array([block], pa.int32()), _listed(pa.concat_arrays(keys)),
+            _listed(pa.array(np.concatenate(counts))), pa.array([size], pa.int64()), pa.array([words.astype("<u8").tobytes()], pa.binary()),
+            pa.array([offsets.astype("<u4").tobytes()], pa.binary()), pa.array([escapes.astype("<u8").tobytes()], pa.binary())], BLOCK_NAMES)
 
     for batch in batches:
-        keys = [None if pd.isna(k) else int(k) for k in batch["doc_id"]]
-        texts, begin = list(batch["text"]), 0
-        while begin < len(texts):
+        upto_char = np.concatenate([[0], np.cumsum(pc.utf8_length(batch["text"]).to_numpy(), dtype=np.int64)])
+        begin = 0
+        while begin < len(batch):
             # Texts of a bounded length together, one at least.
-            end, chars = begin + 1, len(texts[begin])
-            while end < len(texts) and chars + len(texts[end]) <= slice_chars:
-                chars += len(texts[end])
-                end += 1
-            found, number = ids_of(texts[begin:end])
-            upto = np.cumsum(number)
-            for k, key in enumerate(keys[begin:end]):
-                docs.append(key)
-                counts.append(int(number[k]) + 1)
-                ids += [found[upto[k] - number[k]: upto[k]], np.array([end_id], np.uint32)]
-                size += counts[-1]
+            end = max(begin + 1, int(np.searchsorted(upto_char, upto_char[begin] + slice_chars, side="right")) - 1)
+            found, number = ids_of(batch["text"][begin:end])
+            found, number = np.insert(found, np.cumsum(number), end_id), number + 1
+            upto = np.concatenate([[0], np.cumsum(number)])
+            first = 0
+            while first < len(number):
+                # Documents up to the one that fills the block.
+                last = min(int(np.searchsorted(upto[1:], upto[first] + block_ids - size)) + 1, len(number))
+                keys.append(batch["doc_id"][begin + first:begin + last])
+                counts.append(number[first:last])
+                ids.append(found[upto[first]:upto[last]])
+                size += len(ids[-1])
+                first = last
                 if size >= block_ids:
-                    yield pd.DataFrame([row()])
-                    docs, counts, ids, size, block = [], [], [], 0, block + 1
+                    yield row()
+                    keys, counts, ids, size, block = [], [], [], 0, block + 1
             begin = end
-    if docs:
-        yield pd.DataFrame([row()])
+    if size:
+        yield row()
+
+
+def _listed(values: pa.Array) -> pa.Array:
+    """The values as one list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def as_written(name: str = "_metadata") -> list[Column]:
@@ -324,7 +361,7 @@ def encode(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: s
     are ordered by text hash, repeated rows are all written. Other columns are not read but for ``order``. A text is
     never split between blocks. An empty table writes no block.
 
-    A task remembers the ids of words it has met: ``word_memory`` bytes, about, and as much again of the memory before. With ``keep_memory`` the Python
+    A task remembers the ids of pieces of words it has met: ``word_memory`` bytes, about, and as much again of the memory before. With ``keep_memory`` the Python
     worker keeps it for its next task; without, one memory is held and given up at the task's end (where other stages need the workers).
     """
     spark = docs.sparkSession
@@ -335,7 +372,7 @@ def encode(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: s
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("text"),
                        *(c.alias(p) for c, p in zip(order, places)))
     rows = rows.repartitionByRange(*places).sortWithinPartitions(*places).drop(*places)
-    blocks = rows.mapInPandas(lambda b: _blocks(b, path, end_id, block_ids, slice_chars, word_memory, keep_memory), BLOCK_SCHEMA)
+    blocks = rows.mapInArrow(lambda b: _blocks(b, path, end_id, block_ids, slice_chars, word_memory, keep_memory), BLOCK_SCHEMA)
     blocks.write.option("compression", "zstd").parquet(out)
     return out
 
