@@ -1,6 +1,7 @@
 import gc
 import itertools
 import os
+import subprocess
 import sys
 import weakref
 import zlib
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tests.conftest import SF_SMALL
-from tidepool.llm import tokens
+from tidepool.llm import common, tokens
 from tidepool.llm.queries import END_ID, QUERIES, tokenizer_path
 
 
@@ -146,3 +147,39 @@ def test_blocks_hold_whole_documents(spark, whole):
     assert [tuple(r) for r in got] == brute(whole, rows)
     for r in spark.read.schema(tokens.BLOCK_SCHEMA).parquet(folder).collect():
         assert sum(r.n_tokens) == r.n_ids and sum(r.n_tokens[:-1]) < 40
+
+
+#: Runs in a process of its own, prints the MB that it has grown by.
+GROWS = """
+import re
+from pathlib import Path
+import pyarrow as pa
+from tidepool.llm import tokens
+from tidepool.llm.common import give_back
+from tidepool.llm.queries import tokenizer_path
+
+def held():
+    return sum(map(int, re.findall(r"Anonymous:\\s+(\\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+for k in range(9):
+    words = tokens.WordIds(tokenizer_path(), 32 << 20, 0)
+    words([" ".join("".join(chr(97 + int(d)) for d in f"{j * 7919 + k:012d}") * 2 for j in range(20_000))])
+    del words
+    give_back()
+    if k == 0:
+        first = held()
+print(held() - first)
+"""
+
+
+def test_tasks_that_keep_nothing_leave_no_words_behind():
+    grown = subprocess.run([sys.executable, "-c", GROWS], capture_output=True, text=True, check=True, cwd=os.path.dirname(common.__file__) + "/../..").stdout
+    assert float(grown) < 12
+
+
+def test_a_task_ends_by_giving_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    rows = common.giving_back(iter([1, 2]))
+    assert next(rows) == 1 and not calls
+    assert list(rows) == [2] and calls == [1]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +31,22 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(text, WHITE, " " * len(WHITE)), " "), "")
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Arrow's, and the C library's where it can (an idle Python worker would hold both)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(rows: Iterator) -> Iterator:
+    """The batches of a Python task; freed memory goes back at its end, before the worker idles beside other stages."""
+    try:
+        yield from rows
+    finally:
+        give_back()
+
+
 def hash60(*parts: Column) -> Column:
     """60 bits of md5 over the parts joined by ``|``: the same number in any engine.
 

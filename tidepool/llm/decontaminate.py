@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import materialize, text_of
+from tidepool.llm.common import giving_back, materialize, text_of
 from tidepool.llm.fmindex import FMIndex
 
 WINDOW = 10
@@ -160,7 +160,7 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str =
     for k in range(blocks):
         block = sought.filter(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == k) if blocks > 1 else sought
         known = spark.sparkContext.broadcast([(r["phrase"], r["item"]) for r in block.collect()])
-        passes.append(with_text.mapInArrow(lambda b, known=known: _scan(b, Phrases(known.value), kind, shard_words), schema))
+        passes.append(with_text.mapInArrow(lambda b, known=known: giving_back(_scan(b, Phrases(known.value), kind, shard_words)), schema))
     if blocks == 1:
         return passes[0]
     hits = None
@@ -208,4 +208,4 @@ def cut(scanned: DataFrame, text: str = "text") -> DataFrame:
     """``scanned`` (of ``scan``) plus ``_clean``: the text without the hit words and what stands between
     the words of a span. Texts without hits stay as they are (null: empty)."""
     schema = T.StructType([*scanned.schema.fields, T.StructField("_clean", T.StringType())])
-    return scanned.withColumn("_fm_text", text_of(text).cast("binary")).mapInArrow(_cut, schema)
+    return scanned.withColumn("_fm_text", text_of(text).cast("binary")).mapInArrow(lambda b: giving_back(_cut(b)), schema)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import materialize, text_of
+from tidepool.llm.common import giving_back, materialize, text_of
 from tidepool.llm.components import components
 from tidepool.llm.wordhash import Words, grams
 
@@ -323,7 +323,7 @@ def _classes(docs: DataFrame, key: str, text: str, recall: float = RECALL, leaf:
     """The rows of ``near_join`` plus _root, which tells classes apart also where keys repeat; null without words."""
     rows = docs.select(F.col(key).cast("long").alias("key"), text_of(text).cast("binary").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    sketched = materialize(rows.mapInPandas(_sketch, SKETCH_SCHEMA), "sketches")
+    sketched = materialize(rows.mapInPandas(lambda b: giving_back(_sketch(b)), SKETCH_SCHEMA), "sketches")
     with_words = sketched.filter("node is not null")
     # Copies: one node each, 128 bits decide; the first of them stands for all.
     copies = with_words.groupBy("node", "also").agg(
@@ -361,7 +361,7 @@ def _classes(docs: DataFrame, key: str, text: str, recall: float = RECALL, leaf:
     wanted = groups.select("node", F.col("key").alias("_k"), F.col("tie").alias("_t"))
     # What is wanted grows with the input: the join is planned alike at every size.
     texts = rows.hint("merge").join(wanted, (F.col("tie") == F.col("_t")) & F.col("key").eqNullSafe(F.col("_k")))
-    sets = texts.select("node", "text").dropDuplicates(["node"]).mapInPandas(_sets, "node bigint, shingles binary")
+    sets = texts.select("node", "text").dropDuplicates(["node"]).mapInPandas(lambda b: giving_back(_sets(b)), "node bigint, shingles binary")
     sets = materialize(sets, "sets")
     weights = copies.select(F.col("node").alias("_c"), "copies")
     dealt = _dealt(groups.select("node", "root", "n"), "root", "n", "node", BLOCK)

@@ -15,7 +15,6 @@ writer (a lost task leaves nothing behind). A block has
 
 from __future__ import annotations
 
-import ctypes
 import gc
 import json
 import re
@@ -32,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import text_of
+from tidepool.llm.common import give_back, giving_back, text_of
 from tidepool.session import scratch_path
 
 LANE = 1024
@@ -209,6 +208,9 @@ class WordIds:
         self.by_words = (_rules(self.whole.normalizer, "normalizers") == self.NORMALIZER
                          and _rules(self.whole.pre_tokenizer, "pretokenizers") == self.SPLITTER
                          and all("<|" in t.content for t in self.whole.get_added_tokens_decoder().values()))
+        if self.by_words and not older:
+            # The model's own memory of words outlives the model, one for each task; new pieces gain nothing by it.
+            getattr(self.whole.model, "_resize_cache", int)(0)
         latin = [chr(c) for c in range(ord(self.LATIN_END))]
         kind = {c: unicodedata.category(c)[0] for c in latin}
         blank = [c for c in latin if c.isspace() and not "\x1c" <= c <= "\x1f"]
@@ -281,13 +283,6 @@ def _encoder(path: str, memory: int, older: int) -> WordIds:
     return held[key]
 
 
-def _give_back() -> None:
-    """Return freed memory to the system, where the C library can (an idle Python worker would hold it)."""
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block_ids: int, slice_chars: int, memory: int, keep: bool):
     """The block rows of a task. Cyclic collection is off meanwhile (many small objects, none in cycles)."""
     # Without keeping, neither the words nor the tokenizer outlive the task.
@@ -301,7 +296,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block_ids
             gc.enable()
         if not keep:
             del ids_of
-            _give_back()
+            give_back()
 
 
 def _task_blocks(batches: Iterator[pa.RecordBatch], ids_of: WordIds, end_id: int, block_ids: int, slice_chars: int):
@@ -405,6 +400,6 @@ def decode(spark: SparkSession, folder: str) -> DataFrame:
     heads = heads.withColumn("_in", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
     heads = heads.join(shards, F.col("shard") == F.col("_shard")).select(
         F.col("shard").alias("_s"), F.col("block").alias("_b"), (F.col("_in") + F.col("_base")).alias("_first"))
-    docs = files.select("shard", "block", "doc_ids", "n_tokens", "words", "escapes").mapInPandas(_documents, DOC_SCHEMA)
+    docs = files.select("shard", "block", "doc_ids", "n_tokens", "words", "escapes").mapInPandas(lambda b: giving_back(_documents(b)), DOC_SCHEMA)
     rows = docs.join(heads, (F.col("shard") == F.col("_s")) & (F.col("block") == F.col("_b")))
     return rows.select("doc_id", (F.col("_first") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", "shard", "block")
