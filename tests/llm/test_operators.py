@@ -70,6 +70,28 @@ def test_substring_odd_rows(odd):
     assert substring.remove_repeats(odd.limit(0)).count() == 0
 
 
+def test_substring_long_rows_reach_python_in_small_batches(spark, monkeypatch):
+    pack, limit = substring._pack, substring.BATCH_BYTES + (1 << 21)
+
+    def watched(batches, chunk_bytes):
+        def checked():
+            for batch in batches:
+                assert sum(map(len, batch["text"])) <= limit
+                yield batch
+        return pack(checked(), chunk_bytes)
+
+    monkeypatch.setattr(substring, "_pack", watched)
+    before = spark.conf.get(substring.BATCH_KEY)
+    words = " ".join(f"w{i}" for i in range(120_000))
+    docs = spark.range(0, 16, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit(words), F.lit(" x"), "id").alias("text"))
+    found = substring.remove_repeats(docs)
+    assert spark.conf.get(substring.BATCH_KEY) == before
+    # Chunks meet their answers one by one: no partition of chunks is a batch, no chunk's answers are a list in a row.
+    plan = found._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInPandas" in plan and "MapInPandas" not in plan.replace("FlatMapCoGroupsInPandas", "") and "collect_list" not in plan
+    assert {(r["n_words"], r["n_removed"], r["kept"]) for r in found.collect()} == {(120_001, 120_000, f"x{i}") for i in range(16)}
+
+
 # --- near-duplicate join --------------------------------------------------------------------------
 
 def brute_near(rows):

@@ -12,17 +12,21 @@ Texts are packed to chunks of a bounded size. Per level each chunk sends the dis
 candidates, by hash bucket, and the bucket answers with one bit per hash: does it occur elsewhere? A
 hash that many documents share is sent once per chunk, so no bucket is hot, and texts never
 meet. Whole windows are compared by 128 bits.
+
+Chunks are long rows. They meet their answers one chunk at a time (cogroup), and reach Python in batches
+of a bounded size, so an executor never holds a partition's texts as one Arrow batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import materialize, text_of
@@ -32,6 +36,8 @@ LENGTH = 35
 SHORTEST = 9
 CHUNK_BYTES = 1 << 21
 BUCKET_WORDS = 1 << 19
+BATCH_BYTES = 1 << 22
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 CHUNK_SCHEMA = "chunk bigint, keys array<bigint>, sizes binary, texts binary, n_words bigint"
 PROBE_SCHEMA = "bucket bigint, chunk bigint, hashes binary, again binary"
 REPLY_SCHEMA = "chunk bigint, level int, bucket bigint, n int, bits binary"
@@ -116,39 +122,37 @@ class Chunk:
             have += step
         return at
 
-    def keep(self, size: int, buckets: int, replies: list) -> None:
+    def keep(self, size: int, buckets: int, replies: pd.DataFrame) -> None:
         """Drop the windows whose hash at this level does not repeat."""
         bucket, _, _, of_window = self.probe(size, buckets)
         repeated = np.zeros(len(bucket), bool)
         begin = dict(zip(*np.unique(bucket, return_index=True)))
-        for r in replies:
-            at = begin[r["bucket"]]
-            repeated[at:at + r["n"]] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=r["n"]).view(bool)
+        for r in replies.itertuples():
+            at = begin[r.bucket]
+            repeated[at:at + r.n] = np.unpackbits(np.frombuffer(r.bits, np.uint8), count=r.n).view(bool)
         self.live = self.live[repeated[of_window]]
 
 
-def _advance(row, done: list[int], buckets: int, length: int) -> Chunk:
+def _advance(row, replies: pd.DataFrame | None, done: list[int], buckets: int, length: int) -> Chunk:
     chunk = Chunk(row.sizes, row.texts, length)
-    replies = list(row.replies) if done else []
     for k, size in enumerate(done):
         if len(chunk.live):
-            chunk.keep(size, buckets, [r for r in replies if r["level"] == k])
+            chunk.keep(size, buckets, replies[replies["level"] == k])
     return chunk
 
 
-def _probe(batches, done: list[int], size: int, buckets: int, length: int) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for row in batch.itertuples():
-            chunk = _advance(row, done, buckets, length)
-            if not len(chunk.live):
-                continue
-            bucket, hashes, again, _ = chunk.probe(size, buckets)
-            numbers, begin = np.unique(bucket, return_index=True)
-            end = [*begin[1:].tolist(), len(bucket)]
-            yield pd.DataFrame({
-                "bucket": numbers, "chunk": row.chunk,
-                "hashes": [hashes[b:e].tobytes() for b, e in zip(begin.tolist(), end)],
-                "again": [np.packbits(again[b:e]).tobytes() for b, e in zip(begin.tolist(), end)]})
+def _probe(row, replies: pd.DataFrame | None, done: list[int], size: int, buckets: int, length: int) -> pd.DataFrame:
+    """What a chunk asks at the level of ``size`` words: a row per bucket."""
+    chunk = _advance(row, replies, done, buckets, length)
+    if not len(chunk.live):
+        return pd.DataFrame(columns=["bucket", "chunk", "hashes", "again"])
+    bucket, hashes, again, _ = chunk.probe(size, buckets)
+    numbers, begin = np.unique(bucket, return_index=True)
+    end = [*begin[1:].tolist(), len(bucket)]
+    return pd.DataFrame({
+        "bucket": numbers, "chunk": row.chunk,
+        "hashes": [hashes[b:e].tobytes() for b, e in zip(begin.tolist(), end)],
+        "again": [np.packbits(again[b:e]).tobytes() for b, e in zip(begin.tolist(), end)]})
 
 
 def _answering(level: int, lanes: int):
@@ -173,30 +177,40 @@ def _answer(rows: pd.DataFrame, level: int, lanes: int) -> pd.DataFrame:
                          "bits": [np.packbits(repeated[e - n:e]).tobytes() for n, e in zip(number.tolist(), end.tolist())]})
 
 
-def _remove(batches, done: list[int], buckets: int, length: int) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for row in batch.itertuples():
-            chunk = _advance(row, done, buckets, length)
-            words = chunk.words
-            cover = np.zeros(len(words.begin) + 1, np.int64)
-            cover[chunk.live] += 1
-            np.subtract.at(cover, chunk.live + length, 1)
-            gone = np.cumsum(cover)[:-1] > 0
-            before = np.concatenate([[0], np.cumsum(gone)])
-            removed = before[words.first[1:]] - before[words.first[:-1]]
-            spans, kept = [], []
-            for k, text in enumerate(chunk.texts):
-                parts = text.split()
-                if removed[k]:
-                    mine = gone[words.first[k]:words.first[k + 1]]
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], mine.view(np.int8), [0]]))).tolist()
-                    spans.append([{"begin": b, "end": e} for b, e in zip(edge[::2], edge[1::2])])
-                    parts = [w for w, g in zip(parts, mine.tolist()) if not g]
-                else:
-                    spans.append([])
-                kept.append(b" ".join(parts).decode())
-            yield pd.DataFrame({"key": pd.array(list(row.keys), "Int64"), "n_words": words.count,
-                                "n_removed": removed, "spans": spans, "kept": kept})
+def _remove(row, replies: pd.DataFrame, done: list[int], buckets: int, length: int) -> pd.DataFrame:
+    """A chunk's documents without the words that its windows, as answered, cover."""
+    chunk = _advance(row, replies, done, buckets, length)
+    words = chunk.words
+    cover = np.zeros(len(words.begin) + 1, np.int64)
+    cover[chunk.live] += 1
+    np.subtract.at(cover, chunk.live + length, 1)
+    gone = np.cumsum(cover)[:-1] > 0
+    before = np.concatenate([[0], np.cumsum(gone)])
+    removed = before[words.first[1:]] - before[words.first[:-1]]
+    spans, kept = [], []
+    for k, text in enumerate(chunk.texts):
+        parts = text.split()
+        if removed[k]:
+            mine = gone[words.first[k]:words.first[k + 1]]
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], mine.view(np.int8), [0]]))).tolist()
+            spans.append([{"begin": b, "end": e} for b, e in zip(edge[::2], edge[1::2])])
+            parts = [w for w, g in zip(parts, mine.tolist()) if not g]
+        else:
+            spans.append([])
+        kept.append(b" ".join(parts).decode())
+    return pd.DataFrame({"key": pd.array(list(row.keys), "Int64"), "n_words": words.count,
+                         "n_removed": removed, "spans": spans, "kept": kept})
+
+
+@contextmanager
+def _small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
+    """Rows go to Python in batches of about ``size`` bytes; else a partition of long rows is one batch, several times in memory."""
+    before = spark.conf.get(BATCH_KEY)
+    spark.conf.set(BATCH_KEY, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_KEY, before)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
@@ -210,20 +224,28 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     not read. An empty table gives an empty result.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), text_of(text).cast("binary").alias("text"))
-    chunks = materialize(rows.mapInPandas(lambda b: _pack(b, chunk_bytes), CHUNK_SCHEMA), "chunks")
+    spark = docs.sparkSession
+    with _small_batches(spark):
+        chunks = materialize(rows.mapInPandas(lambda b: _pack(b, chunk_bytes), CHUNK_SCHEMA), "chunks")
     words = chunks.agg(F.sum("n_words")).first()[0] or 0
-    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(spread, -(-words // bucket_words))
-    sizes, state, replies = levels(length, shortest), chunks, None
+    sizes, replies = levels(length, shortest), None
+
+    def per_chunk(step, schema: str) -> DataFrame:
+        """``step`` over each chunk and all answers that it got."""
+        one = lambda chunk, answers: step(next(chunk.itertuples()), answers)
+        return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInPandas(one, schema)
+
     for k, size in enumerate(sizes):
         done, lanes = sizes[:k], 2 if size == length else 1
-        probes = state.mapInPandas(lambda b, done=done, size=size: _probe(b, done, size, buckets, length), PROBE_SCHEMA)
+        if replies is None:
+            probes = chunks.mapInPandas(lambda batches: (_probe(row, None, [], sizes[0], buckets, length)
+                                                         for batch in batches for row in batch.itertuples()), PROBE_SCHEMA)
+        else:
+            probes = per_chunk(lambda row, answers, done=done, size=size: _probe(row, answers, done, size, buckets, length), PROBE_SCHEMA)
         answers = probes.groupBy("bucket").applyInPandas(_answering(k, lanes), REPLY_SCHEMA)
-        answers = materialize(answers, "answers")
+        with _small_batches(spark):
+            answers = materialize(answers, "answers")
         replies = answers if replies is None else replies.unionByName(answers)
-        per_chunk = replies.groupBy(F.col("chunk").alias("_c")).agg(
-            F.collect_list(F.struct("level", "bucket", "n", "bits")).alias("replies"))
-        state = chunks.hint("merge").join(per_chunk, F.col("chunk") == F.col("_c"), "left").drop("_c")
-        state = state.withColumn("replies", F.coalesce("replies", F.expr(
-            "cast(array() as array<struct<level:int,bucket:bigint,n:int,bits:binary>>)")))
-    return state.mapInPandas(lambda b: _remove(b, sizes, buckets, length), RESULT_SCHEMA)
+    return per_chunk(lambda row, answers: _remove(row, answers, sizes, buckets, length), RESULT_SCHEMA)
