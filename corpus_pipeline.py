@@ -38,11 +38,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    found = decontaminate.cut(decontaminate.scan(rows, read(spark, sf_dir, "benchmark")))
+    # Texts reach Python once: the rest of the row travels without its text, which comes back as the clean one.
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*rest).alias("_row"), F.col("text").isNull().alias("_null"), "text")
+    found = decontaminate.scan(rows, read(spark, sf_dir, "benchmark"), keep=["_row", "_null"], clean=True)
     hit = F.col("_found.n_hit") > 0
     left = found.filter(~hit | (F.col("_found.n_hit") < F.col("_found.n_words")))
-    changed = {"text": F.when(hit, F.col("_clean")).otherwise(F.col("text")),
+    changed = {"text": F.when(~F.col("_null"), F.col("_clean")),
                "n_chars": F.when(hit, F.length("_clean").cast("long")).otherwise(F.col("_row.n_chars"))}
     return left.select(*((changed[c] if c in changed else F.col("_row")[c]).alias(c) for c in docs.columns))
 

@@ -3,9 +3,12 @@
 import collections
 import hashlib
 import random
+import tempfile
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,6 +195,48 @@ def test_fm_index_equals_naive_search():
         assert sorted(zip(which.tolist(), at.tolist())) == want
 
 
+def test_fm_index_holds_few_arrays():
+    run = np.random.default_rng(5).integers(1, 30_000, 1 << 17)
+    tracemalloc.start()
+    try:
+        FMIndex([run])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 96 * len(run)
+
+
+def test_decontamination_sends_texts_to_python_once(spark):
+    kind = "doc_id long, text string, source string, n_chars long, _clean string, _null int"
+    rows = [(1, "Say one two THREE now", "a", 21, "x", 1), (2, None, "b", None, None, None), (None, "one two three", None, 13, "y", 2),
+            (4, "", "c", 0, "", 0), (5, "one two", "a", 99, "z", 3), (1, "Say one two THREE now", "a", 21, "x", 1)]
+    with tempfile.TemporaryDirectory() as folder:
+        spark.createDataFrame([("i", "one two three")], "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
+        out = corpus_pipeline.decontamination(spark, spark.createDataFrame(rows, kind), folder)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1
+        assert out.columns == ["doc_id", "text", "source", "n_chars", "_clean", "_null"]
+        cut = (1, "Say  now", "a", 8, "x", 1)
+        assert sorted(map(tuple, out.collect()), key=str) == sorted([cut, rows[1], rows[3], rows[4], cut], key=str)
+
+
+def test_scan_cuts_as_cut_does(spark, odd):
+    items = spark.createDataFrame([("i1", "Two THREE four"), ("i2", "three four five"), (None, "vital 漢字")], "item_id string, text string")
+    docs = odd.select("doc_id", "text")
+    want = sorted(map(str, decontaminate.cut(decontaminate.scan(docs, items)).drop("text").collect()))
+    for most in (1_000, 1):  # cut in the task that finds the spans; after the blocks' spans are merged
+        got = decontaminate.scan(docs, items, keep=["doc_id"], most_phrases=most, clean=True)
+        assert got.columns == ["doc_id", "_found", "_clean"]
+        assert sorted(map(str, got.collect())) == want
+
+
+def test_scan_looks_at_slices_of_bounded_size():
+    texts = [b"", b"abc", b"defgh", b"x" * 40, b"", b"ijk"]
+    batch = pa.record_batch([pa.array(texts, pa.binary())], ["_fm_text"])
+    slices = [b.column("_fm_text").to_pylist() for b in decontaminate._slices(iter([batch, batch.slice(0, 0)]), 8)]
+    assert slices == [[b"", b"abc", b"defgh"], [b"x" * 40], [b"", b"ijk"]]
+
+
 def test_cut_counts_words_in_either_case(spark):
     items = spark.createDataFrame([("i", "alpha beta gamma")], "item_id string, text string")
     docs = spark.createDataFrame([(1, "The QUICK fox. Alpha, BETA gamma! The End"), (2, "ALPHA beta\nGAMMA")], "doc_id long, text string")

@@ -4,16 +4,18 @@ A task takes its documents shard by shard (a bounded number of words), builds an
 and searches it for all phrases of the benchmark. Only words that occur in the benchmark are letters
 of the index's alphabet; any other word ends a run, and runs shorter than the shortest phrase cannot hold
 one and are left out. Occurrences are located by sampled suffix positions and merged to spans.
-Documents never move: there is no shuffle.
+Documents never move: there is no shuffle. With one block of phrases, the spans are cut in the task that finds
+them (``scan`` with ``clean``), so a task has one Python worker and its texts reach it once.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +24,9 @@ from tidepool.llm.common import giving_back, materialize, text_of
 from tidepool.llm.fmindex import FMIndex
 
 WINDOW = 10
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
+#: Bytes of text that a task looks at together (one text may be longer).
+SLICE_BYTES = 1 << 22
 MOST_PHRASES = 200_000
 #: ASCII other than letters and digits separates words; A-Z count as a-z.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -108,10 +112,35 @@ def search_shard(held: list[tuple[int, int, np.ndarray]], known: Phrases) -> dic
     return out
 
 
-def _scan(batches: Iterator[pa.RecordBatch], known: Phrases, kind: pa.DataType, shard_words: int) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``most`` bytes of ``_fm_text``, or of one row."""
+    for batch in batches:
+        upto = np.cumsum(pc.binary_length(batch.column("_fm_text")).to_numpy(zero_copy_only=False), dtype=np.int64)
+        begin = 0
+        while begin < batch.num_rows:
+            before = int(upto[begin - 1]) if begin else 0
+            stop = max(begin + 1, int(np.searchsorted(upto, before + most, side="right")))
+            yield batch.slice(begin, stop - begin)
+            begin = stop
+
+
+def _without(text: bytes, spans: Iterable[tuple[int, int]]) -> str:
+    """The text without the words of the spans and what stands between them."""
+    if spans:
+        at = [m.span() for m in WORD_BYTES.finditer(text)]
+        pieces, end = [], 0
+        for first, last in spans:
+            pieces.append(text[end:at[first][0]])
+            end = at[last - 1][1]
+        text = b"".join([*pieces, text[end:]])
+    return text.decode()
+
+
+def _scan(batches: Iterator[pa.RecordBatch], known: Phrases, kind: pa.DataType, shard_words: int,
+          clean: bool = False) -> Iterator[pa.RecordBatch]:
     shortest = int(known.lengths.min()) if len(known.lengths) else 1 << 62
     word_id = known.vocabulary.get
-    for batch in batches:
+    for batch in _slices(batches, SLICE_BYTES):
         texts = batch.column("_fm_text")
         counts, found, held, size = [], {}, [], 0
         for doc in range(batch.num_rows):
@@ -119,48 +148,58 @@ def _scan(batches: Iterator[pa.RecordBatch], known: Phrases, kind: pa.DataType,
             counts.append(len(words))
             if len(words) < shortest:
                 continue
-            ids = np.fromiter((word_id(w, 0) for w in words), np.int64, len(words))
+            ids = np.fromiter((word_id(w, 0) for w in words), np.int32, len(words))
             for begin, end in _runs(ids, shortest):
-                held.append((doc, begin, ids[begin:end]))
+                held.append((doc, begin, ids[begin:end].copy()))
                 size += end - begin + 1
             if size >= shard_words:
                 found |= search_shard(held, known)
                 held, size = [], 0
         if held:
             found |= search_shard(held, known)
+        del held
         rows = [{"n_words": n, "n_hit": hit, "items": items, "spans": [{"begin": b, "end": e} for b, e in spans]}
                 for n, (hit, items, spans) in ((n, found.get(doc, (0, [], []))) for doc, n in enumerate(counts))]
-        kept = [c for c in batch.schema.names if c != "_fm_text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(rows, kind)], [*kept, "_found"])
+        out = {c: batch.column(c) for c in batch.schema.names if c != "_fm_text"} | {"_found": pa.array(rows, kind)}
+        if clean:
+            out["_clean"] = pa.array((_without(texts[doc].as_py(), found.get(doc, (0, [], []))[2]) for doc in range(batch.num_rows)),
+                                     pa.string())
+        yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
 
 def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text",
          window: int = WINDOW, shard_words: int = SHARD_WORDS, most_phrases: int = MOST_PHRASES,
-         keep: list[str] | None = None) -> DataFrame:
+         keep: list[str] | None = None, clean: bool = False) -> DataFrame:
     """The columns ``keep`` of ``docs`` (None: all) plus ``_found``: n_words, n_hit, items (names of items with occurring phrases, sorted),
-    spans ([begin, end) word numbers, merged).
+    spans ([begin, end) word numbers, merged). ``clean`` adds ``_clean`` as ``cut`` does; ``keep`` need not have the text for it.
 
     Null texts have no words. Repeated rows are each searched. The phrases go to the tasks in blocks of
     about ``most_phrases`` (by hash of the phrase); with more than one block, each block passes over the
-    documents and the blocks' spans are merged per row. No items, no hits. A column ``_found`` of ``docs`` is replaced.
+    documents and the blocks' spans are merged per row. No items, no hits. Columns ``_found`` and (``clean``) ``_clean`` of ``docs`` are replaced.
     """
     spark = docs.sparkSession
-    keep = [c for c in (docs.columns if keep is None else keep) if c != "_found"]
+    made = ["_found", "_clean"] if clean else ["_found"]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
     sought = phrases(items, item_key, item_text, window)
     blocks = max(1, -(-sought.count() // most_phrases))
     if blocks > 1:
         sought = materialize(sought, "phrases")
         docs = materialize(docs.withColumn("_pass_row", F.monotonically_increasing_id()), "documents")
         keep = [*keep, "_pass_row"]
+        if clean:
+            docs, keep = docs.withColumn("_cut_text", F.col(text)), [*keep, "_cut_text"]
     with_text = docs.select(*keep, text_of(text).cast("binary").alias("_fm_text"))
-    schema = T.StructType([*(f for f in with_text.schema.fields if f.name != "_fm_text"), T.StructField("_found", FOUND)])
+    here = clean and blocks == 1  # blocks' spans are merged before anything is cut
+    schema = T.StructType([*(f for f in with_text.schema.fields if f.name != "_fm_text"), T.StructField("_found", FOUND),
+                           *([T.StructField("_clean", T.StringType())] if here else [])])
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
                       ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))])
     passes = []
     for k in range(blocks):
         block = sought.filter(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == k) if blocks > 1 else sought
         known = spark.sparkContext.broadcast([(r["phrase"], r["item"]) for r in block.collect()])
-        passes.append(with_text.mapInArrow(lambda b, known=known: giving_back(_scan(b, Phrases(known.value), kind, shard_words)), schema))
+        passes.append(with_text.mapInArrow(lambda b, known=known: giving_back(
+            _scan(b, Phrases(known.value), kind, shard_words, here)), schema))
     if blocks == 1:
         return passes[0]
     hits = None
@@ -185,23 +224,16 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str =
                      F.coalesce("items", F.col("_found.items")).alias("items"),
                      F.coalesce("spans", F.col("_found.spans")).alias("spans"))
     kept = [f.name for f in schema.fields if f.name not in ("_pass_row", "_found")]
-    return out.select(*kept, found.alias("_found"))
+    out = out.select(*kept, found.alias("_found"))
+    return cut(out, "_cut_text").drop("_cut_text") if clean else out
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for text, found in zip(batch.column("_fm_text").to_pylist(), batch.column("_found").to_pylist()):
-            if found["spans"]:
-                at = [m.span() for m in WORD_BYTES.finditer(text)]
-                pieces, end = [], 0
-                for s in found["spans"]:
-                    pieces.append(text[end:at[s["begin"]][0]])
-                    end = at[s["end"] - 1][1]
-                text = b"".join([*pieces, text[end:]])
-            out.append(text.decode())
+    for batch in _slices(batches, SLICE_BYTES):
+        out = pa.array((_without(text.as_py(), [(s["begin"], s["end"]) for s in found.as_py()["spans"]])
+                        for text, found in zip(batch.column("_fm_text"), batch.column("_found"))), pa.string())
         kept = [c for c in batch.schema.names if c != "_fm_text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out, pa.string())], [*kept, "_clean"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), out], [*kept, "_clean"])
 
 
 def cut(scanned: DataFrame, text: str = "text") -> DataFrame:

@@ -12,23 +12,25 @@ SAMPLE = 8
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Order of all suffixes, by doubling the length over which they are ranked."""
+    """Order of all suffixes, by doubling the length over which they are ranked. Few arrays of its size are held at a time."""
     n = len(symbols)
-    _, rank = np.unique(symbols, return_inverse=True)
-    rank = rank.astype(np.int64)
+    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64, copy=False)
     length = 1
     while True:
-        follow = np.zeros(n, np.int64)
+        both = rank * (n + 1)
         if length < n:
-            follow[:-length] = rank[length:] + 1
-        both = rank * (n + 1) + follow
+            both[:-length] += rank[length:] + 1
+        del rank
         order = np.argsort(both, kind="stable")
-        new = np.empty(n, np.int64)
-        steps = np.concatenate([[0], np.cumsum(both[order][1:] != both[order][:-1])])
-        new[order] = steps
-        rank, length = new, 2 * length
-        if n == 0 or rank.max() == n - 1:
+        both = both[order]
+        new = np.concatenate([[False], both[1:] != both[:-1]])[:n]
+        del both
+        steps = np.cumsum(new)
+        if n == 0 or steps[-1] == n - 1:
             return order
+        rank = np.empty(n, np.int64)
+        rank[order] = steps
+        length *= 2
 
 
 class FMIndex:
@@ -38,15 +40,16 @@ class FMIndex:
         lengths = np.array([len(r) for r in runs], np.int64)
         starts = np.cumsum(lengths + 1) - (lengths + 1)
         n = int((lengths + 1).sum())
-        words = np.zeros(n, np.int64)
+        words = np.zeros(n, np.int32)
         gap = np.zeros(n, bool)
         gap[starts + lengths] = True
         words[~gap] = np.concatenate(runs)
         # Each run's end sorts differently, so that comparing suffixes stops there.
-        symbols = words + len(runs)
+        symbols = words + np.int64(len(runs))
         symbols[gap] = np.arange(len(runs))
-        self.words, self.gap = words, gap
+        del gap
         order = suffix_array(symbols)
+        del symbols
         last = words[order - 1]  # 0 before a run; the text's last symbol ends a run too
         self.first = np.concatenate([[0], np.cumsum(np.bincount(words, minlength=1))])
         # Positions are kept for each SAMPLE-th word and each run's first, so a walk back stays in its run.
@@ -54,14 +57,18 @@ class FMIndex:
         kept[::SAMPLE] = True
         kept[starts] = True
         self.sampled = kept[order]
-        self.sample_rank = np.concatenate([[0], np.cumsum(self.sampled)])
+        self.sample_rank = np.cumsum(np.concatenate([[0], self.sampled]), dtype=np.int32)
         self.sample_at = order[self.sampled]
+        del order, kept
         # Wavelet matrix of the last column: per level the bits, their running count and the zeros.
         self.bits = max(1, int(words.max(initial=0)).bit_length())
+        del words
         self.levels, column = [], last
+        del last
         for level in reversed(range(self.bits)):
             bit = (column >> level) & 1
-            ones = np.concatenate([[0], np.cumsum(bit)]).astype(np.int32)
+            ones = np.zeros(n + 1, np.int32)
+            np.cumsum(bit, out=ones[1:])
             self.levels.append((level, ones, n - int(ones[-1])))
             column = np.concatenate([column[bit == 0], column[bit == 1]])
         self.n = n
